@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from . import pii, secrets
+from . import neardup, pii, secrets
 
 QUERIES = {
     "op2_secret_scan": secrets.op2_secret_scan,
     "op3_pii": pii.op3_pii,
+    "op4_minhash_dedup": neardup.op4_minhash_dedup,
 }
 ORACLE_SQL: dict[str, str] = {}
