@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from . import neardup, pii, secrets
+from . import neardup, packing, pii, secrets, tokencount
 
 QUERIES = {
     "op2_secret_scan": secrets.op2_secret_scan,
     "op3_pii": pii.op3_pii,
     "op4_minhash_dedup": neardup.op4_minhash_dedup,
+    "op5_token_counts": tokencount.op5_token_counts,
+    "op7_best_fit_packing": packing.op7_best_fit_packing,
 }
 ORACLE_SQL: dict[str, str] = {}
