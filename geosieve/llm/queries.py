@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import neardup, packing, pii, secrets, tokencount
+from . import neardup, packing, pii, quality, secrets, tokencount
 
 QUERIES = {
     "op2_secret_scan": secrets.op2_secret_scan,
@@ -10,5 +10,6 @@ QUERIES = {
     "op4_minhash_dedup": neardup.op4_minhash_dedup,
     "op5_token_counts": tokencount.op5_token_counts,
     "op7_best_fit_packing": packing.op7_best_fit_packing,
+    "op9_quality_rules": quality.op9_quality_rules,
 }
 ORACLE_SQL: dict[str, str] = {}
