@@ -12,15 +12,18 @@ links are the classes.
    paired with the others, so a key with n nodes gives n - 1 pairs. Pairs are
    sifted by size and signature, then confirmed on the full sets; first each
    node's best pair, then only the pairs that still join two components.
-3. Nodes that share a key with their leader but not its component are paired
-   with all others of that key in other components, sifted and confirmed the
-   same way. So no pair that shares a key goes unseen unless both are already
-   in one component, and nearly all work is proportional to the members.
+3. Nodes that share a key with their leader but not its component are compared
+   with all others of that key in other components. That comparison is a
+   condition of the join, over a longer signature made for these nodes alone,
+   so only pairs near the threshold come out, once each; they are confirmed on
+   the full sets. So no pair that shares a key goes unseen unless both are
+   already in one component.
 4. Components come from alternating large-star and small-star steps; each is
    a grouped minimum and a join, so a node with very many links is split as
    any skewed key.
 
-Band parameters miss a pair at exactly 0.75 with a probability under 4e-6.
+Bands miss a pair at exactly 0.75 with a probability under 4e-6, and so does
+the longer signature; more similar pairs are missed far less often.
 
 Null and empty texts and texts of white space alone have the size 0 and are
 linked with nothing. Rows with a null id are returned alone, with a null
@@ -35,7 +38,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -46,6 +49,8 @@ BANDS, ROWS = 64, 6
 SIGNATURE = 256
 #: Signature estimates have a deviation of 0.027 at 0.75; six of them are left as margin.
 SIFT = 0.59
+#: The longer signature: this many minima cut to two bits each, 32 to a long; its deviation at 0.75 is 0.0133, of which 4.5 are left.
+LONG, SIFT_LONG = 1536, 0.69
 _U = np.uint64
 
 
@@ -56,6 +61,8 @@ def _odd(n: int, seed: int, bits: int) -> np.ndarray:
 _BYTE = _odd(256, 11, 64)
 _MUL = (_odd(BANDS * ROWS, 12, 32)).astype(np.uint32)
 _ADD = np.random.default_rng(13).integers(0, 1 << 32, BANDS * ROWS, dtype=np.uint64).astype(np.uint32)
+_LONG_MUL = (_odd(LONG, 15, 32)).astype(np.uint32)
+_LONG_ADD = np.random.default_rng(16).integers(0, 1 << 32, LONG, dtype=np.uint64).astype(np.uint32)
 _PLACE = _odd(64, 14, 64)
 _P = 0x9E3779B97F4A7C15
 _PINV = pow(_P, -1, 1 << 64)
@@ -101,12 +108,12 @@ def shingle_set(text: str, words: int = WORDS) -> np.ndarray:
     return np.unique(_mix(h + _U(words)))
 
 
-def minima(hashes: np.ndarray) -> np.ndarray:
-    """The minima of a set under BANDS * ROWS universal hash functions."""
+def minima(hashes: np.ndarray, mul: np.ndarray = _MUL, add: np.ndarray = _ADD) -> np.ndarray:
+    """The minima of a set under universal hash functions."""
     x = hashes.astype(np.uint32) ^ (hashes >> _U(32)).astype(np.uint32)
-    low = np.full(BANDS * ROWS, 0xFFFFFFFF, np.uint32)
+    low = np.full(len(mul), 0xFFFFFFFF, np.uint32)
     for i in range(0, len(x), 512):
-        np.minimum(low, (x[i : i + 512, None] * _MUL[None, :] + _ADD[None, :]).min(axis=0), out=low)
+        np.minimum(low, (x[i : i + 512, None] * mul[None, :] + add[None, :]).min(axis=0), out=low)
     return low
 
 
@@ -161,6 +168,26 @@ def _linked(a: pa.Array, b: pa.Array) -> pa.Array:
     return pa.array(out, pa.bool_())
 
 
+@F.arrow_udf(T.ArrayType(T.LongType()))
+def _long_signature(texts: pa.Array) -> pa.Array:
+    """The longer signature of a text's set, two bits a minimum."""
+    shift = np.arange(0, 64, 2, dtype=np.uint64)
+    out = []
+    for text in texts_of(texts):
+        bits = (minima(shingle_set(text), _LONG_MUL, _LONG_ADD) & np.uint32(3)).astype(np.uint64)
+        out.append((bits.reshape(-1, 32) << shift[None, :]).sum(axis=1, dtype=np.uint64).view(np.int64))
+    return pa.array(out, pa.list_(pa.int64()))
+
+
+def _near(x: Column, y: Column) -> Column:
+    """Whether two longer signatures agree in as many places as similar sets would."""
+    differ = F.lit(0)
+    for i in range(LONG // 32):
+        z = x[i].bitwiseXOR(y[i])
+        differ = differ + F.bit_count(z.bitwiseOR(F.shiftrightunsigned(z, 1)).bitwiseAND(F.lit(0x5555555555555555)))
+    return differ <= int(LONG * 0.75 * (1 - SIFT_LONG))
+
+
 def components(scratch: Scratch, edges: DataFrame) -> DataFrame:
     """(node, root): each node of the edges (a, b), roots excepted, with its component's smallest node.
 
@@ -230,10 +257,20 @@ def near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -
     x, y = roots.toDF("node", "root"), roots.toDF("leader", "leader_root")
     placed = members.join(x, "node", "left").join(y, "leader", "left")
     placed = scratch.keep(placed.select("key", "node", "leader", F.coalesce("root", "node").alias("root"), F.coalesce("leader_root", "leader").alias("leader_root")))
-    apart = placed.where("root <> leader_root").select("key", F.col("node").alias("s"), F.col("root").alias("s_root"))
-    rest = apart.join(placed, "key").where("root <> s_root and node <> leader and (root = leader_root or s < node)")
-    rest = sifted(rest.select(F.least("s", "node").alias("a"), F.greatest("s", "node").alias("b")))
-    roots = components(scratch, links.union(confirmed(across(rest, roots))))
+    apart = placed.where("root <> leader_root")
+    mixed = placed.join(apart.select("key").distinct(), "key", "left_semi")
+    long = texts.withColumnRenamed("doc_id", "node").join(mixed.select("node").distinct(), "node", "left_semi")
+    long = scratch.keep(long.select("node", _long_signature("text").alias("long")))
+    wide = nodes.select("node", "n_shingles", "bands").join(long, "node")
+    x = apart.join(wide, "node").select("key", *[F.col(c).alias(f"s_{c}") for c in ("node", "root", "n_shingles", "bands", "long")])
+    rest = x.join(mixed.join(wide, "node"), "key").where(
+        F.expr("root <> s_root and node <> leader and s_node <> leader and (root = leader_root or s_node < node)")
+        & F.expr("100 * least(n_shingles, s_n_shingles) >= 75 * greatest(n_shingles, s_n_shingles)")
+        & _near(F.col("s_long"), F.col("long"))
+        & (F.col("key") == F.array_min(F.array_intersect("s_bands", "bands")))
+    )
+    rest = scratch.keep(rest.select(F.least("s_node", "node").alias("a"), F.greatest("s_node", "node").alias("b")))
+    roots = components(scratch, links.union(confirmed(rest)))
 
     classes = nodes.select("digest", "node").join(roots, "node", "left").select("digest", F.coalesce("root", "node").alias("root"))
     out = rows.join(classes, "digest", "left").select(
