@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import neardup, packing, pii, quality, secrets, tokencount
+from . import neardup, packing, pii, quality, secrets, tokencount, toxicity
 
 QUERIES = {
     "op2_secret_scan": secrets.op2_secret_scan,
@@ -11,5 +11,6 @@ QUERIES = {
     "op5_token_counts": tokencount.op5_token_counts,
     "op7_best_fit_packing": packing.op7_best_fit_packing,
     "op9_quality_rules": quality.op9_quality_rules,
+    "op10_toxicity_mil": toxicity.op10_toxicity_mil,
 }
 ORACLE_SQL: dict[str, str] = {}

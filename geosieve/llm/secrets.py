@@ -16,6 +16,7 @@ from __future__ import annotations
 import base64
 import re
 from collections.abc import Callable
+from functools import cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -46,6 +47,7 @@ def is_known(run: str) -> bool:
     return all(_NAME_PART.match(part) for part in re.split(r"[-_/+=]", run))
 
 
+@cache
 def load_encoding(vocabulary: str | None = None) -> Callable[[str], list[int]]:
     """The encoder of a tiktoken rank file; by default the public byte-level one."""
     import public_tokenizers
