@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
-from . import neardup, packing, pii, quality, secrets, tokencount, toxicity
+from . import mixing, neardup, packing, pii, quality, secrets, syncmers, tokencount, toxicity
 
 QUERIES = {
+    "op1_source_mixing": mixing.op1_source_mixing,
     "op2_secret_scan": secrets.op2_secret_scan,
     "op3_pii": pii.op3_pii,
     "op4_minhash_dedup": neardup.op4_minhash_dedup,
     "op5_token_counts": tokencount.op5_token_counts,
     "op7_best_fit_packing": packing.op7_best_fit_packing,
+    "op8_syncmer_fingerprints": syncmers.op8_syncmer_fingerprints,
     "op9_quality_rules": quality.op9_quality_rules,
     "op10_toxicity_mil": toxicity.op10_toxicity_mil,
 }
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {"op1_source_mixing": mixing.OP1_SQL}
