@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import mixing, neardup, packing, pii, quality, secrets, syncmers, tokencount, toxicity
+from . import media, mixing, neardup, packing, pii, quality, secrets, syncmers, tokencount, toxicity
 
 QUERIES = {
     "op1_source_mixing": mixing.op1_source_mixing,
@@ -10,6 +10,7 @@ QUERIES = {
     "op3_pii": pii.op3_pii,
     "op4_minhash_dedup": neardup.op4_minhash_dedup,
     "op5_token_counts": tokencount.op5_token_counts,
+    "op6_media_columns": media.op6_media_columns,
     "op7_best_fit_packing": packing.op7_best_fit_packing,
     "op8_syncmer_fingerprints": syncmers.op8_syncmer_fingerprints,
     "op9_quality_rules": quality.op9_quality_rules,
