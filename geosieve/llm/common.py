@@ -44,6 +44,7 @@ class Scratch:
             spark.conf.set("spark.checkpoint.dir", root)
         self.root = f"{root.rstrip('/')}/scratch-{uuid.uuid4().hex}"
         self.n = 0
+        self.kept: list[DataFrame] = []
 
     def keep(self, df: DataFrame) -> DataFrame:
         """Write df and return it as read back from the written table."""
@@ -52,6 +53,7 @@ class Scratch:
         df.write.mode("overwrite").parquet(path)
         out = self.spark.read.schema(df.schema).parquet(path)
         out._scratch = path
+        self.kept.append(out)
         return out
 
     def drop(self, *frames: DataFrame) -> None:
@@ -60,6 +62,14 @@ class Scratch:
         for df in frames:
             path = jvm.org.apache.hadoop.fs.Path(df._scratch)
             path.getFileSystem(conf).delete(path, True)
+        self.kept = [k for k in self.kept if all(k is not df for df in frames)]
+
+    def last(self, df: DataFrame) -> DataFrame:
+        """Keep df and delete everything kept before."""
+        before = list(self.kept)
+        out = self.keep(df)
+        self.drop(*before)
+        return out
 
 
 SPAN_ARROW = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64()), ("score", pa.float64())]))

@@ -277,7 +277,7 @@ def near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -
         "doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("root")).otherwise(F.col("doc_id")).alias("component_id")
     )
     out = out.withColumn("component_id", F.when(F.col("doc_id").isNotNull(), F.col("component_id")))
-    return out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
+    return scratch.last(out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True))))
 
 
 def op4_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
