@@ -17,6 +17,7 @@ an output column is replaced.
 
 from __future__ import annotations
 
+import os
 import unicodedata
 
 import pyarrow as pa
@@ -28,7 +29,8 @@ from pyspark.sql import types as T
 from .common import batched, documents, text_or_empty, texts_of
 
 FIT_ROWS, TABLE = 2000, 32_768
-CACHE, LONGEST_CACHED = 400_000, 64
+CACHE, LONGEST_CACHED = 200_000, 64
+BATCH = 256
 LIMIT = 2048
 #: Fixed values of the tokenizer file: its special strings and its pre-token pattern.
 SPECIAL = ("<|startoftext|>", "<|endoftext|>")
@@ -54,6 +56,7 @@ def pretokens(text: str) -> tuple[list[str], int]:
 
 def load_tokenizer(path: str | None = None):
     """The tokenizer of a file; by default the public one with word ends."""
+    os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
     import public_tokenizers
     from tokenizers import Tokenizer
 
@@ -88,6 +91,16 @@ class Lengths:
         return out
 
 
+_own: dict[str | None, Lengths] = {}
+
+
+def worker_lengths(table: dict[str, int], path: str | None) -> Lengths:
+    """The lengths of this worker, kept from task to task as long as the table is the same."""
+    if path not in _own or _own[path].table is not table:
+        _own[path] = Lengths(table, path)
+    return _own[path]
+
+
 def frequent_lengths(df: DataFrame, text: str = "text", key: str = "doc_id", path: str | None = None) -> dict[str, int]:
     """At most TABLE pre-tokens, the most frequent of about FIT_ROWS rows, with their lengths."""
     rows = df.count()
@@ -103,11 +116,11 @@ def count_tokens(df: DataFrame, text: str = "text", key: str = "doc_id", out: st
     table = df.sparkSession.sparkContext.broadcast(frequent_lengths(df, text, key, path))
 
     def make():
-        lengths = Lengths(table.value, path)
+        lengths = worker_lengths(table.value, path)
 
         def one(column: pa.Array) -> pa.Array:
-            texts = texts_of(column)
-            return pa.array([n for i in range(0, len(texts), 256) for n in lengths.count(texts[i : i + 256])], pa.int64())
+            parts = (texts_of(column.slice(i, BATCH)) for i in range(0, len(column), BATCH))
+            return pa.array([n for texts in parts for n in lengths.count(texts)], pa.int64())
 
         return one
 
