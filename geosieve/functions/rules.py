@@ -66,46 +66,50 @@ def capped(score: Column, confidence: Column) -> Column:
     return F.when(cap.isNotNull(), F.least(score, F.when(score.isNotNull(), cap))).cast("int")
 
 
-def indicated(score: dict[str, Column], confidence: dict[str, Column], screeners: list[Column], p: Parameters = Parameters()) -> Column:
-    """struct(priority, reasons): screens, then power's ceiling, then steps down and caps, in order.
+def with_indicated(df: DataFrame, screeners: tuple[str, ...], p: Parameters = Parameters(), out: str = "indicated", prefix: str = "s_", confidence: str = "conf_", varied: str | None = None) -> DataFrame:
+    """Add ``out``, struct(priority, reasons): screens, then power's ceiling, then steps down and caps, in order.
 
-    score holds capped scores by dimension; screeners are passed, failed or
-    not assessed.
+    Capped scores are in prefix + dimension, confidences in confidence +
+    dimension; screeners are passed, failed or not assessed. ``varied`` names a
+    struct column with Parameters of a row's own. Steps are columns of their
+    own, so no step's expression is written out again in those after it.
     """
-    sure = lambda d: confidence[d].isin("high", "medium")
-    low = lambda d, n: F.coalesce(score[d] <= n, F.lit(False))
-    moratorium = low("community", 1) & sure("community")
-    ceiling = F.when(score["power"] >= p.high_power, 2).when(score["power"] >= 3, 1).otherwise(0)
-    weak = sum((low(d, p.weak) & (~moratorium if d == "community" else F.lit(True))).cast("int") for d in IMPORTANT)
-    supporting = sum((low(d, 1) & sure(d)).cast("int") for d in SUPPORTING)
-    level = F.when(weak >= p.most_weak, 0).when(weak == 1, F.greatest(F.lit(0), ceiling - 1)).otherwise(ceiling)
-    level = F.greatest(F.lit(0), level - supporting)
-    known = sum(score[d].isNotNull().cast("int") for d in CARRYING)
-    strong = F.lit(False)
-    poor = F.lit(False)
-    for d in CARRYING:
-        strong, poor = strong | F.coalesce(score[d] >= p.strong, F.lit(False)), poor | low(d, 2)
-    open_screen = F.lit(False)
-    failed = F.lit(False)
-    for s in screeners:
-        open_screen, failed = open_screen | (s != "passed"), failed | (s == "failed")
-    caps = [("a screener is not passed", open_screen), ("too little is known", known < p.known_for_high), ("nothing carries it", ~(strong & ~poor))]
-    final = level
-    for _, c in caps:
-        final = F.when((final == 2) & c, 1).otherwise(final)
-    final = F.when(moratorium, 0).otherwise(final)
+    param = lambda n: F.col(f"{varied}.{n}") if varied else F.lit(getattr(p, n))
+    score = lambda d: F.col(prefix + d)
+    sure = lambda d: F.coalesce(F.col(confidence + d).isin("high", "medium"), F.lit(False))
+    low = lambda d, n: F.coalesce(score(d) <= n, F.lit(False))
+    add = lambda xs: sum((x.cast("int") for x in xs), F.lit(0))
+    any_ = lambda xs: F.coalesce(F.greatest(*xs, F.lit(False)), F.lit(False))
+    df = df.withColumn("_moratorium", low("community", 1) & sure("community"))
+    df = df.withColumns(
+        {
+            "_ceiling": F.when(score("power") >= param("high_power"), 2).when(score("power") >= 3, 1).otherwise(0),
+            "_weak": add(low(d, param("weak")) & (~F.col("_moratorium") if d == "community" else F.lit(True)) for d in IMPORTANT),
+            "_supporting": add(low(d, 1) & sure(d) for d in SUPPORTING),
+            "_open": any_([F.col(s) != "passed" for s in screeners]),
+            "_failed": any_([F.col(s) == "failed" for s in screeners]),
+            "_few": add(score(d).isNotNull() for d in CARRYING) < param("known_for_high"),
+            "_idle": ~(any_([score(d) >= param("strong") for d in CARRYING]) & ~any_([low(d, 2) for d in CARRYING])),
+        }
+    )
+    step = F.when(F.col("_weak") >= param("most_weak"), 0).when(F.col("_weak") == 1, F.greatest(F.lit(0), F.col("_ceiling") - 1)).otherwise(F.col("_ceiling"))
+    df = df.withColumn("_level", F.greatest(F.lit(0), step - F.col("_supporting")))
+    capping = {"_open": "a screener is not passed", "_few": "too little is known", "_idle": "nothing carries it"}
+    high = F.col("_level") == 2
+    df = df.withColumn("_final", F.when(F.col("_moratorium"), 0).when(high & any_([F.col(c) for c in capping]), 1).otherwise(F.col("_level")))
     reasons = F.array_compact(
         F.array(
-            F.concat(F.lit("power "), score["power"].cast("string")),
-            F.when(weak >= 1, F.concat(weak.cast("string"), F.lit(" weak"))),
-            F.when(supporting >= 1, F.concat(supporting.cast("string"), F.lit(" supporting at 1"))),
-            *[F.when((level == 2) & c, F.lit(why)) for why, c in caps],
-            F.when(moratorium, "moratorium"),
+            F.concat(F.lit("power "), score("power").cast("string")),
+            F.when(F.col("_weak") >= 1, F.concat(F.col("_weak").cast("string"), F.lit(" weak"))),
+            F.when(F.col("_supporting") >= 1, F.concat(F.col("_supporting").cast("string"), F.lit(" supporting at 1"))),
+            *[F.when(high & F.col(c), why) for c, why in capping.items()],
+            F.when(F.col("_moratorium"), "moratorium"),
         )
     )
-    name = F.get(F.array(*map(F.lit, PRIORITIES)), final)
-    priority = F.when(failed, SCREENED).when(score["power"].isNull(), INSUFFICIENT).otherwise(name)
-    return F.struct(priority.alias("priority"), F.when(failed, F.array(F.lit("screener failed"))).otherwise(reasons).alias("reasons"))
+    name = F.get(F.array(*map(F.lit, PRIORITIES)), F.col("_final"))
+    priority = F.when(F.col("_failed"), SCREENED).when(score("power").isNull(), INSUFFICIENT).otherwise(name)
+    df = df.withColumn(out, F.struct(priority.alias("priority"), F.when(F.col("_failed"), F.array(F.lit("screener failed"))).otherwise(reasons).alias("reasons")))
+    return df.drop("_moratorium", "_ceiling", "_weak", "_supporting", "_open", "_failed", "_few", "_idle", "_level", "_final")
 
 
 def assigned(priority: Column, adjustments: Column) -> Column:
