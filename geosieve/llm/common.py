@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -11,6 +9,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from geosieve.sources.scratch import Scratch as Scratch
+
 DOCUMENT_COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
@@ -29,47 +29,17 @@ def text_or_empty(column: str = "text"):
     return F.coalesce(F.col(column), F.lit(""))
 
 
-class Scratch:
-    """Tables written to the folder that all executors share, to cut lineage.
-
-    The folder is the one in spark.checkpoint.dir. Only where that is unset,
-    as in tests, a temporary folder stands in and is set in the session.
-    """
-
-    def __init__(self, spark: SparkSession):
-        self.spark = spark
-        root = spark.conf.get("spark.checkpoint.dir", None)
-        if not root:
-            root = f"file://{tempfile.mkdtemp(prefix='geosieve-')}"
-            spark.conf.set("spark.checkpoint.dir", root)
-        self.root = f"{root.rstrip('/')}/scratch-{uuid.uuid4().hex}"
-        self.n = 0
-        self.kept: list[DataFrame] = []
-
-    def keep(self, df: DataFrame) -> DataFrame:
-        """Write df and return it as read back from the written table."""
-        self.n += 1
-        path = f"{self.root}/{self.n}"
-        df.write.mode("overwrite").parquet(path)
-        out = self.spark.read.schema(df.schema).parquet(path)
-        out._scratch = path
-        self.kept.append(out)
-        return out
-
-    def drop(self, *frames: DataFrame) -> None:
-        """Delete written tables that no later plan reads."""
-        jvm, conf = self.spark._jvm, self.spark._jsparkSession.sessionState().newHadoopConf()
-        for df in frames:
-            path = jvm.org.apache.hadoop.fs.Path(df._scratch)
-            path.getFileSystem(conf).delete(path, True)
-        self.kept = [k for k in self.kept if all(k is not df for df in frames)]
-
-    def last(self, df: DataFrame) -> DataFrame:
-        """Keep df and delete everything kept before."""
-        before = list(self.kept)
-        out = self.keep(df)
-        self.drop(*before)
-        return out
+def labelled_sample(known: DataFrame, label: str, held_out: Column, fit_rows: int) -> DataFrame:
+    """(doc_id, label) of about fit_rows labelled rows that aren't held out, chosen by a hash of the id."""
+    usable = known.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(label).cast("double").alias("label"))
+    usable = usable.where(F.col("label").isin(0.0, 1.0) & F.col("doc_id").isNotNull() & ~held_out)
+    rows = usable.count()
+    return usable.where(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < F.lit(-(-1_000_000 * fit_rows // max(rows, fit_rows))))
+
+
+def fold(modulus: int, remainder: int, doc_id: str = "doc_id") -> Column:
+    """Whether crc32 of the id as text has this remainder; a null id has none."""
+    return F.coalesce(F.crc32(F.col(doc_id).cast("string")) % modulus == remainder, F.lit(False))
 
 
 SPAN_ARROW = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64()), ("score", pa.float64())]))

@@ -25,7 +25,7 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Scratch, documents, labels
+from .common import Scratch, documents, fold, labelled_sample, labels
 
 FIT_ROWS = 20_000
 TREES, DEPTH, LASSO, SEED = 16, 3, 0.0008, 7
@@ -94,23 +94,10 @@ def paths(node, before: Rule = ()) -> list[Rule]:
     return found
 
 
-def labelled_sample(known: DataFrame, label: str, held_out: Column, fit_rows: int = FIT_ROWS) -> DataFrame:
-    """(doc_id, label) of about fit_rows labelled rows that aren't held out, chosen by a hash of the id."""
-    usable = known.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(label).cast("double").alias("label"))
-    usable = usable.where(F.col("label").isin(0.0, 1.0) & F.col("doc_id").isNotNull() & ~held_out)
-    rows = usable.count()
-    return usable.where(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < F.lit(-(-1_000_000 * fit_rows // max(rows, fit_rows))))
-
-
-def fold(modulus: int, remainder: int, doc_id: str = "doc_id") -> Column:
-    """Whether crc32 of the id as text has this remainder; a null id has none."""
-    return F.coalesce(F.crc32(F.col(doc_id).cast("string")) % modulus == remainder, F.lit(False))
-
-
 def fit(docs: DataFrame, known: DataFrame, label: str = "quality", held_out: Column | None = None) -> Rules:
     """Rules fitted on a sample of the labelled rows that aren't held out."""
     scratch = Scratch(docs.sparkSession)
-    sample = labelled_sample(known, label, held_out if held_out is not None else F.lit(False))
+    sample = labelled_sample(known, label, held_out if held_out is not None else F.lit(False), FIT_ROWS)
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     # The sample has about FIT_ROWS rows of two numbers whatever the corpus, so it is small enough to send.
     rows = texts.join(F.broadcast(sample), "doc_id")

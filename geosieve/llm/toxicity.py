@@ -32,15 +32,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import Scratch, batched, documents, labels, texts_of
-from .quality import fold, labelled_sample
+from .common import Scratch, batched, documents, fold, labelled_sample, labels, texts_of
 
 FIT_ROWS = 20_000
 BUCKETS, FEATURES = 1 << 18, 1024
 LEAST_DOCUMENTS, LEAST_Z = 4, 4.5
 STEPS, RATE, RIDGE, PRIOR = 300, 0.1, 1e-4, -6.0
 THRESHOLD, OFFENDING = 0.3, 0.5
-PARTS, CACHE = 8, 200_000
+PARTS, CACHE = 8, 100_000
 
 _sentence = re.compile(r"[^.!?\n]+")
 _word = re.compile(r"\w+")
@@ -137,16 +136,11 @@ def fit(docs: DataFrame, known: DataFrame, label: str = "toxic", held_out=None)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen = np.zeros((2, BUCKETS), np.int64)
-        memo: dict[str, list[int]] = {}
         for b in batches:
             for text, y in zip(texts_of(b.column("text")), b.column("label").to_pylist()):
                 own: set[int] = set()
                 for w in set(words(text)):
-                    if w not in memo:
-                        if len(memo) > CACHE:
-                            memo.clear()
-                        memo[w] = features(w)
-                    own.update(memo[w])
+                    own.update(features(w))
                 seen[int(y), list(own)] += 1
         some = np.flatnonzero(seen.sum(axis=0))
         yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(seen[0, some]), pa.array(seen[1, some])], names=["feature", "clean", "toxic"])
@@ -164,10 +158,19 @@ def fit(docs: DataFrame, known: DataFrame, label: str = "toxic", held_out=None)
     place = {f: i for i, f in enumerate(chosen)}
 
     def bags(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        memo: dict[str, tuple[int, ...]] = {}
+
+        def places(word: str) -> tuple[int, ...]:
+            if word not in memo:
+                if len(memo) > CACHE:
+                    memo.clear()
+                memo[word] = tuple(place[f] for f in features(word) if f in place)
+            return memo[word]
+
         for b in batches:
             plain, held = [], []
             for text in texts_of(b.column("text")):
-                kept = [[place[f] for w in words(text[s:e]) for f in features(w) if f in place] for s, e in sentences(text)]
+                kept = [[p for w in words(text[s:e]) for p in places(w)] for s, e in sentences(text)]
                 plain.append(sum(not x for x in kept))
                 held.append([x for x in kept if x])
             yield pa.RecordBatch.from_arrays([b.column("label"), pa.array(plain, pa.int64()), pa.array(held, pa.list_(pa.list_(pa.int64())))], names=["label", "plain", "held"])
