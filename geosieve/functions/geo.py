@@ -58,28 +58,37 @@ def _edges(ring: Column, f) -> Column:
     return F.transform(ring, lambda a, i: f(a, F.get(ring, (i + 1) % n)))
 
 
-def ring_contains(ring: Column, lat: Column, lng: Column) -> Column:
-    """Whether a point is inside a ring by the even-odd rule."""
+def polygon_edges(outer: Column, holes: Column) -> Column:
+    """array of struct(a, b) of the edges of all rings of a polygon."""
+    return F.flatten(F.transform(F.concat(F.array(outer), holes), lambda ring: _edges(ring, lambda a, b: F.struct(a.alias("a"), b.alias("b")))))
 
-    def crosses(a: Column, b: Column) -> Column:
-        across = (a["lat"] > lat) != (b["lat"] > lat)
-        at = (b["lng"] - a["lng"]) * (lat - a["lat"]) / F.nullif(b["lat"] - a["lat"], F.lit(0.0)) + a["lng"]
-        return F.when(across & (lng < at), 1).otherwise(0)
 
-    return F.aggregate(_edges(ring, crosses), F.lit(0), lambda n, x: n + x) % 2 == 1
+def edge_crosses(edge: Column, lat: Column, lng: Column) -> Column:
+    """1 if the ray east of a point crosses an edge, else 0."""
+    a, b = edge["a"], edge["b"]
+    at = (b["lng"] - a["lng"]) * (lat - a["lat"]) / F.nullif(b["lat"] - a["lat"], F.lit(0.0)) + a["lng"]
+    return F.when(((a["lat"] > lat) != (b["lat"] > lat)) & (lng < at), 1).otherwise(0)
 
 
-def ring_distance(ring: Column, lat: Column, lng: Column) -> Column:
-    """Metres from a point to the nearest edge of a ring."""
+def edge_distance(edge: Column, lat: Column, lng: Column) -> Column:
+    """Metres from a point to an edge."""
+    a, b = edge["a"], edge["b"]
+    return segment_distance(*offset(lat, lng, a["lat"], a["lng"]), *offset(lat, lng, b["lat"], b["lng"]))
+
+
+def ring_contains(ring: Column, lat: Column, lng: Column) -> Column:
+    """Whether a point is inside a ring by the even-odd rule."""
+    crossed = _edges(ring, lambda a, b: edge_crosses(F.struct(a.alias("a"), b.alias("b")), lat, lng))
+    return F.aggregate(crossed, F.lit(0), lambda n, x: n + x) % 2 == 1
 
-    def far(a: Column, b: Column) -> Column:
-        return segment_distance(*offset(lat, lng, a["lat"], a["lng"]), *offset(lat, lng, b["lat"], b["lng"]))
 
-    return F.array_min(_edges(ring, far))
+def ring_distance(ring: Column, lat: Column, lng: Column) -> Column:
+    """Metres from a point to the nearest edge of a ring."""
+    return F.array_min(_edges(ring, lambda a, b: edge_distance(F.struct(a.alias("a"), b.alias("b")), lat, lng)))
 
 
 def polygon_distance(outer: Column, holes: Column, lat: Column, lng: Column) -> Column:
-    """0 inside the outer ring and outside all holes, else metres to the nearest edge."""
+    """0 inside the outer ring and outside all holes, else metres to the nearest edge; for single rows, see spatial.polygon_distances."""
     inside = ring_contains(outer, lat, lng) & ~F.exists(holes, lambda h: ring_contains(h, lat, lng))
     edges = F.array_min(F.concat(F.array(ring_distance(outer, lat, lng)), F.transform(holes, lambda h: ring_distance(h, lat, lng))))
     return F.when(inside, F.lit(0.0)).otherwise(edges)

@@ -28,25 +28,27 @@ def range_join(
     features: DataFrame,
     radius_m: float,
     box: tuple[Column, Column, Column, Column] | None = None,
-    how: str = "inner",
+    cell_m: float | None = None,
 ) -> DataFrame:
     """Pairs of sites (lat, lng) and features whose widened box holds the site.
 
     box is (south, west, north, east) of a feature, by default its point
-    f_lat, f_lng. Column names of the two sides must differ.
+    f_lat, f_lng. Cells are cell_m high, by default the radius; for features
+    much larger than that, about their size. Column names of the two sides
+    must differ.
     """
     south, west, north, east = box or (F.col("f_lat"), F.col("f_lng"), F.col("f_lat"), F.col("f_lng"))
-    high = radius_m / geo.M_PER_DEG_LAT
-    wide = radius_m / (geo.M_PER_DEG_LNG * cos(radians(CELL_LATITUDE)))
+    high, tall = radius_m / geo.M_PER_DEG_LAT, (cell_m or radius_m) / geo.M_PER_DEG_LAT
+    wide = (cell_m or radius_m) / (geo.M_PER_DEG_LNG * cos(radians(CELL_LATITUDE)))
     # The frame's cosine is the site's, so the widest degree span is at the highest latitude that can be in reach.
     reach = F.least(F.lit(89.0), F.greatest(F.abs(south), F.abs(north)) + high)
     side = F.lit(radius_m) / (geo.M_PER_DEG_LNG * F.cos(F.radians(reach)))
-    row = lambda x: F.floor(x / high).cast("int")
+    row = lambda x: F.floor(x / tall).cast("int")
     column = lambda x: F.floor(x / wide).cast("int")
     covered = features.withColumn("_row", F.explode(F.sequence(row(south - high), row(north + high))))
     covered = covered.withColumn("_column", F.explode(F.sequence(column(west - side), column(east + side))))
     placed = sites.withColumns({"_row": row(F.col("lat")), "_column": column(F.col("lng"))})
-    return placed.join(covered, ["_row", "_column"], how).drop("_row", "_column")
+    return placed.join(covered, ["_row", "_column"]).drop("_row", "_column")
 
 
 def points_within(sites: DataFrame, features: DataFrame, radius_m: float) -> DataFrame:
@@ -56,6 +58,20 @@ def points_within(sites: DataFrame, features: DataFrame, radius_m: float) -> Dat
     return pairs.where(F.col("d_mm") <= int(radius_m * 1000))
 
 
+def polygon_distances(pairs: DataFrame, keys: list[str], edges: str = "edges") -> DataFrame:
+    """keys with d_mm: 0 in a polygon and outside its holes, else to the nearest edge.
+
+    pairs have lat, lng and the edges of all rings (geo.polygon_edges). The
+    edges are rows here, so the arithmetic is compiled, and their minimum and
+    parity are taken before anything is shuffled.
+    """
+    rows = pairs.select(*keys, "lat", "lng", F.explode(edges).alias("e"))
+    lat, lng, e = F.col("lat"), F.col("lng"), F.col("e")
+    rows = rows.select(*keys, geo.edge_distance(e, lat, lng).alias("d"), geo.edge_crosses(e, lat, lng).alias("c"))
+    out = rows.groupBy(*keys).agg(F.min("d").alias("d"), F.sum("c").alias("c"))
+    return out.select(*keys, F.when(F.col("c") % 2 == 1, 0).otherwise(geo.millimetres(F.col("d"))).alias("d_mm"))
+
+
 def nearest(ordinal: str, *columns: str, where: Column | None = None) -> Column:
     """The aggregate struct(d_mm, ordinal, columns) of the nearest pair; source order breaks ties."""
     best = F.struct("d_mm", ordinal, *columns)

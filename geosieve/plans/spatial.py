@@ -121,7 +121,7 @@ def nearest_segment(t: Tables) -> DataFrame:
     box = (F.least("f_lat", "g_lat"), F.least("f_lng", "g_lng"), F.greatest("f_lat", "g_lat"), F.greatest("f_lng", "g_lng"))
     a = geo.offset(F.col("lat"), F.col("lng"), F.col("f_lat"), F.col("f_lng"))
     b = geo.offset(F.col("lat"), F.col("lng"), F.col("g_lat"), F.col("g_lng"))
-    found = spatial.range_join(sites(t), lines(t), LINE_R, box).withColumn("d_mm", geo.millimetres(geo.segment_distance(*a, *b)))
+    found = spatial.range_join(sites(t), lines(t), LINE_R, box, cell_m=30_000).withColumn("d_mm", geo.millimetres(geo.segment_distance(*a, *b)))
     best = [spatial.nearest("feature").alias("a"), spatial.nearest("feature", where=F.col("size") >= 25).alias("b"), F.count("*").alias("lines_near")]
     out = spatial.per_site(sites(t), "site", found.where(F.col("d_mm") <= LINE_R * 1000), *best)
     tenth = lambda c: F.floor(F.col(f"{c}.d_mm") / 100) / F.lit(10.0)
@@ -131,7 +131,7 @@ def nearest_segment(t: Tables) -> DataFrame:
 #: The corners of a synthetic outline, in radii from its point, and those of its hole.
 OUTLINE = ((1.0, 0.0), (0.2, 0.9), (-0.8, 0.5), (-0.3, -0.1), (-0.7, -0.8), (0.4, -0.9))
 HOLE = ((0.3, 0.0), (0.0, 0.3), (-0.1, 0.0), (0.0, -0.3))
-RING_R = 20_000
+RING_R, POLYGON_CELL = 20_000, 40_000
 EDGE_SQL = " UNION ALL ".join(
     f"SELECT feature, size, f_lat, f_lng, {int(ring is HOLE)} AS hole, f_lng + r * {a[0]}e0 AS alng, f_lat + r * {a[1]}e0 AS alat, f_lng + r * {b[0]}e0 AS blng, f_lat + r * {b[1]}e0 AS blat FROM radii"
     for ring in (OUTLINE, HOLE)
@@ -151,14 +151,13 @@ POLYGON_SQL = f"""WITH {SITES}, {PARTS}, radii AS (SELECT *, 2e-2 + size * 4e-3
 def polygons(t: Tables) -> DataFrame:
     r = F.lit(0.02) + F.col("size") * F.lit(0.004)
     ring = lambda corners: F.array(*[F.struct((F.col("f_lng") + r * x).alias("lng"), (F.col("f_lat") + r * y).alias("lat")) for x, y in corners])
-    return parts(t).select("feature", "size", ring(OUTLINE).alias("outer"), F.array(ring(HOLE)).alias("holes"), (F.col("f_lat") - r).alias("south"), (F.col("f_lng") - r).alias("west"), (F.col("f_lat") + r).alias("north"), (F.col("f_lng") + r).alias("east"))
+    return parts(t).select("feature", "size", geo.polygon_edges(ring(OUTLINE), F.array(ring(HOLE))).alias("edges"), (F.col("f_lat") - r).alias("south"), (F.col("f_lng") - r).alias("west"), (F.col("f_lat") + r).alias("north"), (F.col("f_lng") + r).alias("east"))
 
 
 def polygon_pairs(t: Tables, radius: float) -> DataFrame:
     box = tuple(F.col(c) for c in ("south", "west", "north", "east"))
-    near = spatial.range_join(sites(t), polygons(t), radius, box)
-    d = geo.polygon_distance(F.col("outer"), F.col("holes"), F.col("lat"), F.col("lng"))
-    return near.select("site", "feature", "size", geo.millimetres(d).alias("d_mm"))
+    near = spatial.range_join(sites(t), polygons(t), radius, box, cell_m=POLYGON_CELL)
+    return spatial.polygon_distances(near, ["site", "feature", "size"])
 
 
 @query(f"""{POLYGON_SQL}, best AS (SELECT site, min(row(d_mm, feature)) AS a, count(*) FILTER (d_mm = 0) AS holding FROM far WHERE d_mm <= {RING_R * 1000} GROUP BY site)
@@ -174,12 +173,9 @@ def polygon_distance(t: Tables) -> DataFrame:
     SELECT sites.site, polygon, largest, polygons, CASE WHEN polygon IS NULL THEN 'absent' ELSE 'ok' END AS status FROM sites LEFT JOIN hits USING (site)""")
 def point_in_polygon(t: Tables) -> DataFrame:
     """The first polygon that holds each site, and all of them."""
-    box = tuple(F.col(c) for c in ("south", "west", "north", "east"))
-    near = spatial.range_join(sites(t), polygons(t), 1_000, box)
-    lat, lng = F.col("lat"), F.col("lng")
-    inside = geo.ring_contains(F.col("outer"), lat, lng) & ~F.exists("holes", lambda h: geo.ring_contains(h, lat, lng))
+    near = polygon_pairs(t, 1.0).where(F.col("d_mm") == 0)
     listed = F.array_join(F.transform(F.array_sort(F.collect_set("feature")), lambda x: x.cast("string")), ";")
-    out = spatial.per_site(sites(t), "site", near.where(inside), F.min("feature").alias("polygon"), F.max("size").alias("largest"), listed.alias("polygons"))
+    out = spatial.per_site(sites(t), "site", near, F.min("feature").alias("polygon"), F.max("size").alias("largest"), listed.alias("polygons"))
     return out.select("site", "polygon", "largest", "polygons", F.when(F.col("polygon").isNull(), "absent").otherwise("ok").alias("status"))
 
 
