@@ -27,7 +27,8 @@ the longer signature; more similar pairs are missed far less often.
 
 Null and empty texts and texts of white space alone have the size 0 and are
 linked with nothing. Rows with a null id are returned alone, with a null
-component, and kept. Repeated rows give equal rows. Only the id and the text
+component, and kept. Repeated rows give equal rows; of different texts under
+one id any may stand for the others when pairs are confirmed. Only the id and the text
 are read; other columns don't matter.
 """
 
@@ -42,6 +43,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from geosieve.operators.components import components
+
 from .common import Scratch, documents, texts_of
 
 WORDS, THRESHOLD = 5, 75
@@ -188,30 +191,6 @@ def _near(x: Column, y: Column) -> Column:
     return differ <= int(LONG * 0.75 * (1 - SIFT_LONG))
 
 
-def components(scratch: Scratch, edges: DataFrame) -> DataFrame:
-    """(node, root): each node of the edges (a, b), roots excepted, with its component's smallest node.
-
-    Alternates large-star and small-star until nothing changes. Every step is
-    written to the shared folder, so a lost executor costs one step at most.
-    """
-    now = scratch.keep(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u > v").distinct())
-    state = lambda e: tuple(e.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
-    was = state(now)
-    while was[0]:
-        both = now.union(now.select("v", "u")).toDF("x", "y")
-        low = both.groupBy("x").agg(F.min("y").alias("m")).select("x", F.least("x", "m").alias("m"))
-        large = both.where("y > x").join(low, "x").select(F.col("y").alias("u"), F.col("m").alias("v")).distinct()
-        low = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(low, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).union(low.toDF("u", "v"))
-        new = scratch.keep(small.distinct())
-        scratch.drop(now)
-        is_, now = state(new), new
-        if is_ == was:
-            break
-        was = is_
-    return now.toDF("node", "root")
-
-
 def near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per row of df: doc_id, n_shingles, component_id, kept."""
     scratch = Scratch(df.sparkSession)
@@ -223,11 +202,16 @@ def near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -
     )
     rows = scratch.keep(made.select("doc_id", "n_shingles", "digest"))
     scratch.drop(made)
+    scratch.sweep()
 
     keys = nodes.select("node", F.explode("bands").alias("key"))
     shared = keys.groupBy("key").agg(F.min("node").alias("leader"), F.max("node").alias("last")).where("leader <> last").drop("last")
     members = scratch.keep(keys.join(shared, "key"))
+    full, nodes = nodes, scratch.keep(nodes.drop("bands"))
+    scratch.drop(full)
+    scratch.sweep()
     texts = scratch.keep(docs.join(members.select(F.col("node").alias("doc_id")).distinct(), "doc_id", "left_semi").dropDuplicates(["doc_id"]))
+    scratch.sweep()
     marks = nodes.select("node", "n_shingles", "signature")
 
     def sifted(pairs: DataFrame) -> DataFrame:
@@ -253,15 +237,17 @@ def near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -
     roots = components(scratch, links)
     links = links.union(confirmed(across(pairs, roots).join(best, ["a", "b"], "left_anti")))
     roots = components(scratch, links)
+    scratch.sweep()
 
     x, y = roots.toDF("node", "root"), roots.toDF("leader", "leader_root")
     placed = members.join(x, "node", "left").join(y, "leader", "left")
     placed = scratch.keep(placed.select("key", "node", "leader", F.coalesce("root", "node").alias("root"), F.coalesce("leader_root", "leader").alias("leader_root")))
     apart = placed.where("root <> leader_root")
     mixed = placed.join(apart.select("key").distinct(), "key", "left_semi")
-    long = texts.withColumnRenamed("doc_id", "node").join(mixed.select("node").distinct(), "node", "left_semi")
-    long = scratch.keep(long.select("node", _long_signature("text").alias("long")))
-    wide = nodes.select("node", "n_shingles", "bands").join(long, "node")
+    some = mixed.select("node").distinct()
+    long = texts.withColumnRenamed("doc_id", "node").join(some, "node", "left_semi").select("node", _long_signature("text").alias("long"))
+    own = members.join(some, "node", "left_semi").groupBy("node").agg(F.collect_set("key").alias("bands"))  # at most BANDS keys a node
+    wide = scratch.keep(long.join(own, "node").join(nodes.select("node", "n_shingles"), "node"))
     x = apart.join(wide, "node").select("key", *[F.col(c).alias(f"s_{c}") for c in ("node", "root", "n_shingles", "bands", "long")])
     rest = x.join(mixed.join(wide, "node"), "key").where(
         F.expr("root <> s_root and node <> leader and s_node <> leader and (root = leader_root or s_node < node)")
