@@ -63,34 +63,56 @@ def metres(d_mm: Column, decimals: int) -> Column:
     return out if decimals else out.cast("long")
 
 
-def records(sites: DataFrame, key: str, pairs: DataFrame, ordinal: str, spec: Spec, failed: Column | None = None, source: str | None = None, vintage: str | None = None) -> DataFrame:
-    """The long records of a producer for all sites; pairs have key, d_mm, the ordinal and feature columns.
-
-    ``failed`` is a condition on sites whose layer did not answer.
-    """
-    ring = lambda r: (F.col("d_mm") <= int(r.within_m * 1000)) & (F.expr(r.where) if r.where else F.lit(True))
+def _aggregates(spec: Spec, ordinal: str, tag: str) -> list[Column]:
+    """What a Spec takes from a site's pairs, as aggregates named by the tag."""
+    within = F.col("d_mm") <= int(spec.radius_m * 1000)
+    meets = lambda where: F.expr(where) if where else F.lit(True)
+    ring = lambda r: within & (F.col("d_mm") <= int(r.within_m * 1000)) & meets(r.where)
+    made = {"count": lambda r: F.count_if(ring(r)), "sum": lambda r: F.sum(F.when(ring(r), F.col(r.column))), "max": lambda r: F.max(F.when(ring(r), F.col(r.column)))}
     best = [
-        spatial.nearest(ordinal, *sorted({c for c in n.fields.values() if c not in ("distance", ordinal)}), where=F.expr(n.where) if n.where else None).alias(f"near{i}")
+        spatial.nearest(ordinal, *sorted({c for c in n.fields.values() if c not in ("distance", ordinal)}), where=within & meets(n.where)).alias(f"{tag}_near{i}")
         for i, n in enumerate(spec.near)
     ]
-    made = {"count": lambda r: F.count_if(ring(r)), "sum": lambda r: F.sum(F.when(ring(r), F.col(r.column))), "max": lambda r: F.max(F.when(ring(r), F.col(r.column)))}
-    rings = [made[r.what](r).alias(f"ring{i}") for i, r in enumerate(spec.rings)]
-    own = sites.withColumn("_failed", F.coalesce(failed, F.lit(False)) if failed is not None else F.lit(False))
-    wide = own.join(pairs.groupBy(key).agg(*best, *rings, F.lit(True).alias("_any")), key, "left")
-    broken, some = F.col("_failed"), F.coalesce("_any", F.lit(False))
-    about = {"source": source or spec.name, "vintage": vintage}
+    return [*best, *[made[r.what](r).alias(f"{tag}_ring{i}") for i, r in enumerate(spec.rings)], F.bool_or(within).alias(f"{tag}_any")]
+
+
+def _values(spec: Spec, tag: str, broken: Column, about: dict) -> dict[str, Column]:
+    """The value records of a Spec from its aggregates, in the order of its fields."""
+    some = F.coalesce(F.col(f"{tag}_any"), F.lit(False))
     out: dict[str, Column] = {}
     for i, n in enumerate(spec.near):
+        near = F.col(f"{tag}_near{i}")
         for name, column in n.fields.items():
-            value = metres(F.col(f"near{i}.d_mm"), spec.decimals) if column == "distance" else F.col(f"near{i}.{column}")
-            note = F.when(F.col(f"near{i}").isNull() & ~broken, f"none within {spec.radius_m / 1000:g} km")
-            out[name] = status.record(value, status.found(value, F.col(f"near{i}").isNotNull(), broken), note=note, **about)
+            value = metres(near["d_mm"], spec.decimals) if column == "distance" else near[column]
+            note = F.when(near.isNull() & ~broken, f"none within {spec.radius_m / 1000:g} km")
+            out[name] = status.record(value, status.found(value, near.isNotNull(), broken), note=note, **about)
     for i, r in enumerate(spec.rings):
-        value = F.col(f"ring{i}") if r.what == "max" else F.coalesce(f"ring{i}", F.lit(0))
+        value = F.col(f"{tag}_ring{i}") if r.what == "max" else F.coalesce(f"{tag}_ring{i}", F.lit(0))
         there = value.isNotNull() if r.what == "max" else F.lit(True)
         there = there & some if spec.all_absent else there
         out[r.field] = status.record(value, status.found(value, there, broken), method=f"within {r.within_m:g} m", **about)
-    return status.to_long(wide, key, {f: out[f] for f in spec.fields()})
+    return {f: out[f] for f in spec.fields()}
+
+
+def screen(sites: DataFrame, key: str, pairs: DataFrame, ordinal: str, specs: list[Spec], failed: Column | None = None, vintage: str | None = None) -> DataFrame:
+    """The long records of Specs over one layer, all from one grouped pass over its pairs.
+
+    pairs have key, d_mm, the ordinal and feature columns, and reach as far as
+    the widest Spec. ``failed`` is a condition on sites whose layer did not
+    answer.
+    """
+    own = sites.withColumn("_failed", F.coalesce(failed, F.lit(False)) if failed is not None else F.lit(False))
+    taken = pairs.groupBy(key).agg(*[c for i, s in enumerate(specs) for c in _aggregates(s, ordinal, f"_p{i}")])
+    wide = own.join(taken, key, "left")
+    fields: dict[str, Column] = {}
+    for i, s in enumerate(specs):
+        fields |= _values(s, f"_p{i}", F.col("_failed"), {"source": s.name, "vintage": vintage})
+    return status.to_long(wide, key, fields)
+
+
+def records(sites: DataFrame, key: str, pairs: DataFrame, ordinal: str, spec: Spec, failed: Column | None = None, vintage: str | None = None) -> DataFrame:
+    """The long records of one producer for all sites."""
+    return screen(sites, key, pairs, ordinal, [spec], failed, vintage)
 
 
 def lookup(sites: DataFrame, key: str, hits: DataFrame, ordinal: str, fields: dict[str, str], source: str, failed: Column | None = None) -> DataFrame:

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from geosieve.functions import geo
-from geosieve.operators.producers import Near, Ring, Spec, footprint_basis, parcel_stages, records, serving
+from geosieve.functions.status import to_wide
+from geosieve.operators.producers import Near, Ring, Spec, footprint_basis, parcel_stages, records, screen, serving
 from geosieve.operators.raster import measure_usable
 from geosieve.operators.spatial import points_within
 from geosieve.plans.registry import Tables, query
@@ -100,6 +100,30 @@ for _spec in SPECS:
     _register(_spec)
 
 
+def screened(t: Tables) -> DataFrame:
+    """The records of all Specs from one range join and one grouped pass."""
+    pairs = points_within(sites(t), features(t), max(s.radius_m for s in SPECS))
+    return screen(sites(t), "site", pairs, "feature", list(SPECS))
+
+
+ALL_SQL = " UNION ALL ".join(f"SELECT site, field, status, value FROM ({sql_of(s)})" for s in SPECS)
+
+
+@query(f"SELECT field, status, count(*) AS n FROM ({ALL_SQL}) GROUP BY ALL")
+def screening_tally(t: Tables) -> DataFrame:
+    """How many sites have each field ok or absent, over all producers."""
+    return screened(t).groupBy("field", "status").agg(F.count("*").alias("n"))
+
+
+WIDE = ("tx_nearest_m", "sub_100kv_nearest_m", "dc_hub_nearest_m", "metro_1m_nearest_name", "schools_within_1mi", "hu_within_1mi", "npl_nearest_m", "home_nearest_m")
+
+
+@query(f"SELECT site, {', '.join(f"max(value) FILTER (field = '{f}') AS {f}" for f in WIDE)} FROM ({ALL_SQL}) GROUP BY site")
+def screening_wide(t: Tables) -> DataFrame:
+    """The wide site table of some fields of all producers."""
+    return to_wide(screened(t).where(F.col("field").isin(*WIDE)), "site", list(WIDE))
+
+
 @query("""WITH h AS (SELECT l_orderkey AS site, CAST(l_linenumber AS BIGINT) * 1000000 + l_suppkey AS ordinal, 'U' || l_suppkey AS name, l_suppkey % 7 = 0 AS federal, l_partkey % 3 <> 0 AS sales, l_partkey % 2 = 0 AS residential, CAST(l_quantity AS BIGINT) AS area FROM lineitem),
     b AS (SELECT *, row_number() OVER (PARTITION BY site ORDER BY CASE WHEN federal OR NOT sales THEN 1 ELSE 0 END, CASE WHEN residential THEN 0 ELSE 1 END, area, ordinal) AS k FROM h)
     SELECT site, name AS utility_name, coalesce((SELECT string_agg(DISTINCT o.name, '; ' ORDER BY o.name) FROM h o WHERE o.site = b.site AND o.name <> b.name), '') AS utility_others_at_pin, federal OR NOT sales AS only_set_aside FROM b WHERE k = 1""")
