@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from geosieve.functions.status import to_wide
+from geosieve.operators.overlay import zone_shares
 from geosieve.operators.producers import Near, Ring, Spec, footprint_basis, parcel_stages, records, screen, serving
 from geosieve.operators.raster import measure_usable
 from geosieve.operators.spatial import points_within
@@ -159,3 +160,17 @@ def usable_land(t: Tables) -> DataFrame:
         {"site_": (i >= 2) & (i < 38) & (j >= 2 + k % 5) & (j < 36) & ~((i == 20) & (k % 3 == 0)), "building": (i - 10) * (i - 10) + (j - 12) * (j - 12) < k % 9, "cover": F.when(k % 31 != 0, F.when((i * 7 + j * 3 + k) % 97 == 0, 90).otherwise(52)), "height": F.when(j > 30, (j - 30) * (k % 4) * 1.5).otherwise(0.0)}
     ).withColumnRenamed("site_", "within")
     return measure_usable(cells.withColumnRenamed("site", "s_suppkey").withColumnRenamed("within", "site"), "s_suppkey", size, 10.0)
+
+
+@query("""WITH z AS (SELECT l_suppkey AS site, CAST(l_linenumber AS INTEGER) AS rank, l_partkey % 48 AS x, l_orderkey % 48 AS y, 1 + l_quantity // 4 AS w FROM lineitem WHERE l_returnflag = 'A'),
+    cells AS (SELECT s_suppkey AS site, i, j FROM supplier, range(64) a(i), range(64) b(j)),
+    owned AS (SELECT c.site, i, j, (SELECT min(rank) FROM z WHERE z.site = c.site AND i >= y AND i < y + w AND j >= x AND j < x + w) AS rank FROM cells c)
+    SELECT site, rank, count(*) * 1e0 AS area, round(count(*) * 100e0 / 4096, 6) AS pct FROM owned GROUP BY site, rank""")
+def footprint_zones(t: Tables) -> DataFrame:
+    """Zone shares of square footprints with the unmapped rest, cut into cells that the synthetic zones follow."""
+    box = lambda x, y, w: F.array(F.array(*[F.struct((x + w * a).cast("double").alias("x"), (y + w * b).cast("double").alias("y")) for a, b in ((0, 0), (1, 0), (1, 1), (0, 1))]))
+    own = t.supplier.select(F.col("s_suppkey").alias("site"), F.lit(None).cast("int").alias("rank"), box(F.lit(0), F.lit(0), F.lit(64)).alias("rings"))
+    zones = t.lineitem.where("l_returnflag = 'A'").select(
+        F.col("l_suppkey").alias("site"), F.col("l_linenumber").cast("int").alias("rank"), box(F.col("l_partkey") % 48, F.col("l_orderkey") % 48, 1 + F.floor(F.col("l_quantity") / 4)).alias("rings")
+    )
+    return zone_shares(own.unionByName(zones), "site", 64).withColumn("pct", F.round("pct", 6))

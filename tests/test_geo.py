@@ -107,3 +107,16 @@ def test_drift(spark):
     rows = [("same", 10, 1, 11, 1), ("gone", 10, 1, None, None), ("new", None, None, 3, 2), ("grown", 1000, 1, 1200, 2), ("from zero", 0, 1, 900, 1)]
     got = drift(spark.createDataFrame(rows, "event_type string, bn int, bv int, cn int, cv int")).collect()
     assert {r.layer: r.flags for r in got} == {"same": "", "gone": "unreachable", "new": "new", "grown": "records,vintage", "from zero": ""}
+
+
+def test_zone_shares(spark):
+    ring = lambda *p: [[{"x": float(x), "y": float(y)} for x, y in p]]
+    square, circle = ring((0, 0), (100, 0), (100, 100), (0, 100)), ring(*[(50 + 30 * math.cos(a / 50 * math.pi), 50 + 30 * math.sin(a / 50 * math.pi)) for a in range(100)])
+    holed = square + ring((20, 20), (80, 20), (80, 80), (20, 80))
+    rows = [("a", None, square), ("a", 1, circle), ("a", 0, ring((50, 0), (150, 0), (150, 100), (50, 100))), ("b", None, holed), ("b", 3, circle), ("c", 2, square), ("d", None, None)]
+    df = spark.createDataFrame(rows, "k string, rank int, rings array<array<struct<x:double,y:double>>>")
+    got = {(r.k, r.rank): r.pct for r in overlay.zone_shares(df, "k", 256).collect()}
+    disc = math.pi * 900 / 10_000 * 100
+    assert abs(got["a", 0] - 50) < 0.5 and abs(got["a", 1] - disc / 2) < 0.3 and abs(got["a", None] - (50 - disc / 2)) < 0.5
+    assert got["b", None] == 100 and set(k for k, _ in got) == {"a", "b"}
+    assert abs(sum(v for (k, _), v in got.items() if k == "a") - 100) < 1e-9
