@@ -162,7 +162,7 @@ def usable_land(t: Tables) -> DataFrame:
     return measure_usable(cells.withColumnRenamed("site", "s_suppkey").withColumnRenamed("within", "site"), "s_suppkey", size, 10.0)
 
 
-@query("""WITH z AS (SELECT l_suppkey AS site, CAST(l_linenumber AS INTEGER) AS rank, l_partkey % 48 AS x, l_orderkey % 48 AS y, 1 + l_quantity // 4 AS w FROM lineitem WHERE l_returnflag = 'A'),
+@query("""WITH z AS (SELECT l_suppkey AS site, CAST(l_linenumber AS INTEGER) AS rank, l_partkey % 48 AS x, l_orderkey % 48 AS y, 1 + floor(l_quantity / 4) AS w FROM lineitem WHERE l_returnflag = 'A'),
     cells AS (SELECT s_suppkey AS site, i, j FROM supplier, range(64) a(i), range(64) b(j)),
     owned AS (SELECT c.site, i, j, (SELECT min(rank) FROM z WHERE z.site = c.site AND i >= y AND i < y + w AND j >= x AND j < x + w) AS rank FROM cells c)
     SELECT site, rank, count(*) * 1e0 AS area, round(count(*) * 100e0 / 4096, 6) AS pct FROM owned GROUP BY site, rank""")
