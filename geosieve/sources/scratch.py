@@ -26,9 +26,16 @@ class Scratch:
         self.n = 0
         self.kept: dict[str, DataFrame] = {}
 
-    def keep(self, df: DataFrame) -> DataFrame:
-        """Write df and return it as read back from the written table."""
+    def keep(self, df: DataFrame, rows: int | None = None, per_file: int = 100_000) -> DataFrame:
+        """Write df and return it as read back from the written table.
+
+        With ``rows``, about how many there are at most, a small table is dealt
+        to files of ``per_file`` rows; the number of files follows the rows, so
+        a large one is written by the tasks that make it.
+        """
         self.n += 1
+        if rows is not None and (files := max(1, -(-rows // per_file))) < int(self.spark.conf.get("spark.sql.shuffle.partitions")):
+            df = df.repartition(files)
         path = f"{self.root}/{self.n}"
         df.write.mode("overwrite").parquet(path)
         out = self.kept[path] = self.spark.read.schema(df.schema).parquet(path)
@@ -47,9 +54,9 @@ class Scratch:
         gc.collect()
         self.spark._jvm.System.gc()
 
-    def last(self, df: DataFrame) -> DataFrame:
+    def last(self, df: DataFrame, rows: int | None = None) -> DataFrame:
         """Keep df and delete everything kept before."""
         before = list(self.kept.values())
-        out = self.keep(df)
+        out = self.keep(df, rows)
         self.drop(*before)
         return out
