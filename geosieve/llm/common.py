@@ -55,6 +55,16 @@ SPAN_TYPE = T.ArrayType(
 )
 
 
+BATCH_ROWS = 500
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Texts are long, so Arrow batches hold fewer rows than Spark's default, unless the session sets its own number."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(name) == "10000":
+        spark.conf.set(name, str(BATCH_ROWS))
+
+
 def texts_of(array: pa.Array) -> list[str]:
     """The texts of an Arrow array, null as the empty string."""
     return [x or "" for x in array.to_pylist()]

@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import batched, documents, text_or_empty, texts_of
+from .common import batched, documents, small_batches, text_or_empty, texts_of
 
 FRAME, CHUNK, GROUP = 64, 256, 16
 TIMESCALE, TICKS = 1000, 40
@@ -240,6 +240,8 @@ BATCH = 256
 def store_texts(df: DataFrame, text: str = "text", out: str = "media") -> DataFrame:
     """Add ``out``: the container that holds each text."""
 
+    small_batches(df.sparkSession)
+
     def one(column: pa.Array) -> pa.Array:
         return pa.array([write_container(padded(t)) for t in texts_of(column)], pa.binary())
 
@@ -275,6 +277,8 @@ def digest(text: str) -> dict:
 def op6_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document stored as a container, read back and described."""
 
+    small_batches(spark)
+
     def one(column: pa.Array) -> pa.Array:
         parts = (texts_of(column.slice(i, BATCH)) for i in range(0, len(column), BATCH))
         return pa.array([digest(t) for part in parts for t in part], pa.struct(_DIGEST))

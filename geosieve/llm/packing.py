@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
-from .common import Scratch, documents, texts_of
+from .common import Scratch, documents, small_batches, texts_of
 
 CAPACITY, END_ID = 1024, 2
 GROUPS, LARGE = 1024, 400
@@ -75,7 +75,7 @@ _PIECE_TYPES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     encode = load_encoder()
     for batch in batches:
-        for part in (batch.slice(i, 1000) for i in range(0, batch.num_rows, 1000)):
+        for part in (batch.slice(i, 250) for i in range(0, batch.num_rows, 250)):
             rows = []
             for d, text in zip(part.column(0).to_pylist(), texts_of(part.column(1))):
                 ids = encode(text)
@@ -222,6 +222,7 @@ def numbered(pieces: DataFrame, rows: int) -> tuple[DataFrame, dict[int, int]]:
 def pack(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per piece: doc_id, piece, start, length, ids_crc32, sequence_id, offset."""
     spark = df.sparkSession
+    small_batches(spark)
     scratch = Scratch(spark)
     docs = df.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     pieces = scratch.keep(docs.mapInArrow(_pieces, _PIECE_TYPES))

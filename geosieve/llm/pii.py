@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import SPAN_ARROW, SPAN_TYPE, batched, count_spans, documents, joined_spans, texts_of
+from .common import SPAN_ARROW, SPAN_TYPE, batched, count_spans, documents, joined_spans, small_batches, texts_of
 
 BASE_KINDS = ("email", "ip", "card", "phone")
 KINDS = (*BASE_KINDS, "iban", "national_id")
@@ -117,6 +117,7 @@ def find_pii(text: str) -> list[tuple[str, int, int, float]]:
 
 def scan_pii(df: DataFrame, text: str = "text", out: str = "pii_spans") -> DataFrame:
     """Add column ``out``: array of (kind, start, end, score) by kind, then start; empty if there are none."""
+    small_batches(df.sparkSession)
     names = ("kind", "start", "end", "score")
     make = lambda: lambda texts: pa.array([[dict(zip(names, s)) for s in find_pii(x)] for x in texts_of(texts)], SPAN_ARROW)
     return df.withColumn(out, batched(make, SPAN_TYPE, F.col(text)))

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import SPAN_ARROW, SPAN_TYPE, batched, count_spans, documents, joined_spans, texts_of
+from .common import SPAN_ARROW, SPAN_TYPE, batched, count_spans, documents, joined_spans, small_batches, texts_of
 
 KINDS = ("assign", "access", "hex", "random")
 #: Characters per token at or under which a candidate counts as random.
@@ -75,6 +75,8 @@ def find_secrets(text: str, encode: Callable[[str], list[int]]) -> list[tuple[st
 def scan_secrets(df: DataFrame, text: str = "text", out: str = "secret_spans", vocabulary: str | None = None) -> DataFrame:
     """Add column ``out``: array of (kind, start, end, score), sorted by start, then kind; empty if there are none."""
 
+    small_batches(df.sparkSession)
+
     def make():
         encode = load_encoding(vocabulary)
         return lambda texts: pa.array(

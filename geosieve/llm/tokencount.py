@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import batched, documents, text_or_empty, texts_of
+from .common import batched, documents, small_batches, text_or_empty, texts_of
 
 FIT_ROWS, TABLE = 2000, 32_768
 CACHE, LONGEST_CACHED = 200_000, 64
@@ -113,6 +113,7 @@ def frequent_lengths(df: DataFrame, text: str = "text", key: str = "doc_id", pat
 
 def count_tokens(df: DataFrame, text: str = "text", key: str = "doc_id", out: str = "n_tokens", path: str | None = None) -> DataFrame:
     """Add column ``out``: how many tokens the library gives for each whole text."""
+    small_batches(df.sparkSession)
     table = df.sparkSession.sparkContext.broadcast(frequent_lengths(df, text, key, path))
 
     def make():
