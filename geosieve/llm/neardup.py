@@ -45,7 +45,7 @@ from pyspark.sql import types as T
 
 from geosieve.operators.components import components
 
-from .common import Scratch, documents, texts_of
+from .common import Scratch, documents, small_batches, texts_of
 
 WORDS, THRESHOLD = 5, 75
 BANDS, ROWS = 64, 6
@@ -137,7 +137,7 @@ _FEATURES = "doc_id long, n_shingles long, digest binary, bands array<long>, sig
 
 def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for part in (batch.slice(i, 1000) for i in range(0, batch.num_rows, 1000)):
+        for part in (batch.slice(i, 500) for i in range(0, batch.num_rows, 500)):
             size, digest, bands, signature = [], [], [], []
             for text in texts_of(part.column("text")):
                 s = shingle_set(text)
@@ -193,14 +193,15 @@ def _near(x: Column, y: Column) -> Column:
 
 def near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per row of df: doc_id, n_shingles, component_id, kept."""
+    small_batches(df.sparkSession)
     scratch = Scratch(df.sparkSession)
     docs = df.select(F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     made = scratch.keep(docs.mapInArrow(_features, _FEATURES))
+    n = made.count()
     sized = made.where("n_shingles > 0 and doc_id is not null")
-    nodes = scratch.keep(
-        sized.groupBy("digest").agg(F.min("doc_id").alias("node"), *[F.first(c).alias(c) for c in ("n_shingles", "bands", "signature")])
-    )
-    rows = scratch.keep(made.select("doc_id", "n_shingles", "digest"))
+    nodes = sized.groupBy("digest").agg(F.min("doc_id").alias("node"), *[F.first(c).alias(c) for c in ("n_shingles", "bands", "signature")])
+    nodes = scratch.keep(nodes)
+    rows = scratch.keep(made.select("doc_id", "n_shingles", "digest"), n)
     scratch.drop(made)
     scratch.sweep()
 
@@ -210,20 +211,23 @@ def near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -
     full, nodes = nodes, scratch.keep(nodes.drop("bands"))
     scratch.drop(full)
     scratch.sweep()
-    texts = scratch.keep(docs.join(members.select(F.col("node").alias("doc_id")).distinct(), "doc_id", "left_semi").dropDuplicates(["doc_id"]))
+    texts = docs.join(members.select(F.col("node").alias("doc_id")).distinct(), "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    texts = scratch.keep(texts)
     scratch.sweep()
+    shared_rows = members.count()
     marks = nodes.select("node", "n_shingles", "signature")
 
     def sifted(pairs: DataFrame) -> DataFrame:
         """Pairs (a, b) that sizes and signatures leave, with their estimated likeness."""
         x, y = (marks.toDF(c, f"n_{c}", f"s_{c}") for c in "ab")
         near = pairs.distinct().join(x, "a").join(y, "b").where("100 * least(n_a, n_b) >= 75 * greatest(n_a, n_b)")
-        return scratch.keep(near.select("a", "b", _likeness("s_a", "s_b").alias("likeness")).where(F.col("likeness") >= SIFT))
+        near = near.select("a", "b", _likeness("s_a", "s_b").alias("likeness")).where(F.col("likeness") >= SIFT)
+        return scratch.keep(near, shared_rows)
 
-    def confirmed(pairs: DataFrame) -> DataFrame:
+    def confirmed(pairs: DataFrame, most: int) -> DataFrame:
         x, y = (texts.toDF(c, f"t_{c}") for c in "ab")
         found = pairs.select("a", "b").join(y, "b").join(x, "a").select("a", "b", _linked("t_a", "t_b").alias("linked"))
-        return scratch.keep(found.where("linked").select("a", "b"))
+        return scratch.keep(found.where("linked").select("a", "b"), most)
 
     def across(pairs: DataFrame, roots: DataFrame) -> DataFrame:
         """The pairs that lie in two components."""
@@ -233,15 +237,16 @@ def near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -
 
     pairs = sifted(members.where("node <> leader").select(F.col("leader").alias("a"), F.col("node").alias("b")))
     best = pairs.groupBy("b").agg(F.max_by("a", F.struct("likeness", "a")).alias("a"))
-    links = confirmed(best)
-    roots = components(scratch, links)
-    links = links.union(confirmed(across(pairs, roots).join(best, ["a", "b"], "left_anti")))
-    roots = components(scratch, links)
+    most = pairs.count()
+    links = confirmed(best, min(most, texts.count()))
+    roots = components(scratch, links, most)
+    links = links.union(confirmed(across(pairs, roots).join(best, ["a", "b"], "left_anti"), most))
+    roots = components(scratch, links, most)
     scratch.sweep()
 
     x, y = roots.toDF("node", "root"), roots.toDF("leader", "leader_root")
     placed = members.join(x, "node", "left").join(y, "leader", "left")
-    placed = scratch.keep(placed.select("key", "node", "leader", F.coalesce("root", "node").alias("root"), F.coalesce("leader_root", "leader").alias("leader_root")))
+    placed = scratch.keep(placed.select("key", "node", "leader", F.coalesce("root", "node").alias("root"), F.coalesce("leader_root", "leader").alias("leader_root")), shared_rows)
     apart = placed.where("root <> leader_root")
     mixed = placed.join(apart.select("key").distinct(), "key", "left_semi")
     some = mixed.select("node").distinct()
@@ -255,15 +260,16 @@ def near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -
         & _near(F.col("s_long"), F.col("long"))
         & (F.col("key") == F.array_min(F.array_intersect("s_bands", "bands")))
     )
-    rest = scratch.keep(rest.select(F.least("s_node", "node").alias("a"), F.greatest("s_node", "node").alias("b")))
-    roots = components(scratch, links.union(confirmed(rest)))
+    rest = scratch.keep(rest.select(F.least("s_node", "node").alias("a"), F.greatest("s_node", "node").alias("b")), shared_rows)
+    left = rest.count()
+    roots = components(scratch, links.union(confirmed(rest, left)), most + left)
 
     classes = nodes.select("digest", "node").join(roots, "node", "left").select("digest", F.coalesce("root", "node").alias("root"))
     out = rows.join(classes, "digest", "left").select(
         "doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("root")).otherwise(F.col("doc_id")).alias("component_id")
     )
     out = out.withColumn("component_id", F.when(F.col("doc_id").isNotNull(), F.col("component_id")))
-    return scratch.last(out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True))))
+    return scratch.last(out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True))), n)
 
 
 def op4_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

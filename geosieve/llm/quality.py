@@ -103,7 +103,7 @@ def fit(docs: DataFrame, known: DataFrame, label: str = "quality", held_out: Col
     rows = texts.join(F.broadcast(sample), "doc_id")
     named = statistics(F.col("text"))
     rows = rows.select("doc_id", "label", *[c.alias(n) for n, c in named.items()])
-    rows = scratch.keep(rows.repartition(PARTS, "doc_id").sortWithinPartitions("doc_id", *named))
+    rows = scratch.keep(rows.repartition(PARTS, "doc_id").coalesce(PARTS).sortWithinPartitions("doc_id", *named))
     total, ones = rows.agg(F.count("*"), F.coalesce(F.sum("label"), F.lit(0.0))).first()
     if not 0 < ones < total:
         scratch.drop(rows)

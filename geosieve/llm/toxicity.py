@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import Scratch, batched, documents, fold, labelled_sample, labels, texts_of
+from .common import Scratch, batched, documents, fold, labelled_sample, labels, small_batches, texts_of
 
 FIT_ROWS = 20_000
 BUCKETS, FEATURES = 1 << 18, 1024
@@ -127,12 +127,13 @@ def train(bags: list[tuple[float, int, list[list[int]]]]) -> tuple[np.ndarray, f
 
 def fit(docs: DataFrame, known: DataFrame, label: str = "toxic", held_out=None) -> Weights:
     """Weights fitted on a sample of the labelled rows that aren't held out."""
+    small_batches(docs.sparkSession)
     scratch = Scratch(docs.sparkSession)
     sample = labelled_sample(known, label, held_out if held_out is not None else F.lit(False), FIT_ROWS)
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     # The sample has about FIT_ROWS rows of two numbers whatever the corpus, so it is small enough to send.
     rows = texts.join(F.broadcast(sample), "doc_id").select("doc_id", "text", "label")
-    rows = scratch.keep(rows.repartition(PARTS, "doc_id").sortWithinPartitions("doc_id", "text", "label"))
+    rows = scratch.keep(rows.repartition(PARTS, "doc_id").coalesce(PARTS).sortWithinPartitions("doc_id", "text", "label"))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen = np.zeros((2, BUCKETS), np.int64)
@@ -188,6 +189,8 @@ RESULT = T.StructType([T.StructField("score", T.DoubleType()), T.StructField("of
 def score_toxicity(df: DataFrame, model: Weights, text: str = "text") -> DataFrame:
     """Add score and offending, the start:end of sentences that score 0.5 or more."""
 
+    small_batches(df.sparkSession)
+
     def make():
         scorer = Scorer(model)
 
