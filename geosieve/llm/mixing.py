@@ -5,7 +5,12 @@ weights are raked: in turn the weights of each source, language and topic are
 scaled to its target share, ROUNDS times. A cell's raked weight over its own
 share is its factor, and a document is kept with probability
 min(1, rate * factor), where the rate is solved so that the expected tokens
-are the wanted part of all tokens although some cells are at 1.
+are the wanted part of all tokens although some cells are at 1. That clip loses the
+targets, so op1_source_mixing, which its SQL fixes, reaches them in its weights
+only. mix_documents, the pipeline and op1_bounded_mixing rake under the bound
+instead: no cell gives more than its tokens, classes that hold fewer tokens
+than their target asks are kept whole, the rest is shared among the other
+classes, and raking goes on until the marginals stand.
 
 The values of a marginal without a target form the class "other", so there
 are at most as many cells as combinations of targets and "other", whatever the
@@ -22,6 +27,10 @@ Only DataFrame functions are used.
 
 from __future__ import annotations
 
+import json
+from collections import defaultdict
+from itertools import accumulate
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
@@ -31,6 +40,8 @@ from .common import documents
 ROUNDS = 10
 KEEP = 0.6
 OTHER = "other"
+#: Raking under the bound ends when every marginal stands to within CLOSE of all tokens, or after MOST_ROUNDS.
+CLOSE, MOST_ROUNDS = 1e-9, 2000
 #: Fixed target shares of the registered query.
 TARGETS = {
     "source": {"src0": 0.15, **{f"src{i}": 0.04 for i in range(1, 20)}, OTHER: 0.09},
@@ -93,6 +104,100 @@ def rates(raked: DataFrame, keep: float = KEEP) -> DataFrame:
     return out.withColumn("probability", F.least(F.lit(1.0), rate * F.col("factor"))).drop("rate")
 
 
+def _filled(wanted: dict, low: dict, high: dict, total: float) -> dict:
+    """Parts of total in proportion to wanted, each held between its low and high."""
+    fixed: dict = {}
+    while len(fixed) < len(wanted):
+        left = total - sum(fixed.values())
+        whole = sum(w for k, w in wanted.items() if k not in fixed)
+        part = {k: max(0.0, left) * w / whole if whole > 0 else 0.0 for k, w in wanted.items() if k not in fixed}
+        over = {k: high[k] for k, x in part.items() if x >= high[k]}
+        under = {k: low[k] for k, x in part.items() if x < low[k]}
+        # Of the two kinds, the one that moves more of the total is certain to stay at its bound.
+        if sum(part[k] - x for k, x in over.items()) >= sum(x - part[k] for k, x in under.items()):
+            fixed |= over or part
+        else:
+            fixed |= under
+    return fixed
+
+
+def _factor(bounds: list[tuple[float, float]], goal: float) -> float:
+    """The f with sum(min(bound, f * x)) = goal over (bound, x), or the least that puts all at their bounds."""
+    order = sorted(bounds, key=lambda b: b[0] / b[1])
+    # Summed from the small end, because what is at its bound may be larger by many orders.
+    rests = list(accumulate(x for _, x in reversed(order)))[::-1]
+    at = f = 0.0
+    for (bound, x), rest in zip(order, rests, strict=True):
+        f = (goal - at) / rest
+        if f * x <= bound:
+            return max(0.0, f)
+        at, f = at + bound, bound / x
+    return f
+
+
+def rake_bounded(tokens: dict[tuple, float], targets: dict[str, dict[str, float]], keep: float = KEEP) -> tuple[dict[tuple, float], dict[tuple[str, str], dict[str, float]]]:
+    """Probability by cell, raked so that kept tokens reach the targets although none is over 1, and a report.
+
+    A cell's kept tokens are min(its own, its own times the factors of its
+    classes), the closest to the corpus of all that have these marginals. The
+    report has by (marginal, class) its share of kept tokens that is targeted,
+    possible under the bound, and realised.
+    """
+    whole = sum(tokens.values())
+    share = {c: t / whole for c, t in tokens.items()} if whole else {}
+    goals: list[dict[str, float]] = []
+    for k, goal in enumerate(targets.values()):
+        there = {v: goal.get(v, 0.0) for v in sorted({c[k] for c in share})}
+        goals.append({v: g / sum(there.values()) for v, g in there.items()} if sum(there.values()) > 0 else {})
+    live = {c: s for c, s in share.items() if all(not g or g[c[k]] > 0 for k, g in enumerate(goals))}
+    total = min(keep, sum(live.values()))
+    sums = lambda k, xs: {v: sum(x for c, x in xs.items() if c[k] == v) for v in goals[k]}
+    whole_cells: set[tuple] = set()
+    while True:  # classes with no more tokens than asked are whole, which takes from what others may give
+        aims = [_filled(g, sums(k, {c: live[c] for c in whole_cells}), sums(k, live), total) if g else {} for k, g in enumerate(goals)]
+        now = {c for c in live if any(g and aims[k][c[k]] >= sums(k, live)[c[k]] - CLOSE for k, g in enumerate(goals))}
+        if now <= whole_cells:
+            break
+        whole_cells |= now
+    kept = {c: live[c] for c in whole_cells}
+    free = {c: s for c, s in live.items() if c not in whole_cells}
+    groups = []
+    for k, g in enumerate(goals):
+        done, cells = sums(k, kept), defaultdict(list)
+        for c in free:
+            cells[c[k]].append(c)
+        groups += [(cells[v], max(0.0, aims[k][v] - done[v])) for v in g if cells[v]]
+    groups.append((list(free), max(0.0, total - sum(kept.values()))))  # last, so the kept part is met where targets clash
+    product = dict(free)
+    for _ in range(MOST_ROUNDS):
+        worst = 0.0
+        for cells, goal in groups:
+            worst = max(worst, abs(sum(min(free[c], product[c]) for c in cells) - goal))
+            f = _factor([(free[c], product[c]) for c in cells if product[c] > 0], goal)
+            for c in cells:
+                product[c] = min(product[c] * f, 1e200)
+        if worst < CLOSE:
+            break
+    kept |= {c: min(s, product[c]) for c, s in free.items()}
+    report = {
+        (name, v): {"target": goals[k][v], "possible": aims[k][v] / total if total else 0.0, "realised": x / total if total else 0.0}
+        for k, name in enumerate(targets)
+        for v, x in (sums(k, kept).items() if goals[k] else ())
+    }
+    return {c: kept.get(c, 0.0) / s if s else 0.0 for c, s in share.items()}, report
+
+
+def bounded(cells: DataFrame, targets: dict[str, dict[str, float]], keep: float = KEEP) -> DataFrame:
+    """cells(one column a marginal, tokens) with probability, raked under the bound, and factor, the realised share over the own."""
+    names = list(targets)
+    tokens = {tuple(r[n] for n in names): float(r["tokens"]) for r in cells.collect()}  # at most one row per combination of target classes
+    probability, _ = rake_bounded(tokens, targets, keep)
+    got = sum(tokens[c] * p for c, p in probability.items()) / max(sum(tokens.values()), 1.0)
+    rows = [dict(zip(names, c, strict=True)) | {"factor": p / got if got else 0.0, "probability": p} for c, p in probability.items()]
+    schema = f"array<struct<{', '.join(f'`{n}`: string' for n in names)}, factor: double, probability: double>>"
+    return cells.sparkSession.range(1).select(F.inline(F.from_json(F.lit(json.dumps(rows)), schema)))
+
+
 def mix(
     df: DataFrame,
     targets: dict[str, dict[str, float]],
@@ -101,12 +206,14 @@ def mix(
     keep: float = KEEP,
     rounds: int = ROUNDS,
     doc_id: str = "doc_id",
+    clip: bool = False,
 ) -> DataFrame:
-    """df with mix_<marginal>, mix_tokens, mix_weight, mix_probability and mix_sampled."""
+    """df with mix_<marginal>, mix_tokens, mix_weight, mix_probability and mix_sampled; with clip, rates() instead of raking under the bound."""
     names = [f"mix_{n}" for n in targets]
     classed = df.withColumns({f"mix_{n}": _class(marginals[n], t) for n, t in targets.items()} | {"mix_tokens": tokens})
     cells = classed.groupBy(*names).agg(F.sum("mix_tokens").alias("tokens"))
-    cells = rates(rake(cells, {f"mix_{n}": t for n, t in targets.items()}, rounds), keep)
+    goals = {f"mix_{n}": t for n, t in targets.items()}
+    cells = rates(rake(cells, goals, rounds), keep) if clip else bounded(cells, goals, keep)
     cells = cells.select(*names, F.col("factor").alias("mix_weight"), F.col("probability").alias("mix_probability"))
     draw = F.conv(F.substring(F.md5(F.coalesce(F.col(doc_id).cast("string"), F.lit(""))), 1, 8), 16, 10).cast("double") / 2**32
     # At most one row per combination of target classes, so it is small enough to send.
@@ -114,16 +221,15 @@ def mix(
     return out.withColumn("mix_sampled", draw < F.col("mix_probability"))
 
 
-def mix_documents(docs: DataFrame, targets: dict[str, dict[str, float]] | None = None, keep: float = KEEP) -> DataFrame:
+def mix_documents(docs: DataFrame, targets: dict[str, dict[str, float]] | None = None, keep: float = KEEP, clip: bool = False) -> DataFrame:
     """mix() with the token count and the topic that texts have."""
     text = F.coalesce(F.col("text"), F.lit(""))
     marginals = {"source": F.col("source"), "lang": F.col("lang"), "topic": surface_topic(text)}
-    return mix(docs, targets or TARGETS, marginals, word_tokens(text), keep)
+    return mix(docs, targets or TARGETS, marginals, word_tokens(text), keep, clip=clip)
 
 
-def op1_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every document with its cell, its tokens, its weight and probability, and whether it is sampled."""
-    return mix_documents(documents(spark, sf_dir)).select(
+def _columns(mixed: DataFrame) -> DataFrame:
+    return mixed.select(
         "doc_id",
         F.col("mix_source").alias("source_class"),
         F.col("mix_lang").alias("lang_class"),
@@ -135,6 +241,16 @@ def op1_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op1_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its cell, its tokens, its weight and clipped probability, and whether it is sampled, as OP1_SQL has it."""
+    return _columns(mix_documents(documents(spark, sf_dir), clip=True))
+
+
+def op1_bounded_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same raked under the bound: tokens * probability has the targets as far as the corpus holds the tokens."""
+    return _columns(mix_documents(documents(spark, sf_dir)))
+
+
 def _sql() -> str:
     """The same in DuckDB."""
     names = ("source", "lang", "topic")

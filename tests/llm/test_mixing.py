@@ -64,3 +64,44 @@ def test_odd_rows(spark):
     assert {r.mix_tokens for r in got if not r.text} == {1} and mixing.mix_documents(docs.limit(0)).count() == 0
     lone = docs.select("doc_id", "text", F.lit("q").alias("lang"), F.lit("q").alias("source"))
     assert mixing.mix_documents(lone, {"lang": {"en": 1.0}, "source": {"a": 1.0}, "topic": {"none": 1.0}}).where("mix_probability is null").count() == 0
+
+
+def test_kept_tokens_have_the_targets(spark):
+    rows = mixing.op1_bounded_mixing(spark, "/root/testdata/sf0.1").collect()
+    total = sum(r.tokens for r in rows)
+    own, kept, cells = defaultdict(float), defaultdict(float), defaultdict(float)
+    for r in rows:
+        cells[r.source_class, r.lang_class, r.topic] += r.tokens
+        for k, v in (("source", r.source_class), ("lang", r.lang_class), ("topic", r.topic)):
+            own[k, v] += r.tokens / total
+            kept[k, v] += r.tokens * r.probability / total / mixing.KEEP
+    assert abs(sum(r.tokens * r.probability for r in rows) / total - mixing.KEEP) < 1e-4
+    assert max(r.probability for r in rows) <= 1
+    _, report = mixing.rake_bounded(dict(cells), mixing.TARGETS)
+    for k, goals in mixing.TARGETS.items():
+        there = {v: g for v, g in goals.items() if (k, v) in own}
+        reached = []
+        for v, g in there.items():
+            want = g / sum(there.values())
+            if own[k, v] <= want * mixing.KEEP:  # unreachable: every token of the class is kept
+                assert abs(kept[k, v] - own[k, v] / mixing.KEEP) < 1e-4
+            else:
+                reached.append(kept[k, v] / want)
+            assert abs(kept[k, v] - report[k, v]["realised"]) < 1e-4 and abs(kept[k, v] - report[k, v]["possible"]) < 1e-4
+        assert max(reached) - min(reached) < 1e-3  # the others share the rest as they were to
+
+
+def test_bounded_raking():
+    cells = {("a", "x"): 500, ("a", "y"): 20, ("b", "x"): 90, ("b", "y"): 300, ("other", "x"): 5, ("other", "other"): 40}
+    targets = {"p": {"a": 0.6, "b": 0.3, "other": 0.1}, "q": {"x": 0.6, "y": 0.4}}
+    for keep in (0.1, 0.3, 0.5, 0.7, 1.0):
+        p, report = mixing.rake_bounded(cells, targets, keep)
+        assert all(0 <= x <= 1 for x in p.values()) and p["other", "other"] == 0  # "other" of q is to have nothing
+        kept = sum(cells[c] * x for c, x in p.items())
+        assert abs(kept / 955 - min(keep, 915 / 955)) < 1e-6
+        for k, name in enumerate(targets):
+            for v in {c[k] for c in cells}:
+                assert abs(sum(cells[c] * x for c, x in p.items() if c[k] == v) / kept - report[name, v]["realised"]) < 1e-9
+    p, report = mixing.rake_bounded({("a", "x"): 50, ("a", "y"): 50, ("b", "x"): 50, ("b", "y"): 50}, {"p": {"a": 0.7, "b": 0.3}, "q": {"x": 0.6, "y": 0.4}}, 0.5)
+    assert all(abs(r["realised"] - r["target"]) < 1e-6 for r in report.values())  # reached, with the cell (a, x) near its bound
+    assert mixing.rake_bounded({}, targets) == ({}, {})
