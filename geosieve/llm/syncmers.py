@@ -8,10 +8,9 @@ passage choose the same k-mers there whatever stands around it, and the places
 of chosen k-mers are anchors for matching passages by position. A text of
 fewer than K units has its units as anchors.
 
-A fingerprint is the SKETCH least distinct anchor hashes, all of them where
-there are fewer, and the likeness of two is the share of common hashes among
-the least SKETCH of both, an estimate of the Jaccard similarity of the texts'
-anchors. Two texts without units are alike (1).
+A fingerprint is all anchors of a text with their places, in the text's order,
+and the likeness of two is the Jaccard similarity of their distinct hashes.
+Two texts without units are alike (1).
 
 Null texts are read as empty. Texts are read whole. Equal texts have equal
 fingerprints. The next document is by ascending id, nulls first, equal ids by
@@ -28,7 +27,6 @@ from pyspark.sql.window import Window as W
 from .common import documents
 
 UNIT, K = 12, 4
-SKETCH = 64
 ROWS_PER_BUCKET, MOST_BUCKETS, COARSE = 1000, 4096, 64
 NULL_KEY = -(2**63)
 
@@ -52,21 +50,19 @@ def with_anchors(df: DataFrame, text: str, out: str, places: bool = False) -> Da
 
 
 def with_fingerprint(df: DataFrame, text: str, out: str) -> DataFrame:
-    """Add ``out``: the least SKETCH distinct anchor hashes of a text, ascending."""
-    df = with_anchors(df, text, "_anchors")
-    return df.withColumn(out, F.slice(F.sort_array(F.array_distinct("_anchors")), 1, SKETCH)).drop("_anchors")
+    """Add ``out``: all anchors of a text, (unit, hash) in order."""
+    return with_anchors(df, text, out, places=True)
 
 
-def likeness(a: Column, b: Column) -> Column:
-    """The estimated Jaccard similarity of two fingerprints."""
-    least = F.slice(F.sort_array(F.array_union(a, b)), 1, SKETCH)
-    common = F.size(F.array_intersect(least, F.array_intersect(a, b)))
-    return F.when((F.size(a) == 0) & (F.size(b) == 0), 1.0).otherwise(common / F.greatest(F.size(least), F.lit(1)))
+def hashes(fingerprint: Column) -> Column:
+    """The hashes of a fingerprint."""
+    return F.transform(fingerprint, lambda x: x["hash"])
 
 
-def as_text(fingerprint: Column) -> Column:
-    """The hashes in hexadecimal."""
-    return F.array_join(F.transform(fingerprint, lambda x: F.lower(F.hex(x))), ",")
+def likeness(a: Column, b: Column) -> Column:
+    """The Jaccard similarity of two fingerprints' hashes."""
+    either = F.size(F.array_union(a, b))
+    return F.when(either == 0, 1.0).otherwise(F.size(F.array_intersect(a, b)) / F.greatest(either, F.lit(1)))
 
 
 def with_next(df: DataFrame, key: str, columns: list[str]) -> DataFrame:
@@ -103,19 +99,24 @@ def with_next(df: DataFrame, key: str, columns: list[str]) -> DataFrame:
 
 
 def op8_syncmer_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every document with its fingerprint, its edited text's, and the likenesses."""
+    """Every document with its fingerprint, its edited text's, and the likenesses.
+
+    Anchors take more room than their texts, so only texts are shuffled, and the next document's anchors are found again.
+    """
     docs = documents(spark, sf_dir).select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    rows = with_next(with_fingerprint(docs, "text", "own"), "doc_id", ["text", "own"])
+    rows = with_next(docs, "doc_id", ["text"])
     rows = rows.withColumn("n_chars", F.length("text").cast("long"))
     half = F.floor(F.col("n_chars") / 2).cast("int")
     edited = F.concat(F.substring(F.col("text"), F.lit(1), F.col("n_chars").cast("int") - half), F.substring(F.col("next_text"), F.lit(1), half))
-    rows = with_fingerprint(rows.withColumn("edited", edited), "edited", "other")
+    rows = with_fingerprint(rows.withColumn("edited", edited), "text", "own")
+    rows = with_anchors(with_fingerprint(rows, "edited", "other"), "next_text", "_next")
+    rows = rows.withColumns({"_own": hashes(F.col("own")), "_other": hashes(F.col("other"))})
     return rows.select(
         "doc_id",
         "n_chars",
         F.sha2("edited", 256).alias("edited_sha256"),
-        as_text(F.col("own")).alias("fingerprint"),
-        as_text(F.col("other")).alias("edited_fingerprint"),
-        likeness(F.col("own"), F.col("other")).alias("near_edited"),
-        likeness(F.col("own"), F.col("next_own")).alias("near_next"),
+        F.col("own").alias("fingerprint"),
+        F.col("other").alias("edited_fingerprint"),
+        likeness(F.col("_own"), F.col("_other")).alias("near_edited"),
+        likeness(F.col("_own"), F.col("_next")).alias("near_next"),
     )

@@ -50,3 +50,26 @@ def test_odd_rows(spark):
     assert [r.next_text for r in one] == ["one"]
     assert sorted(str(r.next_text)[:3] for r in syncmers.with_next(df.fillna(""), "doc_id", ["text"]).collect()) == sorted(str(t or "")[:3] for _, t, _ in odd)
     assert syncmers.with_next(df.limit(0), "doc_id", ["text"]).count() == 0
+
+
+def test_passage_of_a_long_text_is_found_in_place(spark):
+    word = lambda kind, i: f"{kind}{i * 7919 % 100_003}"
+    passage = [word("p", i) for i in range(50)]
+    long = [word("a", i) for i in range(20_000)]
+    long[15_000:15_000] = passage
+    df = spark.createDataFrame([(" ".join(long), " ".join([word("b", i) for i in range(30)] + passage))], "a string, b string")
+    df = syncmers.with_fingerprint(syncmers.with_fingerprint(df, "a", "fa"), "b", "fb")
+    r = df.select("fa", "fb", syncmers.likeness(syncmers.hashes(df.fa), syncmers.hashes(df.fb)).alias("near")).first()
+    places = {x.hash: x.unit for x in r.fa}
+    matched = [(x.unit, places[x.hash]) for x in r.fb if x.unit >= 30]
+    assert len(r.fa) > 8_000 and len(matched) > 10 and all(b - a == 14_970 for a, b in matched) and r.near > 0
+
+
+def test_query_keeps_all_anchors(spark):
+    rows = syncmers.op8_syncmer_fingerprints(spark, "/root/testdata/sf0.001").collect()
+    texts = {r.doc_id: r.text or "" for r in documents(spark, "/root/testdata/sf0.001").collect()}
+    for r in rows:
+        places = [x.unit for x in r.fingerprint]
+        assert places == sorted(set(places)) and len(places) >= 0.3 * (len(texts[r.doc_id].split()) - 30)
+    jaccard = lambda a, b: len(a & b) / len(a | b) if a | b else 1.0
+    assert all(abs(r.near_edited - jaccard({x.hash for x in r.fingerprint}, {x.hash for x in r.edited_fingerprint})) < 1e-9 for r in rows)
