@@ -1,12 +1,13 @@
 """Document fingerprints by closed syncmers, with DataFrame functions only.
 
-A text is read as units: words, those over UNIT code points in pieces of that
-length. A k-mer is K units in a row; it is chosen if the least of its inner
+A text is read as units: words of at most UNIT code points, and of longer runs,
+and runs with letters of scripts that don't part words, each code point. So no
+unit's bounds hang on where a run begins. A k-mer is K units in a row; it is chosen if the least of its inner
 substrings, single units ordered by a hash, is the first or the last. Whether
 a k-mer is chosen depends on the k-mer alone, so two texts that share a
 passage choose the same k-mers there whatever stands around it, and the places
-of chosen k-mers are anchors for matching passages by position. A text of
-fewer than K units has its units as anchors.
+of chosen k-mers are anchors for matching passages by position. A text
+none of whose k-mers is chosen has its units as anchors.
 
 A fingerprint is all anchors of a text with their places, in the text's order,
 and the likeness of two is the Jaccard similarity of their distinct hashes.
@@ -27,13 +28,17 @@ from pyspark.sql.window import Window as W
 from .common import documents
 
 UNIT, K = 12, 4
+#: Scripts whose texts have no spaces between words.
+UNPARTED = "".join(rf"\p{{Is{s}}}" for s in ("Han", "Hiragana", "Katakana", "Thai", "Lao", "Khmer", "Myanmar"))
+#: A short word between spaces, or else one code point.
+UNITS = rf"(?<!\S)[^\s{UNPARTED}]{{1,{UNIT}}}+(?!\S)|\S"
 ROWS_PER_BUCKET, MOST_BUCKETS, COARSE = 1000, 4096, 64
 NULL_KEY = -(2**63)
 
 
 def with_anchors(df: DataFrame, text: str, out: str, places: bool = False) -> DataFrame:
     """Add ``out``: the hashes of chosen k-mers in order, or with ``places`` structs of (unit, hash)."""
-    units = F.regexp_extract_all(F.coalesce(F.col(text), F.lit("")), F.lit(rf"\S{{1,{UNIT}}}"), F.lit(0))
+    units = F.regexp_extract_all(F.coalesce(F.col(text), F.lit("")), F.lit(UNITS), F.lit(0))
     df = df.withColumn("_units", F.transform(units, lambda u: F.xxhash64(u)))
     h = F.col("_units")
 
@@ -46,7 +51,8 @@ def with_anchors(df: DataFrame, text: str, out: str, places: bool = False) -> Da
 
     chosen = F.filter(F.transform(F.slice(h, 1, F.greatest(F.size(h) - (K - 1), F.lit(0))), kmer), lambda x: x.isNotNull())
     single = lambda x, i: F.struct(i.alias("unit"), x.bitwiseAND(0xFFFFFFFF).alias("hash")) if places else x.bitwiseAND(0xFFFFFFFF)
-    return df.withColumn(out, F.when(F.size(h) < K, F.transform(h, single)).otherwise(chosen)).drop("_units")
+    df = df.withColumn("_chosen", chosen)
+    return df.withColumn(out, F.when(F.size("_chosen") == 0, F.transform(h, single)).otherwise(F.col("_chosen"))).drop("_units", "_chosen")
 
 
 def with_fingerprint(df: DataFrame, text: str, out: str) -> DataFrame:

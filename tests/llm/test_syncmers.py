@@ -1,6 +1,9 @@
 """Fingerprints against plain Python."""
 
 import hashlib
+import itertools
+import random
+import string
 
 from geosieve.llm import syncmers
 from geosieve.llm.common import documents
@@ -73,3 +76,27 @@ def test_query_keeps_all_anchors(spark):
         assert places == sorted(set(places)) and len(places) >= 0.3 * (len(texts[r.doc_id].split()) - 30)
     jaccard = lambda a, b: len(a & b) / len(a | b) if a | b else 1.0
     assert all(abs(r.near_edited - jaccard({x.hash for x in r.fingerprint}, {x.hash for x in r.edited_fingerprint})) < 1e-9 for r in rows)
+
+
+def test_runs_without_spaces_are_context_free(spark):
+    rng = random.Random(5)
+    runs = ["".join(rng.choices(letters, k=400)) for letters in ("天地玄黄宇宙洪荒日月盈昃辰宿列张寒来暑往秋收冬藏", "アイウエオカキクケコサシスセソ", string.ascii_letters + string.digits + "+/", "<>/abcdef=")]
+    for before, after in (("x", ""), ("天", "地"), ("xy and ", " end"), ("http", "z" * 20)):
+        rows = [(i, run, before + run + after) for i, run in enumerate(runs)]
+        df = spark.createDataFrame(rows, "i int, a string, b string")
+        for r in syncmers.with_fingerprint(syncmers.with_fingerprint(df, "a", "fa"), "b", "fb").collect():
+            there = {(x.unit, x.hash) for x in r.fb}
+            shift = {"x": 1, "天": 1, "xy and ": 2, "http": 4}[before]
+            assert len(r.fa) > 100 and all((x.unit + shift, x.hash) in there for x in r.fa)
+    short = ["天地玄黄宇宙洪荒", "日月 天地玄黄宇宙洪荒 寒来"]  # a run of few letters reads as in a longer one
+    a, b = (r.f for r in syncmers.with_fingerprint(spark.createDataFrame(enumerate(short), "i int, t string"), "t", "f").orderBy("i").collect())
+    assert {(x.unit + 2, x.hash) for x in a} <= {(x.unit, x.hash) for x in b}
+
+
+def test_short_texts_have_anchors(spark):
+    words = "one two three four five six seven eight nine ten eleven twelve".split()
+    texts = [" ".join(p) for p in itertools.islice(itertools.permutations(words, 4), 0, 4000, 37)]
+    df = spark.createDataFrame([(a, b) for a, b in itertools.pairwise(texts)] + [(texts[0], ""), ("", None)], "a string, b string")
+    df = syncmers.with_fingerprint(syncmers.with_fingerprint(df, "a", "fa"), "b", "fb")
+    for r in df.withColumn("near", syncmers.likeness(syncmers.hashes(df.fa), syncmers.hashes(df.fb))).collect():
+        assert bool(r.fa) == bool(r.a) and (r.near == 1.0) == (not r.a and not r.b)
