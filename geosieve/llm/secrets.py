@@ -4,7 +4,9 @@ Base kinds are plain patterns. The method adds kind ``random``: a long run of
 key characters is encoded with a tiktoken vocabulary, and few characters a
 token show that the run is not language. Known digests (hexadecimal of usual
 digest lengths), UUIDs and identifiers (names in parts, paths, plain words
-and numbers) are excluded first.
+and numbers) are excluded first. A run of name parts is an identifier only if
+its case seldom switches within a part and its letters, read in lower case,
+take few tokens as words do.
 
 Null and empty texts have no spans. Texts are read whole. Repeated rows give
 equal rows. Other columns of the input pass through untouched, and an input
@@ -28,6 +30,10 @@ KINDS = ("assign", "access", "hex", "random")
 #: Characters per token at or under which a candidate counts as random.
 MAX_CHARS_PER_TOKEN = 2.2
 MIN_CANDIDATE = 20
+#: Letters per token in lower case over which a run of name parts counts as words; of fewer than MIN_LETTERS nothing can be told.
+MIN_LETTERS_PER_TOKEN, MIN_LETTERS = 1.8, 12
+#: Letters between case switches of a part of both cases, on average, under which it is no name.
+MIN_HUMP = 3
 
 _ASSIGN = re.compile(
     r"""([Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]|[Tt][Oo][Kk][Ee][Nn]|[Aa][Pp][Ii]_?[Kk][Ee][Yy])["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
@@ -40,11 +46,22 @@ _DIGEST_LENGTHS = {32, 40, 56, 64, 96, 128}
 _UUID = re.compile(r"[0-9A-Fa-f]{8}(?:-[0-9A-Fa-f]{4}){3}-[0-9A-Fa-f]{12}\Z")
 _NAME_PART = re.compile(r"(?:[A-Z]?[a-z]*|[A-Z]+|[0-9]+|[A-Za-z]+[0-9]{1,4})\Z")
 
-def is_known(run: str) -> bool:
+_HUMP = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
+
+
+def is_known(run: str, encode: Callable[[str], list[int]]) -> bool:
     """Whether a run is a digest, a UUID or an identifier rather than a key."""
     if _UUID.match(run) or (len(run) in _DIGEST_LENGTHS and _DIGEST.match(run)):
         return True
-    return all(_NAME_PART.match(part) for part in re.split(r"[-_/+=]", run))
+    parts = re.split(r"[-_/+=]", run)
+    if not all(_NAME_PART.match(part) for part in parts):
+        return False
+    for part in parts:
+        name = part.rstrip("0123456789")
+        if len(name) >= MIN_LETTERS and not (name.islower() or name.isupper()) and len(name) < MIN_HUMP * len(_HUMP.findall(name)):
+            return False
+    letters = re.sub("[^A-Za-z]", "", run).lower()
+    return len(letters) < MIN_LETTERS or len(letters) > MIN_LETTERS_PER_TOKEN * len(encode(letters))
 
 
 @cache
@@ -67,7 +84,7 @@ def find_secrets(text: str, encode: Callable[[str], list[int]]) -> list[tuple[st
     found += [(m.start(), 2, m.end()) for m in _HEX.finditer(text)]
     for m in _CANDIDATE.finditer(text):
         run = m.group()
-        if not is_known(run) and len(run) <= MAX_CHARS_PER_TOKEN * len(encode(run)):
+        if not is_known(run, encode) and len(run) <= MAX_CHARS_PER_TOKEN * len(encode(run)):
             found.append((m.start(), 3, m.end()))
     return [(KINDS[k], start, end) for start, k, end in sorted(found)]
 

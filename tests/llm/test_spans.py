@@ -1,7 +1,10 @@
 """Secrets and personal data against the plain patterns of their contracts."""
 
 import hashlib
+import itertools
+import random
 import re
+import string
 
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -82,3 +85,19 @@ def test_queries(spark):
     assert len(a) == len(b) == len(texts)
     assert all(r.base_sha256 == sha(base_secrets(texts[r.doc_id])) for r in a)
     assert all(r.base_sha256 == sha(base_pii(texts[r.doc_id])) for r in b)
+
+
+def test_letter_runs_without_words_are_found():
+    rng = random.Random(3)
+    found = lambda x: any(k == "random" for k, _, _ in secrets.find_secrets(f"see {x} here", ENCODE))
+    for letters, n, end, least in ((string.ascii_lowercase, 32, "", 0.7), (string.ascii_uppercase, 32, "", 0.7), (string.ascii_letters, 22, "42", 0.9)):
+        assert sum(found("".join(rng.choices(letters, k=n)) + end) for _ in range(500)) >= least * 500
+    words = {
+        "en": "between through another children government together important something",
+        "de": "zwischen gesellschaft verantwortung entwicklung wissenschaft regierung geschichte",
+        "fr": "toujours gouvernement connaissance ensemble aujourd developpement maintenant",
+        "es": "siempre gobierno conocimiento desarrollo entonces importante mientras",
+    }
+    for text in words.values():
+        for chosen in itertools.permutations(text.split(), 3):
+            assert not any(found(j(chosen)) for j in ("_".join, "".join, lambda w: "_".join(w).upper(), lambda w: "/".join(w) + "42"))
