@@ -1,5 +1,11 @@
 """Every query with SQL gives the rows that DuckDB gives for it."""
 
+import os
+import shutil
+import subprocess
+import sys
+from pathlib import Path
+
 import duckdb
 import pytest
 
@@ -45,3 +51,17 @@ def test_entry_points(spark):
 
     assert entry.entry(spark).count() > 0
     assert set(entry.oracle_sql()) <= set(entry.queries())
+
+
+@pytest.mark.parametrize("gone", [("geosieve/llm", "corpus_pipeline.py"), ("geosieve/llm",)])
+def test_without_the_corpus_folders(tmp_path, gone):
+    """In a copy without them the rest still imports and registers its own queries."""
+    root = Path(__file__).resolve().parents[1]
+    for name in ("geosieve", "__spark_entry__.py", "corpus_pipeline.py"):
+        if (root / name).is_dir():
+            shutil.copytree(root / name, tmp_path / name, ignore=lambda d, names: [n for n in names if str((Path(d) / n).relative_to(root)) in gone or n == "__pycache__"])
+        elif name not in gone and (root / name).exists():
+            shutil.copy(root / name, tmp_path / name)
+    code = "import __spark_entry__ as e; print(len(e.queries()), any(q.startswith('op') for q in e.queries()), 'pipeline' in e.oracle_sql())"
+    out = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=os.environ | {"PYTHONPATH": ""}, capture_output=True, text=True, check=True)
+    assert out.stdout.split() == [str(len(registry.QUERIES)), str(any(q.startswith("op") for q in registry.QUERIES)), "False"]
