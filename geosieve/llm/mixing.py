@@ -2,15 +2,13 @@
 
 Documents fall into cells by source, language and topic. The cells' token
 weights are raked: in turn the weights of each source, language and topic are
-scaled to its target share, ROUNDS times. A cell's raked weight over its own
-share is its factor, and a document is kept with probability
-min(1, rate * factor), where the rate is solved so that the expected tokens
-are the wanted part of all tokens although some cells are at 1. That clip loses the
-targets, so op1_source_mixing, which its SQL fixes, reaches them in its weights
-only. mix_documents, the pipeline and op1_bounded_mixing rake under the bound
-instead: no cell gives more than its tokens, classes that hold fewer tokens
-than their target asks are kept whole, the rest is shared among the other
-classes, and raking goes on until the marginals stand.
+scaled to its goal, ROUNDS times. No cell can give more tokens than it holds,
+so a scaling counts a cell's weight up to its own share only, and a class that
+holds fewer tokens than its target asks for is kept whole, while the others
+share the rest in the proportions of their targets. A cell's raked weight over
+its own share is the probability of its documents, so tokens times probability
+have the goals as marginals; mix_short names the marginals in which a
+document's class can't reach its target.
 
 The values of a marginal without a target form the class "other", so there
 are at most as many cells as combinations of targets and "other", whatever the
@@ -19,7 +17,9 @@ a marginal none of whose targets occurs is left as it is. A
 document's draw is a hash of its id, so runs agree and repeated rows share
 their fate.
 
-A null or empty text counts one token, its end. Null sources, languages and
+Token counts and topics are columns that the caller gives; mix_documents fills
+in pre-tokens, counted by pattern, and the form of a text where there are none.
+A null or empty text counts one token, its end; a null count is one token. Null sources, languages and
 topics are "other"; a null id draws as the empty string. Other columns pass
 through, and an input column with the name of an output column is replaced.
 Only DataFrame functions are used.
@@ -27,21 +27,17 @@ Only DataFrame functions are used.
 
 from __future__ import annotations
 
-import json
-from collections import defaultdict
-from itertools import accumulate
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
-from .common import documents
+from .common import Scratch, documents
 
-ROUNDS = 10
+ROUNDS = 6
+#: The raked cells are written out after so many rounds, which keeps the plan short.
+ROUNDS_PER_TABLE = 3
 KEEP = 0.6
 OTHER = "other"
-#: Raking under the bound ends when every marginal stands to within CLOSE of all tokens, or after MOST_ROUNDS.
-CLOSE, MOST_ROUNDS = 1e-9, 2000
 #: Fixed target shares of the registered query.
 TARGETS = {
     "source": {"src0": 0.15, **{f"src{i}": 0.04 for i in range(1, 20)}, OTHER: 0.09},
@@ -50,10 +46,13 @@ TARGETS = {
 }
 
 
-def word_tokens(text: Column) -> Column:
-    """Words between spaces, tabs and line ends, and the end of the text: blanks + 2, or 1 for an empty text."""
-    blanks = F.length(text) - F.length(F.translate(text, " \n\t\r", ""))
-    return F.when(F.length(text) > 0, blanks + 2).otherwise(1).cast("long")
+PRETOKEN = r"[\p{L}\p{M}]+|\p{N}|[^\p{L}\p{M}\p{N} \t\n\r\f\x0B]+"
+MOST = 1e200
+
+
+def pretokens(text: Column) -> Column:
+    """Runs of letters, single digits and runs of other signs, and the end of the text."""
+    return (F.regexp_count(text, F.lit(PRETOKEN)) + 1).cast("long")
 
 
 def surface_topic(text: Column) -> Column:
@@ -70,132 +69,57 @@ def _class(value: Column, targets: dict[str, float]) -> Column:
     return F.when(value.isin(*targets), value).otherwise(F.lit(OTHER))
 
 
-def rake(cells: DataFrame, targets: dict[str, dict[str, float]], rounds: int = ROUNDS) -> DataFrame:
-    """cells(one column a marginal, tokens) with weight, raked to the targets, and share, the cell's own."""
-    whole = W.partitionBy()
-    names = list(targets)
-    out = cells.withColumn("share", F.col("tokens") / F.sum("tokens").over(whole)).withColumn("weight", F.col("share"))
-    for name in names:  # a class's target over those of the classes that occur
-        goal = F.create_map(*[F.lit(x) for kv in (targets[name] | {OTHER: targets[name].get(OTHER, 0.0)}).items() for x in kv])[F.col(name)]
-        out = out.withColumn(f"goal_{name}", goal)
-        first = F.row_number().over(W.partitionBy(name).orderBy(*names)) == 1
-        out = out.withColumn(f"first_{name}", F.when(first, F.col(f"goal_{name}")).otherwise(0.0))
-    for name in names:
-        total = F.sum(f"first_{name}").over(whole)
-        out = out.withColumn(f"goal_{name}", F.when(total > 0, F.col(f"goal_{name}") / total)).drop(f"first_{name}")
-    for _ in range(rounds):
-        for name in names:
-            total = F.sum("weight").over(W.partitionBy(name))
-            raked = F.when(total > 0, F.col("weight") * F.col(f"goal_{name}") / total).otherwise(F.lit(0.0))
-            out = out.withColumn("weight", F.when(F.col(f"goal_{name}").isNull(), F.col("weight")).otherwise(raked))
-    return out.drop(*[f"goal_{n}" for n in names])
-
-
-def rates(raked: DataFrame, keep: float = KEEP) -> DataFrame:
-    """Add factor and probability to raked cells; cells at probability 1 come first in the order of factors."""
-    names = [c for c in raked.columns if c not in ("tokens", "share", "weight")]
-    order = W.orderBy(F.desc("factor"), *names)
-    out = raked.withColumn("factor", F.col("weight") / F.col("share"))
-    before = F.coalesce(F.sum("share").over(order.rowsBetween(W.unboundedPreceding, -1)), F.lit(0.0))
-    after = F.sum(F.col("share") * F.col("factor")).over(order.rowsBetween(0, W.unboundedFollowing))
-    out = out.withColumn("rate", F.when(after > 0, (F.lit(keep) - before) / after))
-    # The first cell in the order that the rate of all from it on leaves at 1 or less sets the rate.
-    rate = F.coalesce(F.max(F.when(F.col("rate") * F.col("factor") <= 1, F.col("rate"))).over(W.partitionBy()), F.lit(0.0))
-    return out.withColumn("probability", F.least(F.lit(1.0), rate * F.col("factor"))).drop("rate")
-
-
-def _filled(wanted: dict, low: dict, high: dict, total: float) -> dict:
-    """Parts of total in proportion to wanted, each held between its low and high."""
-    fixed: dict = {}
-    while len(fixed) < len(wanted):
-        left = total - sum(fixed.values())
-        whole = sum(w for k, w in wanted.items() if k not in fixed)
-        part = {k: max(0.0, left) * w / whole if whole > 0 else 0.0 for k, w in wanted.items() if k not in fixed}
-        over = {k: high[k] for k, x in part.items() if x >= high[k]}
-        under = {k: low[k] for k, x in part.items() if x < low[k]}
-        # Of the two kinds, the one that moves more of the total is certain to stay at its bound.
-        if sum(part[k] - x for k, x in over.items()) >= sum(x - part[k] for k, x in under.items()):
-            fixed |= over or part
-        else:
-            fixed |= under
-    return fixed
-
-
-def _factor(bounds: list[tuple[float, float]], goal: float) -> float:
-    """The f with sum(min(bound, f * x)) = goal over (bound, x), or the least that puts all at their bounds."""
-    order = sorted(bounds, key=lambda b: b[0] / b[1])
-    # Summed from the small end, because what is at its bound may be larger by many orders.
-    rests = list(accumulate(x for _, x in reversed(order)))[::-1]
-    at = f = 0.0
-    for (bound, x), rest in zip(order, rests, strict=True):
-        f = (goal - at) / rest
-        if f * x <= bound:
-            return max(0.0, f)
-        at, f = at + bound, bound / x
-    return f
-
-
-def rake_bounded(tokens: dict[tuple, float], targets: dict[str, dict[str, float]], keep: float = KEEP) -> tuple[dict[tuple, float], dict[tuple[str, str], dict[str, float]]]:
-    """Probability by cell, raked so that kept tokens reach the targets although none is over 1, and a report.
+def wanted(cells: DataFrame, targets: dict[str, dict[str, float]], keep: float) -> DataFrame:
+    """Add to cells(one column a marginal, tokens) their share, and of each marginal its class's held and asked shares and the goal.
 
-    A cell's kept tokens are min(its own, its own times the factors of its
-    classes), the closest to the corpus of all that have these marginals. The
-    report has by (marginal, class) its share of kept tokens that is targeted,
-    possible under the bound, and realised.
+    held is the class's share of all tokens, asked its target's part of keep,
+    goal the most even multiple of the target that no class holds too little
+    for; the goals of a marginal add up to keep, or to all that is there.
     """
-    whole = sum(tokens.values())
-    share = {c: t / whole for c, t in tokens.items()} if whole else {}
-    goals: list[dict[str, float]] = []
-    for k, goal in enumerate(targets.values()):
-        there = {v: goal.get(v, 0.0) for v in sorted({c[k] for c in share})}
-        goals.append({v: g / sum(there.values()) for v, g in there.items()} if sum(there.values()) > 0 else {})
-    live = {c: s for c, s in share.items() if all(not g or g[c[k]] > 0 for k, g in enumerate(goals))}
-    total = min(keep, sum(live.values()))
-    sums = lambda k, xs: {v: sum(x for c, x in xs.items() if c[k] == v) for v in goals[k]}
-    whole_cells: set[tuple] = set()
-    while True:  # classes with no more tokens than asked are whole, which takes from what others may give
-        aims = [_filled(g, sums(k, {c: live[c] for c in whole_cells}), sums(k, live), total) if g else {} for k, g in enumerate(goals)]
-        now = {c for c in live if any(g and aims[k][c[k]] >= sums(k, live)[c[k]] - CLOSE for k, g in enumerate(goals))}
-        if now <= whole_cells:
-            break
-        whole_cells |= now
-    kept = {c: live[c] for c in whole_cells}
-    free = {c: s for c, s in live.items() if c not in whole_cells}
-    groups = []
-    for k, g in enumerate(goals):
-        done, cells = sums(k, kept), defaultdict(list)
-        for c in free:
-            cells[c[k]].append(c)
-        groups += [(cells[v], max(0.0, aims[k][v] - done[v])) for v in g if cells[v]]
-    groups.append((list(free), max(0.0, total - sum(kept.values()))))  # last, so the kept part is met where targets clash
-    product = dict(free)
-    for _ in range(MOST_ROUNDS):
-        worst = 0.0
-        for cells, goal in groups:
-            worst = max(worst, abs(sum(min(free[c], product[c]) for c in cells) - goal))
-            f = _factor([(free[c], product[c]) for c in cells if product[c] > 0], goal)
-            for c in cells:
-                product[c] = min(product[c] * f, 1e200)
-        if worst < CLOSE:
-            break
-    kept |= {c: min(s, product[c]) for c, s in free.items()}
-    report = {
-        (name, v): {"target": goals[k][v], "possible": aims[k][v] / total if total else 0.0, "realised": x / total if total else 0.0}
-        for k, name in enumerate(targets)
-        for v, x in (sums(k, kept).items() if goals[k] else ())
-    }
-    return {c: kept.get(c, 0.0) / s if s else 0.0 for c, s in share.items()}, report
-
-
-def bounded(cells: DataFrame, targets: dict[str, dict[str, float]], keep: float = KEEP) -> DataFrame:
-    """cells(one column a marginal, tokens) with probability, raked under the bound, and factor, the realised share over the own."""
-    names = list(targets)
-    tokens = {tuple(r[n] for n in names): float(r["tokens"]) for r in cells.collect()}  # at most one row per combination of target classes
-    probability, _ = rake_bounded(tokens, targets, keep)
-    got = sum(tokens[c] * p for c, p in probability.items()) / max(sum(tokens.values()), 1.0)
-    rows = [dict(zip(names, c, strict=True)) | {"factor": p / got if got else 0.0, "probability": p} for c, p in probability.items()]
-    schema = f"array<struct<{', '.join(f'`{n}`: string' for n in names)}, factor: double, probability: double>>"
-    return cells.sparkSession.range(1).select(F.inline(F.from_json(F.lit(json.dumps(rows)), schema)))
+    whole, names = W.partitionBy(), list(targets)
+    out = cells.withColumn("share", F.col("tokens") / F.sum("tokens").over(whole))
+    for name in names:
+        target = F.create_map(*[F.lit(x) for kv in (targets[name] | {OTHER: targets[name].get(OTHER, 0.0)}).items() for x in kv])[F.col(name)]
+        first = F.row_number().over(W.partitionBy(name).orderBy(*names)) == 1
+        out = out.withColumns({"_t": F.coalesce(target, F.lit(0.0)), f"held_{name}": F.sum("share").over(W.partitionBy(name)), "_first": first})
+        total = F.sum(F.when(F.col("_first"), F.col("_t")).otherwise(0.0)).over(whole)
+        out = out.withColumn("_t", F.when(total > 0, F.col("_t") / total)).withColumn(f"asked_{name}", F.col("_t") * keep)
+        out = out.withColumn("_r", F.when(F.col("_t") > 0, F.col(f"held_{name}") / F.col("_t")))
+        order = W.orderBy(F.asc_nulls_last("_r"), *names)
+        one = lambda c: F.when(F.col("_first"), F.col(c)).otherwise(0.0)
+        before = F.coalesce(F.sum(one(f"held_{name}")).over(order.rowsBetween(W.unboundedPreceding, -1)), F.lit(0.0))
+        after = F.sum(one("_t")).over(order.rowsBetween(0, W.unboundedFollowing))
+        out = out.withColumn("_f", F.when(F.col("_first") & F.col("_r").isNotNull(), (keep - before) / after))
+        # Of the multiples at which the classes before one are whole and it isn't, the largest is the one that adds up.
+        f = F.coalesce(F.max(F.when(F.col("_f") <= F.col("_r"), F.col("_f"))).over(whole), F.max("_r").over(whole))
+        out = out.withColumn(f"goal_{name}", F.least(f * F.col("_t"), F.when(F.col("_t").isNotNull(), F.col(f"held_{name}")))).drop("_t", "_first", "_r", "_f")
+    return out
+
+
+def rake(cells: DataFrame, targets: dict[str, dict[str, float]], keep: float = KEEP, rounds: int = ROUNDS) -> DataFrame:
+    """cells(one column a marginal, tokens) with probability, weight (kept share over own share) and short, the marginals out of reach."""
+    names, scratch = list(targets), Scratch(cells.sparkSession)
+    # A row per combination of target classes: one partition, so that no step shuffles.
+    out = wanted(scratch.keep(cells, 1).coalesce(1), targets, keep).withColumn("_x", F.col("share"))
+    for i in range(rounds):
+        for name in names:
+            part, goal = W.partitionBy(name), F.col(f"goal_{name}")
+            ratio = F.when(F.col("_x") > 0, F.col("share") / F.col("_x"))
+            order = part.orderBy(F.asc_nulls_last(ratio), *names)
+            before = F.coalesce(F.sum("share").over(order.rowsBetween(W.unboundedPreceding, -1)), F.lit(0.0))
+            after = F.sum("_x").over(order.rowsBetween(0, W.unboundedFollowing))
+            out = out.select("*", ratio.alias("_r"), F.when(ratio.isNotNull(), (goal - before) / after).alias("_f"))
+            f = F.coalesce(F.max(F.when(F.col("_f") <= F.col("_r"), F.col("_f"))).over(part), F.max("_r").over(part), F.lit(0.0))
+            scaled = F.when(goal.isNull(), F.col("_x")).otherwise(F.least(F.col("_x") * f, F.lit(MOST)))
+            out = out.select(*[c for c in out.columns if c not in ("_x", "_r", "_f")], scaled.alias("_x"))
+        if i % ROUNDS_PER_TABLE == ROUNDS_PER_TABLE - 1:
+            out = scratch.last(out, 1).coalesce(1)
+    out = out.withColumn("_kept", F.least("_x", "share"))
+    total = F.sum("_kept").over(W.partitionBy())
+    short = F.concat_ws(",", *[F.when(F.col(f"asked_{n}") > F.col(f"held_{n}"), F.lit(n)) for n in names])
+    return out.select(
+        *names, "tokens", (F.col("_kept") / F.col("share")).alias("probability"), F.when(total > 0, F.col("_kept") / F.col("share") / total).otherwise(0.0).alias("weight"), short.alias("short")
+    )
 
 
 def mix(
@@ -206,30 +130,30 @@ def mix(
     keep: float = KEEP,
     rounds: int = ROUNDS,
     doc_id: str = "doc_id",
-    clip: bool = False,
 ) -> DataFrame:
-    """df with mix_<marginal>, mix_tokens, mix_weight, mix_probability and mix_sampled; with clip, rates() instead of raking under the bound."""
+    """df with mix_<marginal>, mix_tokens, mix_weight, mix_probability, mix_short and mix_sampled."""
     names = [f"mix_{n}" for n in targets]
-    classed = df.withColumns({f"mix_{n}": _class(marginals[n], t) for n, t in targets.items()} | {"mix_tokens": tokens})
+    made = {f"mix_{n}": _class(marginals[n], t) for n, t in targets.items()} | {"mix_tokens": F.coalesce(tokens, F.lit(1)).cast("long")}
+    classed = df.withColumns(made)
     cells = classed.groupBy(*names).agg(F.sum("mix_tokens").alias("tokens"))
-    goals = {f"mix_{n}": t for n, t in targets.items()}
-    cells = rates(rake(cells, goals, rounds), keep) if clip else bounded(cells, goals, keep)
-    cells = cells.select(*names, F.col("factor").alias("mix_weight"), F.col("probability").alias("mix_probability"))
+    cells = rake(cells.toDF(*targets, "tokens"), targets, keep, rounds)
+    cells = cells.select(*[F.col(n).alias(f"mix_{n}") for n in targets], F.col("weight").alias("mix_weight"), F.col("probability").alias("mix_probability"), F.col("short").alias("mix_short"))
     draw = F.conv(F.substring(F.md5(F.coalesce(F.col(doc_id).cast("string"), F.lit(""))), 1, 8), 16, 10).cast("double") / 2**32
     # At most one row per combination of target classes, so it is small enough to send.
-    out = classed.drop("mix_weight", "mix_probability").join(F.broadcast(cells), names)
+    out = classed.drop("mix_weight", "mix_probability", "mix_short").join(F.broadcast(cells), names)
     return out.withColumn("mix_sampled", draw < F.col("mix_probability"))
 
 
-def mix_documents(docs: DataFrame, targets: dict[str, dict[str, float]] | None = None, keep: float = KEEP, clip: bool = False) -> DataFrame:
-    """mix() with the token count and the topic that texts have."""
+def mix_documents(docs: DataFrame, targets: dict[str, dict[str, float]] | None = None, keep: float = KEEP, tokens: Column | None = None, topic: Column | None = None) -> DataFrame:
+    """mix() of documents; token counts and topics are the given columns, or the pre-tokens and the form of the text."""
     text = F.coalesce(F.col("text"), F.lit(""))
-    marginals = {"source": F.col("source"), "lang": F.col("lang"), "topic": surface_topic(text)}
-    return mix(docs, targets or TARGETS, marginals, word_tokens(text), keep, clip=clip)
+    marginals = {"source": F.col("source"), "lang": F.col("lang"), "topic": surface_topic(text) if topic is None else topic}
+    return mix(docs, targets or TARGETS, marginals, pretokens(text) if tokens is None else tokens, keep)
 
 
-def _columns(mixed: DataFrame) -> DataFrame:
-    return mixed.select(
+def op1_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its cell, its tokens, its weight and probability, what its classes fall short in, and whether it is sampled."""
+    return mix_documents(documents(spark, sf_dir)).select(
         "doc_id",
         F.col("mix_source").alias("source_class"),
         F.col("mix_lang").alias("lang_class"),
@@ -237,20 +161,11 @@ def _columns(mixed: DataFrame) -> DataFrame:
         F.col("mix_tokens").alias("tokens"),
         F.round("mix_weight", 6).alias("weight"),
         F.round("mix_probability", 6).alias("probability"),
+        F.col("mix_short").alias("short_of"),
         F.col("mix_sampled").alias("sampled"),
     )
 
 
-def op1_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every document with its cell, its tokens, its weight and clipped probability, and whether it is sampled, as OP1_SQL has it."""
-    return _columns(mix_documents(documents(spark, sf_dir), clip=True))
-
-
-def op1_bounded_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same raked under the bound: tokens * probability has the targets as far as the corpus holds the tokens."""
-    return _columns(mix_documents(documents(spark, sf_dir)))
-
-
 def _sql() -> str:
     """The same in DuckDB."""
     names = ("source", "lang", "topic")
@@ -262,31 +177,25 @@ def _sql() -> str:
             CASE WHEN lang IN ({quoted(TARGETS["lang"])}) THEN lang ELSE 'other' END AS lang,
             CASE WHEN contains(t, 'icense') THEN 'legal' WHEN contains(t, ' | ') THEN 'tabular'
                  WHEN contains(t, '@') OR contains(t, '+1 (') THEN 'contact' ELSE 'prose' END AS topic,
-            CAST(CASE WHEN length(t) > 0 THEN length(t) - length(translate(t, chr(32) || chr(10) || chr(9) || chr(13), '')) + 2 ELSE 1 END AS BIGINT) AS tokens
+            CAST(len(regexp_extract_all(t, '{PRETOKEN}')) + 1 AS BIGINT) AS tokens
             FROM (SELECT *, coalesce(text, '') AS t FROM documents))""",
-        "cells AS (SELECT source, lang, topic, CAST(sum(tokens) AS DOUBLE) AS tokens FROM docs GROUP BY ALL)",
-        *[f"goal_{n} AS (SELECT {n}, {case(n)} / sum({case(n)}) OVER () AS goal_{n} FROM (SELECT DISTINCT {n} FROM cells))" for n in names],
-        "w0 AS (SELECT *, tokens / sum(tokens) OVER () AS share, tokens / sum(tokens) OVER () AS weight FROM cells "
-        + " ".join(f"JOIN goal_{n} USING ({n})" for n in names)
-        + ")",
-    ]
-    at = 0
-    for _ in range(ROUNDS):
-        for n in names:
-            steps.append(
-                f"w{at + 1} AS MATERIALIZED (SELECT * REPLACE (CASE WHEN sum(weight) OVER p > 0 THEN weight * goal_{n} / sum(weight) OVER p ELSE 0.0 END AS weight) FROM w{at} WINDOW p AS (PARTITION BY {n}))"
-            )
-            at += 1
-    steps += [
-        f"f AS (SELECT *, weight / share AS factor FROM w{at})",
-        f"""r AS (SELECT *, ({KEEP} - coalesce(sum(share) OVER (o ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0.0))
-            / nullif(sum(share * factor) OVER (o ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING), 0) AS rate
-            FROM f WINDOW o AS (ORDER BY factor DESC, source, lang, topic))""",
-        "p AS (SELECT *, least(1.0, coalesce(max(CASE WHEN rate * factor <= 1 THEN rate END) OVER (), 0.0) * factor) AS probability FROM r)",
+        "cells AS (SELECT source, lang, topic, sum(tokens) / sum(sum(tokens)) OVER () AS share FROM docs GROUP BY ALL)",
     ]
+    for n in names:
+        steps += [
+            f"held_{n} AS (SELECT {n}, sum(share) AS held, {case(n)} / sum({case(n)}) OVER () AS t FROM cells GROUP BY {n})",
+            f"multiple_{n} AS (SELECT *, held / nullif(t, 0) AS r, ({KEEP} - coalesce(sum(held) OVER (o ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0.0)) / nullif(sum(t) OVER (o ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING), 0) AS f FROM held_{n} WINDOW o AS (ORDER BY held / nullif(t, 0) NULLS LAST))",
+            f"goal_{n} AS (SELECT {n}, {KEEP} * t > held AS short_{n}, least(held, t * coalesce((SELECT max(f) FROM multiple_{n} WHERE f <= r), (SELECT max(r) FROM multiple_{n}))) AS goal_{n} FROM held_{n})",
+        ]
+    steps.append("w0 AS (SELECT *, share AS x FROM cells " + " ".join(f"JOIN goal_{n} USING ({n})" for n in names) + ")")
+    for at in range(ROUNDS * len(names)):
+        n = names[at % len(names)]
+        steps.append(f"""w{at + 1} AS MATERIALIZED (SELECT * EXCLUDE (r, f) REPLACE (CASE WHEN goal_{n} IS NULL THEN x ELSE least(x * coalesce(max(CASE WHEN f <= r THEN f END) OVER p, max(r) OVER p, 0.0), {MOST}) END AS x) FROM (
+            SELECT *, CASE WHEN r IS NOT NULL THEN (goal_{n} - coalesce(sum(share) OVER (o ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0.0)) / sum(x) OVER (o ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) END AS f
+            FROM (SELECT *, CASE WHEN x > 0 THEN share / x END AS r FROM w{at}) WINDOW o AS (PARTITION BY {n} ORDER BY r NULLS LAST, source, lang, topic)) WINDOW p AS (PARTITION BY {n}))""")
+    steps.append(f"p AS (SELECT source, lang, topic, least(x, share) / share AS probability, coalesce(least(x, share) / share / nullif(sum(least(x, share)) OVER (), 0), 0.0) AS weight, concat_ws(',', {', '.join(f"CASE WHEN short_{n} THEN '{n}' END" for n in names)}) AS short_of FROM w{ROUNDS * len(names)})")
     return f"""WITH {", ".join(steps)}
-        SELECT doc_id, source AS source_class, lang AS lang_class, topic, docs.tokens AS tokens,
-            round(factor, 6) AS weight, round(probability, 6) AS probability,
+        SELECT doc_id, source AS source_class, lang AS lang_class, topic, tokens, round(weight, 6) AS weight, round(probability, 6) AS probability, short_of,
             CAST('0x' || left(md5(coalesce(CAST(doc_id AS VARCHAR), '')), 8) AS BIGINT) / 4294967296.0 < probability AS sampled
         FROM docs JOIN p USING (source, lang, topic)"""
 

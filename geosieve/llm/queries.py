@@ -15,6 +15,5 @@ QUERIES = {
     "op8_syncmer_fingerprints": syncmers.op8_syncmer_fingerprints,
     "op9_quality_rules": quality.op9_quality_rules,
     "op10_toxicity_mil": toxicity.op10_toxicity_mil,
-    "op1_bounded_mixing": mixing.op1_bounded_mixing,
 }
 ORACLE_SQL: dict[str, str] = {"op1_source_mixing": mixing.OP1_SQL}
