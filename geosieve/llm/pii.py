@@ -91,7 +91,8 @@ def find_pii(text: str) -> list[tuple[str, int, int, float]]:
     found = [("email", a, b) for a, b in find_emails(text)]
     if "." in text:
         for m in _IP.finditer(text):
-            if all(int(x[:4]) <= 255 and len(x.lstrip("0")) <= 3 for x in m.group().split(".")):
+            parts = [x.lstrip("0") for x in m.group().split(".")]  # a long run of digits is never made a number
+            if all(len(x) <= 3 and int(x or 0) <= 255 for x in parts):
                 found.append(("ip", m.start(), m.end()))
     for m in _CARD.finditer(text):
         digits = _digits(m.group())
