@@ -6,7 +6,11 @@ token show that the run is not language. Known digests (hexadecimal of usual
 digest lengths), UUIDs and identifiers (names in parts, paths, plain words
 and numbers) are excluded first. A run of name parts is an identifier only if
 its case seldom switches within a part and its letters, read in lower case,
-take few tokens as words do.
+take few tokens as words do. Runs of fewer than MIN_CANDIDATE characters tell
+too little and are not tested, nor are the payloads of base64 data URLs.
+
+A span's score is 1, but 0 for a hex run of a usual digest's length: it counts
+as a base span, and redact() leaves it unless another span covers it.
 
 Null and empty texts have no spans. Texts are read whole. Repeated rows give
 equal rows. Other columns of the input pass through untouched, and an input
@@ -84,6 +88,8 @@ def find_secrets(text: str, encode: Callable[[str], list[int]]) -> list[tuple[st
     found += [(m.start(), 2, m.end()) for m in _HEX.finditer(text)]
     for m in _CANDIDATE.finditer(text):
         run = m.group()
+        if text.endswith(";base64,", 0, m.start()):
+            continue
         if not is_known(run, encode) and len(run) <= MAX_CHARS_PER_TOKEN * len(encode(run)):
             found.append((m.start(), 3, m.end()))
     return [(KINDS[k], start, end) for start, k, end in sorted(found)]
@@ -97,19 +103,20 @@ def scan_secrets(df: DataFrame, text: str = "text", out: str = "secret_spans", v
     def make():
         encode = load_encoding(vocabulary)
         return lambda texts: pa.array(
-            [[{"kind": k, "start": a, "end": b, "score": 1.0} for k, a, b in find_secrets(x, encode)] for x in texts_of(texts)], SPAN_ARROW
+            [[{"kind": k, "start": a, "end": b, "score": float(k != "hex" or b - a not in _DIGEST_LENGTHS)} for k, a, b in find_secrets(x, encode)] for x in texts_of(texts)], SPAN_ARROW
         )
 
     return df.withColumn(out, batched(make, SPAN_TYPE, F.col(text)))
 
 
 def redact(df: DataFrame, text: str = "text", spans: str = "secret_spans") -> DataFrame:
-    """Replace each span of ``spans`` in ``text`` by ``[SECRET]``; overlapping spans are replaced as one.
+    """Replace each span of ``spans`` that scores in ``text`` by ``[SECRET]``; overlapping spans are replaced as one.
 
-    Rows without spans keep their text, null included.
+    Rows without such spans keep their text, null included.
     """
+    scoring = F.filter(F.col(spans), lambda s: s["score"] > 0)
     end = F.aggregate(
-        F.col(spans),
+        scoring,
         F.struct(F.lit("").alias("done"), F.lit(0).cast("long").alias("at")),
         lambda acc, s: F.struct(
             F.when(
@@ -122,7 +129,7 @@ def redact(df: DataFrame, text: str = "text", spans: str = "secret_spans") -> Da
         ),
     )
     rest = F.concat(F.col("_cut.done"), F.substring(F.col(text), (F.col("_cut.at") + 1).cast("int"), F.length(F.col(text))))
-    return df.withColumn("_cut", end).withColumn(text, F.when(F.size(F.col(spans)) > 0, rest).otherwise(F.col(text))).drop("_cut")
+    return df.withColumn("_cut", end).withColumn(text, F.when(F.size(scoring) > 0, rest).otherwise(F.col(text))).drop("_cut")
 
 
 def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:

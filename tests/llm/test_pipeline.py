@@ -14,7 +14,9 @@ SF = "/root/testdata/sf0.01"
 
 def redacted(text, encode):
     out, at = "", 0
-    for _, a, b in secrets.find_secrets(text, encode):
+    for kind, a, b in secrets.find_secrets(text, encode):
+        if kind == "hex" and b - a in (32, 40, 56, 64, 96, 128):
+            continue
         if a >= at:
             out += text[at:a] + "[SECRET]"
         at = max(at, b)
