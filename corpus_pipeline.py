@@ -33,7 +33,7 @@ def keep_distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def hide_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, secrets replaced, lengths counted anew where a text changed."""
     found = secrets.redact(secrets.scan_secrets(docs, out="_secrets"), spans="_secrets")
-    changed = F.size("_secrets") > 0
+    changed = F.exists("_secrets", lambda s: s["score"] > 0)
     return found.withColumn("n_chars", F.when(changed, F.length("text").cast("long")).otherwise(F.col("n_chars"))).select(docs.columns)
 
 
