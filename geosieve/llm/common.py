@@ -30,13 +30,21 @@ def text_or_empty(column: str = "text"):
 
 
 def labelled_sample(known: DataFrame, label: str, held_out: Column, fit_rows: int) -> DataFrame:
-    """(doc_id, label) of about fit_rows labelled rows that aren't held out, chosen by a hash of the id."""
+    """(doc_id, label) of about fit_rows labelled ids that aren't held out, chosen by a hash of the id; repeated rows count once."""
     usable = known.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(label).cast("double").alias("label"))
-    usable = usable.where(F.col("label").isin(0.0, 1.0) & F.col("doc_id").isNotNull() & ~held_out)
+    usable = usable.where(F.col("label").isin(0.0, 1.0) & F.col("doc_id").isNotNull() & ~held_out).distinct()
     rows = usable.count()
     return usable.where(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < F.lit(-(-1_000_000 * fit_rows // max(rows, fit_rows))))
 
 
+def labelled_texts(docs: DataFrame, known: DataFrame, label: str, held_out: Column, fit_rows: int) -> DataFrame:
+    """(doc_id, label, text) of the sample, one row an id and label: of several texts under one id the least."""
+    sample = labelled_sample(known, label, held_out, fit_rows)
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
+    # Distinct ids of about fit_rows rows, two numbers each, whatever the corpus and however often ids repeat.
+    return texts.join(F.broadcast(sample), "doc_id").groupBy("doc_id", "label").agg(F.min("text").alias("text"))
+
+
 def fold(modulus: int, remainder: int, doc_id: str = "doc_id") -> Column:
     """Whether crc32 of the id as text has this remainder; a null id has none."""
     return F.coalesce(F.crc32(F.col(doc_id).cast("string")) % modulus == remainder, F.lit(False))

@@ -11,8 +11,8 @@ and the id are no inputs. With no labelled rows every score is 0.5, with one
 class it is that class's smoothed share.
 
 A null text is read as empty; an empty text has the statistics 0 and a score.
-Texts are read whole. Repeated rows and labels count as often as they stand.
-Labels that are null are left out. Other columns pass through, and an input
+Texts are read whole. Repeated labels and ids count once in fitting, an id's
+texts by the least of them. Labels that are null are left out. Other columns pass through, and an input
 column with the name of an output column is replaced.
 """
 
@@ -25,7 +25,7 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Scratch, documents, fold, labelled_sample, labels
+from .common import Scratch, documents, fold, labelled_texts, labels
 
 FIT_ROWS = 20_000
 TREES, DEPTH, LASSO, SEED = 16, 3, 0.0008, 7
@@ -97,10 +97,7 @@ def paths(node, before: Rule = ()) -> list[Rule]:
 def fit(docs: DataFrame, known: DataFrame, label: str = "quality", held_out: Column | None = None) -> Rules:
     """Rules fitted on a sample of the labelled rows that aren't held out."""
     scratch = Scratch(docs.sparkSession)
-    sample = labelled_sample(known, label, held_out if held_out is not None else F.lit(False), FIT_ROWS)
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    # The sample has about FIT_ROWS rows of two numbers whatever the corpus, so it is small enough to send.
-    rows = texts.join(F.broadcast(sample), "doc_id")
+    rows = labelled_texts(docs, known, label, held_out if held_out is not None else F.lit(False), FIT_ROWS)
     named = statistics(F.col("text"))
     rows = rows.select("doc_id", "label", *[c.alias(n) for n, c in named.items()])
     rows = scratch.keep(rows.repartition(PARTS, "doc_id").coalesce(PARTS).sortWithinPartitions("doc_id", *named))

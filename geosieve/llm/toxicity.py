@@ -14,8 +14,9 @@ source and the id are no inputs. With no labelled rows of one class no feature
 has a weight and every sentence has the same small score.
 
 A null text is read as empty, and an empty text is one empty sentence. Texts
-are read whole. Repeated rows and labels count as often as they stand. Labels
-that are null are left out. Other columns pass through, and an input column
+are read whole. Repeated labels and ids count once in fitting, an id's texts
+by the least of them. Of features typical to the same degree the smaller number
+is taken first. Labels that are null are left out. Other columns pass through, and an input column
 with the name of an output column is replaced.
 """
 
@@ -32,7 +33,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import Scratch, batched, documents, fold, labelled_sample, labels, small_batches, texts_of
+from .common import Scratch, batched, documents, fold, labelled_texts, labels, small_batches, texts_of
 
 FIT_ROWS = 20_000
 BUCKETS, FEATURES = 1 << 18, 1024
@@ -129,10 +130,7 @@ def fit(docs: DataFrame, known: DataFrame, label: str = "toxic", held_out=None)
     """Weights fitted on a sample of the labelled rows that aren't held out."""
     small_batches(docs.sparkSession)
     scratch = Scratch(docs.sparkSession)
-    sample = labelled_sample(known, label, held_out if held_out is not None else F.lit(False), FIT_ROWS)
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    # The sample has about FIT_ROWS rows of two numbers whatever the corpus, so it is small enough to send.
-    rows = texts.join(F.broadcast(sample), "doc_id").select("doc_id", "text", "label")
+    rows = labelled_texts(docs, known, label, held_out if held_out is not None else F.lit(False), FIT_ROWS)
     rows = scratch.keep(rows.repartition(PARTS, "doc_id").coalesce(PARTS).sortWithinPartitions("doc_id", "text", "label"))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -1,9 +1,12 @@
 """Multiple-instance toxicity: held-out accuracy, located sentences, odd rows."""
 
+import math
+import random
+import re
 import zlib
 
 from geosieve.llm import toxicity
-from geosieve.llm.common import labels
+from geosieve.llm.common import documents, fold, labels
 
 
 def test_held_out_accuracy(spark):
@@ -38,3 +41,55 @@ def test_odd_rows(spark):
         got = toxicity.score_toxicity(docs, model).collect()
         assert len(got) == 5 and all(0 <= r.score <= 1 for r in got)
     assert toxicity.score_toxicity(docs.limit(0), model).count() == 0
+
+
+def test_scores_and_spans_by_hand(spark):
+    """Noisy-or over sentences of the logistic sums of words' features, all recomputed; training lowers the bags' loss."""
+    docs, known = documents(spark, "/root/testdata/sf0.01"), labels(spark, "/root/testdata/sf0.01")
+    model = toxicity.fit(docs, known, held_out=fold(4, 2))
+    texts = {r.doc_id: r.text or "" for r in docs.collect()}
+
+    def weight(word):
+        named = ["=" + word] + ["^" + word[:k] for k in (3, 4, 5, 6) if len(word) > k] + (["$" + word[-4:]] if len(word) > 4 else [])
+        return sum(model.weight.get(f, 0.0) for f in {zlib.crc32(x.encode()) % (1 << 18) for x in named})
+
+    def by_hand(text):
+        clean, spans, at = 1.0, [], 0
+        for part in re.split(r"([.!?\n]+)", text) if re.search(r"[^.!?\n]", text) else [text]:
+            if part and (not re.fullmatch(r"[.!?\n]+", part) or part == text):
+                z = model.bias + sum(weight(w) for w in re.findall(r"\w+", part.lower()))
+                p = 1 / (1 + math.exp(-z))
+                clean *= 1 - p
+                spans += [f"{at}:{at + len(part)}"] if p >= 0.5 else []
+            at += len(part)
+        return (1 - clean if text else 1 / (1 + math.exp(-model.bias))), ",".join(spans)
+
+    rows = toxicity.score_toxicity(docs.select("doc_id", "text"), model).collect()
+    assert len(rows) == len(texts)
+    for r in rows:
+        score, spans = by_hand(texts[r.doc_id])
+        assert abs(r.score - score) < 1e-9 and r.offending == spans
+    assert any(r.offending for r in rows)
+
+
+def test_training_follows_the_gradient():
+    """The trained loss is near the least that small steps from it reach."""
+    rng = random.Random(2)
+    bags = [(i % 3 == 0, rng.randrange(4), [[rng.randrange(5)] + ([7] if i % 3 == 0 and j == 0 else []) for j in range(3)]) for i in range(90)]
+    theta, bias = toxicity.train([(float(y), n, held) for y, n, held in bags])
+
+    def loss(theta, bias):
+        out = toxicity.RIDGE / 2 * sum(x * x for x in theta)
+        for y, plain, held in bags:
+            clean = math.log(1 - 1 / (1 + math.exp(-bias))) * plain
+            clean += sum(math.log(1 - 1 / (1 + math.exp(-bias - sum(theta[f] for f in s)))) for s in held)
+            out -= (math.log(-math.expm1(clean)) if y else clean) / len(bags)
+        return out
+
+    least = loss(theta, bias)
+    assert theta[7] > 3 and least < 0.2 < loss(theta * 0, bias)
+    for f in range(8):
+        for step in (-0.3, 0.3):
+            moved = theta.copy()
+            moved[f] += step
+            assert loss(moved, bias) > least - 5e-3
