@@ -6,9 +6,10 @@ them. Most pre-tokens are in a small table that is broadcast; the rest are
 encoded by the library, a batch's misses at once, and kept in a bounded cache
 of the worker. Pre-tokens are never shuffled.
 
-The table is fitted on about FIT_ROWS rows, chosen by a hash of their ids, and
+The table is fitted on about FIT_ROWS rows, drawn whatever their ids, and
 holds at most TABLE entries. It decides only how often the library is called,
-never a count.
+never a count. A tokenizer file whose normaliser, pre-tokens or special strings
+are others than those spelled out here is refused.
 
 Null and empty texts have 0 tokens. Texts are read whole. Repeated rows give
 equal rows; other columns pass through, and an input column with the name of
@@ -17,8 +18,10 @@ an output column is replaced.
 
 from __future__ import annotations
 
+import json
 import os
 import unicodedata
+from functools import cache
 
 import pyarrow as pa
 import regex
@@ -54,13 +57,26 @@ def pretokens(text: str) -> tuple[list[str], int]:
     return words, len(parts) - 1
 
 
+#: Fixed values of the tokenizer file: how it names its normalisers and its pre-token rule.
+NORMALIZERS = ["NFC", "Replace", "Lowercase"]
+RULE = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+
+
+@cache
 def load_tokenizer(path: str | None = None):
-    """The tokenizer of a file; by default the public one with word ends."""
+    """The tokenizer of a file; by default the public one with word ends. ValueError if pretokens() isn't how it cuts."""
     os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
     import public_tokenizers
     from tokenizers import Tokenizer
 
-    return Tokenizer.from_file(path or public_tokenizers.path("word_bpe_49k.json"))
+    path = path or public_tokenizers.path("word_bpe_49k.json")
+    with open(path, encoding="utf-8") as file:
+        made = json.load(file)
+    steps = [x.get("type") for x in (made.get("normalizer") or {}).get("normalizers", [])]
+    rule = next((x["pattern"].get("Regex") for x in (made.get("pre_tokenizer") or {}).get("pretokenizers", []) if x.get("type") == "Split"), None)
+    if (steps, rule, {x["content"] for x in made.get("added_tokens", [])}) != (NORMALIZERS, RULE, set(SPECIAL)):
+        raise ValueError(f"{path}: cuts texts in another way than pretokens() does")
+    return Tokenizer.from_file(path)
 
 
 class Lengths:
@@ -101,20 +117,19 @@ def worker_lengths(table: dict[str, int], path: str | None) -> Lengths:
     return _own[path]
 
 
-def frequent_lengths(df: DataFrame, text: str = "text", key: str = "doc_id", path: str | None = None) -> dict[str, int]:
+def frequent_lengths(df: DataFrame, text: str = "text", path: str | None = None) -> dict[str, int]:
     """At most TABLE pre-tokens, the most frequent of about FIT_ROWS rows, with their lengths."""
-    rows = df.count()
-    chosen = df.where(F.pmod(F.xxhash64(key), F.lit(1_000_000)) < F.lit(1_000_000 * FIT_ROWS // max(rows, FIT_ROWS)))
+    chosen = df.select(text).where(F.rand(7) < FIT_ROWS / max(df.count(), FIT_ROWS))
     words = batched(lambda: lambda x: pa.array([pretokens(t)[0] for t in texts_of(x)], pa.list_(pa.string())), T.ArrayType(T.StringType()), F.col(text))
     top = chosen.select(F.explode(words).alias("w")).where(F.length("w") <= LONGEST_CACHED).groupBy("w").count()
     found = [r.w for r in top.orderBy(F.desc("count"), "w").limit(TABLE).collect()]
     return dict(zip(found, (len(e) for e in load_tokenizer(path).encode_batch_fast(found, add_special_tokens=False))))
 
 
-def count_tokens(df: DataFrame, text: str = "text", key: str = "doc_id", out: str = "n_tokens", path: str | None = None) -> DataFrame:
+def count_tokens(df: DataFrame, text: str = "text", out: str = "n_tokens", path: str | None = None) -> DataFrame:
     """Add column ``out``: how many tokens the library gives for each whole text."""
     small_batches(df.sparkSession)
-    table = df.sparkSession.sparkContext.broadcast(frequent_lengths(df, text, key, path))
+    table = df.sparkSession.sparkContext.broadcast(frequent_lengths(df, text, path))
 
     def make():
         lengths = worker_lengths(table.value, path)

@@ -105,3 +105,21 @@ def test_plans(seed):
         else:
             rooms[at] -= s
     assert n <= 1.005 * len(rooms) + 1
+
+
+def test_other_files_are_refused():
+    with pytest.raises(ValueError, match="another way"):
+        tokencount.load_tokenizer(public_tokenizers.path("byte_bpe_50k.json"))
+
+
+def test_samples_stay_bounded_when_ids_repeat(spark, monkeypatch):
+    from pyspark.sql import functions as F
+
+    from geosieve.llm.common import labelled_texts
+
+    monkeypatch.setattr(tokencount, "FIT_ROWS", 20)
+    df = spark.range(4000).select(F.lit(7).cast("long").alias("doc_id"), F.concat(F.lit("a b word"), "id").alias("text"))
+    assert len(tokencount.frequent_lengths(df)) < 100
+    known = df.select("doc_id", F.lit(1).alias("good"))
+    got = labelled_texts(df, known, "good", F.lit(False), 20).collect()
+    assert [(r.doc_id, r.label, r.text) for r in got] == [(7, 1.0, "a b word0")]
