@@ -27,9 +27,9 @@ the longer signature; more similar pairs are missed far less often.
 
 Null and empty texts and texts of white space alone have the size 0 and are
 linked with nothing. Rows with a null id are returned alone, with a null
-component, and kept. Repeated rows give equal rows; of different texts under
-one id any may stand for the others when pairs are confirmed. Only the id and the text
-are read; other columns don't matter.
+component, and kept. Repeated rows give equal rows. Different texts under one
+id are one document: it is linked through each of them, and so are they with
+one another. Only the id and the text are read; other columns don't matter.
 """
 
 from __future__ import annotations
@@ -69,6 +69,7 @@ _LONG_ADD = np.random.default_rng(16).integers(0, 1 << 32, LONG, dtype=np.uint64
 _PLACE = _odd(64, 14, 64)
 _P = 0x9E3779B97F4A7C15
 _PINV = pow(_P, -1, 1 << 64)
+KEPT_POWERS = 1 << 20
 _powers = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
 
 
@@ -78,13 +79,18 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> _U(31))
 
 
+def _power_table(n: int, p: int) -> np.ndarray:
+    x = np.full(n, p, np.uint64)
+    x[0] = 1
+    return np.cumprod(x)
+
+
 def _powers_to(n: int) -> tuple[np.ndarray, np.ndarray]:
+    if n > KEPT_POWERS:  # made for one text and let go
+        return _power_table(n, _P), _power_table(n, _PINV)
     if len(_powers[0]) < n:
         n = 1 << n.bit_length()
-        for k, p in enumerate((_P, _PINV)):
-            x = np.full(n, p, np.uint64)
-            x[0] = 1
-            _powers[k] = np.cumprod(x)
+        _powers[:] = [_power_table(n, _P), _power_table(n, _PINV)]
     return _powers[0], _powers[1]
 
 
@@ -211,8 +217,8 @@ def near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -
     full, nodes = nodes, scratch.keep(nodes.drop("bands"))
     scratch.drop(full)
     scratch.sweep()
-    texts = docs.join(members.select(F.col("node").alias("doc_id")).distinct(), "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    texts = scratch.keep(texts)
+    texts = docs.join(members.select(F.col("node").alias("doc_id")).distinct(), "doc_id", "left_semi").withColumn("_h", F.md5("text"))
+    texts = scratch.keep(texts.dropDuplicates(["doc_id", "_h"]).drop("_h"))
     scratch.sweep()
     shared_rows = members.count()
     marks = nodes.select("node", "n_shingles", "signature")
@@ -238,7 +244,11 @@ def near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -
     pairs = sifted(members.where("node <> leader").select(F.col("leader").alias("a"), F.col("node").alias("b")))
     best = pairs.groupBy("b").agg(F.max_by("a", F.struct("likeness", "a")).alias("a"))
     most = pairs.count()
-    links = confirmed(best, min(most, texts.count()))
+    # Different texts under one id: their nodes are linked by it.
+    several = rows.where("n_shingles > 0 and doc_id is not null").groupBy("doc_id").agg(F.min("digest").alias("lo"), F.max("digest").alias("hi")).where("lo <> hi")
+    named = rows.join(several.select("doc_id"), "doc_id", "left_semi").join(nodes.select("digest", "node"), "digest")
+    own = scratch.keep(named.select(F.col("doc_id").alias("a"), F.col("node").alias("b")).where("a <> b").distinct(), most)
+    links = own.union(confirmed(best, min(most, texts.count())))
     roots = components(scratch, links, most)
     links = links.union(confirmed(across(pairs, roots).join(best, ["a", "b"], "left_anti"), most))
     roots = components(scratch, links, most)

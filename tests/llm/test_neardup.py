@@ -77,6 +77,18 @@ def test_chains_copies_and_odd_rows(spark):
     assert neardup.near_duplicates(df.limit(0)).count() == 0
 
 
+def test_texts_that_share_an_id(spark):
+    random.seed(8)
+    a, b, c = ([f"{k}{i}" for i in range(100)] for k in "abc")
+    near = lambda words: words[:50] + ["x"] + words[51:]
+    rows = [(1, a), (1, b), (2, near(a)), (3, near(b)), (5, c), (4, c), (5, near(near(c))), (6, b[:50] + a[:50]), (7, a + ["y"]), (7, c[::-1])]
+    rows = [(i, " ".join(w)) for i, w in rows] * 2
+    for parts in (1, 3, 7):
+        df = spark.createDataFrame(rows, "doc_id long, text string").repartition(parts)
+        got = {r.doc_id: r.component_id for r in neardup.near_duplicates(df).collect()}
+        assert got == {1: 1, 2: 1, 3: 1, 4: 4, 5: 4, 6: 6, 7: 1}
+
+
 def test_components(spark):
     random.seed(3)
     edges = [(i, i + 1) for i in range(60)] + [(100, 200 + i) for i in range(30)] + [(7, 7)]

@@ -69,6 +69,8 @@ def test_odd_rows(spark):
             assert stage(spark, frame, SF).columns == docs.columns
         assert cp.pack_sequences(spark, frame, SF).count() >= frame.count()
     assert sorted(r.doc_id or 0 for r in cp.keep_distinct(spark, docs, SF).collect()) == [0, 1, 2, 3, 5]
+    again = docs.union(docs).union(spark.createDataFrame([(3, "another text than the first one", "en", "src1", 31)], docs.schema))
+    assert sorted(r.doc_id or 0 for r in cp.keep_distinct(spark, again, SF).collect()) == [0, 0, 1, 2, 3, 3, 5]
     hidden = cp.hide_secrets(spark, docs, SF).where(F.col("doc_id").isNull()).first()
     assert (hidden.text, hidden.n_chars) == ("[SECRET]", 8)
     assert quality.THRESHOLD == 0.3
