@@ -20,6 +20,8 @@ class Scratch:
         self.spark = spark
         root = spark.conf.get("spark.checkpoint.dir", None)
         if not root:
+            if not spark.sparkContext.master.startswith("local"):
+                raise ValueError("spark.checkpoint.dir is not set: executors need a folder that all of them reach")
             root = f"file://{tempfile.mkdtemp(prefix='geosieve-')}"
             spark.conf.set("spark.checkpoint.dir", root)
         self.root = f"{root.rstrip('/')}/scratch-{uuid.uuid4().hex}"
