@@ -78,7 +78,7 @@ def texts_of(array: pa.Array) -> list[str]:
     return [x or "" for x in array.to_pylist()]
 
 
-def batched(make: Callable[[], Callable[[pa.Array], pa.Array]], result: T.DataType, column) -> Column:
+def batched(make: Callable[[], Callable[[pa.Array], pa.Array]], result: T.DataType | str, column) -> Column:
     """A column made from another by Arrow batches; make() runs once a task and returns what maps a batch."""
 
     def run(batches):

@@ -1,16 +1,20 @@
 """Media columns: ISO media containers, written losslessly and described without decoding.
 
 The reader walks nested boxes and decodes the sample tables of each track:
-time to sample, sample to chunk, sizes, chunk offsets and sync samples. From
-these it has codec, duration and the byte ranges from each keyframe to the
-next, without looking at any payload byte. The writer stores a payload as the
-samples of one uncompressed 8-bit track: FRAME bytes a sample, CHUNK samples a
-chunk, each GROUPth sample a sync sample.
+time to sample, sample to chunk, sizes, chunk offsets and sync samples, and
+those of movie fragments after them. From these it has codec, duration and the
+byte ranges and times from each keyframe to the next, without looking at any
+payload byte. The writer stores a payload as the samples of one uncompressed
+8-bit track: FRAME bytes a sample, CHUNK samples a chunk, each GROUPth sample a
+sync sample.
 
 Boxes may have 32-bit, 64-bit or open sizes, time boxes version 0 or 1, sizes
 one value, a table or a compact table, offsets 32 or 64 bits; a track without
-a sync table has only keyframes. What isn't such a container, null included,
-is described by an error and null columns. A null or empty text has the
+a sync table has only keyframes. A track's duration is that of its samples, or
+where the time table is empty the one its header states. Nesting deeper than
+DEEPEST, as no real file has it, tables past their box and sample numbers that
+don't exist are errors. What isn't such a container, null included, is
+described by an error and null columns. A null or empty text has the
 payload of one empty frame. Texts are read whole, equal texts give equal
 bytes, and repeated rows equal rows. Other columns pass through, and an input
 column with the name of an output column is replaced.
@@ -37,7 +41,8 @@ FRAME, CHUNK, GROUP = 64, 256, 16
 TIMESCALE, TICKS = 1000, 40
 CODEC = b"raw "
 #: Fixed values of the format: boxes that hold boxes.
-CONTAINERS = {b"moov", b"trak", b"mdia", b"minf", b"stbl", b"edts", b"dinf", b"udta"}
+CONTAINERS = {b"moov", b"trak", b"mdia", b"minf", b"stbl", b"edts", b"dinf", b"udta", b"mvex", b"moof", b"traf"}
+DEEPEST = 32
 _IDENTITY = struct.pack(">9i", 0x10000, 0, 0, 0, 0x10000, 0, 0, 0, 0x40000000)
 
 
@@ -97,10 +102,13 @@ def write_container(payload: bytes) -> bytes:
     return head + movie(first) + box(b"mdat", payload)
 
 
-def walk(data: bytes, start: int = 0, end: int | None = None, path: tuple[bytes, ...] = ()) -> Iterator[tuple[tuple[bytes, ...], int, int]]:
+def walk(data: bytes) -> Iterator[tuple[tuple[bytes, ...], int, int]]:
     """(path, start, end) of the body of each box, outer boxes before those they hold."""
-    end = len(data) if end is None else end
-    while start < end:
+    open_: list[tuple[int, int, tuple[bytes, ...]]] = [(0, len(data), ())]  # what is still to be read at each depth
+    while open_:
+        start, end, path = open_.pop()
+        if start >= end:
+            continue
         if end - start < 8:
             raise ValueError("a box is cut short")
         size, kind = struct.unpack_from(">I4s", data, start)
@@ -114,21 +122,25 @@ def walk(data: bytes, start: int = 0, end: int | None = None, path: tuple[bytes,
         if stop < body or stop > end:
             raise ValueError("a box is longer than what holds it")
         yield (*path, kind), body, stop
+        open_.append((stop, end, path))
         if kind in CONTAINERS:
-            yield from walk(data, body, stop, (*path, kind))
-        start = stop
+            if len(path) >= DEEPEST:
+                raise ValueError("boxes are nested too deep")
+            open_.append((body, stop, (*path, kind)))
 
 
 @dataclass
 class Track:
-    """A track's description and where its samples lie."""
+    """A track's description and where and when its samples lie."""
 
+    number: int
     handler: str
     codec: str
     timescale: int
     duration: int
     offsets: np.ndarray
     sizes: np.ndarray
+    times: np.ndarray  # decode time of each sample, in ticks
     sync: np.ndarray  # sample numbers from 0
 
     def keyframes(self) -> list[tuple[int, int]]:
@@ -141,6 +153,8 @@ class Track:
 
 
 def _table(data: bytes, at: int, end: int, kind: str, width: int = 1) -> np.ndarray:
+    if at + 8 > end:
+        raise ValueError("a table is cut short")
     (n,) = struct.unpack_from(">I", data, at + 4)
     if at + 8 + n * width * np.dtype(kind).itemsize > end:
         raise ValueError("a table is cut short")
@@ -149,25 +163,41 @@ def _table(data: bytes, at: int, end: int, kind: str, width: int = 1) -> np.ndar
 
 
 def _sizes(data: bytes, kind: bytes, at: int, end: int) -> np.ndarray:
+    if at + 12 > end:
+        raise ValueError("a table is cut short")
     if kind == b"stsz":
         one, n = struct.unpack_from(">II", data, at + 4)
         if one:
             if n * one > len(data):
                 raise ValueError("samples are longer than the file")
             return np.full(n, one, np.int64)
-        if at + 12 + 4 * n > end:
-            raise ValueError("a table is cut short")
-        return np.frombuffer(data, ">u4", n, at + 12).astype(np.int64)
-    bits, n = struct.unpack_from(">BI", data, at + 7)
-    if bits == 16:
-        return np.frombuffer(data, ">u2", n, at + 12).astype(np.int64)
+        bits = 32
+    else:
+        bits, n = struct.unpack_from(">BI", data, at + 7)
+    if bits not in (4, 8, 16, 32):
+        raise ValueError("sizes of an unknown width")
+    if at + 12 + -(-n * bits // 8) > end:
+        raise ValueError("a table is cut short")
+    if bits > 8:
+        return np.frombuffer(data, f">u{bits // 8}", n, at + 12).astype(np.int64)
     raw = np.frombuffer(data, np.uint8, n if bits == 8 else -(-n // 2), at + 12)
     return (raw if bits == 8 else np.stack([raw >> 4, raw & 15], 1).reshape(-1)[:n]).astype(np.int64)
 
 
-def _track(data: bytes, boxes: dict[bytes, tuple[int, int]]) -> Track:
+def _times(data: bytes, boxes: dict[bytes, tuple[int, int]], samples: int) -> tuple[np.ndarray, int]:
+    """The samples' decode times and where the last ends; a table for fewer samples repeats its last step."""
+    runs = _table(data, *boxes[b"stts"], ">u4", 2) if b"stts" in boxes else np.empty((0, 2), np.int64)
+    counts = np.minimum(runs[:, 0], samples)
+    steps = np.repeat(runs[:, 1], counts)[:samples] if len(runs) and counts.sum() <= 2 * samples + len(runs) * samples else np.empty(0, np.int64)
+    if len(steps) < samples:
+        steps = np.append(steps, np.full(samples - len(steps), steps[-1] if len(steps) else 0))
+    ends = np.cumsum(steps)
+    return ends - steps, int(ends[-1]) if samples else 0
+
+
+def _track(data: bytes, boxes: dict[bytes, tuple[int, int]], number: int) -> Track:
     at, _ = boxes[b"mdhd"]
-    timescale, duration = struct.unpack_from(">IQ", data, at + 20) if data[at] == 1 else struct.unpack_from(">II", data, at + 12)
+    timescale, stated = struct.unpack_from(">IQ", data, at + 20) if data[at] == 1 else struct.unpack_from(">II", data, at + 12)
     at, end = boxes[b"stsd"]
     codec = data[at + 12 : at + 16].decode("latin-1") if end - at >= 16 else ""
     handler = data[boxes[b"hdlr"][0] + 8 : boxes[b"hdlr"][0] + 12].decode("latin-1") if b"hdlr" in boxes else ""
@@ -185,20 +215,96 @@ def _track(data: bytes, boxes: dict[bytes, tuple[int, int]]) -> Track:
     first = np.searchsorted(chunk, chunk) if len(chunk) else chunk
     offsets = chunks[chunk] + before - before[first] if len(chunk) else before
     sync = _table(data, *boxes[b"stss"], ">u4") - 1 if b"stss" in boxes else np.arange(len(sizes))
-    return Track(handler, codec, timescale, duration, offsets, sizes, sync[sync < len(sizes)])
+    if len(sync) and (sync.min() < 0 or (np.diff(sync) <= 0).any()):
+        raise ValueError("sync samples are not in order")
+    times, whole = _times(data, boxes, len(sizes))
+    return Track(number, handler, codec, timescale, whole or stated, offsets, sizes, times, sync[sync < len(sizes)])
+
+
+def _number(data: bytes, boxes: dict[bytes, tuple[int, int]], place: int) -> int:
+    """A track's id from its header, or its place where it has none."""
+    if b"tkhd" not in boxes:
+        return place + 1
+    at, _ = boxes[b"tkhd"]
+    return struct.unpack_from(">I", data, at + (20 if data[at] == 1 else 12))[0]
+
+
+def _fragment(data: bytes, moof: int, boxes: list[tuple[bytes, int, int]], defaults: dict[int, tuple[int, int, int]], tracks: dict[int, Track]) -> None:
+    """Add the runs of a track fragment: (kind, start, end) of its boxes, offsets counted from its movie fragment."""
+    at, end = next((a, e) for k, a, e in boxes if k == b"tfhd")
+    flags, number = struct.unpack_from(">II", data, at)
+    flags, at = flags & 0xFFFFFF, at + 8
+    base = moof
+    duration, size, kind = defaults.get(number, (0, 0, 0))
+    if flags & 0x1:
+        base, at = struct.unpack_from(">Q", data, at)[0], at + 8
+    at += 4 * bool(flags & 0x2)
+    if flags & 0x8:
+        duration, at = struct.unpack_from(">I", data, at)[0], at + 4
+    if flags & 0x10:
+        size, at = struct.unpack_from(">I", data, at)[0], at + 4
+    if flags & 0x20:
+        kind, at = struct.unpack_from(">I", data, at)[0], at + 4
+    track = tracks[number]
+    time = int(track.duration) if len(track.sizes) else 0
+    for k, a, _ in boxes:
+        if k == b"tfdt":
+            (time,) = struct.unpack_from(">Q" if data[a] == 1 else ">I", data, a + 4)
+    here = base
+    for k, a, e in boxes:
+        if k != b"trun":
+            continue
+        flags, n = struct.unpack_from(">II", data, a)
+        flags, a = flags & 0xFFFFFF, a + 8
+        if flags & 0x1:
+            here, a = base + struct.unpack_from(">i", data, a)[0], a + 4
+        first_kind = None
+        if flags & 0x4:
+            first_kind, a = struct.unpack_from(">I", data, a)[0], a + 4
+        columns = [bit for bit in (0x100, 0x200, 0x400, 0x800) if flags & bit]
+        if a + 4 * n * len(columns) > e or (not columns and n * max(size, 1) > len(data)):
+            raise ValueError("a table is cut short")
+        rows = np.frombuffer(data, ">u4", n * len(columns), a).astype(np.int64).reshape(n, len(columns))
+        column = lambda bit, other: rows[:, columns.index(bit)] if bit in columns else np.full(n, other, np.int64)  # noqa: B023, E731
+        steps, sizes, kinds = column(0x100, duration), column(0x200, size), column(0x400, kind)
+        if n and first_kind is not None and 0x400 not in columns:
+            kinds[0] = first_kind
+        before, begun = len(track.sizes), np.cumsum(steps) - steps
+        track.offsets = np.append(track.offsets, here + np.cumsum(sizes) - sizes)
+        track.sizes = np.append(track.sizes, sizes)
+        track.times = np.append(track.times, time + begun)
+        track.sync = np.append(track.sync, before + np.flatnonzero(kinds & 0x10000 == 0))
+        here, time = here + int(sizes.sum()), time + int(steps.sum())
+    track.duration = time
 
 
 def read_tracks(data: bytes) -> list[Track]:
-    """The tracks of a container; an error if it is none."""
-    tracks: list[dict[bytes, tuple[int, int]]] = []
+    """The tracks of a container, fragments included; an error if it is none."""
+    found: list[dict[bytes, tuple[int, int]]] = []
+    defaults: dict[int, tuple[int, int, int]] = {}
+    fragments: list[tuple[int, list[tuple[bytes, int, int]]]] = []
+    moof = 0
     for path, start, end in walk(data):
         if path[-1] == b"trak":
-            tracks.append({})
+            found.append({})
         elif b"trak" in path:
-            tracks[-1].setdefault(path[-1], (start, end))
-    if not tracks:
+            found[-1].setdefault(path[-1], (start, end))
+        elif path[-1] == b"trex":
+            number, _, *rest = struct.unpack_from(">5I", data, start + 4)
+            defaults[number] = tuple(rest)
+        elif path[-1] == b"moof":
+            moof = start - 8
+        elif path[-1] == b"traf":
+            fragments.append((moof, []))
+        elif b"traf" in path:
+            fragments[-1][1].append((path[-1], start, end))
+    if not found:
         raise ValueError("no track")
-    return [_track(data, boxes) for boxes in tracks]
+    tracks = [_track(data, boxes, _number(data, boxes, i)) for i, boxes in enumerate(found)]
+    by_number = {t.number: t for t in tracks}
+    for at, boxes in fragments:
+        _fragment(data, at, boxes, defaults, by_number)
+    return tracks
 
 
 def read_samples(data: bytes, track: Track) -> bytes:
@@ -214,26 +320,28 @@ def read_samples(data: bytes, track: Track) -> bytes:
     return b"".join(out)
 
 
+def _seconds(ticks: int, track: Track) -> float | None:
+    return ticks / track.timescale if track.timescale else None
+
+
 def describe(data: bytes) -> dict:
-    """Codec, duration in seconds, samples and keyframe ranges of the first track, or an error."""
+    """Codec, duration in seconds, samples, and keyframe ranges with their times, of each track; the first one's beside, or an error."""
     try:
-        t = read_tracks(data)[0]
-        return {"codec": t.codec, "duration": t.duration / t.timescale if t.timescale else None, "samples": len(t.sizes), "keyframes": [{"start": a, "end": b} for a, b in t.keyframes()], "error": None}
-    except (ValueError, KeyError, IndexError, struct.error, StopIteration, TypeError) as e:
-        return {"codec": None, "duration": None, "samples": None, "keyframes": None, "error": f"{type(e).__name__}: {e}"}
-
-
-_RANGES = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
-_DESCRIBED = pa.struct([("codec", pa.string()), ("duration", pa.float64()), ("samples", pa.int64()), ("keyframes", _RANGES), ("error", pa.string())])
-DESCRIBED = T.StructType(
-    [
-        T.StructField("codec", T.StringType()),
-        T.StructField("duration", T.DoubleType()),
-        T.StructField("samples", T.LongType()),
-        T.StructField("keyframes", T.ArrayType(T.StructType([T.StructField("start", T.LongType()), T.StructField("end", T.LongType())]))),
-        T.StructField("error", T.StringType()),
-    ]
-)
+        tracks = []
+        for t in read_tracks(data):
+            ranges = [{"start": a, "end": b, "time": _seconds(int(t.times[i]), t)} for (a, b), i in zip(t.keyframes(), t.sync)]
+            tracks.append({"track": t.number, "handler": t.handler, "codec": t.codec, "duration": _seconds(t.duration, t), "samples": len(t.sizes), "keyframes": ranges})
+        return {k: tracks[0][k] for k in ("codec", "duration", "samples", "keyframes")} | {"tracks": tracks, "error": None}
+    except (ValueError, KeyError, IndexError, struct.error, StopIteration, TypeError, OverflowError) as e:
+        return dict.fromkeys(("codec", "duration", "samples", "keyframes", "tracks")) | {"error": f"{type(e).__name__}: {e}"}
+
+
+_RANGES = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64()), ("time", pa.float64())]))
+_TRACKS = pa.list_(pa.struct([("track", pa.int64()), ("handler", pa.string()), ("codec", pa.string()), ("duration", pa.float64()), ("samples", pa.int64()), ("keyframes", _RANGES)]))
+_DESCRIBED = pa.struct([("codec", pa.string()), ("duration", pa.float64()), ("samples", pa.int64()), ("keyframes", _RANGES), ("tracks", _TRACKS), ("error", pa.string())])
+_RANGE_TYPE = "array<struct<start: bigint, end: bigint, time: double>>"
+_TRACK_FIELDS = f"codec: string, duration: double, samples: bigint, keyframes: {_RANGE_TYPE}"
+DESCRIBED = f"struct<{_TRACK_FIELDS}, tracks: array<struct<track: bigint, handler: string, {_TRACK_FIELDS}>>, error: string>"
 BATCH = 256
 
 
@@ -249,7 +357,7 @@ def store_texts(df: DataFrame, text: str = "text", out: str = "media") -> DataFr
 
 
 def describe_media(df: DataFrame, media: str = "media", out: str = "media_info") -> DataFrame:
-    """Add ``out``: codec, duration, samples, keyframes and error of each container."""
+    """Add ``out``: codec, duration, samples and keyframes of each container's first track, all tracks, and error."""
     make = lambda: lambda column: pa.array([describe(x) for x in column.to_pylist()], _DESCRIBED)
     return df.withColumn(out, batched(make, DESCRIBED, F.col(media)))
 

@@ -73,3 +73,74 @@ def test_queries_and_odd_rows(spark):
     broken = spark.createDataFrame([(None,), (bytearray(b""),), (bytearray(b"not a container"),)], "media binary")
     assert all(r.media_info.error and r.media_info.codec is None for r in media.describe_media(broken).collect())
     assert media.describe_media(media.store_texts(odd.limit(0))).count() == 0
+
+
+def test_deep_nesting_is_described():
+    deep = b""
+    for _ in range(1500):
+        deep = media.box(b"moov", deep)
+    assert "nested" in media.describe(deep)["error"]
+
+
+def test_times_of_samples():
+    runs = [(1, 2, 1), (2, 1, 1)]
+    each = media.full(b"stsz", struct.pack(">II4I", 0, 4, 10, 20, 5, 7))
+    data = foreign(each, media.full(b"stco", struct.pack(">4I", 3, 8, 60, 80)), runs, sync=[1, 3])
+    for table, times, whole in (((2, 30, 2, 15), [0, 30, 60, 75], 90), ((1, 30), [0, 30, 60, 90], 120), ((0xFFFFFFFF, 2), [0, 2, 4, 6], 8), ((), [0] * 4, 45000)):
+        box = media.full(b"stts", struct.pack(f">I{len(table)}I", len(table) // 2, *table))
+        (t,) = media.read_tracks(replaced(data, media.full(b"stts", bytes(4)), box))
+        assert t.times.tolist() == times and t.duration == whole
+        assert [k["time"] for k in media.describe(replaced(data, media.full(b"stts", bytes(4)), box))["keyframes"]] == [0, times[2] / 90000]
+
+
+def replaced(data, old, new):
+    """The container with one box of its sample table put in for another and the sizes of what holds it set."""
+    at = data.index(old)
+    out = bytearray(data[:at] + new + data[at + len(old) :])
+    for kind in (b"moov", b"trak", b"mdia", b"minf", b"stbl"):
+        i = out.index(kind) - 4
+        struct.pack_into(">I", out, i, struct.unpack_from(">I", out, i)[0] + len(new) - len(old))
+    return bytes(out)
+
+
+def test_wrong_tables_are_errors():
+    runs, offsets = [(1, 2, 1), (2, 1, 1)], media.full(b"stco", struct.pack(">4I", 3, 8, 60, 80))
+    each = media.full(b"stsz", struct.pack(">II4I", 0, 4, 10, 20, 5, 7))
+    assert "order" in media.describe(foreign(each, offsets, runs, sync=[0, 2]))["error"]
+    assert "short" in media.describe(foreign(media.full(b"stz2", bytes(3) + bytes([8]) + struct.pack(">I", 400) + bytes(4)), offsets, runs))["error"]
+
+
+def test_two_tracks_and_fragments():
+    first = media.write_container(media.padded("x" * 3000))
+    (alone,) = media.read_tracks(first)
+    moov_at = first.index(b"moov") - 4
+    (moov_size,) = struct.unpack_from(">I", first, moov_at)
+    body = first[moov_at + 8 : moov_at + moov_size]
+    empty = lambda n: media.box(
+        b"trak",
+        media.full(b"tkhd", struct.pack(">IIIII", 0, 0, n, 0, 0), bytes(60)),
+        media.box(
+            b"mdia",
+            media.full(b"mdhd", struct.pack(">IIIIHH", 0, 0, 48000, 0, 0, 0)),
+            media.full(b"hdlr", bytes(4), b"soun", bytes(13)),
+            media.box(b"minf", media.box(b"stbl", media.full(b"stsd", struct.pack(">I", 1), media.box(b"mp4a", bytes(28))), *(media.full(k, bytes(4)) for k in (b"stts", b"stsc", b"stco")), media.full(b"stsz", bytes(8)))),
+        ),
+    )
+    trex = media.box(b"mvex", media.full(b"trex", struct.pack(">5I", 2, 1, 100, 8, 0x10000)))
+    start = media.box(b"moov", body, empty(2), trex)
+    samples = bytes(range(40))
+
+    def fragment(n_bytes):  # a run of three samples with sizes, the first a keyframe; then one of two with defaults
+        head = media.full(b"tfhd", struct.pack(">I", 2), flags=0x020000)
+        one = media.full(b"trun", struct.pack(">IiI3I", 3, n_bytes, 0, 4, 6, 10), flags=0x1 | 0x4 | 0x200)
+        two = media.full(b"trun", struct.pack(">I", 2))
+        return media.box(b"moof", media.full(b"mfhd", struct.pack(">I", 1)), media.box(b"traf", head, media.full(b"tfdt", struct.pack(">I", 500)), one, two))
+
+    moof = fragment(len(fragment(0)) + 8)
+    data = first[:moov_at] + start + moof + media.box(b"mdat", samples) + first[moov_at + moov_size :]
+    video, sound = media.read_tracks(data)
+    assert (video.number, video.codec, len(video.sizes)) == (1, "raw ", len(alone.sizes))
+    assert (sound.number, sound.codec, sound.handler, sound.sizes.tolist(), sound.times.tolist(), sound.duration) == (2, "mp4a", "soun", [4, 6, 10, 8, 8], [500, 600, 700, 800, 900], 1000)
+    assert sound.sync.tolist() == [0] and media.read_samples(data, sound) == samples[:36]
+    told = media.describe(data)
+    assert [t["track"] for t in told["tracks"]] == [1, 2] and told["codec"] == "raw " and told["tracks"][1]["keyframes"][0]["time"] == 500 / 48000
