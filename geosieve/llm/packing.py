@@ -5,14 +5,17 @@ is cut, its first piece being the shorter one. Lengths are at most the
 capacity, so their histogram is a table of at most that many rows whatever the
 corpus. The plan is made on the histogram:
 
-1. Linear grouping: large lengths, longest first, are split into GROUPS groups
-   of equal cardinality and rounded up to the longest of their group.
-2. Configurations of a few rounded sizes are chosen, the largest size first
-   with the companions that fill a sequence best, each used as often as its
-   groups allow.
-3. Actual lengths take the places of the rounded ones.
-4. Small lengths are best-fit into what is left, longest first; the rest open
-   new sequences.
+1. Linear grouping: lengths over a third of the capacity, longest first, are
+   split into GROUPS groups of equal cardinality and rounded up to the longest
+   of their group, so few sizes are left.
+2. At most two of these fit a sequence, so its configurations are pairs of
+   sizes and single ones. Taking the largest size left with the largest that
+   fits beside it, as often as both last, gives the most pairs there can be:
+   what fits beside a larger size also fits beside a smaller one.
+3. Actual lengths take the places of the rounded ones in the pairs.
+4. What rounding left single, and the small lengths, are best-fit into what
+   room there is, longest first, by their actual lengths; the rest open new
+   sequences. So rounding costs few sequences although groups are few.
 
 A plan is a list of ranges: of the pieces of a length, numbers lo to lo + n
 go to sequences base to base + n at an offset. Pieces get their number within
@@ -21,13 +24,16 @@ looks its range up in the broadcast plan, whose size depends on the capacity
 and not on the corpus.
 
 A null or empty text is a document of the end id alone. Repeated rows are
-packed each. Null ids are kept. Other columns don't matter.
+packed each. Null ids are kept. Of pieces of one length it doesn't matter
+which goes where; their order is by id, piece and digest within a salt of the
+same three, and equal pieces of equal rows may change places. Other columns
+don't matter.
 """
 
 from __future__ import annotations
 
 import zlib
-from bisect import bisect_right
+from collections import Counter
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -39,7 +45,7 @@ from pyspark.sql.window import Window as W
 from .common import Scratch, documents, small_batches, texts_of
 
 CAPACITY, END_ID = 1024, 2
-GROUPS, LARGE = 1024, 400
+GROUPS, LARGE = 192, CAPACITY // 3
 ENDOFTEXT, ENDOFTEXT_ID = "<|endoftext|>", 50256
 ROWS_PER_SALT = 20_000
 
@@ -91,9 +97,10 @@ class Plan:
     def __init__(self, histogram: dict[int, int], capacity: int = CAPACITY, groups: int = GROUPS, large: int = LARGE):
         self.capacity, self.taken = capacity, dict.fromkeys(histogram, 0)
         self.open: list[list[list]] = [[] for _ in range(capacity + 1)]
-        self.place_large({s: c for s, c in histogram.items() if s > large}, groups)
-        for s in sorted((s for s in histogram if s <= large), reverse=True):
-            self.best_fit(s, histogram[s])
+        left = self.place_large({s: c for s, c in histogram.items() if s > large}, groups)
+        left.update({s: c for s, c in histogram.items() if s <= large})
+        for s in sorted(left, reverse=True):
+            self.best_fit(s, left[s])
 
     def take(self, s: int, n: int) -> int:
         lo = self.taken[s]
@@ -104,10 +111,12 @@ class Plan:
         room = self.capacity - sum(s for s, _ in slots)
         self.open[room].append([n, room, slots])
 
-    def place_large(self, count: dict[int, int], groups: int) -> None:
+    def place_large(self, count: dict[int, int], groups: int) -> Counter[int]:
+        """Place pairs of large lengths by their groups; the lengths left single."""
+        single: Counter[int] = Counter()
         total = sum(count.values())
         if not total:
-            return
+            return single
         share = -(-total // groups)
         group: list[list[list[int]]] = [[]]  # runs of (length, count), longest first
         room = share
@@ -122,8 +131,13 @@ class Plan:
                 left, room = left - n, room - n
         size = [g[0][0] for g in group]
         left = [sum(n for _, n in g) for g in group]
-        for use in configurations(size, left, self.capacity):
-            self.substitute([(group[g], k) for g, k in use[1].items()], use[0])
+        for n, use in configurations(size, left, self.capacity):
+            if sum(use.values()) > 1:
+                self.substitute([(group[g], k) for g, k in use.items()], n)
+        for runs in group:
+            for s, n in runs:
+                single[s] += n
+        return single
 
     def substitute(self, slots: list[tuple[list[list[int]], int]], n: int) -> None:
         """n sequences of a configuration with actual lengths; runs of equal lengths keep the classes few."""
@@ -179,28 +193,12 @@ class Plan:
 
 
 def configurations(size: list[int], left: list[int], capacity: int = CAPACITY) -> Iterator[tuple[int, dict[int, int]]]:
-    """(times, {group: how many}) until all groups are used: the largest size with the up to three companions that fill best."""
+    """(times, {group: how many}) until all groups are used: the largest size left with the largest that fits beside it, or alone."""
     left = list(left)
     while any(left):
         at = next(i for i, n in enumerate(left) if n)
-        use = {at: 1}
-        room = capacity - size[at]
-        while room:
-            can = [i for i in range(at, len(size)) if left[i] > use.get(i, 0) and size[i] <= room]
-            if not can:
-                break
-            sizes = [size[i] for i in can]  # descending
-            rising = sizes[::-1]
-            best = (sizes[0], can[0])
-            for i, s in zip(can, sizes):  # with one more companion after it
-                k = bisect_right(rising, min(s, room - s)) - 1
-                if k >= 0:
-                    j = can[len(can) - 1 - k]
-                    if j != i or left[i] >= use.get(i, 0) + 2:
-                        best = max(best, (s + rising[k], i))
-            i = best[1]
-            use[i] = use.get(i, 0) + 1
-            room -= size[i]
+        beside = next((i for i in range(at, len(size)) if left[i] > (i == at) and size[at] + size[i] <= capacity), None)
+        use = {at: 1} if beside is None else {at: 2} if beside == at else {at: 1, beside: 1}
         times = min(left[i] // k for i, k in use.items())
         for i, k in use.items():
             left[i] -= times * k
