@@ -4,6 +4,10 @@ import hashlib
 import itertools
 import random
 import string
+import struct
+
+import regex
+import xxhash
 
 from geosieve.llm import syncmers
 from geosieve.llm.common import documents
@@ -100,3 +104,38 @@ def test_short_texts_have_anchors(spark):
     df = syncmers.with_fingerprint(syncmers.with_fingerprint(df, "a", "fa"), "b", "fb")
     for r in df.withColumn("near", syncmers.likeness(syncmers.hashes(df.fa), syncmers.hashes(df.fb))).collect():
         assert bool(r.fa) == bool(r.a) and (r.near == 1.0) == (not r.a and not r.b)
+
+
+UNPARTED = "".join(rf"\p{{Script={s}}}" for s in ("Han", "Hiragana", "Katakana", "Thai", "Lao", "Khmer", "Myanmar"))
+SPACE = r"[ \t\n\x0B\f\r]"
+UNITS = regex.compile(rf"(?<![^ \t\n\x0B\f\r])[^ \t\n\x0B\f\r{UNPARTED}]{{1,12}}+(?![^ \t\n\x0B\f\r])|[^ \t\n\x0B\f\r]")
+
+
+def anchors(text):
+    """(unit, hash) of the closed syncmers of four units, one after the other; of all units if there are none."""
+    signed = lambda x: x - (1 << 64) if x >> 63 else x
+    h = [signed(xxhash.xxh64_intdigest(u.encode(), 42)) for u in UNITS.findall(text)]
+    out = []
+    for i in range(len(h) - 3):
+        value = 42
+        for x in h[i : i + 4]:
+            value = xxhash.xxh64_intdigest(struct.pack("<q", x), value)
+        if min(h[i], h[i + 3]) <= min(h[i + 1], h[i + 2]):
+            out.append((i, value & 0xFFFFFFFF))
+    return out or [(i, x & 0xFFFFFFFF) for i, x in enumerate(h)]
+
+
+def test_query_by_hand(spark):
+    """All columns of the query again, without Spark."""
+    jaccard = lambda a, b: len(a & b) / len(a | b) if a | b else 1.0
+    docs = sorted((r.doc_id, r.text or "") for r in documents(spark, "/root/testdata/sf0.01").collect())
+    rows = {r.doc_id: r for r in syncmers.op8_syncmer_fingerprints(spark, "/root/testdata/sf0.01").collect()}
+    assert len(rows) == len(docs)
+    for i, (d, t) in enumerate(docs):
+        after, half, r = docs[(i + 1) % len(docs)][1], len(t) // 2, rows[d]
+        edited = t[: len(t) - half] + after[:half]
+        own, other = anchors(t), anchors(edited)
+        assert [tuple(x) for x in r.fingerprint] == own and [tuple(x) for x in r.edited_fingerprint] == other
+        assert (r.n_chars, r.edited_sha256) == (len(t), hashlib.sha256(edited.encode()).hexdigest())
+        hashes = [{h for _, h in x} for x in (own, other, anchors(after))]
+        assert abs(r.near_edited - jaccard(*hashes[:2])) < 1e-12 and abs(r.near_next - jaccard(hashes[0], hashes[2])) < 1e-12
