@@ -8,10 +8,21 @@ from pyspark.sql import functions as F
 #: Characters folded before quotes are compared.
 FOLD_FROM, FOLD_TO = "‘’“”–—×", "''\"\"--x"
 #: Words that say nothing about who owns a parcel, and those that say little.
-STOP_WORDS = ("llc", "inc", "lp", "ltd", "co", "corp", "company", "the", "of", "and", "trust", "trustee", "et", "al")
-GENERIC_WORDS = ("land", "holdings", "properties", "property", "group", "family", "partners", "investments", "development", "farms")
-#: Street words by their short form.
-STREET = {"street": "st", "avenue": "ave", "road": "rd", "drive": "dr", "lane": "ln", "boulevard": "blvd", "highway": "hwy", "north": "n", "south": "s", "east": "e", "west": "w"}
+STOP_WORDS = (
+    "et", "al", "etal", "etux", "llc", "lp", "llp", "ltd", "inc", "co", "corp", "tr", "trust", "trustee", "the", "and", "family",
+    "est", "estate", "of", "ptshp", "partnership", "living", "revocable",
+)
+GENERIC_WORDS = (
+    "land", "lands", "property", "properties", "holdings", "development", "investments", "investment", "partners", "group", "texas",
+    "association", "owners", "commercial", "real", "ranch", "cattle", "capital", "ventures", "enterprises", "management", "company",
+)
+#: Street words and what they are read as, and words that don't tell streets apart.
+STREET = {"county": "cr", "co": "cr", "road": "rd", "street": "st", "highway": "hwy", "farm": "fm", "drive": "dr", "lane": "ln"}
+STREET_SKIP = ("rd", "st", "dr", "ln", "ave", "blvd", "n", "s", "e", "w", "tx", "us")
+#: How names begin that a source publishes where it has none.
+NO_NAME = r"^(UNKNOWN|NOT AVAIL)"
+#: Owners of a subdivision's common areas.
+COMMON_AREA = r"(?i)\b(HOME ?OWNERS?|PROPERTY OWNERS|OWNERS ASS(OC|N)|HOA|COMMUNITY ASS(OC|N)|MASTER ASS(OC|N))"
 #: The first month of a quarter's middle and of a season.
 QUARTER_MONTHS = {"1": 2, "2": 5, "3": 8, "4": 11}
 SEASON_MONTHS = {"spring": 4, "summer": 7, "fall": 10, "autumn": 10, "winter": 1}
@@ -60,8 +71,8 @@ def split_tag(text: Column) -> tuple[Column, Column]:
 
 
 def tag_level(tag: Column, levels: list[tuple[str, str]]) -> Column:
-    """The level of the first pattern that a tag matches; none gives null."""
-    out = F.lit(None).cast("string")
+    """The level of the first pattern that a tag matches; no tag gives null, one that matches none ends the run."""
+    out = F.when(tag.isNotNull(), F.raise_error(F.concat(F.lit("unknown tag: "), tag))).cast("string")
     for pattern, level in reversed(levels):
         out = F.when(tag.rlike(pattern), level).otherwise(out)
     return out
@@ -82,18 +93,118 @@ def same_owner(a: Column, b: Column) -> Column:
 
 
 def address_parts(address: Column) -> Column:
-    """struct(number, words) of a street address, street words in short form."""
-    words = F.regexp_extract_all(F.lower(address), F.lit(r"[a-z0-9]+"), F.lit(0))
+    """struct(number, words) of the street part before the first comma, street words folded; null without a house number."""
+    street = F.upper(F.split(address, ",", 2)[0])
+    words = F.regexp_extract_all(F.lower(F.regexp_extract(street, r"^\s*\d+\s+(.+)", 1)), F.lit(r"[a-z0-9]+"), F.lit(0))
     short = F.create_map(*[F.lit(x) for kv in STREET.items() for x in kv])
-    number = F.nullif(F.regexp_extract(address, r"^\s*(\d+)", 1), F.lit(""))
-    named = F.filter(F.transform(words, lambda w: F.coalesce(F.element_at(short, w), w)), lambda w: ~w.rlike(r"^\d+$"))
-    return F.struct(number.alias("number"), F.array_distinct(named).alias("words"))
+    folded = F.array_distinct(F.transform(words, lambda w: F.coalesce(F.element_at(short, w), w)))
+    told = F.array_except(folded, F.array(*map(F.lit, STREET_SKIP)))
+    return F.when(street.rlike(r"^\s*\d+\s+."), F.struct(F.regexp_extract(street, r"^\s*(\d+)", 1).alias("number"), told.alias("words")))
 
 
 def same_address(a: Column, b: Column) -> Column:
-    """Same house number and a shared word that isn't a street word."""
-    shared = F.array_except(F.array_intersect(a["words"], b["words"]), F.array(*map(F.lit, STREET.values())))
-    return F.coalesce((a["number"] == b["number"]) & (F.size(shared) > 0), F.lit(False))
+    """Same house number and a shared telling word of the street."""
+    return F.coalesce((a["number"] == b["number"]) & (F.size(F.array_intersect(a["words"], b["words"])) > 0), F.lit(False))
+
+
+def known_name(name: Column) -> Column:
+    """A trimmed name, null where the source has none."""
+    trimmed = F.trim(name)
+    return F.when((trimmed != "") & ~F.upper(trimmed).rlike(NO_NAME), trimmed)
+
+
+def circuit_name(one: Column, other: Column) -> Column:
+    """A line's name from the substations at its ends, those without a name left out."""
+    return F.concat_ws(" - ", known_name(one), known_name(other))
+
+
+def substation_label(name: Column) -> Column:
+    """A substation's name, or what stands for one in brackets."""
+    trimmed = F.trim(F.coalesce(name, F.lit("")))
+    return F.coalesce(known_name(name), F.when(trimmed == "", "[unnamed]").otherwise(F.concat(F.lit("[unnamed "), trimmed, F.lit("]"))))
+
+
+def typed(text: Column) -> Column:
+    """struct(kind, number) of a CSV value: none, bool (1 or 0), int, float or text; a number with a point is a float."""
+    number = F.when(text.rlike(r"^\s*[+-]?(\d[\d_]*\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"), text.try_cast("double"))
+    whole = (number == F.floor(number)) & ~F.contains(text, F.lit("."))
+    kind = F.when(F.coalesce(text, F.lit("")) == "", "none").when(text.isin("True", "False"), "bool").when(number.isNull(), "text").when(whole, "int").otherwise("float")
+    return F.struct(kind.alias("kind"), F.when(kind == "bool", (text == "True").cast("double")).otherwise(number).alias("number"))
+
+
+def property_by_name(properties: Column, name: Column | str) -> Column:
+    """The first property of a map whose name is the one asked for, in any case."""
+    wanted = F.lower(F.lit(name) if isinstance(name, str) else name)
+    return F.get(F.filter(F.map_entries(properties), lambda e: F.lower(e["key"]) == wanted), F.lit(0))["value"]
+
+
+def property_by_suffix(properties: Column, suffix: str) -> Column:
+    """The first property of a map whose name ends so, in any case."""
+    return F.get(F.filter(F.map_entries(properties), lambda e: F.upper(e["key"]).endswith(suffix.upper())), F.lit(0))["value"]
+
+
+def preferred_acres(properties: Column) -> Column:
+    """struct(acres, name): of positive numbers in acre-like properties a deeded one, then a computed one, then any; ties by name."""
+    rank = lambda k: F.when(k.rlike("(?i)deed"), 0).when(k.rlike("(?i)calc|gis|total"), 1).otherwise(2)
+    rows = F.transform(F.map_entries(properties), lambda e: F.struct(rank(e["key"]).alias("rank"), e["key"].alias("name"), F.trim(e["value"]).try_cast("double").alias("acres")))
+    best = F.array_min(F.filter(rows, lambda r: r["name"].rlike("(?i)acre|acres|_ac$|^ac$") & (r["acres"] > 0)))
+    return F.struct(best["acres"].alias("acres"), best["name"].alias("name"))
+
+
+def number_text(x: Column, suffix: str = "") -> Column:
+    """A number for reading: thousands by commas, one decimal only under 100 and if it has a fraction; none is a dash."""
+    short = F.when((F.abs(x) >= 100) | (x == F.floor(x)), F.format_number(F.bround(x), 0)).otherwise(F.format_number(x, 1))
+    return F.coalesce(F.concat(short, F.lit(suffix)), F.lit("—"))
+
+
+def market_of(section: Column) -> Column:
+    """The market a section's heading names, in title case."""
+    name = F.split(F.split(section, r" \(", 2)[0], " · ", 2)[0]
+    return F.regexp_replace(F.initcap(name), "Msa", "MSA")
+
+
+def nearest_text(metres: Column, status: Column, about: Column) -> Column:
+    """A distance in words, or within what none was found, as method or note say it."""
+    radius = F.nullif(F.regexp_extract(about, r"within (\d+) m", 1), F.lit("")).cast("double") / 1000
+    none = F.concat(F.lit("none within "), F.regexp_replace(radius.cast("string"), r"\.0$", ""), F.lit(" km"))
+    return F.when(metres.isNotNull(), F.concat(F.format_number(metres, 0), F.lit(" m"))).when((status == "absent") & radius.isNotNull(), none).otherwise("—")
+
+
+def first_power(text: Column) -> Column:
+    """"now" or the year of an availability text."""
+    return F.when(text.rlike(r"(?i)immediate|now\b"), "now").otherwise(F.nullif(F.regexp_extract(text, r"\b(20\d\d)\b", 1), F.lit("")))
+
+
+def power_span(firsts: Column) -> Column:
+    """The aggregate span of first_power values: "now" before years; one value alone, none a dash."""
+    now, least, most = F.bool_or(firsts == "now"), F.min(F.when(firsts != "now", firsts)), F.max(F.when(firsts != "now", firsts))
+    low, high = F.when(now, "now").otherwise(least), F.coalesce(most, F.lit("now"))
+    return F.when(F.count(firsts) == 0, "—").when(low == high, low).otherwise(F.concat(low, F.lit("–"), high))
+
+
+def tract_acres(words: Column) -> Column:
+    """The acreage that stands in words."""
+    return F.nullif(F.regexp_extract(words, r"(?i)(\d+(?:\.\d+)?)\s*(?:ac|acres?)\b", 1), F.lit("")).cast("double")
+
+
+def fiber_text(status: Column, carrier: Column, nrc: Column, route1: Column, route2: Column) -> Column:
+    """What is said of fibre: a quote with carrier, cost and both routes, else the status in words."""
+    quoted = F.when(nrc.isNotNull(), F.concat(F.coalesce(carrier, F.lit("")), F.lit(" build $"), F.format_number(nrc / 1e6, 2), F.lit("M"))).otherwise("quoted")
+    routes = F.when(route1.isNotNull() & route2.isNotNull(), F.concat(F.lit("; routes "), number_text(route1), F.lit(" / "), number_text(route2), F.lit(" ft"))).otherwise("")
+    return F.when(status.isNull(), "").when(status != "quoted", F.translate(status, "_", " ")).otherwise(F.concat(quoted, routes))
+
+
+def substation_claim(words: Column) -> Column:
+    """struct(claim, miles) of what is said of a substation: adjacent, at a distance, or neither."""
+    miles = F.nullif(F.regexp_extract(words, r"~?\s*(\d+(?:\.\d+)?)\s*mi\b", 1), F.lit("")).cast("double")
+    claim = F.when(F.contains(F.lower(words), F.lit("adjacent")), "adjacent").when(miles.isNotNull(), "distance")
+    return F.struct(claim.alias("claim"), miles.alias("miles"))
+
+
+def name_tokens(name: Column) -> Column:
+    """The words of a substation's name that can tell it apart: over two letters and none of the usual ones."""
+    words = F.regexp_extract_all(F.lower(name), F.lit("[a-z]+"), F.lit(0))
+    return F.filter(F.array_except(words, F.array(*map(F.lit, ("road", "sub", "substation", "new")))), lambda w: F.length(w) > 2)
 
 
 def split_address(text: Column) -> Column:
@@ -112,11 +223,11 @@ def months_until(text: Column, year: Column, month: Column) -> Column:
     """
     t = F.lower(text)
     pick = lambda pattern, i: F.regexp_extract(t, pattern, i)
-    quarter, season = r"\bq([1-4])\s*(20\d\d)", r"\b(spring|summer|fall|autumn|winter)\s*(20\d\d)"
-    ending, span, plain = r"\bend[ -]of[ -](20\d\d)", r"\b20\d\d\s*-\s*(?:20)?(\d\d)\b", r"\b(20\d\d)\b"
+    quarter, season = r"\bq([1-4])\s*(20\d\d)", r"\b(spring|summer|fall|autumn|winter)\b[^0-9]*(20\d\d)"
+    ending, span, plain = r"\bend-(20\d\d)", r"20\d\d\s*[-–]\s*(\d\d)\b", r"(20\d\d)"
     whole = lambda y, m: y.try_cast("int") * 12 + m - (year * 12 + month)
     out = (
-        F.when(t.rlike(r"\b(now|immediate|immediately)\b"), 0)
+        F.when(t.rlike(r"\bimmediate|\bnow\b"), 0)
         .when(t.rlike(quarter), whole(pick(quarter, 2), either(pick(quarter, 1), QUARTER_MONTHS)))
         .when(t.rlike(season), whole(pick(season, 2), either(pick(season, 1), SEASON_MONTHS)))
         .when(t.rlike(ending), whole(pick(ending, 1), F.lit(12)))
