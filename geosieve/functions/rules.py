@@ -18,6 +18,26 @@ PRIORITIES = ("Low", "Medium", "High")
 SCREENED, INSUFFICIENT = "Screened out", "Insufficient information"
 IMPORTANT, SUPPORTING = ("investment", "land", "site_control", "community"), ("connectivity", "market")
 CARRYING = ("investment", "land", "site_control")
+#: The wording of what moved a priority.
+CAUSES = {
+    "ceiling_high": "pass on every key dimension",
+    "ceiling_medium": "power not firm near term (Power 3)",
+    "ceiling_low": "power too little or too late (Power 2 or below)",
+    "investment": "high cost to get ready",
+    "land": "not enough buildable land",
+    "site_control": "no site control",
+    "community": "community opposition or close neighbors",
+    "connectivity": "weak connectivity",
+    "market": "far from a major market",
+    "screeners": "site risk not checked",
+    "known": "too little site information",
+    "core": "cost, land and site control not strong enough for High",
+    "moratorium": "local moratorium",
+    "no_power": "no power information",
+    "screened": "failed a screener",
+}
+#: What a stage of site control scores, but for letters of intent and negotiations.
+STAGES = {"under_contract": 5, "owner_identified": 3, "tract_identified": 3, "no_site_yet": 1, "no_site_control": 1}
 
 
 @dataclass(frozen=True)
@@ -32,27 +52,36 @@ class Parameters:
     most_weak: int = 2
     known_for_high: int = 2
     strong: int = 4
+    near_months: int = 12
+    far_months: int = 36
+    acres_a_mw: float = 0.5
+    audit_mw: float = 25.0
 
 
-def power_score(mw: Column, certainty: Column, no_capacity: Column, path_to_more: Column, p: Parameters = Parameters()) -> Column:
+def parameter(name: str, p: Parameters | str) -> Column:
+    """A parameter's value, or a row's own where p names a struct column with Parameters."""
+    return F.col(f"{p}.{name}") if isinstance(p, str) else F.lit(getattr(p, name))
+
+
+def power_score(mw: Column, certainty: Column, no_capacity: Column, path_to_more: Column, p: Parameters | str = Parameters()) -> Column:
     """5 less a step for the amount and one for each level of certainty (0 to 3), at least 3 for the two surest."""
-    step = F.when(mw >= p.full_mw, 0).when(mw >= p.mid_mw, 1).otherwise(2)
+    step = F.when(mw >= parameter("full_mw", p), 0).when(mw >= parameter("mid_mw", p), 1).otherwise(2)
     base = F.greatest(F.lit(1), 5 - step - certainty)
     score = F.when(certainty <= 1, F.greatest(F.lit(3), base)).otherwise(base)
     return (
         F.when(no_capacity, 1)
         .when(mw.isNull() | certainty.isNull(), F.lit(None))
-        .when(mw < p.least_mw, F.when(path_to_more, F.lit(None)).otherwise(1))
+        .when(mw < parameter("least_mw", p), F.when(path_to_more, F.lit(None)).otherwise(1))
         .otherwise(score)
     ).cast("int")
 
 
-def certainty(months: Column, requested: Column, early: Column, mw_tag: Column, date_tag: Column) -> Column:
+def certainty(months: Column, requested: Column, early: Column, mw_tag: Column, date_tag: Column, p: Parameters | str = Parameters()) -> Column:
     """0 (written, near) to 3 (far or only asked for). early: the timing speaks of a near term or a study."""
     dated = (
-        F.when(months > 36, 3)
+        F.when(months > parameter("far_months", p), 3)
         .when(requested, 2)
-        .when((mw_tag == "written") & (date_tag == "written") & (months <= 12), 0)
+        .when((mw_tag == "written") & (date_tag == "written") & (months <= parameter("near_months", p)), 0)
         .when(mw_tag.isin("written", "prescreen", "utility estimate"), 1)
         .otherwise(2)
     )
@@ -66,15 +95,18 @@ def capped(score: Column, confidence: Column) -> Column:
     return F.when(cap.isNotNull(), F.least(score, F.when(score.isNotNull(), cap))).cast("int")
 
 
-def with_indicated(df: DataFrame, screeners: tuple[str, ...], p: Parameters = Parameters(), out: str = "indicated", prefix: str = "s_", confidence: str = "conf_", varied: str | None = None) -> DataFrame:
-    """Add ``out``, struct(priority, reasons): screens, then power's ceiling, then steps down and caps, in order.
+def with_indicated(df: DataFrame, screeners: tuple[str, ...], p: Parameters = Parameters(), out: str = "indicated", prefix: str = "s_", confidence: str = "conf_", varied: str | None = None, adjustments: Column | None = None) -> DataFrame:
+    """Add ``out``, struct(priority, reasons, flags), with adjustments also causes: screens, then power's ceiling, then steps down and caps, in order.
+
+    Flags name weak supporting dimensions that nothing sure is known of. Causes
+    are what moved the priority, in order, the adjustments given included.
 
     Capped scores are in prefix + dimension, confidences in confidence +
     dimension; screeners are passed, failed or not assessed. ``varied`` names a
     struct column with Parameters of a row's own. Steps are columns of their
     own, so no step's expression is written out again in those after it.
     """
-    param = lambda n: F.col(f"{varied}.{n}") if varied else F.lit(getattr(p, n))
+    param = lambda n: parameter(n, varied or p)
     score = lambda d: F.col(prefix + d)
     sure = lambda d: F.coalesce(F.col(confidence + d).isin("high", "medium"), F.lit(False))
     low = lambda d, n: F.coalesce(score(d) <= n, F.lit(False))
@@ -108,8 +140,45 @@ def with_indicated(df: DataFrame, screeners: tuple[str, ...], p: Parameters = Pa
     )
     name = F.get(F.array(*map(F.lit, PRIORITIES)), F.col("_final"))
     priority = F.when(F.col("_failed"), SCREENED).when(score("power").isNull(), INSUFFICIENT).otherwise(name)
-    df = df.withColumn(out, F.struct(priority.alias("priority"), F.when(F.col("_failed"), F.array(F.lit("screener failed"))).otherwise(reasons).alias("reasons")))
-    return df.drop("_moratorium", "_ceiling", "_weak", "_supporting", "_open", "_failed", "_few", "_idle", "_level", "_final")
+    unsure = [F.when(~F.col("_failed") & low(d, 1) & ~sure(d), F.lit(f"{d} 1 at low confidence: flagged, not applied")) for d in SUPPORTING]
+    told = F.when(F.col("_failed"), F.array(F.lit("screener failed"))).otherwise(reasons)
+    fields = [priority.alias("priority"), told.alias("reasons"), F.array_compact(F.array(*unsure)).alias("flags")]
+    if adjustments is not None:
+        df = _with_causes(df, score, low, sure, param, adjustments)
+        causes = F.when(F.col("_failed"), F.array(F.lit(CAUSES["screened"]))).when(score("power").isNull(), F.array(F.lit(CAUSES["no_power"]))).otherwise(F.col("_causes"))
+        fields.append(causes.alias("causes"))
+    return df.withColumn(out, F.struct(*fields)).drop("_causes", "_moratorium", "_ceiling", "_weak", "_supporting", "_open", "_failed", "_few", "_idle", "_level", "_final")
+
+
+def _with_causes(df: DataFrame, score, low, sure, param, adjustments: Column) -> DataFrame:
+    """Add _causes, those of all steps after which the priority is another than before, from the steps' columns of with_indicated."""
+    step = lambda cause, level: F.struct(cause.alias("cause"), level.cast("int").alias("level"))
+    ceiling, weak, level = F.col("_ceiling"), F.col("_weak"), F.col("_level")
+    is_weak = {d: low(d, param("weak")) & (~F.col("_moratorium") if d == "community" else F.lit(True)) for d in IMPORTANT}
+    after = F.when(weak >= param("most_weak"), 0).when(weak == 1, F.greatest(F.lit(0), ceiling - 1)).otherwise(ceiling)
+    first, second = [(low(d, 1) & sure(d)).cast("int") for d in SUPPORTING]
+    high, opened, few = level == 2, F.col("_open"), F.col("_few")
+    moratorium = F.col("_moratorium")
+    steps = [
+        step(F.when(ceiling == 2, CAUSES["ceiling_high"]).when(ceiling == 1, CAUSES["ceiling_medium"]).otherwise(CAUSES["ceiling_low"]), ceiling),
+        F.when(weak >= 1, step(F.concat_ws(" + ", *[F.when(w, CAUSES[d]) for d, w in is_weak.items()]), after)),
+        F.when(first == 1, step(F.lit(CAUSES[SUPPORTING[0]]), F.greatest(F.lit(0), after - 1))),
+        F.when(second == 1, step(F.lit(CAUSES[SUPPORTING[1]]), F.greatest(F.lit(0), after - first - 1))),
+        F.when(high & opened, step(F.lit(CAUSES["screeners"]), F.lit(1))),
+        F.when(high & ~opened & few, step(F.lit(CAUSES["known"]), F.lit(1))),
+        F.when(high & ~opened & ~few & F.col("_idle"), step(F.lit(CAUSES["core"]), F.lit(1))),
+        F.when(moratorium, step(F.lit(CAUSES["moratorium"]), F.lit(0))),
+    ]
+    # Columns of their own, so that no step is written out again for each that looks at the one before it.
+    df = df.withColumns({"_steps": F.array(*steps), "_adjustments": adjustments})
+    name = lambda a: F.concat(F.trim(F.split(a["reason"], ":", 2)[0]), F.when(a["dir"] > 0, " (up)").otherwise(""))
+    total = lambda i: F.aggregate(F.slice("_adjustments", 1, i + 1), F.col("_final").cast("int"), lambda s, a: s + a["dir"].cast("int"))
+    moved = F.transform("_adjustments", lambda a, i: step(name(a), F.least(F.lit(2), F.greatest(F.lit(0), total(i)))))
+    df = df.withColumn("_all", F.concat(F.array_compact("_steps"), moved))
+    before = lambda i: F.coalesce(F.get("_all", i - 1)["level"], F.lit(2))
+    df = df.withColumn("_kept", F.filter("_all", lambda s, i: s["level"] != before(i)))
+    named = F.when(F.size("_kept") > 0, F.transform("_kept", lambda s: s["cause"])).otherwise(F.array(F.lit(CAUSES["ceiling_high"])))
+    return df.withColumn("_causes", named).drop("_steps", "_adjustments", "_all", "_kept")
 
 
 def assigned(priority: Column, adjustments: Column) -> Column:
@@ -138,9 +207,60 @@ def investment_score(cost_musd: Column, mw: Column) -> Column:
     return F.when(cost_musd.isNull(), F.lit(None)).when(each <= 0.1, 5).when(each <= 0.25, 4).when(each <= 1.0, 3).when(each <= 3.4, 2).otherwise(1).cast("int")
 
 
-def land_score(acres: Column, mw: Column) -> Column:
+def land_score(acres: Column, mw: Column, p: Parameters | str = Parameters()) -> Column:
     """4 with room for the load at half an acre a megawatt, at least one acre, else 3."""
-    return F.when(acres.isNull(), F.lit(None)).when(acres >= F.greatest(F.lit(1.0), 0.5 * F.coalesce(mw, F.lit(0.0))), 4).otherwise(3).cast("int")
+    need = F.greatest(F.lit(1.0), parameter("acres_a_mw", p) * F.coalesce(mw, F.lit(0.0)))
+    return F.when(acres.isNull(), F.lit(None)).when(acres >= need, 4).otherwise(3).cast("int")
+
+
+def buildable_acres(acres: Column, sfha_pct: Column, wetland_pct: Column, checked: Column) -> Column:
+    """Acres less the shares in flood zones and wetlands, which are taken off only where the ground was checked."""
+    share = F.least(F.lit(1.0), (F.coalesce(sfha_pct, F.lit(0.0)) + F.coalesce(wetland_pct, F.lit(0.0))) / 100)
+    return acres * (1 - F.when(checked, share).otherwise(0.0))
+
+
+def best_phase(phases: DataFrame, key: str, ordinal: str, p: Parameters | str = Parameters()) -> DataFrame:
+    """The phase of each key whose megawatts by its date score best, the first of equals: score, mw, months, certainty.
+
+    phases: key, ordinal, mw, months, requested, early, mw_tag, date_tag; an unknown score counts as 0 here.
+    """
+    sure = certainty(*[F.col(c) for c in ("months", "requested", "early", "mw_tag", "date_tag")], p)
+    rows = phases.withColumn("_c", sure)
+    rows = rows.withColumn("_s", F.coalesce(power_score(F.col("mw"), F.col("_c"), F.lit(False), F.lit(False), p), F.lit(0)))
+    best = F.max(F.struct("_s", (-F.col(ordinal)).alias("_minus"), "mw", "months", "_c"))
+    out = rows.groupBy(key).agg(best.alias("b"))
+    return out.select(key, F.col("b._s").alias("score"), F.col("b.mw").alias("mw"), F.col("b.months").alias("months"), F.col("b._c").alias("certainty"))
+
+
+def site_control(stage: Column, quote: Column, reading: Column) -> Column:
+    """struct(score, confidence) of the stage of site control; a reading of ours comes first, a letter of intent makes a 4."""
+    known = F.element_at(F.create_map(*[F.lit(x) for kv in STAGES.items() for x in kv]), stage)
+    score = F.when(stage == "loi_or_negotiating", F.when(F.coalesce(quote, F.lit("")).rlike(r"\bLOI\b"), 4).otherwise(3)).otherwise(known)
+    score = F.coalesce(reading, score).cast("int")
+    return F.struct(score.alias("score"), F.when(score.isNull(), "none").otherwise("medium").alias("confidence"))
+
+
+def connectivity(status: Column, carriers: Column, two_routes: Column, level: Column, providers: Column) -> Column:
+    """struct(score, confidence): from a quote's carriers and routes, else from how many providers are near."""
+    quoted = F.when(carriers >= 2, 5).when(two_routes, 4).otherwise(3)
+    rough = F.coalesce(level, F.lit("")).rlike("(?i)1|desktop") | (F.coalesce(level, F.lit("")) == "")
+    near = F.when(providers >= 2, 3).when(providers == 1, 2).when(providers.isNotNull(), 1)
+    is_ = F.coalesce(status == "quoted", F.lit(False))
+    confidence = F.when(is_, F.when(rough, "medium").otherwise("high")).when(providers.isNull(), "none").otherwise("low")
+    return F.struct(F.when(is_, quoted).otherwise(near).cast("int").alias("score"), confidence.alias("confidence"))
+
+
+def community_confidence(zoning: Column, tag: Column, confirmed: Column, news: Column) -> Column:
+    """How sure a community score is: by the zoning's tag, at most medium off confirmed sites, at least medium with bad news."""
+    by_zoning = F.when((zoning == "no_zoning") | (tag == "written"), "high").when(zoning == "unclear", "low").otherwise("medium")
+    held = F.when(~confirmed & (by_zoning == "high"), "medium").otherwise(by_zoning)
+    return F.when(F.coalesce(news.isin("moratorium", "negative"), F.lit(False)) & (held == "low"), "medium").otherwise(held)
+
+
+def audit_adjustment(mw: Column, p: Parameters | str = Parameters()) -> Column:
+    """The adjustments that a large request brings: one step down while its grid audit is open."""
+    one = F.array(F.struct(F.lit(-1).alias("dir"), F.concat(F.lit("Grid audit: "), mw.cast("string"), F.lit(" MW request")).alias("reason")))
+    return F.when(mw >= parameter("audit_mw", p), one).otherwise(F.array().cast("array<struct<dir:int,reason:string>>"))
 
 
 def community_score(zoning: Column, news: Column, receptor_m: Column, homes: Column, confirmed: Column) -> Column:

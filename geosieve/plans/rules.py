@@ -251,3 +251,128 @@ def evidence_validator(t: Tables) -> DataFrame:
         "kind": ~F.col("kind").isin("actual", "target", "range_low", "range_high", "estimate"),
     }
     return rows.select("id", F.explode(F.array_compact(F.array(*[F.when(c, F.lit(n)) for n, c in checks.items()]))).alias("violation"))
+
+
+CAUSE = r.CAUSES
+
+
+@query(f"""WITH {dims_sql()}, {priority_sql()}, m AS (SELECT *, s_connectivity = 1 AND {"conf_connectivity IN ('high', 'medium')"} AS w1, s_market = 1 AND conf_market IN ('high', 'medium') AS w2, risk <> 'passed' OR control <> 'passed' AS open_,
+        CASE WHEN weak >= 2 THEN 0 WHEN weak = 1 THEN greatest(0, ceiling - 1) ELSE ceiling END AS after FROM priority),
+    steps AS (SELECT *, list_concat(list_filter([{{'c': CASE ceiling WHEN 2 THEN '{CAUSE["ceiling_high"]}' WHEN 1 THEN '{CAUSE["ceiling_medium"]}' ELSE '{CAUSE["ceiling_low"]}' END, 'l': ceiling}},
+        CASE WHEN weak >= 1 THEN {{'c': concat_ws(' + ', CASE WHEN s_investment <= 2 THEN '{CAUSE["investment"]}' END, CASE WHEN s_land <= 2 THEN '{CAUSE["land"]}' END, CASE WHEN s_site_control <= 2 THEN '{CAUSE["site_control"]}' END, CASE WHEN s_community <= 2 AND NOT mora THEN '{CAUSE["community"]}' END), 'l': after}} END,
+        CASE WHEN w1 THEN {{'c': '{CAUSE["connectivity"]}', 'l': greatest(0, after - 1)}} END, CASE WHEN w2 THEN {{'c': '{CAUSE["market"]}', 'l': greatest(0, after - 1 - CASE WHEN w1 THEN 1 ELSE 0 END)}} END,
+        CASE WHEN level = 2 AND open_ THEN {{'c': '{CAUSE["screeners"]}', 'l': 1}} WHEN level = 2 AND known < 2 THEN {{'c': '{CAUSE["known"]}', 'l': 1}} WHEN level = 2 AND NOT ((coalesce(s_investment >= 4, false) OR coalesce(s_land >= 4, false) OR coalesce(s_site_control >= 4, false)) AND NOT (coalesce(s_investment <= 2, false) OR coalesce(s_land <= 2, false) OR coalesce(s_site_control <= 2, false))) THEN {{'c': '{CAUSE["core"]}', 'l': 1}} END, CASE WHEN mora THEN {{'c': '{CAUSE["moratorium"]}', 'l': 0}} END], lambda x: x IS NOT NULL),
+        list_filter([CASE WHEN k % 4 = 0 THEN {{'c': 'large request (up)', 'l': least(2, final + 1)}} END, CASE WHEN k % 6 = 0 THEN {{'c': 'long lead', 'l': greatest(0, least(2, final - 1 + CASE WHEN k % 4 = 0 THEN 1 ELSE 0 END))}} END,
+            CASE WHEN k % 6 = 0 THEN {{'c': 'one access road', 'l': greatest(0, final - 2 + CASE WHEN k % 4 = 0 THEN 1 ELSE 0 END)}} END], lambda x: x IS NOT NULL)) AS s FROM m),
+    c AS (SELECT *, [s[i].c for i in range(1, len(s) + 1) if s[i].l <> CASE WHEN i = 1 THEN 2 ELSE s[i - 1].l END] AS moved FROM steps)
+    SELECT k, CASE WHEN priority = 'Screened out' THEN '{CAUSE["screened"]}' WHEN priority = 'Insufficient information' THEN '{CAUSE["no_power"]}' WHEN len(moved) = 0 THEN '{CAUSE["ceiling_high"]}' ELSE array_to_string(moved, ' > ') END AS causes,
+        CASE WHEN priority = 'Screened out' THEN '' ELSE concat_ws('; ', CASE WHEN s_connectivity = 1 AND NOT coalesce(w1, false) THEN 'connectivity' END, CASE WHEN s_market = 1 AND NOT coalesce(w2, false) THEN 'market' END) END AS flagged FROM c""".replace("AS w1", "AS w1").replace("s_connectivity = 1 AND conf_", "coalesce(s_connectivity = 1, false) AND conf_").replace("s_market = 1 AND conf_", "coalesce(s_market = 1, false) AND conf_"))
+def priority_causes(t: Tables) -> DataFrame:
+    """Every step that moved a site's priority, adjustments included, in order, and the flags."""
+    rows = r.with_indicated(dim_rows(t), ("risk", "control"), adjustments=adjustments())
+    flagged = F.transform(F.col("indicated.flags"), lambda f: F.split(f, " ", 2)[0])
+    return rows.select("k", F.array_join("indicated.causes", " > ").alias("causes"), F.array_join(flagged, "; ").alias("flagged"))
+
+
+@query(f"""WITH {dims_sql()}, {priority_sql()}, c AS (SELECT k, priority, CASE WHEN priority IN ('Screened out', 'Insufficient information') THEN priority WHEN weak >= 2 THEN 'two weak' WHEN weak = 1 THEN 'one weak' ELSE 'none weak' END AS cause FROM priority),
+    g AS (SELECT priority, cause, count(*) AS n, min(k) AS first FROM c GROUP BY ALL), f AS (SELECT priority, cause, k, row_number() OVER (PARTITION BY priority, cause ORDER BY k) AS i FROM c)
+    SELECT g.priority, g.cause, n, string_agg(CAST(k AS VARCHAR), ', ' ORDER BY k) || CASE WHEN n > 5 THEN ' +' || (n - 5) || ' more' ELSE '' END AS sites, CAST(row_number() OVER (PARTITION BY g.priority ORDER BY n DESC, first) AS INTEGER) AS place FROM g JOIN f ON g.priority = f.priority AND g.cause = f.cause AND i <= 5 GROUP BY g.priority, g.cause, n, first""")
+def cause_paths(t: Tables) -> DataFrame:
+    """Priorities with the cause of each site, how many sites share it and which, the largest first."""
+    rows = r.with_indicated(dim_rows(t), ("risk", "control"))
+
+    def caused(s):
+        weak = F.regexp_extract(F.array_join(s["reasons"], ";"), r"(\d) weak", 1)
+        cause = F.when(s["priority"].isin(r.SCREENED, r.INSUFFICIENT), s["priority"]).when(weak == "", "none weak").when(weak == "1", "one weak").otherwise("two weak")
+        return F.struct(s["priority"].alias("priority"), cause.alias("cause"))
+
+    # Inlined, so that the rules are worked out once and not written out again for each use of their result.
+    return cause_groups(rows.select("k", F.inline(F.transform(F.array("indicated"), caused))))
+
+
+def cause_groups(rows: DataFrame, listed: int = 5) -> DataFrame:
+    """rows(k, priority, cause) by priority and cause: how many, the first few keys with how many more, and the place by number, then first key."""
+    from pyspark.sql.window import Window as W
+
+    counted = rows.groupBy("priority", "cause").agg(F.count("*").alias("n"), F.min("k").alias("first"))
+    # The first few keys: a rank within the group that stops early, not a list of the group.
+    few = rows.withColumn("i", F.row_number().over(W.partitionBy("priority", "cause").orderBy("k"))).where(F.col("i") <= listed)
+    few = few.groupBy("priority", "cause").agg(F.array_sort(F.collect_list("k")).alias("few"))
+    more = F.when(F.col("n") > listed, F.concat(F.lit(" +"), (F.col("n") - listed).cast("string"), F.lit(" more"))).otherwise("")
+    place = F.row_number().over(W.partitionBy("priority").orderBy(F.desc("n"), "first"))
+    sites = F.concat(F.array_join(F.transform("few", lambda k: k.cast("string")), ", "), more)
+    return counted.join(few, ["priority", "cause"]).select("priority", "cause", "n", sites.alias("sites"), place.alias("place"))
+
+
+#: The thresholds moved one notch each.
+OVERRIDES = {
+    "near window 6 months": {"near_months": 6}, "near window 18 months": {"near_months": 18}, "far window 30 months": {"far_months": 30}, "far window 42 months": {"far_months": 42},
+    "full at 4 MW": {"full_mw": 4.0}, "full at 7.5 MW": {"full_mw": 7.5}, "step at 2.5 MW": {"mid_mw": 2.5}, "land 0.3 ac/MW": {"acres_a_mw": 0.3}, "land 0.7 ac/MW": {"acres_a_mw": 0.7}, "audit off": {"audit_mw": 1e9},
+}
+RATED = "CASE WHEN k % 10 = 0 THEN NULL ELSE (k % 17) / 4e0 END"
+
+
+def _rated_sql(name: str, over: dict) -> str:
+    """CTEs that end in one with the assigned priority under some parameters."""
+    v = {"near_months": 12, "far_months": 36, "full_mw": 5, "mid_mw": 3, "acres_a_mw": 0.5, "audit_mw": 25} | over
+    sure = f"CASE WHEN months IS NULL THEN CASE WHEN requested THEN CASE WHEN early THEN 2 ELSE 3 END ELSE 2 END WHEN months > {v['far_months']} THEN 3 WHEN requested THEN 2 WHEN mw_tag = 'written' AND date_tag = 'written' AND months <= {v['near_months']} THEN 0 WHEN mw_tag IN ('written', 'prescreen', 'utility estimate') THEN 1 ELSE 2 END"
+    keep = "k, risk, control, " + ", ".join(f"s_{d}, conf_{d}" for d in DIMS if d not in ("power", "land"))
+    return f"""{name}_a AS (SELECT *, {sure} AS certainty FROM p), {name}_b AS (SELECT *, {power_score_sql(v["full_mw"], v["mid_mw"])} AS raw FROM {name}_a),
+    {name}_c AS (SELECT {keep.replace("k,", "d2.k,", 1)}, mw, CASE certainty WHEN 0 THEN raw WHEN 1 THEN least(raw, CASE WHEN raw IS NOT NULL THEN 4 END) ELSE least(raw, CASE WHEN raw IS NOT NULL THEN 3 END) END AS s_power, CASE certainty WHEN 0 THEN 'high' WHEN 1 THEN 'medium' ELSE 'low' END AS conf_power,
+        CASE WHEN d2.k % 10 = 0 THEN NULL WHEN (d2.k % 17) / 4e0 >= greatest(1e0, {v["acres_a_mw"]}e0 * coalesce(mw, 0e0)) THEN 4 ELSE 3 END AS s_land, 'medium' AS conf_land FROM d2 JOIN {name}_b USING (k)),
+    {priority_sql(out=name, source=f"{name}_c")},
+    {name}_z AS (SELECT k, CASE WHEN {name} IN ('Low', 'Medium', 'High') AND mw * 5 >= {v["audit_mw"]} THEN ['Low', 'Low', 'Medium'][list_position(['Low', 'Medium', 'High'], {name})] ELSE {name} END AS assigned FROM {name})"""
+
+
+@query(f"WITH {dims_sql()}, {POWER_SQL}, {_rated_sql('baseline', {})}, " + ", ".join(_rated_sql(f"v{i}", o) for i, o in enumerate(OVERRIDES.values()))
+       + " SELECT variant, before, outcome, count(*) AS flips FROM (" + " UNION ALL ".join(f"SELECT '{n}' AS variant, a.assigned AS before, b.assigned AS outcome FROM baseline_z a JOIN v{i}_z b USING (k)" for i, n in enumerate(OVERRIDES)) + ") WHERE before <> outcome GROUP BY ALL")
+def sensitivity_overrides(t: Tables) -> DataFrame:
+    """How often each of ten moved thresholds changes an assigned priority, the whole rating run again for each."""
+    base = r.Parameters()
+    own = lambda p: F.struct(*[F.lit(v).alias(n) for n, v in asdict(p).items()])
+    variants = {"": base} | {n: r.Parameters(**(asdict(base) | o)) for n, o in OVERRIDES.items()}
+    each = F.array(*[F.struct(F.lit(n).alias("variant"), own(p).alias("p")) for n, p in variants.items()])
+    rows = dim_rows(t).drop("s_power", "conf_power", "s_land", "conf_land").join(power_rows(t).drop("certainty"), "k")
+    rows = rows.withColumn("v", F.explode(each)).withColumns({"p": F.col("v.p"), "variant": F.col("v.variant")})
+    rows = rows.withColumn("certainty", r.certainty(*[F.col(c) for c in ("months", "requested", "early", "mw_tag", "date_tag")], "p"))
+    c, K = F.col("certainty"), F.col("k")  # noqa: N806
+    rows = rows.withColumns({"conf_power": F.when(c == 0, "high").when(c == 1, "medium").otherwise("low"), "conf_land": F.lit("medium")})
+    score = r.power_score(*[F.col(x) for x in ("mw", "certainty", "no_capacity", "path")], "p")
+    land = r.land_score(F.when(K % 10 != 0, K % 17 / 4.0), F.col("mw"), "p")
+    rows = rows.withColumns({"s_power": r.capped(score, F.col("conf_power")), "s_land": r.capped(land, F.lit("medium")), "changes": r.audit_adjustment(F.col("mw") * 5, "p")})
+    rows = r.with_indicated(rows, ("risk", "control"), varied="p")
+    rated = rows.select("k", "variant", r.assigned(F.col("indicated.priority"), F.col("changes")).alias("outcome"))
+    # A priority is one of a few words: variants are counted against the baseline in one grouped pass by key.
+    by_key = rated.groupBy("k").agg(F.max(F.when(F.col("variant") == "", F.col("outcome"))).alias("before"), F.collect_list(F.struct("variant", "outcome")).alias("all"))  # eleven a key
+    flat = by_key.select("before", F.inline("all")).where("variant <> ''")
+    counted = flat.groupBy("variant", "before", "outcome").agg(F.count("*").alias("flips"))
+    return counted.where("before <> outcome")
+
+
+@query("""WITH b AS (SELECT o_orderkey AS k, [NULL, 'under_contract', 'owner_identified', 'loi_or_negotiating', 'no_site_yet', 'other'][o_orderkey % 6 + 1] AS stage, CASE WHEN o_orderkey % 4 = 0 THEN 'signed LOI' ELSE 'LOIs in talks' END AS quote, CASE WHEN o_orderkey % 13 = 0 THEN 2 END AS reading,
+        CASE WHEN o_orderkey % 3 = 0 THEN 'quoted' WHEN o_orderkey % 3 = 1 THEN 'nearby' END AS status, o_orderkey % 4 AS carriers, o_orderkey % 5 = 0 AS routes, [NULL, 'Level 1', 'desktop', 'Level 2'][o_orderkey % 4 + 1] AS level, CASE WHEN o_orderkey % 7 = 0 THEN NULL ELSE o_orderkey % 4 END AS providers,
+        ['by_right', 'no_zoning', 'unclear', 'conditional'][o_orderkey % 4 + 1] AS zoning, CASE WHEN o_orderkey % 5 = 0 THEN 'written' ELSE 'verbal' END AS tag, o_orderkey % 3 <> 0 AS confirmed, ['none', 'negative', 'mixed', NULL][o_orderkey // 4 % 4 + 1] AS news FROM orders),
+    c AS (SELECT *, coalesce(reading, CASE stage WHEN 'under_contract' THEN 5 WHEN 'owner_identified' THEN 3 WHEN 'loi_or_negotiating' THEN CASE WHEN k % 4 = 0 THEN 4 ELSE 3 END WHEN 'no_site_yet' THEN 1 END) AS control, CASE WHEN zoning = 'no_zoning' OR tag = 'written' THEN 3 WHEN zoning = 'unclear' THEN 1 ELSE 2 END AS z FROM b)
+    SELECT k, control AS control_score, CASE WHEN control IS NULL THEN 'none' ELSE 'medium' END AS control_confidence, CASE WHEN status = 'quoted' THEN CASE WHEN carriers >= 2 THEN 5 WHEN routes THEN 4 ELSE 3 END ELSE CASE WHEN providers IS NULL THEN NULL WHEN providers >= 2 THEN 3 WHEN providers = 1 THEN 2 ELSE 1 END END AS link_score,
+        CASE WHEN status = 'quoted' THEN CASE WHEN level = 'Level 2' THEN 'high' ELSE 'medium' END WHEN providers IS NULL THEN 'none' ELSE 'low' END AS link_confidence,
+        ['low', 'medium', 'high'][greatest(least(z, CASE WHEN confirmed THEN 3 ELSE 2 END), CASE WHEN news IN ('negative', 'moratorium') THEN 2 ELSE 1 END)] AS community_confidence FROM c""".replace("news IN ('negative', 'moratorium') THEN 2 ELSE 1", "coalesce(news = 'negative', false) THEN 2 ELSE 1"))
+def control_and_connectivity(t: Tables) -> DataFrame:
+    """Site control by stage, connectivity by quote or providers, and how sure a community score is."""
+    K = F.col("k")  # noqa: N806
+    one = lambda xs, i: F.get(F.array(*map(F.lit, xs)), i.cast("int"))
+    control = r.site_control(one((None, "under_contract", "owner_identified", "loi_or_negotiating", "no_site_yet", "other"), K % 6), F.when(K % 4 == 0, "signed LOI").otherwise("LOIs in talks"), F.when(K % 13 == 0, 2))
+    link = r.connectivity(F.when(K % 3 == 0, "quoted").when(K % 3 == 1, "nearby"), K % 4, K % 5 == 0, one((None, "Level 1", "desktop", "Level 2"), K % 4), F.when(K % 7 != 0, K % 4))
+    community = r.community_confidence(one(("by_right", "no_zoning", "unclear", "conditional"), K % 4), F.when(K % 5 == 0, "written").otherwise("verbal"), K % 3 != 0, one(("none", "negative", "mixed", None), F.floor(K / 4) % 4))
+    return keyed(t).select("k", control["score"].alias("control_score"), control["confidence"].alias("control_confidence"), link["score"].alias("link_score"), link["confidence"].alias("link_confidence"), community.alias("community_confidence"))
+
+
+@query("""WITH p AS (SELECT l_orderkey AS k, CAST(l_linenumber AS BIGINT) * 1000000000 + l_partkey * 10000 + l_suppkey AS i, (l_partkey % 9) * 1e0 AS mw, CASE WHEN l_suppkey % 6 = 0 THEN NULL ELSE l_partkey % 50 END AS months, l_suppkey % 5 = 0 AS requested, l_suppkey % 3 = 0 AS early, CASE WHEN l_partkey % 2 = 0 THEN 'written' ELSE 'verbal' END AS mw_tag, CASE WHEN l_partkey % 3 = 0 THEN 'written' ELSE 'verbal' END AS date_tag FROM lineitem),
+    c AS (SELECT *, CASE WHEN months IS NULL THEN CASE WHEN requested THEN CASE WHEN early THEN 2 ELSE 3 END ELSE 2 END WHEN months > 36 THEN 3 WHEN requested THEN 2 WHEN mw_tag = 'written' AND date_tag = 'written' AND months <= 12 THEN 0 WHEN mw_tag = 'written' THEN 1 ELSE 2 END AS certainty FROM p),
+    s AS (SELECT *, CASE WHEN mw < 2 THEN 1 ELSE greatest(CASE WHEN certainty <= 1 THEN 3 ELSE 1 END, 5 - CASE WHEN mw >= 5 THEN 0 WHEN mw >= 3 THEN 1 ELSE 2 END - certainty) END AS score FROM c)
+    SELECT k, CAST(score AS INTEGER) AS score, mw, CAST(months AS BIGINT) AS months, CAST(certainty AS INTEGER) AS certainty FROM (SELECT *, row_number() OVER (PARTITION BY k ORDER BY score DESC, i) AS n FROM s) WHERE n = 1""")
+def phased_power(t: Tables) -> DataFrame:
+    """The best phase of each order's lines as phases of its power, the first of equally good ones."""
+    p, s = F.col("l_partkey"), F.col("l_suppkey")
+    tag = lambda c: F.when(c, "written").otherwise("verbal")
+    rows = t.lineitem.select(F.col("l_orderkey").alias("k"), (F.col("l_linenumber").cast("long") * 1000000000 + p * 10000 + s).alias("i"), (p % 9 * 1.0).alias("mw"), F.when(s % 6 != 0, p % 50).cast("long").alias("months"), (s % 5 == 0).alias("requested"), (s % 3 == 0).alias("early"), tag(p % 2 == 0).alias("mw_tag"), tag(p % 3 == 0).alias("date_tag"))
+    return r.best_phase(rows, "k", "i")
