@@ -40,19 +40,32 @@ def mode_first_seen(df: DataFrame, keys: list[str], value: str, ordinal: str, ou
     return counted.groupBy(*keys).agg(best.alias("_best")).select(*keys, F.col(f"_best.{value}").alias(out), F.col("_best._n").alias(f"{out}_count"))
 
 
-def quantiles_exclusive(df: DataFrame, keys: list[str], value: str, parts: int, names: list[str]) -> DataFrame:
-    """Cut points at i(n + 1)/parts of the order, between neighbours by weight; null under two values."""
-    w = W.partitionBy(*keys).orderBy(value)
-    placed = df.where(F.col(value).isNotNull()).withColumn("_k", F.row_number().over(w))
-    counted = df.groupBy(*keys).agg(F.count(value).alias("_n"))
-    rows = placed.join(counted, keys)
+def quantiles_exclusive(df: DataFrame, keys: list[str], value: str, parts: int, names: list[str], buckets: int = 1000) -> DataFrame:
+    """Cut points at i(n + 1)/parts of the order, between neighbours by weight; null under two values.
+
+    Values are counted in equal steps between a key's least and greatest; only
+    those of the few steps that hold a cut point are put in order, so no key is
+    sorted whole.
+    """
+    some = df.where(F.col(value).isNotNull()).select(*keys, F.col(value).alias("_v"))
+    sized = some.groupBy(*keys).agg(F.min("_v").alias("_lo"), F.max("_v").alias("_hi"), F.count("*").alias("_n"))
+    wide = F.greatest((F.col("_hi") - F.col("_lo")) / buckets, F.lit(1e-300))
+    stepped = some.join(sized, keys).withColumn("_b", F.least(F.floor((F.col("_v") - F.col("_lo")) / wide), F.lit(buckets)).cast("int"))
+    counted = stepped.groupBy(*keys, "_b").agg(F.count("*").alias("_c"))
+    upto = F.sum("_c").over(W.partitionBy(*keys).orderBy("_b"))  # at most buckets + 1 rows a key
+    counted = counted.withColumn("_upto", upto).join(sized.select(*keys, "_n"), keys)
+    at = [F.least(F.col("_n") - 1, F.greatest(F.lit(1), F.floor((F.col("_n") + 1) * i / parts))) for i in range(1, parts)]
+    before = F.col("_upto") - F.col("_c")
+    holds = [(before < p + k) & (p + k <= F.col("_upto")) for p in at for k in (0, 1)]
+    needed = counted.where(F.greatest(*holds)).select(*keys, "_b", before.alias("_before"))
+    order = F.row_number().over(W.partitionBy(*keys, "_b").orderBy("_v"))
+    rows = stepped.join(needed, [*keys, "_b"]).withColumn("_k", F.col("_before") + order)
     cuts = []
-    for i, name in enumerate(names, 1):
-        at = F.least(F.col("_n") - 1, F.greatest(F.lit(1), F.floor((F.col("_n") + 1) * i / parts)))
-        part = (F.col("_n") + 1) * i - at * parts
-        weight = F.when(F.col("_k") == at, parts - part).when(F.col("_k") == at + 1, part)
-        cuts.append(F.when(F.max("_n") > 1, F.sum(F.col(value) * weight) / parts).alias(name))
-    return rows.groupBy(*keys).agg(*cuts)
+    for i, (p, name) in enumerate(zip(at, names), 1):
+        part = (F.col("_n") + 1) * i - p * parts
+        weight = F.when(F.col("_k") == p, parts - part).when(F.col("_k") == p + 1, part)
+        cuts.append(F.when(F.max("_n") > 1, F.sum(F.col("_v") * weight) / parts).alias(name))
+    return df.select(*keys).distinct().join(rows.groupBy(*keys).agg(*cuts), keys, "left")
 
 
 def forward_fill(df: DataFrame, keys: list[str], order: str, value: Column, out: str) -> DataFrame:

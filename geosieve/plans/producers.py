@@ -162,15 +162,16 @@ def usable_land(t: Tables) -> DataFrame:
     return measure_usable(cells.withColumnRenamed("site", "s_suppkey").withColumnRenamed("within", "site"), "s_suppkey", size, 10.0)
 
 
-@query("""WITH z AS (SELECT l_suppkey AS site, CAST(l_linenumber AS INTEGER) AS rank, l_partkey % 48 AS x, l_orderkey % 48 AS y, 1 + floor(l_quantity / 4) AS w FROM lineitem WHERE l_returnflag = 'A'),
+@query("""WITH z AS (SELECT l_suppkey AS site, CAST(l_linenumber AS INTEGER) AS rank, l_partkey % 48 AS x, l_orderkey % 48 AS y, 1 + floor(l_quantity / 4) AS w FROM lineitem),
     cells AS (SELECT s_suppkey AS site, i, j FROM supplier, range(64) a(i), range(64) b(j)),
-    owned AS (SELECT c.site, i, j, (SELECT min(rank) FROM z WHERE z.site = c.site AND i >= y AND i < y + w AND j >= x AND j < x + w) AS rank FROM cells c)
+    held AS (SELECT site, i, j, min(rank) AS rank FROM (SELECT site, rank, j, unnest(range(CAST(y AS BIGINT), CAST(y + w AS BIGINT))) AS i FROM (SELECT site, rank, y, w, unnest(range(CAST(x AS BIGINT), CAST(x + w AS BIGINT))) AS j FROM z)) GROUP BY ALL),
+    owned AS (SELECT c.site, c.i, c.j, rank FROM cells c LEFT JOIN held h ON h.site = c.site AND h.i = c.i AND h.j = c.j)
     SELECT site, rank, count(*) * 1e0 AS area, round(count(*) * 100e0 / 4096, 6) AS pct FROM owned GROUP BY site, rank""")
 def footprint_zones(t: Tables) -> DataFrame:
     """Zone shares of square footprints with the unmapped rest, cut into cells that the synthetic zones follow."""
     box = lambda x, y, w: F.array(F.array(*[F.struct((x + w * a).cast("double").alias("x"), (y + w * b).cast("double").alias("y")) for a, b in ((0, 0), (1, 0), (1, 1), (0, 1))]))
     own = t.supplier.select(F.col("s_suppkey").alias("site"), F.lit(None).cast("int").alias("rank"), box(F.lit(0), F.lit(0), F.lit(64)).alias("rings"))
-    zones = t.lineitem.where("l_returnflag = 'A'").select(
+    zones = t.lineitem.select(
         F.col("l_suppkey").alias("site"), F.col("l_linenumber").cast("int").alias("rank"), box(F.col("l_partkey") % 48, F.col("l_orderkey") % 48, 1 + F.floor(F.col("l_quantity") / 4)).alias("rings")
     )
     return zone_shares(own.unionByName(zones), "site", 64).withColumn("pct", F.round("pct", 6))

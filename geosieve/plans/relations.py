@@ -202,11 +202,11 @@ def quartile_exclusive(t: Tables) -> DataFrame:
     return rel.quantiles_exclusive(rows, ["kind"], "v", 4, ["p25", "p50", "p75"])
 
 
-@query("""SELECT conv_id, turn, role, last_value(CASE WHEN role = 'user' THEN left(text, 20) END IGNORE NULLS) OVER (PARTITION BY conv_id ORDER BY turn) AS section,
+@query("""SELECT conv_id, turn, role, last_value(CASE WHEN role = 'user' THEN text END IGNORE NULLS) OVER (PARTITION BY conv_id ORDER BY turn) AS section,
     lag(role) OVER (PARTITION BY conv_id ORDER BY turn) IS DISTINCT FROM role AS new_block FROM conversations""")
 def forward_fill_sections(t: Tables) -> DataFrame:
     """Each row's section, the last banner above it, and where a block of another kind begins."""
-    out = rel.forward_fill(t.conversations, ["conv_id"], "turn", F.when(F.col("role") == "user", F.left("text", F.lit(20))), "section")
+    out = rel.forward_fill(t.conversations, ["conv_id"], "turn", F.when(F.col("role") == "user", F.col("text")), "section")
     before = F.lag("role").over(W.partitionBy("conv_id").orderBy("turn"))
     return out.select("conv_id", "turn", "role", "section", (~before.eqNullSafe(F.col("role"))).alias("new_block"))
 

@@ -247,15 +247,11 @@ def usable_cells(t: Tables) -> DataFrame:
     half = 0.7072 * cell
     reach = 12_000 + farther
     x, y = geo.offset(F.col("lat"), F.col("lng"), F.col("f_lat"), F.col("f_lng"))
-    near = spatial.range_join(sites(t), parts(t), reach).select("site", F.struct(x.alias("x"), y.alias("y")).alias("f"))
-    # Features in reach of one site: a handful, not a group that grows with the table's skew.
-    grid = F.sequence(F.lit(0), F.lit(224))
-    held = sites(t).select("site").join(near.groupBy("site").agg(F.collect_list("f").alias("fs")), "site", "left")
-
-    def least(k: Column) -> Column:
-        cx, cy = (k % 15 - 7) * F.lit(cell), (F.floor(k / 15) - 7) * F.lit(cell)
-        return geo.millimetres(F.array_min(F.transform("fs", lambda f: F.sqrt((cx - f["x"]) * (cx - f["x"]) + (cy - f["y"]) * (cy - f["y"])))))
-
-    cells = held.select("site", F.transform(grid, least).alias("d"))
-    blocked = lambda m: F.size(F.filter("d", lambda d: F.coalesce(d < int((m + half) * 1000), F.lit(False)))).cast("long")
-    return cells.select("site", (225 - blocked(clear)).alias("usable"), blocked(clear).alias("blocked"), (225 - blocked(farther)).alias("far"))
+    near = spatial.range_join(sites(t), parts(t), reach).select("site", x.alias("x"), y.alias("y"))
+    # Cells are rows, so that the arithmetic is compiled and their minimum is taken before anything is shuffled.
+    cells = near.select("site", "x", "y", F.explode(F.sequence(F.lit(0), F.lit(224))).alias("c"))
+    dx, dy = (F.col("c") % 15 - 7) * F.lit(cell) - F.col("x"), (F.floor(F.col("c") / 15) - 7) * F.lit(cell) - F.col("y")
+    least = cells.groupBy("site", "c").agg(geo.millimetres(F.min(F.sqrt(dx * dx + dy * dy))).alias("d"))
+    blocked = lambda m: F.count_if(F.col("d") < int((m + half) * 1000))
+    held = sites(t).select("site").join(least.groupBy("site").agg(blocked(clear).alias("blocked"), blocked(farther).alias("close")), "site", "left").fillna(0, ["blocked", "close"])
+    return held.select("site", (225 - F.col("blocked")).alias("usable"), "blocked", (225 - F.col("close")).alias("far"))

@@ -64,9 +64,9 @@ def producer_flood(t: Tables) -> DataFrame:
 @query(f"""WITH {AROUND}, z AS (SELECT *, ['Riverine', 'Lake', 'Pond'][s % 3 + 1] AS kind, 'P' || (p % 9) AS code, CASE WHEN p % 4 <> 0 THEN (p % 64) / 16e0 END AS acres FROM near WHERE d_mm <= 500000),
     a AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY site ORDER BY ordinal) AS k FROM z WHERE d_mm = 0) WHERE k = 1), h AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY site ORDER BY d_mm, ordinal) AS k FROM z) WHERE k = 1),
     g AS (SELECT site, count(*) AS n, sum(acres) AS total FROM z GROUP BY site),
-    w AS (SELECT sites.site, CASE WHEN sites.site % 7 <> 0 THEN 'Digital' END AS state, CASE WHEN sites.site % 4 <> 0 THEN 1980 + sites.site % 40 END AS year, a.site IS NOT NULL AS here, a.kind AS ak, a.code AS ac, h.site IS NOT NULL AS some, h.d_mm AS hd, h.kind AS hk, h.code AS hc, h.acres AS ha, coalesce(n, 0) AS n, coalesce(total, 0e0) AS total FROM sites LEFT JOIN a USING (site) LEFT JOIN h USING (site) LEFT JOIN g USING (site))
+    w AS (SELECT sites.site, CASE WHEN sites.site % 7 <> 0 THEN 'Digital' END AS state, CASE WHEN sites.site % 4 <> 0 THEN 1980 + sites.site % 40 END AS year, a.site IS NOT NULL AS here, a.kind AS ak, a.code AS ac, h.site IS NOT NULL AS seen, h.d_mm AS hd, h.kind AS hk, h.code AS hc, h.acres AS ha, coalesce(g.n, 0) AS n, coalesce(g.total, 0e0) AS total FROM sites LEFT JOIN a USING (site) LEFT JOIN h USING (site) LEFT JOIN g USING (site))
     """ + long_sql({"nwi_mapping_status": ("state", _is("state IS NOT NULL")), "nwi_image_year": ("year", _is("year IS NOT NULL")), "nwi_mapping_age_years": ("2026 - year", _is("year IS NOT NULL")), "nwi_project": ("'R' || site % 6", _is("site % 6 <> 0")), "nwi_at_point": ("CASE WHEN here THEN 'true' ELSE 'false' END", _is("true")),
-        "nwi_type_at_point": ("ak", _is("here")), "nwi_code_at_point": ("ac", _is("here")), "nwi_nearest_m": ("round_even(hd / 1000e0, 1)", _is("some")), "nwi_nearest_type": ("hk", _is("some")), "nwi_nearest_code": ("hc", _is("some")), "nwi_nearest_acres": ("round_even(ha, 3)", _is("some")), "nwi_count_within_500m": ("n", _is("true")), "nwi_polygon_acres_within_500m": ("round_even(total, 3)", _is("true"))}, "w"))
+        "nwi_type_at_point": ("ak", _is("here")), "nwi_code_at_point": ("ac", _is("here")), "nwi_nearest_m": ("round_even(hd / 1000e0, 1)", _is("seen")), "nwi_nearest_type": ("hk", _is("seen")), "nwi_nearest_code": ("hc", _is("seen")), "nwi_nearest_acres": ("round_even(ha, 3)", _is("seen")), "nwi_count_within_500m": ("n", _is("true")), "nwi_polygon_acres_within_500m": ("round_even(total, 3)", _is("true"))}, "w"))
 def producer_wetlands(t: Tables) -> DataFrame:
     """Wetlands at the pin, the nearest, count and acres within 500 m, and the mapping's status and age."""
     p, site = F.col("p"), F.col("site")
@@ -95,16 +95,16 @@ def producer_power_site(t: Tables) -> DataFrame:
 
 
 STAGE_SQL = "CASE WHEN site % 19 = 0 THEN 'county_failed' WHEN site % 17 = 0 THEN 'no_county' WHEN site % 5 = 0 THEN 'unresolved: no registered service' WHEN site % 13 = 0 THEN 'parcel_failed' WHEN site % 4 = 0 THEN 'unresolved: no polygon at the point' ELSE 'ok' END"
-_late = lambda present="true": f"CASE WHEN at IN ('county_failed', 'parcel_failed') THEN 'failed' WHEN at = 'ok' AND {present} THEN 'ok' ELSE 'absent' END"
-_early = "CASE at WHEN 'county_failed' THEN 'failed' WHEN 'no_county' THEN 'absent' ELSE 'ok' END"
+_late = lambda present="true": f"CASE WHEN stage IN ('county_failed', 'parcel_failed') THEN 'failed' WHEN stage = 'ok' AND {present} THEN 'ok' ELSE 'absent' END"
+_early = "CASE stage WHEN 'county_failed' THEN 'failed' WHEN 'no_county' THEN 'absent' ELSE 'ok' END"
 _OWNER = "CASE site % 3 WHEN 0 THEN 'Acme Land' WHEN 1 THEN 'Other' ELSE ' ' END"
 
 
-@query(f"""WITH w AS (SELECT c_custkey AS site, {STAGE_SQL.replace("site", "c_custkey")} AS at FROM customer) """
+@query(f"""WITH w AS (SELECT c_custkey AS site, {STAGE_SQL.replace("site", "c_custkey")} AS stage FROM customer) """
        + long_sql({"parcel_county": ("'c'", _early), "parcel_county_geoid": ("'48' || site % 254", _early), "parcel_source_scope": ("CASE WHEN site % 2 = 0 THEN 'county' ELSE 'statewide' END", _late()), "parcel_service_name": ("'s'", _late()), "parcel_apn": ("'12-' || site % 9", _late()), "parcel_owner": (_OWNER, _late()), "parcel_address": ("site || ' Oak St'", _late()),
         "parcel_acres_gis": ("round_even(site / 64e0, 4)", _late()), "parcel_acres_stated_by_county": ("round_even(site / 32e0, 4)", _late("site % 8 <> 1")), "parcel_acres_input": ("(site % 50) * 1e0", _late("site % 6 <> 1")), "parcel_apn_matches_input": ("CASE WHEN site % 9 = 3 THEN 'true' ELSE 'false' END", _late("site % 11 <> 0")),
         "parcel_owner_check": ("CASE site % 3 WHEN 0 THEN 'expected owner' WHEN 1 THEN 'different owner - review' ELSE 'no owner in source - review' END", _late("site % 7 <> 0")), "parcel_vertices": ("site % 40 + 3", _late()), "parcel_use": ("CASE WHEN site % 10 = 3 THEN 'internal use only (licensed county)' ELSE 'open' END", _late()),
-        "parcel_status": ("at", "CASE WHEN at IN ('county_failed', 'parcel_failed') THEN 'failed' WHEN at = 'no_county' THEN 'absent' ELSE 'ok' END")}, "w"))
+        "parcel_status": ("stage", "CASE WHEN stage IN ('county_failed', 'parcel_failed') THEN 'failed' WHEN stage = 'no_county' THEN 'absent' ELSE 'ok' END")}, "w"))
 def producer_parcel(t: Tables) -> DataFrame:
     """All records of the parcel lookup, from the stage each site came to."""
     k = F.col("site")
