@@ -31,7 +31,10 @@ def fingerprint(df: DataFrame) -> str:
 
 
 def publish(df: DataFrame, path: str, stamp: str, spark: SparkSession) -> bool:
-    """Write df to path unless its rows are there already; what was there before moves beside it. True if it wrote."""
+    """Write df to path unless its rows are there already; what was there before moves beside it. True if it wrote.
+
+    It is written beside the path first, so a write that fails leaves what was there.
+    """
     jvm, conf = spark._jvm, spark._jsparkSession.sessionState().newHadoopConf()
     at = jvm.org.apache.hadoop.fs.Path(path)
     fs = at.getFileSystem(conf)
@@ -39,8 +42,11 @@ def publish(df: DataFrame, path: str, stamp: str, spark: SparkSession) -> bool:
         there = spark.read.parquet(path)
         if sorted(there.columns) == sorted(df.columns) and fingerprint(there.select(df.columns)) == fingerprint(df):
             return False
+    new = jvm.org.apache.hadoop.fs.Path(f"{path}.{stamp}.new")
+    df.write.mode("overwrite").parquet(str(new))
+    if fs.exists(at):
         fs.rename(at, jvm.org.apache.hadoop.fs.Path(f"{path}.{stamp}"))
-    df.write.parquet(path)
+    fs.rename(new, at)
     return True
 
 

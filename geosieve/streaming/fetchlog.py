@@ -32,5 +32,8 @@ def keep_latest(log: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
             best = F.max(F.struct("fetched_at", "url", "body"))
             new = both.groupBy("producer", "key").agg(best.alias("b")).select("producer", "key", "b.*")
         new.write.mode("overwrite").parquet(f"{path}/v{n}")
+        # The version before stays, in case this batch runs again; older ones aren't read any more.
+        old = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/v{n - 2}")
+        old.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(old, True)
 
     return log.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

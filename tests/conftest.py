@@ -1,11 +1,6 @@
-import os
-import sys
-
 import pytest
 from pyspark.sql import SparkSession
 
-sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
-
 
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
