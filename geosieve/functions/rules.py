@@ -412,3 +412,46 @@ def rating_violations(rows: DataFrame, key: str) -> DataFrame:
     }
     found = F.array_compact(F.array(*[F.when(F.coalesce(bad, F.lit(True)), F.lit(name)) for name, bad in checks.items()]))
     return rows.select(key, F.explode(found).alias("violation"))
+
+
+#: Lengths of a scale bar, in feet.
+SCALE_FEET = (25, 50, 100, 200, 250, 500, 1000, 1500, 2000, 2500, 3000, 4000)
+
+
+def counts_as_home(occupancy: Column, square_feet: Column, area_square_feet: Column, on_site: Column, least: float, low: float, high: float) -> Column:
+    """Whether a building is a home: residential and no shed, or unclassified, off the site and of a house's size; a size of 0 is the polygon's."""
+    size = F.coalesce(F.nullif(square_feet, F.lit(0.0)), area_square_feet)
+    return F.coalesce(((occupancy == "Residential") & (size >= least)) | ((occupancy == "Unclassified") & ~on_site & size.between(low, high)), F.lit(False))
+
+
+def headline_mw(rows: DataFrame, key: str, ordinal: str) -> DataFrame:
+    """key, mw and kind of what is said of power: an actual figure, the full one, a request, an "up to"; the first of each."""
+    wanted = (("mw", "actual", "actual"), ("mw_full", "actual", "actual"), ("mw", "target", "request"), ("mw", "range_high", "up_to"))
+    first = [F.min(F.when((F.col("field") == f) & (F.col("kind") == k), F.struct(ordinal, F.col("value").try_cast("double").alias("mw"), F.lit(said).alias("said")))).alias(f"_{i}") for i, (f, k, said) in enumerate(wanted)]
+    best = F.coalesce(*[F.col(f"_{i}") for i in range(len(wanted))])
+    return rows.groupBy(key).agg(*first).select(key, best["mw"].alias("mw"), best["said"].alias("kind"))
+
+
+def scale_feet(span_m: Column) -> Column:
+    """The nice length nearest to a fifth of a map's width, the shorter of two as near."""
+    return F.array_min(F.array(*[F.struct(F.abs(F.lit(float(v)) - span_m * 0.2 / 0.3048).alias("off"), F.lit(v).alias("feet")) for v in SCALE_FEET]))["feet"]
+
+
+def frame(west: Column, south: Column, east: Column, north: Column, margin: float, aspect: float) -> Column:
+    """struct(west, south, east, north) of a map about a box with a margin, at an aspect."""
+    high = F.greatest(north - south + 2 * margin, (east - west + 2 * margin) / aspect)
+    x, y = (west + east) / 2, (south + north) / 2
+    return F.struct((x - high * aspect / 2).alias("west"), (y - high / 2).alias("south"), (x + high * aspect / 2).alias("east"), (y + high / 2).alias("north"))
+
+
+def drift_flags(answered: Column, fields_gone: Column, was: Column, now: Column, old_vintage: Column, vintage: Column, old_name: Column, name: Column, upstream: Column) -> Column:
+    """What changed at a source: nothing else counts where it didn't answer; a count of 0 or none before is not compared."""
+    moved = (was > 0) & (F.abs(now - was) > F.greatest(F.lit(50.0), 0.05 * was))
+    parts = [
+        F.when(fields_gone != "", F.concat(F.lit("fields gone: "), fields_gone)),
+        F.when(moved, "records"),
+        F.when(old_vintage != vintage, "vintage"),
+        F.when(old_name != name, "renamed"),
+        F.when(upstream > vintage, "newer release upstream"),
+    ]
+    return F.when(~answered, "unreachable").otherwise(F.concat_ws("; ", *parts))

@@ -6,10 +6,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
+from geosieve.functions import rules as r
 from geosieve.functions import text as x
 from geosieve.operators import places as p
 from geosieve.plans.registry import Tables, query
-from geosieve.plans.spatial import PARTS, SITES, far, parts, sites
+from geosieve.operators import spatial
+from geosieve.operators.overlay import box_overlap
+from geosieve.plans.spatial import GAP, LINKS_SQL, PARTS, SITES, far, parts, sites, suppliers
 from geosieve.plans.surroundings import one
 
 CLUES = """clues AS (SELECT l_orderkey AS site, CAST(l_linenumber AS BIGINT) * 1000000000 + l_partkey * 10000 + l_suppkey AS ordinal, 'L' || (l_partkey % 5 + 1) AS tier, 'C' || l_suppkey % 3 AS county, CASE WHEN l_orderkey % 4 <> 0 THEN 'c' || l_orderkey % 3 END AS stated_county, (l_partkey * 37 % 5000) * 1e0 AS county_m, 2000e0 AS radius_m,
@@ -192,3 +195,73 @@ def named_substation(t: Tables) -> DataFrame:
     hit = F.exists("tokens", lambda w: F.contains(F.lower("name"), w))
     best = rows.groupBy("k").agg(F.min(F.when(hit, F.struct("d", "ordinal", "name"))).alias("b"))
     return best.select("k", F.col("b.name").alias("name"), F.col("b.d").alias("metres"))
+
+
+@query("""WITH b AS (SELECT p_partkey AS k, ['Residential', 'Unclassified', 'Commercial', NULL][p_partkey % 4 + 1] AS occ, CASE p_partkey % 5 WHEN 0 THEN 0e0 WHEN 1 THEN NULL ELSE p_size * 80e0 END AS sqft, p_size * 60e0 AS area, p_partkey % 3 = 0 AS on_site, 'Owner ' || p_partkey % 9 AS owner, p_partkey * 50e0 AS span FROM part), c AS (SELECT *, CASE WHEN sqft > 0 THEN sqft ELSE area END AS size FROM b)
+    SELECT k, coalesce(occ = 'Residential' AND size >= 600 OR occ = 'Unclassified' AND NOT on_site AND size BETWEEN 800 AND 2500, false) AS home, contains(lower(owner), 'owner 7') OR k % 100 = 12 AS probe_hit,
+        (SELECT v FROM (SELECT unnest([25, 50, 100, 200, 250, 500, 1000, 1500, 2000, 2500, 3000, 4000]) AS v) ORDER BY abs(v - span * 0.2e0 / 0.3048e0), v LIMIT 1) AS scale_feet,
+        span / 2 - greatest(span / 4 + 200, (span + 200) / 2e0) AS frame_west FROM c""")
+def building_and_map_rules(t: Tables) -> DataFrame:
+    """Which buildings are homes, whether a probe's owner pattern hits, and a map's scale bar and frame."""
+    k, size = F.col("p_partkey"), F.col("p_size")
+    home = r.counts_as_home(one(("Residential", "Unclassified", "Commercial", None), k % 4), F.when(k % 5 == 0, 0.0).when(k % 5 != 1, size * 80.0), size * 60.0, k % 3 == 0, 600, 800, 2500)
+    hit = F.concat_ws(" ", F.concat(F.lit("Owner "), (k % 9).cast("string")), F.when(k % 100 == 12, "id-12")).rlike("(?i)owner 7|id-12")
+    span = k * 50.0
+    box = r.frame(F.lit(0.0), F.lit(0.0), span, span / 4, 100.0, 2.0)
+    return t.part.select(k.alias("k"), home.alias("home"), hit.alias("probe_hit"), r.scale_feet(span).alias("scale_feet"), box["west"].alias("frame_west"))
+
+
+@query("""WITH e AS (SELECT l_orderkey AS k, CAST(l_linenumber AS BIGINT) * 1000000000 + l_partkey * 10000 + l_suppkey AS ordinal, CASE WHEN l_partkey % 3 = 0 THEN 'mw_full' ELSE 'mw' END AS field, ['actual', 'target', 'range_high', 'estimate'][l_suppkey % 4 + 1] AS kind, l_quantity * 1e0 AS mw FROM lineitem),
+    w AS (SELECT *, CASE WHEN field = 'mw' AND kind = 'actual' THEN 1 WHEN kind = 'actual' THEN 2 WHEN field = 'mw' AND kind = 'target' THEN 3 WHEN field = 'mw' AND kind = 'range_high' THEN 4 END AS rank FROM e), f AS (SELECT *, row_number() OVER (PARTITION BY k ORDER BY rank NULLS LAST, ordinal) AS n FROM w)
+    SELECT k, CASE WHEN rank IS NOT NULL THEN mw END AS mw, CASE rank WHEN 1 THEN 'actual' WHEN 2 THEN 'actual' WHEN 3 THEN 'request' WHEN 4 THEN 'up_to' END AS kind FROM f WHERE n = 1""")
+def headline_power(t: Tables) -> DataFrame:
+    """The headline megawatts of each site's evidence and what kind of figure it is."""
+    a, s = F.col("l_partkey"), F.col("l_suppkey")
+    rows = t.lineitem.select(F.col("l_orderkey").alias("k"), (F.col("l_linenumber").cast("long") * 1000000000 + a * 10000 + s).alias("ordinal"), F.when(a % 3 == 0, "mw_full").otherwise("mw").alias("field"), one(("actual", "target", "range_high", "estimate"), s % 4).alias("kind"), (F.col("l_quantity") * 1.0).cast("string").alias("value"))
+    return r.headline_mw(rows, "k", "ordinal")
+
+
+@query("""WITH b AS (SELECT n_nationkey AS county, (n_nationkey % 5) * 10e0 AS x, (n_nationkey // 5) * 10e0 AS y FROM nation), s AS (SELECT s_suppkey AS site, (s_suppkey * 7 % 40) * 1e0 AS sx, (s_suppkey * 13 % 40) * 1e0 AS sy FROM supplier),
+    o AS (SELECT site, county, greatest(0e0, least(x + 10, sx + 8) - greatest(x, sx)) * greatest(0e0, least(y + 10, sy + 8) - greatest(y, sy)) AS a FROM s, b) SELECT site, county, round(100 * a / 64, 4) AS pct FROM o WHERE a > 0""")
+def county_shares(t: Tables) -> DataFrame:
+    """The part of each site's box that lies in each county."""
+    n, k = F.col("n_nationkey"), F.col("s_suppkey")
+    counties = t.nation.select(n.alias("county"), (n % 5).cast("long").alias("i"), F.floor(n / 5).alias("j"))
+    own = t.supplier.select(k.alias("site"), (k * 7 % 40 * 1.0).alias("sx"), (k * 13 % 40 * 1.0).alias("sy"))
+    cells = own.withColumn("i", F.explode(F.sequence(F.floor(F.col("sx") / 10), F.floor((F.col("sx") + 8) / 10)))).withColumn("j", F.explode(F.sequence(F.floor(F.col("sy") / 10), F.floor((F.col("sy") + 8) / 10))))
+    x0, y0, sx, sy = F.col("i") * 10.0, F.col("j") * 10.0, F.col("sx"), F.col("sy")
+    area = box_overlap(x0, y0, x0 + 10, y0 + 10, sx, sy, sx + 8, sy + 8)
+    return cells.join(counties, ["i", "j"]).withColumn("a", area).where("a > 0").select("site", "county", F.round(100 * F.col("a") / 64, 4).alias("pct"))
+
+
+@query(f"WITH RECURSIVE {LINKS_SQL} SELECT component, count(*) AS homes, CASE WHEN count(*) >= 5 THEN 'neighbourhood' ELSE 'homes' END AS kind FROM grouped GROUP BY component")
+def home_clusters(t: Tables) -> DataFrame:
+    """Points joined by steps of at most the gap; five or more are a neighbourhood."""
+    grouped = spatial.within_gap(suppliers(t), "point", GAP).groupBy("component").agg(F.count("*").alias("homes"))
+    return grouped.withColumn("kind", F.when(F.col("homes") >= 5, "neighbourhood").otherwise("homes"))
+
+
+@query("""WITH h AS (SELECT l_suppkey AS k, (l_partkey * 37 % 4000) * 1.0 + 0.3 AS x, (l_orderkey * 53 % 4000) * 1.0 + 0.3 AS y FROM lineitem) SELECT k, count(DISTINCT row(round(x / 25), round(y / 25))) AS cells, count(*) AS homes FROM h GROUP BY k""")
+def receptor_cells(t: Tables) -> DataFrame:
+    """Receptors snapped to a 25 m grid: how many circles their union needs."""
+    rows = t.lineitem.select(F.col("l_suppkey").alias("k"), (F.col("l_partkey") * 37 % 4000 + 0.3).alias("x"), (F.col("l_orderkey") * 53 % 4000 + 0.3).alias("y"))
+    snapped = rows.groupBy("k", F.bround(F.col("x") / 25).alias("i"), F.bround(F.col("y") / 25).alias("j")).agg(F.count("*").alias("n"))
+    return snapped.groupBy("k").agg(F.count("*").alias("cells"), F.sum("n").alias("homes"))
+
+
+@query("""WITH s AS (SELECT DISTINCT l_orderkey AS site, l_partkey % 13 AS dimension FROM lineitem WHERE l_quantity > 20), e AS (SELECT DISTINCT l_orderkey AS site, l_partkey % 13 AS dimension FROM lineitem WHERE l_discount > 0.05) SELECT site, dimension FROM s EXCEPT SELECT site, dimension FROM e""")
+def evidence_coverage(t: Tables) -> DataFrame:
+    """Dimensions that a site's text speaks of and no evidence row covers."""
+    pairs = lambda where: t.lineitem.where(where).select(F.col("l_orderkey").alias("site"), (F.col("l_partkey") % 13).alias("dimension")).distinct()
+    return pairs("l_quantity > 20").join(pairs("l_discount > 0.05"), ["site", "dimension"], "left_anti")
+
+
+@query("""WITH b AS (SELECT s_suppkey AS k, s_suppkey % 11 <> 0 AS answered, CASE WHEN s_suppkey % 6 = 0 THEN 'OWNER' ELSE '' END AS gone, CASE WHEN s_suppkey % 4 = 0 THEN 0 WHEN s_suppkey % 7 = 0 THEN NULL ELSE s_suppkey * 100 END AS was, s_suppkey * 100 + (s_suppkey * 37 % 900) AS now, '20' || (10 + s_suppkey % 3) AS v0, '20' || (10 + s_suppkey % 5 % 3) AS v, CASE WHEN s_suppkey % 8 = 0 THEN 'Lines v2' ELSE 'Lines' END AS name, CASE WHEN s_suppkey % 9 = 0 THEN '2099' END AS up FROM supplier)
+    SELECT k, CASE WHEN NOT answered THEN 'unreachable' ELSE concat_ws('; ', CASE WHEN gone <> '' THEN 'fields gone: ' || gone END, CASE WHEN was > 0 AND abs(now - was) > greatest(50e0, 0.05e0 * was) THEN 'records' END, CASE WHEN v0 <> v THEN 'vintage' END, CASE WHEN name <> 'Lines' THEN 'renamed' END, CASE WHEN up > v THEN 'newer release upstream' END) END AS flags FROM b""")
+def drift_report(t: Tables) -> DataFrame:
+    """What changed at each source against its baseline."""
+    k = F.col("s_suppkey")
+    year = lambda c: F.concat(F.lit("20"), (10 + c).cast("string"))
+    flags = r.drift_flags(k % 11 != 0, F.when(k % 6 == 0, "OWNER").otherwise(""), F.when(k % 4 == 0, 0).when(k % 7 != 0, k * 100), k * 100 + k * 37 % 900, year(k % 3), year(k % 5 % 3), F.lit("Lines"), F.when(k % 8 == 0, "Lines v2").otherwise("Lines"), F.when(k % 9 == 0, "2099"))
+    return t.supplier.select(k.alias("k"), flags.alias("flags"))
+
