@@ -21,18 +21,20 @@ their place. Other columns don't matter.
 
 from __future__ import annotations
 
+from collections import Counter
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
-from .common import documents
+from .common import Scratch, documents
 
 UNIT, K = 12, 4
 #: Scripts whose texts have no spaces between words.
 UNPARTED = "".join(rf"\p{{Is{s}}}" for s in ("Han", "Hiragana", "Katakana", "Thai", "Lao", "Khmer", "Myanmar"))
 #: A short word between spaces, or else one code point.
 UNITS = rf"(?<!\S)[^\s{UNPARTED}]{{1,{UNIT}}}+(?!\S)|\S"
-ROWS_PER_BUCKET, MOST_BUCKETS, COARSE = 1000, 4096, 64
+ROWS_PER_BUCKET, MOST_CUTS, COARSE = 1000, 4096, 64
 NULL_KEY = -(2**63)
 
 
@@ -74,34 +76,56 @@ def likeness(a: Column, b: Column) -> Column:
 def with_next(df: DataFrame, key: str, columns: list[str]) -> DataFrame:
     """Add next_<column>: the values of the row with the next key, for the last row those of the first.
 
-    Rows are dealt to buckets between quantiles of the key, at most MOST_BUCKETS,
-    and each bucket also gets the first row of the one after it, so each is
-    put in order alone and the texts are shuffled once.
+    Rows are in the order of the key, then of a hash of the columns. At most
+    MOST_CUTS quantiles of the key cut them coarsely; between two cuts keys are
+    dealt to finer buckets by their place there, rows without a key and those
+    of a key that several quantiles fall on by the hash. So a bucket has about
+    ROWS_PER_BUCKET rows however many there are. Each bucket also gets the
+    first row of the one after it, is put in order alone, and the texts are
+    shuffled once. Rows that repeat key and columns can't be parted; their next
+    ones are equal.
     """
-    keys = df.select(F.coalesce(F.col(key), F.lit(NULL_KEY)).alias("k"))
-    n = keys.count()
-    buckets = max(1, min(MOST_BUCKETS, n // ROWS_PER_BUCKET))
-    cuts = keys.select(F.percentile_approx("k", [i / buckets for i in range(1, buckets)] or [0.5])).first()[0] or []
-    cuts = sorted(set(cuts))
-    groups = [cuts[i : i + COARSE] for i in range(0, len(cuts), COARSE)] or [[]]
-    below = lambda xs, k: F.size(F.filter(F.array(*map(F.lit, xs)).cast("array<bigint>"), lambda x: x < k))
-
-    def bucket(k: Column) -> Column:
-        at = below([g[0] for g in groups if g], k)
-        group = F.array(*[F.array(*map(F.lit, g)).cast("array<bigint>") for g in groups])
-        return F.when(at == 0, 0).otherwise((at - 1) * COARSE + F.size(F.filter(F.element_at(group, F.greatest(at, F.lit(1))), lambda x: x < k)))
-
-    firsts = {r.b: r.k for r in keys.groupBy(bucket(F.col("k")).alias("b")).agg(F.min("k").alias("k")).collect()}  # at most MOST_BUCKETS
-    names = sorted(firsts)
-    to = {firsts[b]: names[i - 1] for i, b in enumerate(names)}  # a bucket's first row also goes to the one before
-    rows = df.withColumn("_key", F.coalesce(F.col(key), F.lit(NULL_KEY))).withColumn("_bucket", bucket(F.col("_key"))).withColumn("_guest", F.lit(False))
-    if to:
-        place = F.create_map(*[F.lit(x) for kv in to.items() for x in kv])
-        guests = rows.where(F.col("_key").isin(*to)).withColumns({"_bucket": place[F.col("_key")], "_guest": F.lit(True)})
-        rows = rows.unionByName(guests)
-    order = W.partitionBy("_bucket").orderBy("_guest", "_key", F.xxhash64(*columns))
+    rows = df.withColumns({"_key": F.coalesce(F.col(key).cast("long"), F.lit(NULL_KEY)), "_tie": F.xxhash64(*columns)})
+    n, known = df.select(F.count("*"), F.count(key)).first()
+    cuts = max(1, min(MOST_CUTS, n // ROWS_PER_BUCKET))
+    fine = max(1, n // (cuts * ROWS_PER_BUCKET))
+    at = [i / cuts for i in range(1, cuts)] or [0.5]
+    of_key = F.percentile_approx(F.col(key).cast("long"), at, max(10_000, 10 * cuts)), F.min(F.col(key).cast("long")), F.max(F.col(key).cast("long"))
+    places, least, most = df.select(*of_key).first()
+    falls = Counter(places or [])
+    if n > known:
+        falls[NULL_KEY] += 1 + (n - known) * cuts // n
+    ends = sorted(falls)
+    lows = [(least or 0) - 1, *ends] if n == known else [NULL_KEY, (least or 0) - 1, *ends[1:]]
+    highs = [*ends, most or 0]
+    k, longs = F.col("_key"), lambda xs: F.array(*map(F.lit, xs)).cast("array<bigint>")
+    groups = [ends[i : i + COARSE] for i in range(0, len(ends), COARSE)] or [[]]
+    below = lambda xs: F.size(F.filter(xs, lambda x: x < k))
+    group = below(longs([g[0] for g in groups if g]))
+    within = F.element_at(F.array(*map(longs, groups)), F.greatest(group, F.lit(1)))
+    coarse = F.when(group == 0, 0).otherwise((group - 1) * COARSE + below(within))
+    low, high = (F.element_at(longs(xs), F.col("_coarse") + 1).cast("double") for xs in (lows, highs))
+    times = F.element_at(longs([falls[e] for e in ends] + [1]), F.col("_coarse") + 1)
+    part = lambda share, parts: F.least(F.floor(share * parts), parts - 1)
+    split = (times > 1) & (k == F.element_at(longs(highs), F.col("_coarse") + 1))
+    by_place = part((k.cast("double") - low - 1) / F.greatest(high - low, F.lit(1.0)), F.lit(fine).cast("long"))
+    by_tie = fine + part(F.col("_tie").cast("double") / 2.0**64 + 0.5, times * fine)
+    step = fine * (1 + max(falls.values(), default=1))
+    rows = rows.withColumn("_coarse", coarse).withColumn("_bucket", F.col("_coarse") * F.lit(step).cast("long") + F.when(split, by_tie).otherwise(F.greatest(by_place, F.lit(0).cast("long"))))
+
+    scratch = Scratch(df.sparkSession)
+    firsts = scratch.keep(rows.groupBy("_coarse", "_bucket").agg(F.min(F.struct("_key", "_tie")).alias("first")), n // ROWS_PER_BUCKET)
+    lasts = firsts.groupBy("_coarse").agg(F.max("_bucket").alias("last"))
+    over = W.orderBy("_coarse")  # a row a cut
+    lasts = lasts.select("_coarse", F.coalesce(F.lag("last").over(over), F.max("last").over(W.partitionBy())).alias("before"))
+    before = F.coalesce(F.lag("_bucket").over(W.partitionBy("_coarse").orderBy("_bucket")), F.col("before"))
+    firsts = firsts.join(F.broadcast(lasts), "_coarse").select(F.col("first._key").alias("_key"), F.col("first._tie").alias("_tie"), before.alias("_to"))
+    firsts = scratch.last(firsts, n // ROWS_PER_BUCKET)  # written, so that its size decides how it is joined
+    guests = rows.join(firsts, ["_key", "_tie"]).drop("_bucket").withColumnRenamed("_to", "_bucket").dropDuplicates(["_key", "_tie"])
+    rows = rows.withColumn("_guest", F.lit(False)).unionByName(guests.withColumn("_guest", F.lit(True)))
+    order = W.partitionBy("_bucket").orderBy("_guest", "_key", "_tie")
     rows = rows.withColumns({f"next_{c}": F.lead(c).over(order) for c in columns})
-    return rows.where(~F.col("_guest")).drop("_key", "_bucket", "_guest")
+    return rows.where(~F.col("_guest")).drop("_key", "_tie", "_coarse", "_bucket", "_guest")
 
 
 def op8_syncmer_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -8,6 +8,7 @@ import struct
 
 import regex
 import xxhash
+from pyspark.sql import functions as F
 
 from geosieve.llm import syncmers
 from geosieve.llm.common import documents
@@ -39,6 +40,19 @@ def test_next_over_many_buckets(spark, monkeypatch):
     assert got == {"n": "t0", "t99": "n"} | {f"t{i}": f"t{i + 1}" for i in range(99)}
 
 
+def test_next_with_few_cuts_and_hot_ids(spark, monkeypatch):
+    """Few cuts and finer buckets between them: a third of rows without an id, a third under one id, ids far apart, repeated rows."""
+    monkeypatch.setattr(syncmers, "ROWS_PER_BUCKET", 4)
+    monkeypatch.setattr(syncmers, "MOST_CUTS", 5)
+    monkeypatch.setattr(syncmers, "COARSE", 2)
+    rows = [(None, f"n{i}") for i in range(100)] + [(7, f"h{i}") for i in range(100)] + [(i**9 - 10**12, f"t{i}") for i in range(90)] + [(50, "same")] * 10
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    kept = df.withColumn("h", F.xxhash64("text")).collect()
+    want = [r.text for r in sorted(kept, key=lambda r: (r.doc_id is not None, r.doc_id or 0, r.h))]
+    got = sorted((r.text, r.next_text) for r in syncmers.with_next(df, "doc_id", ["text"]).collect())
+    assert got == sorted(zip(want, want[1:] + want[:1]))
+
+
 def test_syncmers_are_context_free(spark):
     words = [f"word{i * 7919 % 1000}" for i in range(200)]
     texts = [" ".join(words), "other start " + " ".join(words[50:150]) + " other end"]
