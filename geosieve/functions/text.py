@@ -257,3 +257,47 @@ def without_contained(statements: Column) -> Column:
         & ((F.size(F.get(words, i)) < F.size(F.get(words, j))) | (j < i)),
     )
     return F.filter(statements, lambda s, i: ~held(i))
+
+
+def location_words(cells: Column) -> Column:
+    """Labels and texts that tell where a site is, by rank and then order, without texts that an earlier one holds.
+
+    cells: array of struct(rank, ordinal, label, text), ranks for instance name,
+    location, acreage, cited; texts are compared by their words in lower case.
+    """
+    plain = lambda c: F.trim(F.regexp_replace(F.lower(c["text"]), r"[^\p{L}\p{N}_]+", " "))
+    keyed = F.transform(F.array_sort(cells), lambda c: F.struct(c["label"].alias("label"), c["text"].alias("text"), plain(c).alias("plain")))
+    fresh = F.filter(keyed, lambda c, i: ~F.exists(F.slice(keyed, F.lit(1), i), lambda before: F.contains(before["plain"], c["plain"])))
+    return F.transform(fresh, lambda c: F.struct(c["label"], c["text"]))
+
+
+def narrative_sections(text: Column) -> Column:
+    """array of struct(section, body) of a Markdown text by its "## " headings; what stands before them is the Summary.
+
+    Other heading lines are left out, sections of one name are joined, empty ones dropped.
+    """
+    parts = F.split(F.concat(F.lit("## Summary\n"), text), r"(?m)^##[ \t]+(?=\S)")
+    cut = lambda s: F.trim(F.regexp_replace(s, r"^\s+|\s+$", ""))
+    body = lambda s: F.regexp_replace(F.when(F.contains(s, F.lit("\n")), F.regexp_replace(s, r"^[^\n]*\n", "")).otherwise(""), r"(?m)^#.*$\n?", "")
+    found = F.transform(F.slice(parts, F.lit(2), F.size(parts)), lambda s: F.struct(cut(F.substring_index(s, "\n", 1)).alias("section"), body(s).alias("body")))
+    names = F.array_distinct(F.transform(found, lambda f: f["section"]))
+    joined = F.transform(names, lambda n: F.struct(n.alias("section"), cut(F.array_join(F.transform(F.filter(found, lambda f: f["section"] == n), lambda f: cut(f["body"])), "\n")).alias("body")))
+    return F.filter(joined, lambda f: f["body"] != "")
+
+
+def profile_block(text: Column, defaults: dict[str, str | None], required: tuple[str, ...]) -> Column:
+    """struct(values, error) of the first fenced JSON block: its values over the defaults, or why there are none."""
+    block = F.nullif(F.regexp_extract(text, r"(?s)```json\s*\n(.*?)\n```", 1), F.lit(""))
+    given = F.from_json(block, "map<string,string>")
+    known = F.array(*map(F.lit, sorted(defaults)))
+    unknown = F.array_sort(F.array_except(F.map_keys(given), known))
+    missing = F.filter(F.array(*map(F.lit, required)), lambda k: F.coalesce(given[k], F.lit("")) == "")
+    error = (
+        F.when(block.isNull(), "no json block")
+        .when(given.isNull(), "the json block is not valid")
+        .when(F.size(unknown) > 0, F.concat(F.lit("unknown keys: "), F.array_join(unknown, ", ")))
+        .when(F.size(missing) > 0, F.concat(F.lit("missing: "), F.array_join(missing, ", ")))
+    )
+    base = F.create_map(*[F.lit(x) for kv in defaults.items() for x in kv]).cast("map<string,string>")
+    values = F.map_concat(F.map_filter(base, lambda k, _: ~F.array_contains(F.map_keys(given), k)), given)
+    return F.struct(F.when(error.isNull(), values).alias("values"), error.alias("error"))

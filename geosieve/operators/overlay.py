@@ -97,3 +97,8 @@ def zone_shares(shapes: DataFrame, key: str, cells: int = 128) -> DataFrame:
         return pa.table({key: who, "rank": pa.array([r for r, _, _ in out], pa.int32()), "area": pa.array([a for _, a, _ in out], pa.float64()), "pct": pa.array([p for _, _, p in out], pa.float64())})
 
     return shapes.groupBy(key).applyInArrow(one, f"{key} {dict(shapes.dtypes)[key]}, rank int, area double, pct double")
+
+
+def answered_within(x0: Column, y0: Column, x1: Column, y1: Column, reach: Column) -> Column:
+    """Whether a box, in metres about its site, lies wholly inside the radius of an answer about the site."""
+    return F.sqrt(F.greatest(x0 * x0, x1 * x1) + F.greatest(y0 * y0, y1 * y1)) <= reach

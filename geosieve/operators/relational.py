@@ -140,3 +140,14 @@ def precedence_shares(covers: DataFrame, keys: list[str], low: str, high: str, r
     held = pieces.join(covers, keys).where((F.col(low) <= F.col("_x")) & (F.col(high) >= F.col("_y")))
     owned = held.groupBy(*keys, "_x", "_y").agg(F.min(rank).alias(rank))
     return owned.groupBy(*keys, rank).agg(F.sum(F.col("_y") - F.col("_x")).alias("length"))
+
+
+def audience_gate(asked: DataFrame, providers: DataFrame, name: str, audience: str, audiences: tuple[str, ...]) -> DataFrame:
+    """asked with refusal: why a provider may not be shown to an audience, or null. providers: name, cleared_for array."""
+    known = providers.select(name, F.col("cleared_for"), F.lit(True).alias("_known"))
+    refusal = (
+        F.when(~F.coalesce(F.col(audience).isin(*audiences), F.lit(False)), "unknown audience")
+        .when(F.col("_known").isNull(), "unknown provider")
+        .when(~F.coalesce(F.array_contains("cleared_for", F.col(audience)), F.lit(False)), F.concat(F.lit("cleared for "), F.array_join(F.array_sort("cleared_for"), ", "), F.lit(" only")))
+    )
+    return asked.join(known, name, "left").withColumn("refusal", refusal).drop("cleared_for", "_known")

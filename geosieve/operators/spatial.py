@@ -105,3 +105,18 @@ def within_gap(points: DataFrame, key: str, gap_m: float) -> DataFrame:
     other = points.select(F.col(key).alias("f_key"), F.col("lat").alias("f_lat"), F.col("lng").alias("f_lng"))
     pairs = points_within(points, other, gap_m).where(F.col(key) != F.col("f_key"))
     return labelled(Scratch(points.sparkSession), points, pairs.select(F.col(key).alias("a"), F.col("f_key").alias("b")), key)
+
+
+def components_at_gaps(points: DataFrame, key: str, gaps_m: tuple[float, ...]) -> DataFrame:
+    """(gap_m, components): how many groups points form at each gap; the pairs are found once, at the widest."""
+    scratch = Scratch(points.sparkSession)
+    other = points.select(F.col(key).alias("f_key"), F.col("lat").alias("f_lat"), F.col("lng").alias("f_lng"))
+    pairs = points_within(points, other, max(gaps_m)).where(F.col(key) < F.col("f_key"))
+    pairs = scratch.keep(pairs.select(F.col(key).alias("a"), F.col("f_key").alias("b"), "d_mm"))
+    counts = None
+    for gap in gaps_m:
+        # A point stands for its group if no smaller key is in it.
+        grouped = labelled(scratch, points.select(key), pairs.where(F.col("d_mm") <= int(gap * 1000)), key)
+        one = grouped.agg(F.count_if(F.col("component") == F.col(key)).alias("components")).select(F.lit(gap).cast("long").alias("gap_m"), "components")
+        counts = one if counts is None else counts.union(one)
+    return counts
