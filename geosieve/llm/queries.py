@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import media, mixing, neardup, packing, pii, quality, secrets, syncmers, tokencount, toxicity
+from . import audit, interpolation, media, mixing, neardup, packing, pii, quality, secrets, syncmers, tokencount, toxicity, whitening
 
 QUERIES = {
     "op1_source_mixing": mixing.op1_source_mixing,
@@ -15,5 +15,8 @@ QUERIES = {
     "op8_syncmer_fingerprints": syncmers.op8_syncmer_fingerprints,
     "op9_quality_rules": quality.op9_quality_rules,
     "op10_toxicity_mil": toxicity.op10_toxicity_mil,
+    "op11_embedding_whitening": whitening.op11_embedding_whitening,
+    "op12_filter_audit": audit.op12_filter_audit,
+    "op13_interpolated_lm": interpolation.op13_interpolated_lm,
 }
-ORACLE_SQL: dict[str, str] = {"op1_source_mixing": mixing.OP1_SQL}
+ORACLE_SQL: dict[str, str] = {"op1_source_mixing": mixing.OP1_SQL, "op12_filter_audit": audit.OP12_SQL}
