@@ -19,7 +19,7 @@ How it runs, N-gram counts growing with the corpus:
    before it, so no task holds a long text's n-grams.
 2. Each block counts its own distinct n-grams, which are hashed, in sorted order,
    and sends every range of the hash values its part of them: one row a block and
-   range, keys and counts packed. However common an n-gram is, a block sends it once.
+   range, keys and counts packed (distances between sorted keys, compressed). However common an n-gram is, a block sends it once.
 3. Each range adds up its n-grams over all blocks and returns to every block the
    totals of the n-grams that it asked for, in the order they came.
 4. Each deleted block meets its totals and gives a histogram of the fractions by
@@ -59,7 +59,7 @@ from .common import Scratch, documents, fold, small_batches
 from .hashing import mix, word_hashes
 
 ORDER = 3
-BLOCK_BYTES, RANGE_BYTES, PIECE_BYTES, CHUNK_BYTES = 8_000_000, 8_000_000, 4_000_000, 1_000_000
+BLOCK_BYTES, RANGE_BYTES, PIECE_BYTES, CHUNK_BYTES = 4_000_000, 4_000_000, 2_000_000, 1_000_000
 DELETED = 10
 LEVELS, BINS = 16, 33
 STEPS, ENOUGH, PRIOR = 200, 1e-7, 0.5
@@ -105,7 +105,7 @@ def blocks(docs: DataFrame, block_bytes: int = BLOCK_BYTES, piece_bytes: int = P
             uid, doc_id, held_out, piece = zip(*got)
             raw = b"".join(piece)
             texts = raw.count(END)
-            columns = [[first + made], [kind], [texts], [uid], [doc_id], [held_out], [list(map(len, piece))], [zstandard.ZstdCompressor(1).compress(raw)], [len(raw)]]
+            columns = [[first + made], [kind], [texts], [uid], [doc_id], [held_out], [list(map(len, piece))], [zstandard.compress(raw, 1)], [len(raw)]]
             types = [pa.int64(), pa.int32(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.list_(pa.bool_()), pa.list_(pa.int64()), pa.binary(), pa.int64()]
             made += 1
             return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names=[x.split()[0] for x in _BLOCK.split(", ")])
@@ -135,9 +135,9 @@ class Tokens:
     first: np.ndarray
 
 
-def tokens(packed: bytes, size: list[int]) -> Tokens:
+def tokens(raw: bytes, size: list[int]) -> Tokens:
     """Read a block."""
-    raw = zstandard.ZstdDecompressor().decompress(packed)
+    raw = zstandard.decompress(raw)
     ends = np.cumsum(np.array(size, np.int64))
     starts = ends - size
     word, first, at = [], [], 0
@@ -188,30 +188,20 @@ def borders(k: int, ranges: int) -> np.ndarray:
     return (((r << _U(32)) + _U(ranges - 1)) // _U(ranges)) << _U(32)
 
 
-def planes(x: np.ndarray) -> bytes:
-    """Counts byte by byte, all lowest ones first, so that high ones that are zero compress away."""
-    return np.ascontiguousarray(x.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :5].T).tobytes()
+def packed(x: np.ndarray) -> bytes:
+    """Numbers compressed byte by byte, all lowest ones first, so that high ones, mostly zero, take no room."""
+    return zstandard.compress(np.ascontiguousarray(x.astype("<u8").view(np.uint8).reshape(-1, 8).T).tobytes(), 1) if len(x) else b""
 
 
-def unplaned(b: bytes) -> np.ndarray:
-    """The counts of planes()."""
-    out = np.zeros((len(b) // 5, 8), np.uint8)
-    out[:, :5] = np.frombuffer(b, np.uint8).reshape(5, -1).T
-    return out.reshape(-1).view("<u8").astype(np.int64)
+def unpacked(b: bytes) -> np.ndarray:
+    """The numbers of packed()."""
+    raw = zstandard.decompress(b) if len(b) else b""
+    return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(8, -1).T).reshape(-1).view("<u8")
 
 
-def short(x: np.ndarray, k: int) -> bytes:
-    """Identities as bytes, those of longer n-grams without their range."""
-    return x.astype("<u8").tobytes() if not k else np.ascontiguousarray(x.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :5]).tobytes()
-
-
-def unshort(b: bytes, k: int) -> np.ndarray:
-    """The identities of short() within one range."""
-    if not k:
-        return np.frombuffer(b, "<u8")
-    out = np.zeros((len(b) // 5, 8), np.uint8)
-    out[:, :5] = np.frombuffer(b, np.uint8).reshape(-1, 5)
-    return out.reshape(-1).view("<u8")
+def steps(x: np.ndarray, border: np.uint64) -> np.ndarray:
+    """Rising identities as the distance of each from the one before, the first from the border of their range."""
+    return np.diff(x, prepend=border)
 
 
 _ASK = "range int, block long, kind int, " + ", ".join([*(f"k{k} binary" for k in range(ORDER)), *(f"n{k} binary" for k in range(ORDER))])
@@ -228,14 +218,15 @@ def asked(laid: DataFrame, ranges: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for block, kind, packed, size in zip(*(b.column(c).to_pylist() for c in ("block", "kind", "packed", "size"))):
-                t = tokens(packed, size)
+            for block, kind, raw, size in zip(*(b.column(c).to_pylist() for c in ("block", "kind", "packed", "size"))):
+                t = tokens(raw, size)
                 keys, counts = [], []
                 for k in range(ORDER):
                     u, n, _ = named(t, k, ranges)
-                    at = np.append(np.searchsorted(u, borders(k, ranges)), len(u))
-                    keys.append([short(u[i:j], k) for i, j in zip(at[:-1], at[1:])])
-                    counts.append([planes(n[i:j]) if kind != OTHER else b"" for i, j in zip(at[:-1], at[1:])])
+                    low = borders(k, ranges)
+                    at = np.append(np.searchsorted(u, low), len(u))
+                    keys.append([packed(steps(u[i:j], x)) for i, j, x in zip(at[:-1], at[1:], low)])
+                    counts.append([packed(n[i:j]) if kind != OTHER else b"" for i, j in zip(at[:-1], at[1:])])
                 columns = [range(ranges), [block] * ranges, [kind] * ranges, *keys, *counts]
                 schema = _schema(_ASK)
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
@@ -250,18 +241,19 @@ def answered(table: pa.Table) -> pa.Table:
     s: list[list[bytes]] = []
     tokens_ = types = kept_tokens = kept_types = 0
     for k in range(ORDER):
-        parts = [unshort(x.as_buffer(), k) for x in table.column(f"k{k}")]
+        # As distances from the border of the range, which all have in common.
+        parts = [np.cumsum(unpacked(x.as_buffer())) for x in table.column(f"k{k}")]
         u = np.unique(np.concatenate(parts))
         places = [np.searchsorted(u, p).astype(np.int32) for p in parts]
         kept, train = np.zeros(len(u), np.int64), np.zeros(len(u), np.int64)
         for i, n in enumerate(table.column(f"n{k}")):
             if kind[i] != OTHER:
-                n = unplaned(n.as_buffer())
+                n = unpacked(n.as_buffer()).astype(np.int64)
                 train[places[i]] += n
                 if kind[i] == KEPT:
                     kept[places[i]] += n
-        t.append([planes(train[p]) for p in places] + [b""])
-        s.append([planes(kept[p]) if kind[i] == HELD else b"" for i, p in enumerate(places)] + [b""])
+        t.append([packed(train[p]) for p in places] + [b""])
+        s.append([packed(kept[p]) if kind[i] == HELD else b"" for i, p in enumerate(places)] + [b""])
         if not k:
             tokens_, types, kept_tokens, kept_types = int(train.sum()), int((train > 0).sum()), int(kept.sum()), int((kept > 0).sum())
     rows = len(kind)
@@ -287,7 +279,7 @@ def fractions(t: Tokens, totals: pa.Table, ranges: int, which: str, c: Counts) -
     for k in range(ORDER):
         u, _, x = named(t, k, ranges)
         column = totals.column(f"{which}{k}")
-        n = np.concatenate([unplaned(column[int(i)].as_buffer()) for i in order])
+        n = np.concatenate([unpacked(column[int(i)].as_buffer()) for i in order]).astype(np.int64)
         at = np.searchsorted(u, x)
         at[at == len(u)] = 0
         have.append(np.where(u[at] == x, n[at], 0) if len(u) else np.zeros(len(x), np.int64))
@@ -308,15 +300,13 @@ _BINS = "level0 int, level1 int, bin long, n double, " + ", ".join(f"f{k} double
 
 def binned(block: pa.Table, totals: pa.Table, ranges: int, c: Counts) -> pa.Table:
     """The histogram of a deleted block's fractions: how many tokens a bin has and the sums of their fractions."""
-    parts = []
-    for packed, size in zip(block.column("packed").to_pylist(), block.column("size").to_pylist()):
-        _, f, level = fractions(tokens(packed, size), totals, ranges, "s", c)
-        power = np.where(f[:ORDER] > 0, np.minimum(1 - np.frexp(f[:ORDER])[1], BINS - 2) + 1, 0)
-        place = np.ravel_multi_index([*level, *power], (*[LEVELS] * (ORDER - 1), *[BINS] * ORDER))
-        u, at = np.unique(place, return_inverse=True)
-        level0, level1, *_ = np.unravel_index(u, (*[LEVELS] * (ORDER - 1), BINS**ORDER))
-        parts += [level0, level1, u % BINS**ORDER, np.bincount(at, minlength=len(u)), *(np.bincount(at, x, len(u)) for x in f)]
-        break  # one row a block
+    (raw,), (size,) = (block.column(c).to_pylist() for c in ("packed", "size"))
+    _, f, level = fractions(tokens(raw, size), totals, ranges, "s", c)
+    power = np.where(f[:ORDER] > 0, np.minimum(1 - np.frexp(f[:ORDER])[1], BINS - 2) + 1, 0)
+    place = np.ravel_multi_index([*level, *power], (*[LEVELS] * (ORDER - 1), *[BINS] * ORDER))
+    u, at = np.unique(place, return_inverse=True)
+    level0, level1, _ = np.unravel_index(u, (*[LEVELS] * (ORDER - 1), BINS**ORDER))
+    parts = [level0, level1, u % BINS**ORDER, np.bincount(at, minlength=len(u)), *(np.bincount(at, x, len(u)) for x in f)]
     schema = _schema(_BINS)
     return pa.Table.from_arrays([pa.array(np.asarray(p, f.type.to_pandas_dtype())) for p, f in zip(parts, schema)], schema=schema)
 
@@ -375,8 +365,8 @@ _SCORE = "uid long, doc_id long, held_out boolean, n_tokens long, n_known long,
 
 def scored(block: pa.Table, totals: pa.Table, ranges: int, model: Mixture) -> pa.Table:
     """The scores of a block's pieces."""
-    (packed,), (size,) = (block.column(c).to_pylist() for c in ("packed", "size"))
-    t = tokens(packed, size)
+    (raw,), (size,) = (block.column(c).to_pylist() for c in ("packed", "size"))
+    t = tokens(raw, size)
     alone, f, level = fractions(t, totals, ranges, "t", model.counts)
     p = np.zeros(len(alone))
     flat = model.weights.reshape(-1, ORDER + 1)
