@@ -5,6 +5,8 @@ from __future__ import annotations
 import gc
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -39,10 +41,25 @@ class Scratch:
         if rows is not None and (files := max(1, -(-rows // per_file))) < int(self.spark.conf.get("spark.sql.shuffle.partitions")):
             df = df.repartition(files)
         path = f"{self.root}/{self.n}"
-        df.write.mode("overwrite").parquet(path)
+        with self._tidy():
+            df.write.mode("overwrite").parquet(path)
         out = self.kept[path] = self.spark.read.schema(df.schema).parquet(path)
         return out
 
+    @contextmanager
+    def _tidy(self) -> Iterator[None]:
+        """Let go of the shuffle files of what runs inside as soon as it ends; what it wrote is read from then on."""
+        name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+        before = self.spark.conf.get(name, None)
+        self.spark.conf.set(name, "true")
+        try:
+            yield
+        finally:
+            if before is None:
+                self.spark.conf.unset(name)
+            else:
+                self.spark.conf.set(name, before)
+
     def drop(self, *frames: DataFrame) -> None:
         """Delete written tables that no later plan reads."""
         jvm, conf = self.spark._jvm, self.spark._jsparkSession.sessionState().newHadoopConf()
