@@ -392,7 +392,6 @@ def interpolate(docs: DataFrame, held_out: Column, learn: Column, doc_id: str =
     texts = {r.kind: r for r in laid.groupBy("kind").agg(F.sum("bytes").alias("bytes"), F.sum("texts").alias("texts")).collect()}
     ranges = max(1, -(-sum(r.bytes for r in texts.values()) // range_bytes))
     totals = scratch.keep(asked(laid, ranges).groupBy("range").applyInArrow(answered, _TOTAL))
-    scratch.sweep()
     sums = totals.where("block = -1").agg(*[F.coalesce(F.sum(c), F.lit(0)) for c in ("tokens", "types", "kept_tokens", "kept_types")]).first()
     kept, more = (texts[k].texts if k in texts else 0 for k in (KEPT, HELD))
     every, less = Counts(sums[0], sums[1], kept + more), Counts(sums[2], sums[3], kept)

@@ -209,17 +209,14 @@ def near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -
     nodes = scratch.keep(nodes)
     rows = scratch.keep(made.select("doc_id", "n_shingles", "digest"), n)
     scratch.drop(made)
-    scratch.sweep()
 
     keys = nodes.select("node", F.explode("bands").alias("key"))
     shared = keys.groupBy("key").agg(F.min("node").alias("leader"), F.max("node").alias("last")).where("leader <> last").drop("last")
     members = scratch.keep(keys.join(shared, "key"))
     full, nodes = nodes, scratch.keep(nodes.drop("bands"))
     scratch.drop(full)
-    scratch.sweep()
     texts = docs.join(members.select(F.col("node").alias("doc_id")).distinct(), "doc_id", "left_semi").withColumn("_h", F.md5("text"))
     texts = scratch.keep(texts.dropDuplicates(["doc_id", "_h"]).drop("_h"))
-    scratch.sweep()
     shared_rows = members.count()
     marks = nodes.select("node", "n_shingles", "signature")
 
@@ -252,7 +249,6 @@ def near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -
     roots = components(scratch, links, most)
     links = links.union(confirmed(across(pairs, roots).join(best, ["a", "b"], "left_anti"), most))
     roots = components(scratch, links, most)
-    scratch.sweep()
 
     x, y = roots.toDF("node", "root"), roots.toDF("leader", "leader_root")
     placed = members.join(x, "node", "left").join(y, "leader", "left")
