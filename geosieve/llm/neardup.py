@@ -12,18 +12,19 @@ links are the classes.
    paired with the others, so a key with n nodes gives n - 1 pairs. Pairs are
    sifted by size and signature, then confirmed on the full sets; first each
    node's best pair, then only the pairs that still join two components.
-3. Nodes that share a key with their leader but not its component are compared
-   with all others of that key in other components. That comparison is a
-   condition of the join, over a longer signature made for these nodes alone,
-   so only pairs near the threshold come out, once each; they are confirmed on
-   the full sets. So no pair that shares a key goes unseen unless both are
-   already in one component.
+3. The nodes of keys whose members lie in several components are joined exactly
+   among themselves, by their rarest shingles: of two similar sets, which are of known
+   sizes, the first few shingles in an order common to all have one in common. A
+   passage that very many texts share is common, so it comes last and pairs nobody.
+   Pairs within a component are left out; the rest are sifted and confirmed like
+   the others. So no pair that shares a key goes unseen unless both are already in
+   one component.
 4. Components come from alternating large-star and small-star steps; each is
    a grouped minimum and a join, so a node with very many links is split as
    any skewed key.
 
-Bands miss a pair at exactly 0.75 with a probability under 4e-6, and so does
-the longer signature; more similar pairs are missed far less often.
+Bands miss a pair at exactly 0.75 with a probability under 4e-6, the signature
+under 1e-8; more similar pairs are missed far less often.
 
 Null and empty texts and texts of white space alone have the size 0 and are
 linked with nothing. Rows with a null id are returned alone, with a null
@@ -35,86 +36,45 @@ one another. Only the id and the text are read; other columns don't matter.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from geosieve.operators.components import components
 
 from .common import Scratch, documents, small_batches, texts_of
+from .hashing import mix, odd, word_hashes
 
 WORDS, THRESHOLD = 5, 75
 BANDS, ROWS = 64, 6
 SIGNATURE = 256
 #: Signature estimates have a deviation of 0.027 at 0.75; six of them are left as margin.
 SIFT = 0.59
-#: The longer signature: this many minima cut to two bits each, 32 to a long; its deviation at 0.75 is 0.0133, of which 4.5 are left.
-LONG, SIFT_LONG = 1536, 0.69
+#: Shingles are told rare or common by how often their class of 2 ** COMMON_BITS occurs; sizes differ by CLASS_RATIO within a class.
+COMMON_BITS, CHUNKS, CLASS_RATIO = 18, 64, 1.15
 _U = np.uint64
-
-
-def _odd(n: int, seed: int, bits: int) -> np.ndarray:
-    return np.random.default_rng(seed).integers(0, 1 << bits, n, dtype=np.uint64) | _U(1)
-
-
-_BYTE = _odd(256, 11, 64)
-_MUL = (_odd(BANDS * ROWS, 12, 32)).astype(np.uint32)
+_MUL = odd(BANDS * ROWS, 12, 32).astype(np.uint32)
 _ADD = np.random.default_rng(13).integers(0, 1 << 32, BANDS * ROWS, dtype=np.uint64).astype(np.uint32)
-_LONG_MUL = (_odd(LONG, 15, 32)).astype(np.uint32)
-_LONG_ADD = np.random.default_rng(16).integers(0, 1 << 32, LONG, dtype=np.uint64).astype(np.uint32)
-_PLACE = _odd(64, 14, 64)
+_PLACE = odd(64, 14, 64)
 _P = 0x9E3779B97F4A7C15
-_PINV = pow(_P, -1, 1 << 64)
-KEPT_POWERS = 1 << 20
-_powers = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
-
-
-def _mix(x: np.ndarray) -> np.ndarray:
-    x = (x ^ (x >> _U(30))) * _U(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> _U(27))) * _U(0x94D049BB133111EB)
-    return x ^ (x >> _U(31))
-
-
-def _power_table(n: int, p: int) -> np.ndarray:
-    x = np.full(n, p, np.uint64)
-    x[0] = 1
-    return np.cumprod(x)
-
-
-def _powers_to(n: int) -> tuple[np.ndarray, np.ndarray]:
-    if n > KEPT_POWERS:  # made for one text and let go
-        return _power_table(n, _P), _power_table(n, _PINV)
-    if len(_powers[0]) < n:
-        n = 1 << n.bit_length()
-        _powers[:] = [_power_table(n, _P), _power_table(n, _PINV)]
-    return _powers[0], _powers[1]
 
 
 def shingle_set(text: str, words: int = WORDS) -> np.ndarray:
     """The sorted distinct 64-bit hashes of a text's word shingles."""
-    low = np.frombuffer(text.encode("utf-8", "replace").lower(), np.uint8)
-    n = len(low)
-    inside = np.zeros(n + 2, np.int8)
-    inside[1:-1] = ~((low == 32) | ((low >= 9) & (low <= 13)))
-    edge = np.diff(inside)
-    start, end = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
-    if not len(start):
-        return np.empty(0, np.uint64)
-    power, inverse = _powers_to(n + 1)
-    total = np.zeros(n + 1, np.uint64)
-    np.cumsum(_BYTE[low] * power[:n], out=total[1:])
-    word = _mix((total[end] - total[start]) * inverse[start] + (end - start).astype(np.uint64))
+    word, _ = word_hashes(text.encode("utf-8", "replace").lower())
     m = len(word)
+    if not m:
+        return word
     if m < words:
-        return _mix((word * _PLACE[:m]).sum(keepdims=True) + _U(m))
+        return mix((word * _PLACE[:m]).sum(keepdims=True) + _U(m))
     h = np.zeros(m - words + 1, np.uint64)
     for j in range(words):
         h += word[j : m - words + 1 + j] * _PLACE[j]
-    return np.unique(_mix(h + _U(words)))
+    return np.unique(mix(h + _U(words)))
 
 
 def minima(hashes: np.ndarray, mul: np.ndarray = _MUL, add: np.ndarray = _ADD) -> np.ndarray:
@@ -129,7 +89,7 @@ def minima(hashes: np.ndarray, mul: np.ndarray = _MUL, add: np.ndarray = _ADD) -
 def band_keys(low: np.ndarray) -> np.ndarray:
     """A 64-bit key for each band of minima."""
     rows = low.reshape(BANDS, ROWS).astype(np.uint64)
-    return _mix(_mix((rows * _PLACE[None, :ROWS]).sum(axis=1)) + np.arange(1, BANDS + 1, dtype=np.uint64) * _U(_P)).view(np.int64)
+    return mix(mix((rows * _PLACE[None, :ROWS]).sum(axis=1)) + np.arange(1, BANDS + 1, dtype=np.uint64) * _U(_P)).view(np.int64)
 
 
 def similar(a: np.ndarray, b: np.ndarray, threshold: int = THRESHOLD) -> bool:
@@ -177,24 +137,71 @@ def _linked(a: pa.Array, b: pa.Array) -> pa.Array:
     return pa.array(out, pa.bool_())
 
 
-@F.arrow_udf(T.ArrayType(T.LongType()))
-def _long_signature(texts: pa.Array) -> pa.Array:
-    """The longer signature of a text's set, two bits a minimum."""
-    shift = np.arange(0, 64, 2, dtype=np.uint64)
-    out = []
-    for text in texts_of(texts):
-        bits = (minima(shingle_set(text), _LONG_MUL, _LONG_ADD) & np.uint32(3)).astype(np.uint64)
-        out.append((bits.reshape(-1, 32) << shift[None, :]).sum(axis=1, dtype=np.uint64).view(np.int64))
-    return pa.array(out, pa.list_(pa.int64()))
+def _occurrences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """How many sets hold shingles of each class, in chunks."""
+    n = np.zeros(1 << COMMON_BITS, np.int64)
+    for batch in batches:
+        for text in texts_of(batch.column("text")):
+            n += np.bincount((shingle_set(text) >> _U(64 - COMMON_BITS)).astype(np.int64), minlength=len(n))
+    chunks = [c.tobytes() for c in np.split(n, CHUNKS)]
+    yield pa.RecordBatch.from_arrays([pa.array(range(CHUNKS), pa.int32()), pa.array(chunks, pa.binary())], names=["chunk", "n"])
+
+
+def _added(table: pa.Table) -> pa.Table:
+    total = sum(np.frombuffer(x.as_buffer(), np.int64) for x in table.column("n"))
+    return pa.table({"chunk": table.column("chunk")[:1], "n": pa.array([total.tobytes()], pa.binary())})
 
 
-def _near(x: Column, y: Column) -> Column:
-    """Whether two longer signatures agree in as many places as similar sets would."""
-    differ = F.lit(0)
-    for i in range(LONG // 32):
-        z = x[i].bitwiseXOR(y[i])
-        differ = differ + F.bit_count(z.bitwiseOR(F.shiftrightunsigned(z, 1)).bitwiseAND(F.lit(0x5555555555555555)))
-    return differ <= int(LONG * 0.75 * (1 - SIFT_LONG))
+def size_class(n: int) -> int:
+    """The class of a set's size."""
+    return int(np.log(n) / np.log(CLASS_RATIO) + 1e-9)
+
+
+def prefix(s: np.ndarray, common: np.ndarray, threshold: int = THRESHOLD) -> tuple[np.ndarray, np.ndarray]:
+    """The shingles of a set by which it can meet similar ones, and the largest size of a set that it can meet by each.
+
+    Shingles are put in one order for all sets, rare ones first. Similar sets of sizes n and m have a
+    number of shingles in common that the sizes give, so the first one in common leaves room for the others in both.
+    """
+    n = len(s)
+    ordered = s[np.lexsort((s, common[(s >> _U(64 - COMMON_BITS)).astype(np.int64)]))]
+    left = n - np.arange(n)
+    most = np.minimum((100 + threshold) * left // threshold - n, 100 * n // threshold)
+    some = most >= -(-threshold * n // 100)
+    return ordered[some], most[some]
+
+
+def classes(n: int, most: np.ndarray, threshold: int = THRESHOLD) -> tuple[np.ndarray, np.ndarray]:
+    """(place, class) for every class of sizes that the shingle at the place can meet."""
+    first = size_class(-(-threshold * n // 100))
+    last = (np.log(most) / np.log(CLASS_RATIO) + 1e-9).astype(np.int64)
+    count = last - first + 1
+    place = np.repeat(np.arange(len(most)), count)
+    return place, first + np.arange(len(place)) - np.repeat(np.cumsum(count) - count, count)
+
+
+_RARE = "token long, lo int, hi int, side int, node long, root long, size long, most long"
+
+
+def _rare(common) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """The shingles by which each set can meet similar ones, once for each class of their sizes."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = []
+            for node, root, text in zip(batch.column("node").to_pylist(), batch.column("root").to_pylist(), texts_of(batch.column("text"))):
+                s = shingle_set(text)
+                token, most = prefix(s, common.value)
+                at, other = classes(len(s), most)
+                mine = size_class(len(s))
+                same = [np.full(len(at), x, np.int64) for x in (node, root, len(s))]
+                rows.append((token[at].view(np.int64), np.minimum(mine, other), np.maximum(mine, other), np.sign(mine - other), *same, most[at]))
+            if rows:
+                columns = [np.concatenate(c) for c in zip(*rows)]
+                kinds = [pa.int32() if " int" in x else pa.int64() for x in _RARE.split(", ")]
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=[x.split()[0] for x in _RARE.split(", ")])
+
+    return run
 
 
 def near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -255,18 +262,20 @@ def near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -
     placed = scratch.keep(placed.select("key", "node", "leader", F.coalesce("root", "node").alias("root"), F.coalesce("leader_root", "leader").alias("leader_root")), shared_rows)
     apart = placed.where("root <> leader_root")
     mixed = placed.join(apart.select("key").distinct(), "key", "left_semi")
-    some = mixed.select("node").distinct()
-    long = texts.withColumnRenamed("doc_id", "node").join(some, "node", "left_semi").select("node", _long_signature("text").alias("long"))
-    own = members.join(some, "node", "left_semi").groupBy("node").agg(F.collect_set("key").alias("bands"))  # at most BANDS keys a node
-    wide = scratch.keep(long.join(own, "node").join(nodes.select("node", "n_shingles"), "node"))
-    x = apart.join(wide, "node").select("key", *[F.col(c).alias(f"s_{c}") for c in ("node", "root", "n_shingles", "bands", "long")])
-    rest = x.join(mixed.join(wide, "node"), "key").where(
-        F.expr("root <> s_root and node <> leader and s_node <> leader and (root = leader_root or s_node < node)")
-        & F.expr("100 * least(n_shingles, s_n_shingles) >= 75 * greatest(n_shingles, s_n_shingles)")
-        & _near(F.col("s_long"), F.col("long"))
-        & (F.col("key") == F.array_min(F.array_intersect("s_bands", "bands")))
-    )
-    rest = scratch.keep(rest.select(F.least("s_node", "node").alias("a"), F.greatest("s_node", "node").alias("b")), shared_rows)
+    some = scratch.keep(texts.withColumnRenamed("doc_id", "node").join(mixed.select("node", "root").distinct(), "node"))
+    parts = some.select("text").mapInArrow(_occurrences, "chunk int, n binary").groupBy("chunk").applyInArrow(_added, "chunk int, n binary").collect()
+    common = np.concatenate([np.frombuffer(r.n, np.int64) for r in sorted(parts)] or [np.zeros(1 << COMMON_BITS, np.int64)])
+    sent = df.sparkSession.sparkContext.broadcast(common)  # 2 ** COMMON_BITS numbers whatever the corpus
+
+    # Sets that share a rare shingle, of all components that have it those apart from the most frequent one with all others.
+    held = scratch.keep(some.mapInArrow(_rare(sent), _RARE))
+    of = ["token", "lo", "hi"]
+    by_root = held.groupBy(*of, "root").agg(F.count("*").alias("n"))
+    lead = by_root.groupBy(*of).agg(F.max_by("root", F.struct("n", "root")).alias("lead"), F.count("*").alias("roots")).where("roots > 1").drop("roots")
+    held = scratch.keep(held.join(lead, of))
+    x = held.where("root <> lead").drop("lead").withColumnsRenamed({c: f"s_{c}" for c in ("side", "node", "root", "size", "most")})
+    rest = x.join(held, of).where("root <> s_root and side = -s_side and (root = lead or s_node < node) and size <= s_most and s_size <= most")
+    rest = sifted(rest.select(F.least("s_node", "node").alias("a"), F.greatest("s_node", "node").alias("b")))
     left = rest.count()
     roots = components(scratch, links.union(confirmed(rest, left)), most + left)
 

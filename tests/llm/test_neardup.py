@@ -95,3 +95,42 @@ def test_components(spark):
     random.shuffle(edges)
     got = dict(neardup.components(Scratch(spark), spark.createDataFrame(edges, "a long, b long")).collect())
     assert got == {i: 0 for i in range(1, 61)} | {200 + i: 100 for i in range(30)}
+
+
+def test_prefixes_meet_and_common_passages_do_not():
+    rng = random.Random(4)
+    common = np.zeros(1 << neardup.COMMON_BITS, np.int64)
+    for _ in range(300):
+        n = rng.choice([1, 2, 4, 5, 20, 21, 100, 333])
+        a = np.unique(np.array([rng.getrandbits(64) for _ in range(n)], np.uint64))
+        b = np.unique(np.concatenate([a[rng.randrange(2) * n // 9 :], np.array([rng.getrandbits(64) for _ in range(rng.randrange(n // 4 + 2))], np.uint64)]))
+        met = [dict(), dict()]
+        for x, seen in ((a, met[0]), (b, met[1])):
+            token, most = neardup.prefix(x, common)
+            at, other = neardup.classes(len(x), most)
+            for t, m, c in zip(token[at].tolist(), most[at].tolist(), other.tolist()):
+                seen[t, c] = m
+        ca, cb = neardup.size_class(len(a)), neardup.size_class(len(b))
+        meets = any((t, ca) in met[1] and met[1][t, ca] >= len(a) and m >= len(b) for (t, c), m in met[0].items() if c == cb)
+        assert meets or not neardup.similar(a, b)
+    # A shared passage of three quarters is told by its counts, and nobody meets through it.
+    passage = np.array([rng.getrandbits(64) for _ in range(146)], np.uint64)
+    common[(passage >> np.uint64(64 - neardup.COMMON_BITS)).astype(int)] += 50
+    token, most = neardup.prefix(np.unique(np.concatenate([passage, np.array([rng.getrandbits(64) for _ in range(44)], np.uint64)])), common)
+    assert not set(token[most >= 190].tolist()) & set(passage.tolist())
+
+
+def test_common_passage_in_many_documents(spark):
+    """Texts of one passage and words of their own, under the threshold but in one band, with near copies of some."""
+    rng = random.Random(8)
+    passage = " ".join(f"p{rng.randrange(10**6)}" for _ in range(150))
+    rows = []
+    for i in range(120):
+        own = [f"w{rng.randrange(10**7)}" for _ in range(40)]
+        rows.append((i, f"{passage} {' '.join(own)}"))
+        if i % 10 == 0:
+            rows.append((1000 + i, f"{passage} {' '.join(own[:-1])} x"))
+    got = neardup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    want = brute(rows)
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == want
+    assert sum(r.kept for r in got) == 120
