@@ -12,10 +12,13 @@ corpus. The plan is made on the histogram:
    sizes and single ones. Taking the largest size left with the largest that
    fits beside it, as often as both last, gives the most pairs there can be:
    what fits beside a larger size also fits beside a smaller one.
-3. Actual lengths take the places of the rounded ones in the pairs.
-4. What rounding left single, and the small lengths, are best-fit into what
+3. Actual lengths take the places of the rounded ones in the pairs. Pairs that
+   rounding leaves with more room than a tolerance are undone.
+4. What is single, and the small lengths, are best-fit into what
    room there is, longest first, by their actual lengths; the rest open new
    sequences. So rounding costs few sequences although groups are few.
+5. Of the plans of several tolerances the one with the fewest sequences is taken. One
+   of them undoes every pair, so no plan needs more than best-fit alone.
 
 A plan is a list of ranges: of the pieces of a length, numbers lo to lo + n
 go to sequences base to base + n at an offset. Pieces get their number within
@@ -46,6 +49,7 @@ from .common import Scratch, documents, small_batches, texts_of
 
 CAPACITY, END_ID = 1024, 2
 GROUPS, LARGE = 192, CAPACITY // 3
+TOLERANCES = (16, 4, 1, 0)
 ENDOFTEXT, ENDOFTEXT_ID = "<|endoftext|>", 50256
 ROWS_PER_SALT = 20_000
 
@@ -94,8 +98,8 @@ def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 class Plan:
     """Where the pieces of each length go. A class is n alike sequences: [n, room, [(length, lo), ...]]."""
 
-    def __init__(self, histogram: dict[int, int], capacity: int = CAPACITY, groups: int = GROUPS, large: int = LARGE):
-        self.capacity, self.taken = capacity, dict.fromkeys(histogram, 0)
+    def __init__(self, histogram: dict[int, int], capacity: int = CAPACITY, groups: int = GROUPS, large: int = LARGE, tolerance: int = CAPACITY):
+        self.capacity, self.tolerance, self.taken = capacity, tolerance, dict.fromkeys(histogram, 0)
         self.open: list[list[list]] = [[] for _ in range(capacity + 1)]
         left = self.place_large({s: c for s, c in histogram.items() if s > large}, groups)
         left.update({s: c for s, c in histogram.items() if s <= large})
@@ -133,27 +137,32 @@ class Plan:
         left = [sum(n for _, n in g) for g in group]
         for n, use in configurations(size, left, self.capacity):
             if sum(use.values()) > 1:
-                self.substitute([(group[g], k) for g, k in use.items()], n)
+                single.update(self.substitute([(group[g], k) for g, k in use.items()], n))
         for runs in group:
             for s, n in runs:
                 single[s] += n
         return single
 
-    def substitute(self, slots: list[tuple[list[list[int]], int]], n: int) -> None:
-        """n sequences of a configuration with actual lengths; runs of equal lengths keep the classes few."""
+    def substitute(self, slots: list[tuple[list[list[int]], int]], n: int) -> Counter[int]:
+        """n sequences of a configuration with actual lengths; runs of equal lengths keep the classes few. The lengths of those undone."""
         places = [runs for runs, k in slots for _ in range(k)]
+        undone: Counter[int] = Counter()
         while n:
             # As many sequences as every place can fill from the run that is first in its group; one, if places share a short run.
             m = min(n, min(max(1, runs[0][1] // sum(p is runs for p in places)) for runs in places))
             chosen = []
             for runs in places:
-                s = runs[0][0]
-                chosen.append((s, self.take(s, m)))
+                chosen.append(runs[0][0])
                 runs[0][1] -= m
                 if not runs[0][1]:
                     runs.pop(0)
-            self.add(m, chosen)
+            if self.capacity - sum(chosen) <= self.tolerance:
+                self.add(m, [(s, self.take(s, m)) for s in chosen])
+            else:
+                for s in chosen:
+                    undone[s] += m
             n -= m
+        return undone
 
     def best_fit(self, s: int, n: int) -> None:
         room = s
@@ -179,6 +188,10 @@ class Plan:
             lo = self.take(s, n)
             self.add(1, [(s, lo + i) for i in range(n)])
 
+    def sequences(self) -> int:
+        """How many sequences the plan opens."""
+        return sum(n for classes in self.open for n, _, _ in classes)
+
     def ranges(self) -> np.ndarray:
         """Rows (length, lo, first sequence, offset), sorted; a range ends where the length's next begins."""
         rows, base = [], 0
@@ -192,6 +205,12 @@ class Plan:
         return np.array(sorted(rows), np.int64).reshape(-1, 4)
 
 
+def best_plan(histogram: dict[int, int], capacity: int = CAPACITY, groups: int = GROUPS) -> Plan:
+    """The plan with the fewest sequences of several tolerances, the last of which undoes all pairs."""
+    plans = (Plan(histogram, capacity, groups, capacity // 3, t) for t in (capacity, *TOLERANCES, -1))
+    return min(plans, key=Plan.sequences)
+
+
 def configurations(size: list[int], left: list[int], capacity: int = CAPACITY) -> Iterator[tuple[int, dict[int, int]]]:
     """(times, {group: how many}) until all groups are used: the largest size left with the largest that fits beside it, or alone."""
     left = list(left)
@@ -225,7 +244,7 @@ def pack(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame
     docs = df.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     pieces = scratch.keep(docs.mapInArrow(_pieces, _PIECE_TYPES))
     rows, histogram = numbered(pieces, pieces.count())
-    ranges = spark.sparkContext.broadcast(Plan(histogram).ranges())
+    ranges = spark.sparkContext.broadcast(best_plan(histogram).ranges())
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         plan = ranges.value

@@ -88,7 +88,7 @@ def test_plans(seed):
     rng = np.random.default_rng(seed)
     lengths = rng.integers(1, [1025, 30, 1025, 600, 1025, 2][seed], [500, 5000, 3, 1000, 2_000, 7][seed])
     histogram = {int(k): int(v) for k, v in Counter(lengths.tolist()).items()}
-    plan = packing.Plan(histogram)
+    plan = packing.best_plan(histogram)
     ranges, n = plan.ranges(), sum(c[0] for o in plan.open for c in o)
     assert plan.taken == histogram
     filled = Counter()
@@ -97,14 +97,28 @@ def test_plans(seed):
         for q in range(base, base + end - lo):
             filled[q] += int(s)
     assert len(filled) == n and max(filled.values()) <= 1024
-    rooms: list[int] = []  # best-fit decreasing, one by one
+    assert n <= best_fit_decreasing(lengths)
+
+
+def best_fit_decreasing(lengths):
+    """How many sequences best-fit decreasing opens, one length after the other."""
+    rooms = np.zeros(1025, int)
     for s in sorted(lengths.tolist(), reverse=True):
-        at = min((i for i, r in enumerate(rooms) if r >= s), key=rooms.__getitem__, default=None)
-        if at is None:
-            rooms.append(1024 - s)
+        at = s + int(np.argmax(rooms[s:] > 0))
+        if rooms[at]:
+            rooms[at] -= 1
+            rooms[at - s] += 1
         else:
-            rooms[at] -= s
-    assert n <= 1.005 * len(rooms) + 1
+            rooms[1024 - s] += 1
+    return int(rooms.sum())
+
+
+@pytest.mark.parametrize("kind", ["uniform", "large", "lognormal", "over a third"])
+def test_plans_need_no_more_than_best_fit(kind):
+    rng = np.random.default_rng(11)
+    lengths = {"uniform": rng.integers(1, 1025, 20_000), "large": rng.integers(342, 700, 20_000), "lognormal": np.clip(rng.lognormal(5.5, 1, 40_000), 1, 1024).astype(int), "over a third": rng.integers(342, 1025, 20_000)}[kind]
+    histogram = {int(k): int(v) for k, v in Counter(lengths.tolist()).items()}
+    assert packing.best_plan(histogram).sequences() <= best_fit_decreasing(lengths)
 
 
 def test_other_files_are_refused():
