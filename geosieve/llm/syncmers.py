@@ -3,11 +3,14 @@
 A text is read as units: words of at most UNIT code points, and of longer runs,
 and runs with letters of scripts that don't part words, each code point. So no
 unit's bounds hang on where a run begins. A k-mer is K units in a row; it is chosen if the least of its inner
-substrings, single units ordered by a hash, is the first or the last. Whether
+substrings, single units ordered by a hash, is the first or the last. Letters,
+digits and signs of small alphabets alone say little, so where all K units are
+such, a k-mer is LONG of them and its inner substrings are INNER long. Whether
 a k-mer is chosen depends on the k-mer alone, so two texts that share a
 passage choose the same k-mers there whatever stands around it, and the places
 of chosen k-mers are anchors for matching passages by position. A text
-none of whose k-mers is chosen has its units as anchors.
+none of whose k-mers is chosen has its words as anchors, and its single letters,
+digits and signs as one.
 
 A fingerprint is all anchors of a text with their places, in the text's order,
 and the likeness of two is the Jaccard similarity of their distinct hashes.
@@ -22,6 +25,7 @@ their place. Other columns don't matter.
 from __future__ import annotations
 
 from collections import Counter
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -29,7 +33,10 @@ from pyspark.sql.window import Window as W
 
 from .common import Scratch, documents
 
-UNIT, K = 12, 4
+UNIT, K = 24, 4
+LONG, INNER = 24, 9
+#: Code points from here on are of alphabets large enough for short k-mers.
+LARGE_ALPHABETS = 0x0E00
 #: Scripts whose texts have no spaces between words.
 UNPARTED = "".join(rf"\p{{Is{s}}}" for s in ("Han", "Hiragana", "Katakana", "Thai", "Lao", "Khmer", "Myanmar"))
 #: A short word between spaces, or else one code point.
@@ -41,20 +48,35 @@ NULL_KEY = -(2**63)
 def with_anchors(df: DataFrame, text: str, out: str, places: bool = False) -> DataFrame:
     """Add ``out``: the hashes of chosen k-mers in order, or with ``places`` structs of (unit, hash)."""
     units = F.regexp_extract_all(F.coalesce(F.col(text), F.lit("")), F.lit(UNITS), F.lit(0))
-    df = df.withColumn("_units", F.transform(units, lambda u: F.xxhash64(u)))
+    # The lowest bit of a unit's hash tells a single letter, digit or sign.
+    single = lambda u: (F.length(u) == 1) & (F.ascii(u) < LARGE_ALPHABETS)
+    df = df.withColumn("_units", F.transform(units, lambda u: F.when(single(u), F.xxhash64(u).bitwiseOR(1)).otherwise(F.xxhash64(u).bitwiseAND(-2))))
     h = F.col("_units")
 
+    def inner(first: Column, i: Column) -> Column:
+        rest = [F.get(h, i + j) for j in range(1, INNER)]
+        return F.when(first.bitwiseAND(1) == 1, F.when(reduce(Column.bitwiseAND, rest).bitwiseAND(1) == 1, F.xxhash64(first, *rest)))
+
+    df = df.withColumn("_inner", F.transform(h, inner))
+    g, ends = F.col("_inner"), LONG - INNER
+
     def kmer(first: Column, i: Column) -> Column:
-        inner = [h[i + j] for j in range(1, K - 1)]
-        last = h[i + (K - 1)]
-        value = F.xxhash64(first, *inner, last).bitwiseAND(0xFFFFFFFF)
-        value = F.struct(i.alias("unit"), value.alias("hash")) if places else value
-        return F.when(F.least(first, last) <= F.least(*inner), value)
+        last, others = h[i + (K - 1)], [h[i + j] for j in range(1, K - 1)]
+        a, b, c, d = (F.get(g, i + j) for j in (0, INNER - 2, INNER - 1, ends))  # together they show that all LONG units are single
+        whole = b.isNotNull() & (F.least(a, d) <= F.array_min(F.slice(g, i + 1, ends + 1)))
+        long = F.when(a.isNotNull() & d.isNotNull(), F.when(whole, F.xxhash64(a, c, d)))
+        short = F.when(F.least(first, last) <= F.least(*others), F.xxhash64(first, *others, last))
+        value = F.when(reduce(Column.bitwiseAND, others, first.bitwiseAND(last)).bitwiseAND(1) == 1, long).otherwise(short).bitwiseAND(0xFFFFFFFF)
+        return F.when(value.isNotNull(), F.struct(i.alias("unit"), value.alias("hash"))) if places else value
 
     chosen = F.filter(F.transform(F.slice(h, 1, F.greatest(F.size(h) - (K - 1), F.lit(0))), kmer), lambda x: x.isNotNull())
-    single = lambda x, i: F.struct(i.alias("unit"), x.bitwiseAND(0xFFFFFFFF).alias("hash")) if places else x.bitwiseAND(0xFFFFFFFF)
+    anchor = lambda x, i: F.struct(i.alias("unit"), x.bitwiseAND(0xFFFFFFFF).alias("hash")) if places else x.bitwiseAND(0xFFFFFFFF)
+    words = F.filter(F.transform(h, lambda x, i: F.when(x.bitwiseAND(1) == 0, anchor(x, i))), lambda x: x.isNotNull())
+    letters = F.filter(h, lambda x: x.bitwiseAND(1) == 1)
+    first = (F.array_position(F.transform(h, lambda x: x.bitwiseAND(1)), F.lit(1).cast("long")) - 1).cast("int")
+    plain = F.when(F.size(letters) == 0, words).otherwise(F.array_sort(F.concat(words, F.array(anchor(F.xxhash64(letters), first)))))
     df = df.withColumn("_chosen", chosen)
-    return df.withColumn(out, F.when(F.size("_chosen") == 0, F.transform(h, single)).otherwise(F.col("_chosen"))).drop("_units", "_chosen")
+    return df.withColumn(out, F.when(F.size("_chosen") == 0, plain).otherwise(F.col("_chosen"))).drop("_units", "_inner", "_chosen")
 
 
 def with_fingerprint(df: DataFrame, text: str, out: str) -> DataFrame:
@@ -67,6 +89,11 @@ def hashes(fingerprint: Column) -> Column:
     return F.transform(fingerprint, lambda x: x["hash"])
 
 
+def as_text(fingerprint: Column) -> Column:
+    """A fingerprint as a string: unit:hash of each anchor, the hash in hexadecimal, comma-joined."""
+    return F.array_join(F.transform(fingerprint, lambda x: F.concat(x["unit"].cast("string"), F.lit(":"), F.hex(x["hash"]))), ",")
+
+
 def likeness(a: Column, b: Column) -> Column:
     """The Jaccard similarity of two fingerprints' hashes."""
     either = F.size(F.array_union(a, b))
@@ -145,8 +172,8 @@ def op8_syncmer_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id",
         "n_chars",
         F.sha2("edited", 256).alias("edited_sha256"),
-        F.col("own").alias("fingerprint"),
-        F.col("other").alias("edited_fingerprint"),
+        as_text(F.col("own")).alias("fingerprint"),
+        as_text(F.col("other")).alias("edited_fingerprint"),
         likeness(F.col("_own"), F.col("_other")).alias("near_edited"),
         likeness(F.col("_own"), F.col("_next")).alias("near_next"),
     )
