@@ -8,7 +8,7 @@ from pyspark.sql.window import Window as W
 
 from geosieve.functions import geo
 from geosieve.functions.text import COMMON_AREA, same_owner
-from geosieve.operators.spatial import range_join
+from geosieve.operators.grid import box_join, circle_box, degrees
 
 #: Location tiers, the surest first.
 TIERS = ("L1", "L2", "L3", "L4", "L5")
@@ -16,6 +16,8 @@ TIERS = ("L1", "L2", "L3", "L4", "L5")
 SLIVER_M2, SAME_OVERLAP, TOUCH_M = 20.0, 0.9, 3.0
 #: A candidate's area may be off by this part; more candidates than this are no answer.
 TOLERANCE, MOST_ASKED, ADJACENT_M = 0.15, 5, 150
+#: About the size of the small circles of a candidate search; any gives the same pairs.
+CELL_M = 2_000.0
 #: Crossings farther apart than this are ambiguous; kilowatts of a rack and of a square foot.
 SPREAD_M, RACK_KW, SQUARE_FOOT_KW = 500.0, 1.74, 0.1875
 
@@ -70,11 +72,13 @@ def candidates(areas: DataFrame, parcels: DataFrame, key: str) -> DataFrame:
     f_lng, reach_m (the radius of its own circle), parcel_acres, owner,
     tokens, apn. More than MOST_ASKED are told by too_many and stay.
     """
-    reach = 2_000.0
-    high = reach / geo.M_PER_DEG_LAT
-    box = (F.col("f_lat") - high, F.col("f_lng") - high * 1.6, F.col("f_lat") + high, F.col("f_lng") + high * 1.6)
     fits = F.abs(F.col("parcel_acres") - F.col("acres")) <= TOLERANCE * F.col("acres")
-    pairs = range_join(areas, parcels, 30_000.0, box).where(fits & ~F.coalesce(F.col("owner").rlike(COMMON_AREA), F.lit(False)))
+    kept = parcels.where(~F.coalesce(F.col("owner").rlike(COMMON_AREA), F.lit(False)))
+    # Circles are seen from the areas, whose latitudes are within both radii of a parcel's.
+    kept = kept.crossJoin(F.broadcast(areas.agg(F.coalesce(F.max("radius_m"), F.lit(0.0)).alias("_widest"))))  # one row
+    own = circle_box(F.col("lat"), F.col("lng"), F.col("radius_m"))
+    box = circle_box(F.col("f_lat"), F.col("f_lng"), F.col("reach_m"), F.col("_widest"))
+    pairs = box_join(areas, kept, own, box, degrees(CELL_M)).drop("_widest").where(fits)
     far = geo.distance(F.col("lat"), F.col("lng"), F.col("f_lat"), F.col("f_lng"))
     pairs = pairs.withColumn("_d", far).where(F.col("_d") <= F.col("radius_m") + F.col("reach_m"))
     sub = geo.distance(F.col("sub_lat"), F.col("sub_lng"), F.col("f_lat"), F.col("f_lng"))
