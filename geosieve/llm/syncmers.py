@@ -150,6 +150,8 @@ def with_next(df: DataFrame, key: str, columns: list[str]) -> DataFrame:
     firsts = scratch.last(firsts, n // ROWS_PER_BUCKET)  # written, so that its size decides how it is joined
     guests = rows.join(firsts, ["_key", "_tie"]).drop("_bucket").withColumnRenamed("_to", "_bucket").dropDuplicates(["_key", "_tie"])
     rows = rows.withColumn("_guest", F.lit(False)).unionByName(guests.withColumn("_guest", F.lit(True)))
+    # By number, since what is made of texts is much work for few bytes, which would else be joined into few tasks.
+    rows = rows.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), "_bucket")
     order = W.partitionBy("_bucket").orderBy("_guest", "_key", "_tie")
     rows = rows.withColumns({f"next_{c}": F.lead(c).over(order) for c in columns})
     return rows.where(~F.col("_guest")).drop("_key", "_tie", "_coarse", "_bucket", "_guest")
