@@ -157,10 +157,17 @@ def number_text(x: Column, suffix: str = "") -> Column:
     return F.coalesce(F.concat(short, F.lit(suffix)), F.lit("—"))
 
 
+def title_case(text: Column) -> Column:
+    """Letters after no letter in upper case, all others in lower case, so also those after a hyphen, an apostrophe or a digit."""
+    letters = F.regexp_extract_all(text, F.lit(r"(?s)."), F.lit(0))
+    after = lambda i: F.coalesce(F.get(letters, i - 1).rlike(r"^[\p{Lu}\p{Ll}\p{Lt}]$"), F.lit(False))
+    return F.array_join(F.transform(letters, lambda c, i: F.when(after(i), F.lower(c)).otherwise(F.upper(c))), "")
+
+
 def market_of(section: Column) -> Column:
     """The market a section's heading names, in title case."""
     name = F.split(F.split(section, r" \(", 2)[0], " · ", 2)[0]
-    return F.regexp_replace(F.initcap(name), "Msa", "MSA")
+    return F.regexp_replace(title_case(name), "Msa", "MSA")
 
 
 def nearest_text(metres: Column, status: Column, about: Column) -> Column:
@@ -249,7 +256,7 @@ def zone_list(text: Column) -> Column:
 
 def without_contained(statements: Column) -> Column:
     """Statements whose words no other one holds; of equal ones the first."""
-    words = F.transform(statements, lambda s: F.array_distinct(F.filter(F.split(F.lower(s), r"\W+"), lambda w: w != "")))
+    words = F.transform(statements, lambda s: F.array_distinct(F.regexp_extract_all(F.lower(s), F.lit("[a-z0-9]+"), F.lit(0))))
     held = lambda i: F.exists(
         F.sequence(F.lit(0), F.size(words) - 1),
         lambda j: (j != i)

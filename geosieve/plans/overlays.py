@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from geosieve.functions import rules, text as x
-from geosieve.operators import lines, planar
+from geosieve.operators import lines, parcels, planar
 from geosieve.plans.registry import Tables, query
 from geosieve.plans.spatial import HOLE, OUTLINE, PARTS, SITES, parts, sites
 
@@ -14,15 +14,20 @@ RANKS, FOOTPRINT_M = 5, 500.0
 LABELS = ("AE floodway", "AE", "X 0.2%", "X levee", "X")
 
 
-def shapes(t: Tables) -> DataFrame:
-    """A footprint about each supplier and the zones of the parts dealt to it, with a hole each, as edges in metres."""
+def outlines(t: Tables) -> DataFrame:
+    """A footprint about each supplier and the zones of the parts dealt to it, with a hole each, in metres."""
     count = t.supplier.agg(F.count("*").alias("n"))
     p = F.col("p_partkey").cast("long")
     zones = t.part.crossJoin(F.broadcast(count)).select((p % F.col("n") + 1).alias("site"), p.alias("shape"), (p % RANKS).cast("int").alias("rank"), (p * 7919 % 1201 - 600.0).alias("cx"), (p * 104729 % 1103 - 550.0).alias("cy"), (40.0 + 2.0 * F.col("p_size")).alias("r"))
     own = t.supplier.select(F.col("s_suppkey").cast("long").alias("site"), F.lit(0).cast("long").alias("shape"), F.lit(None).cast("int").alias("rank"), F.lit(0.0).alias("cx"), F.lit(0.0).alias("cy"), F.lit(FOOTPRINT_M).alias("r"))
     ring = lambda corners: F.array(*[F.struct((F.col("cx") + F.col("r") * a).alias("x"), (F.col("cy") + F.col("r") * b).alias("y")) for a, b in corners])
     rows = own.unionByName(zones).withColumn("rings", F.array(ring(OUTLINE), ring(HOLE)))
-    return planar.ring_edges(rows.drop("cx", "cy", "r"))
+    return rows.drop("cx", "cy", "r")
+
+
+def shapes(t: Tables) -> DataFrame:
+    """Footprints and zones as edges."""
+    return planar.ring_edges(outlines(t))
 
 
 _EDGES = " UNION ALL ".join(
@@ -78,6 +83,43 @@ def footprint_breakdown(t: Tables) -> DataFrame:
     return total.join(said, "site", "left").select("site", "acres", "unmapped_acres", "breakdown")
 
 
+TOUCH_M, GAP_M = 3.0, 20.0
+
+
+def _apart(px: str, py: str, ax: str, ay: str, bx: str, b_y: str) -> str:
+    """SQL for the squared distance from a point to a segment of some length."""
+    u = f"least(1e0, greatest(0e0, (({px} - {ax}) * ({bx} - {ax}) + ({py} - {ay}) * ({b_y} - {ay})) / (({bx} - {ax}) * ({bx} - {ax}) + ({b_y} - {ay}) * ({b_y} - {ay}))))"
+    return f"(pow({ax} + {u} * ({bx} - {ax}) - {px}, 2) + pow({ay} + {u} * ({b_y} - {ay}) - {py}, 2))"
+
+
+_P, _Q = (("p.x0", "p.y0", "p.x1", "p.y1"), ("q.x0", "q.y0", "q.x1", "q.y1"))
+_SIDE = lambda s, x, y: f"(({s[2]} - {s[0]}) * ({y} - {s[1]}) - ({s[3]} - {s[1]}) * ({x} - {s[0]}))"
+_APART_SQL = f"""{_SHAPES}, e AS ({_EDGES}), z AS (SELECT * FROM e WHERE rank IS NOT NULL),
+    d AS (SELECT p.site, p.shape AS a, q.shape AS b, CASE WHEN {_SIDE(_P, "q.x0", "q.y0")} * {_SIDE(_P, "q.x1", "q.y1")} < 0 AND {_SIDE(_Q, "p.x0", "p.y0")} * {_SIDE(_Q, "p.x1", "p.y1")} < 0 THEN 0e0
+        ELSE sqrt(least({", ".join(_apart(s[i], s[i + 1], *o) for s, o in ((_P, _Q), (_Q, _P)) for i in (0, 2))})) END AS d FROM z p JOIN z q ON p.site = q.site AND p.shape < q.shape),
+    v AS (SELECT site, shape, min(row(x0, y0)) AS v FROM z GROUP BY ALL),
+    i AS (SELECT v.site, least(v.shape, q.shape) AS a, greatest(v.shape, q.shape) AS b FROM v JOIN z q ON v.site = q.site AND v.shape <> q.shape
+        WHERE (q.y0 > v[2]) <> (q.y1 > v[2]) AND v[1] < (q.x1 - q.x0) * (v[2] - q.y0) / (q.y1 - q.y0) + q.x0 GROUP BY v.site, v.shape, q.shape HAVING count(*) % 2 = 1),
+    apart AS (SELECT site, a, b, min(d) AS apart_m FROM (SELECT * FROM d UNION ALL SELECT site, a, b, 0e0 FROM i) GROUP BY ALL)"""
+
+
+@query(f"WITH {_APART_SQL} SELECT site, a, b, round(apart_m, 3) AS apart_m FROM apart WHERE apart_m <= {TOUCH_M}")
+def parcel_adjacency(t: Tables) -> DataFrame:
+    """The zones of a site that lie within 3 m of each other, edge to edge, each pair once."""
+    zones = outlines(t).where("rank is not null")
+    return parcels.pairs_within(zones, "shape", TOUCH_M, ("site",)).withColumn("apart_m", F.round("apart_m", 3))
+
+
+@query(f"""WITH RECURSIVE {_APART_SQL}, links AS (SELECT site, a, b FROM apart WHERE apart_m <= {GAP_M + parcels.DRAWN_M}),
+    both_ways AS (SELECT a, b FROM links UNION SELECT b, a FROM links),
+    nodes AS (SELECT DISTINCT site, shape FROM z),
+    reach AS (SELECT shape, shape AS other FROM nodes UNION SELECT reach.shape, both_ways.b FROM reach JOIN both_ways ON reach.other = both_ways.a)
+    SELECT site, shape, min(other) AS component FROM nodes JOIN reach USING (shape) GROUP BY ALL""")
+def parcel_groups(t: Tables) -> DataFrame:
+    """The zones of a site grouped by steps of at most 20 m between their edges."""
+    return parcels.grouped(outlines(t).where("rank is not null"), "shape", GAP_M, ("site",)).select("site", "shape", "component")
+
+
 LINE_M = 15_000
 #: The vertices of a line's parts, as steps in degrees from its point.
 PARTS_OF = (((0.0, 0.0), (0.06, 0.05), (0.13, 0.02)), ((0.2, 0.0), (0.2, 0.0), (0.27, -0.06)))

@@ -44,9 +44,14 @@ def publish(df: DataFrame, path: str, stamp: str, spark: SparkSession) -> bool:
             return False
     new = jvm.org.apache.hadoop.fs.Path(f"{path}.{stamp}.new")
     df.write.mode("overwrite").parquet(str(new))
-    if fs.exists(at):
-        fs.rename(at, jvm.org.apache.hadoop.fs.Path(f"{path}.{stamp}"))
-    fs.rename(new, at)
+    old = jvm.org.apache.hadoop.fs.Path(f"{path}.{stamp}")
+    moved = fs.exists(at)
+    if moved and not fs.rename(at, old):
+        raise OSError(f"{path} could not be moved to {old}")
+    if not fs.rename(new, at):
+        if moved:
+            fs.rename(old, at)  # what was there stays published
+        raise OSError(f"{new} could not be moved to {path}")
     return True
 
 

@@ -65,3 +65,13 @@ def test_adjustments_clamp(spark):
     df = spark.createDataFrame([("Low", [(-1, "a"), (1, "b")]), ("High", [(1, "a"), (1, "b")]), ("Screened out", [(1, "a")])], "p string, a array<struct<dir:int,reason:string>>")
     got = df.select(rules.assigned(F.col("p"), F.col("a")).alias("p"), rules.causes(F.col("p"), F.col("a")).alias("w")).collect()
     assert [(r.p, r.w) for r in got] == [("Low", ["b"]), ("High", []), ("Screened out", [])]
+
+
+def test_title_case_and_statement_words(spark):
+    from geosieve.functions import text
+
+    names = ["o'neill-smith msa (TX) · x", "DALLAS-FT. WORTH MSA", "são JOSÉ 2nd · b", "", None]
+    df = spark.createDataFrame([(n,) for n in names], "s string").select(text.market_of(F.col("s")).alias("m"))
+    assert [r.m for r in df.collect()] == [None if n is None else n.split(" (")[0].split(" · ")[0].title().replace("Msa", "MSA") for n in names]
+    kept = spark.createDataFrame([(["a_b c", "a b", "A-B", "x", "é"],)], "s array<string>").select(text.without_contained(F.col("s")).alias("k")).first().k
+    assert kept == ["a_b c", "x"]
