@@ -35,8 +35,8 @@ from .common import Scratch, documents
 
 UNIT, K = 24, 4
 LONG, INNER = 24, 9
-#: Code points from here on are of alphabets large enough for short k-mers.
-LARGE_ALPHABETS = 0x0E00
+#: Code points from here on, three bytes and more in UTF-8, are of alphabets large enough for short k-mers.
+LARGE_ALPHABETS = 0x0800
 #: Scripts whose texts have no spaces between words.
 UNPARTED = "".join(rf"\p{{Is{s}}}" for s in ("Han", "Hiragana", "Katakana", "Thai", "Lao", "Khmer", "Myanmar"))
 #: A short word between spaces, or else one code point.
@@ -49,7 +49,7 @@ def with_anchors(df: DataFrame, text: str, out: str, places: bool = False) -> Da
     """Add ``out``: the hashes of chosen k-mers in order, or with ``places`` structs of (unit, hash)."""
     units = F.regexp_extract_all(F.coalesce(F.col(text), F.lit("")), F.lit(UNITS), F.lit(0))
     # The lowest bit of a unit's hash tells a single letter, digit or sign.
-    single = lambda u: (F.length(u) == 1) & (F.ascii(u) < LARGE_ALPHABETS)
+    single = lambda u: (F.octet_length(u) <= len(chr(LARGE_ALPHABETS - 1).encode())) & (F.length(u) == 1)
     df = df.withColumn("_units", F.transform(units, lambda u: F.when(single(u), F.xxhash64(u).bitwiseOR(1)).otherwise(F.xxhash64(u).bitwiseAND(-2))))
     h = F.col("_units")
 
@@ -66,7 +66,8 @@ def with_anchors(df: DataFrame, text: str, out: str, places: bool = False) -> Da
         whole = b.isNotNull() & (F.least(a, d) <= F.array_min(F.slice(g, i + 1, ends + 1)))
         long = F.when(a.isNotNull() & d.isNotNull(), F.when(whole, F.xxhash64(a, c, d)))
         short = F.when(F.least(first, last) <= F.least(*others), F.xxhash64(first, *others, last))
-        value = F.when(reduce(Column.bitwiseAND, others, first.bitwiseAND(last)).bitwiseAND(1) == 1, long).otherwise(short).bitwiseAND(0xFFFFFFFF)
+        single = reduce(Column.bitwiseAND, others, last).bitwiseAND(1) == 1
+        value = F.when(first.bitwiseAND(1) == 0, short).when(single, long).otherwise(short).bitwiseAND(0xFFFFFFFF)
         return F.when(value.isNotNull(), F.struct(i.alias("unit"), value.alias("hash"))) if places else value
 
     chosen = F.filter(F.transform(F.slice(h, 1, F.greatest(F.size(h) - (K - 1), F.lit(0))), kmer), lambda x: x.isNotNull())
@@ -90,8 +91,8 @@ def hashes(fingerprint: Column) -> Column:
 
 
 def as_text(fingerprint: Column) -> Column:
-    """A fingerprint as a string: unit:hash of each anchor, the hash in hexadecimal, comma-joined."""
-    return F.array_join(F.transform(fingerprint, lambda x: F.concat(x["unit"].cast("string"), F.lit(":"), F.hex(x["hash"]))), ",")
+    """A fingerprint as a string: unit * 2 ** 32 + hash of each anchor, comma-joined."""
+    return F.array_join(F.transform(fingerprint, lambda x: (F.shiftleft(x["unit"].cast("long"), 32) + x["hash"]).cast("string")), ",")
 
 
 def likeness(a: Column, b: Column) -> Column:

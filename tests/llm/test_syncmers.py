@@ -135,7 +135,7 @@ def anchors(text):
     """(unit, hash) of the closed syncmers, one after the other; of words and of all single letters if there are none."""
     signed = lambda x: x - (1 << 64) if x >> 63 else x
     units = UNITS.findall(text)
-    single = [len(u) == 1 and ord(u) < 0x0E00 for u in units]
+    single = [len(u) == 1 and ord(u) < 0x0800 for u in units]
     h = [signed(xxhash.xxh64_intdigest(u.encode(), 42)) & -2 | one for u, one in zip(units, single)]
     out = []
     for i in range(len(h) - 3):
@@ -152,7 +152,7 @@ def anchors(text):
 
 def read(fingerprint):
     """The (unit, hash) pairs of a fingerprint as a string."""
-    return [(int(u), int(x, 16)) for u, x in (p.split(":") for p in fingerprint.split(",") if p)]
+    return [divmod(int(p), 1 << 32) for p in fingerprint.split(",") if p]
 
 
 def test_unrelated_texts_of_few_letters(spark):
