@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import gc
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -68,11 +67,6 @@ class Scratch:
             path = jvm.org.apache.hadoop.fs.Path(at)
             path.getFileSystem(conf).delete(path, True)
 
-    def sweep(self) -> None:
-        """Let go of finished steps' shuffle files, which stay on executors until the driver sees that nothing refers to them."""
-        gc.collect()
-        self.spark._jvm.System.gc()
-
     def last(self, df: DataFrame, rows: int | None = None) -> DataFrame:
         """Keep df and delete everything kept before."""
         before = list(self.kept.values())
