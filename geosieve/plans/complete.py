@@ -94,7 +94,7 @@ def metro_areas(t: Tables) -> DataFrame:
     named = []
     for n, least in POPULATIONS.items():
         large = F.col("pop") >= least
-        far_ = nearest_complete(sites(t), edges.where(large), "site", "shape", ["name", "pop"], box, geo.edge_distance(F.col("e"), F.col("lat"), F.col("lng")), levels=5)
+        far_ = nearest_complete(sites(t), edges.where(large), "site", "shape", ["name", "pop"], box, geo.edge_distance(F.col("e"), F.col("lat"), F.col("lng")), levels=4)
         # 0 in an area, whichever of those that hold the site comes first.
         within = held.where(large).groupBy("site").agg(F.min(F.struct(F.lit(0).cast("long").alias("d_mm"), "shape", "name", "pop")).alias("inside"))
         best = far_.join(within, "site", "left").select("site", F.least("inside", "best").alias(n)).where(F.col(f"{n}.d_mm") <= METRO_M * 1000)
