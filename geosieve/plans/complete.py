@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from geosieve.functions import geo
 from geosieve.operators import spatial
 from geosieve.operators.circles import shares_within
+from geosieve.operators.footprints import points_near_footprints
 from geosieve.operators.grid import box_join, degrees
 from geosieve.operators.pyramid import nearest_complete
 from geosieve.plans.registry import Tables, query
@@ -155,3 +156,34 @@ def housing_blocks(t: Tables) -> DataFrame:
     out = own.select("site").join(held, "site", "left").join(rings, "site", "left").join(near, "site", "left")
     counted = ["hu_within_0_5mi", "pop_within_0_5mi", "hu_within_1mi", "pop_within_1mi", "blocks_within_1mi", *[f"hu_near_{n}" for n in _NEAR]]
     return out.fillna(0, counted).select("site", F.col("at.hu").alias("hu_block_at_point"), F.col("at.pop").alias("pop_block_at_point"), F.col("at.land").alias("block_at_point_acres"), *counted)
+
+
+NPL_M = 5_000.0
+_GROUNDS = f"""sites AS (SELECT c_custkey AS shape, 25e0 + (c_custkey * 6007 % 24000) / 1e3 + (c_custkey % 13 - 6) / 1e3 AS lat, -124e0 + (c_custkey * 50021 % 57000) / 1e3 + (c_custkey % 17 - 8) / 1e3 AS lng, (4 + c_custkey % 7) / 1e3 AS r FROM customer), {PARTS},
+    npl AS (SELECT feature, 'N' || feature AS name, CASE size % 3 WHEN 0 THEN 'Deleted NPL Site' ELSE 'NPL Site' END AS state, f_lat, f_lng FROM parts), e AS ({_CORNERS("sites")})"""
+
+
+@query(f"""WITH {_GROUNDS},
+    v AS (SELECT s.shape AS site, n.feature, (alng - f_lng) * 111320e0 * cos(radians(s.lat)) AS ax, (alat - f_lat) * 110540e0 AS ay, (blng - f_lng) * 111320e0 * cos(radians(s.lat)) AS bx, (blat - f_lat) * 110540e0 AS b_y,
+        CASE WHEN (alat > f_lat) <> (blat > f_lat) AND f_lng < (blng - alng) * (f_lat - alat) / (blat - alat) + alng THEN 1 ELSE 0 END AS c FROM sites s JOIN npl n ON abs(f_lat - s.lat) < 0.08 AND abs(f_lng - s.lng) < 0.12 JOIN e ON e.shape = s.shape),
+    u AS (SELECT *, least(1e0, greatest(0e0, -(ax * (bx - ax) + ay * (b_y - ay)) / ((bx - ax) * (bx - ax) + (b_y - ay) * (b_y - ay)))) AS u FROM v),
+    d AS (SELECT site, feature, CASE WHEN sum(c) % 2 = 1 THEN 0 ELSE CAST(round(min(sqrt(pow(ax + u * (bx - ax), 2) + pow(ay + u * (b_y - ay), 2))) * 1000) AS BIGINT) END AS d_mm FROM u GROUP BY ALL),
+    g AS (SELECT site, min(row(d_mm, feature)) AS b, count(*) FILTER (d_mm <= {int(geo.MILE_M * 1000)} AND state NOT LIKE '%Deleted%') AS active, count(*) FILTER (d_mm <= {int(HALF_MILE_M * 1000)} AND state LIKE '%Deleted%') AS gone FROM d JOIN npl USING (feature) WHERE d_mm <= {int(NPL_M * 1000)} GROUP BY site)
+    SELECT s.shape AS site, coalesce(b[1] = 0, false) AS npl_on_site, coalesce(active, 0) AS npl_active_within_1mi, coalesce(gone, 0) AS npl_deleted_within_half_mi, round_even(b[1] / 1000e0, 1) AS npl_nearest_m, name AS npl_nearest_name, state AS npl_nearest_status
+    FROM sites s LEFT JOIN g ON g.site = s.shape LEFT JOIN npl ON npl.feature = b[2]""")
+def superfund_grounds(t: Tables) -> DataFrame:
+    """Listed sites on and near each footprint, measured from its edge: all six fields."""
+    k = F.col("c_custkey")
+    lat, lng = place("c_custkey", 6007, 50021)
+    own = t.customer.select(k.alias("site"), (lat + (k % 13 - 6) / F.lit(1e3)).alias("lat"), (lng + (k % 17 - 8) / F.lit(1e3)).alias("lng"), ((4 + k % 7) / F.lit(1e3)).alias("r"))
+    outer, holes = rings_of(F.col("r"), F.col("lat"), F.col("lng"))
+    own = own.withColumn("edges", geo.polygon_edges(outer, holes))
+    listed = parts(t).select("feature", F.concat(F.lit("N"), "feature").alias("name"), F.when(F.col("size") % 3 == 0, "Deleted NPL Site").otherwise("NPL Site").alias("state"), "f_lat", "f_lng")
+    pairs = points_near_footprints(own, listed, "site", "feature", NPL_M).join(listed.select("feature", "name", "state"), "feature")
+    gone, near = F.col("state").contains("Deleted"), lambda m: F.col("d_mm") <= int(m * 1000)
+    out = spatial.per_site(own.select("site"), "site", pairs, spatial.nearest("feature", "name", "state").alias("b"), F.count_if(near(geo.MILE_M) & ~gone).alias("npl_active_within_1mi"), F.count_if(near(HALF_MILE_M) & gone).alias("npl_deleted_within_half_mi"))
+    out = out.fillna(0, ["npl_active_within_1mi", "npl_deleted_within_half_mi"])
+    return out.select(
+        "site", F.coalesce(F.col("b.d_mm") == 0, F.lit(False)).alias("npl_on_site"), "npl_active_within_1mi", "npl_deleted_within_half_mi", F.bround(F.col("b.d_mm") / F.lit(1000.0), 1).alias("npl_nearest_m"),
+        F.col("b.name").alias("npl_nearest_name"), F.col("b.state").alias("npl_nearest_status"),
+    )

@@ -94,3 +94,33 @@ def test_ground_within_circles(spark):
             ground = sum(step * step for x, y in cells if x * x + y * y <= r * r and inside(rings, x, y))
             assert abs(share * whole - ground) < 0.02 * whole + 2 * step * step
     assert abs(got[(1, 50)][0] * 1e8 - math.pi * 700**2) < 1e-3 and abs(got[(1, 50)][1] * 1e8 - math.pi * 1300**2) < 1e-3
+
+
+def test_points_near_footprints(spark):
+    from geosieve.operators.footprints import points_near_footprints
+
+    rng = random.Random(9)
+    grounds = []
+    for i, (lat, lng) in enumerate([(29.0, -95.0), (29.02, -95.01), (64.0, 20.0), (-64.0, 20.0), (0.0, 0.0)]):
+        star = [(lng + rng.uniform(0.005, 0.02) * math.cos(t), lat + rng.uniform(0.005, 0.02) * math.sin(t)) for t in (2 * math.pi * k / 7 for k in range(7))]
+        grounds.append((i, lat, lng, star, [[(lng + 0.002, lat), (lng, lat + 0.002), (lng - 0.002, lat)]]))
+    rows = [*grounds, (90, 29.0, -95.0, [], []), (91, None, None, None, None)]
+    ring = "array<struct<lng:double,lat:double>>"
+    table = spark.createDataFrame(rows, f"site long, lat double, lng double, outer {ring}, holes array<{ring}>").withColumn("edges", geo.polygon_edges(F.col("outer"), F.col("holes")))
+    points = [(i, g[1] + rng.uniform(-0.06, 0.06), g[2] + rng.uniform(-0.1, 0.1)) for i, g in enumerate(grounds * 60)] + [(1000 + i, g[1] + 0.0005, g[2]) for i, g in enumerate(grounds)] + [(2000, None, 1.0)]
+    got = {(r.site, r.point): r.d_mm for r in points_near_footprints(table, spark.createDataFrame(points, "point long, f_lat double, f_lng double"), "site", "point", 3_000.0).collect()}
+    want = {}
+    for i, lat, lng, outer, holes in grounds:
+        fx = LNG * math.cos(math.radians(lat))
+        for n, y, x in points[:-1]:
+            d = math.inf
+            for r in [outer, *holes]:
+                for a, b in zip(r, r[1:] + r[:1]):
+                    ax, ay, bx, by = (a[0] - x) * fx, (a[1] - y) * LAT, (b[0] - x) * fx, (b[1] - y) * LAT
+                    u = min(1.0, max(0.0, -(ax * (bx - ax) + ay * (by - ay)) / ((bx - ax) ** 2 + (by - ay) ** 2)))
+                    d = min(d, math.hypot(ax + u * (bx - ax), ay + u * (by - ay)))
+            mm = 0 if inside([outer, *holes], x, y) else math.floor(d * 1000 + 0.5)
+            if mm <= 3_000_000:
+                want[i, n] = mm
+    assert got.keys() == want.keys() and len(want) > 50 and 0 in want.values()
+    assert all(abs(got[k] - want[k]) <= 1 for k in want) and all(want[i, 1000 + i] > 0 for i in range(5))
