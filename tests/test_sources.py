@@ -1,5 +1,6 @@
 """Site lists, map archives, sheets, responses, publishing and the fetch log."""
 
+import hashlib
 import json
 import zipfile
 from datetime import datetime, timedelta
@@ -80,6 +81,14 @@ def test_publish_and_manifest(spark, tmp_path):
     assert status.contract(long, "k", ["f"]).count() == 0 and status.contract(long, "k", ["g"]).count() == 2
     row = sinks.manifest(long, df, df.limit(0), "now").first()
     assert (row.sites_accepted, row.sites_rejected, row.producers[0].status_counts) == (2, 0, {"absent": 1, "ok": 1})
+    assert (row.producers[0].fields, row.inputs, row.cache_hits) == (["f"], None, None)
+    (tmp_path / "in.csv").write_bytes(b"site_id\n1\n")
+    kept = spark.createDataFrame([("p", "a", "http://h/u", datetime(2024, 1, 1), True, "{}", None, True), ("p", "b", "http://h/u", datetime(2024, 1, 1), False, None, "down", False)], responses.SCHEMA)
+    asked = spark.createDataFrame([("p", k, "http://h/u?q") for k in "abc"], "producer string, key string, url string")
+    row = sinks.manifest(long, df, df, "now", 1.5, sinks.file_digests(spark, str(tmp_path / "in.csv")), kept, asked).first()
+    assert (row.elapsed_s, row.cache_hits, row.cache_misses) == (1.5, 1, 2)
+    assert [(r.bytes, r.sha256) for r in row.inputs] == [(10, hashlib.sha256(b"site_id\n1\n").hexdigest())]
+    assert sinks.manifest(long.limit(0), df.limit(0), df.limit(0), "now").first().producers == []
     sinks.write_batch(df, long, str(tmp_path / "b"), "x")
     sinks.write_batch(df, long, str(tmp_path / "b"), "y")
     assert spark.read.parquet(str(tmp_path / "b/sites")).count() == 4
