@@ -9,6 +9,7 @@ from geosieve.functions.status import to_wide
 from geosieve.operators.overlay import zone_shares
 from geosieve.operators.producers import Near, Ring, Spec, footprint_basis, parcel_stages, records, screen, serving
 from geosieve.operators.raster import measure_usable
+from geosieve.operators.tiles import measure_tiles
 from geosieve.operators.spatial import points_within
 from geosieve.plans.registry import Tables, query
 from geosieve.plans.spatial import PARTS, SITES, far, parts, sites
@@ -149,17 +150,33 @@ def parcel_and_footprint(t: Tables) -> DataFrame:
     return footprint_basis(parcel_stages(rows)).select("site", "parcel_status", "fp_basis", "square_side_m")
 
 
+SIDE = 40
+
+
+def ground(t: Tables) -> DataFrame:
+    """Cells of every supplier's synthetic grid."""
+    k, i, j = F.col("s_suppkey"), F.col("row"), F.col("column")
+    span = lambda: F.explode(F.sequence(F.lit(0), F.lit(SIDE - 1)))
+    cells = t.supplier.select("s_suppkey").withColumn("row", span()).withColumn("column", span())
+    return cells.withColumns(
+        {"site": (i >= 2) & (i < 38) & (j >= 2 + k % 5) & (j < 36) & ~((i == 20) & (k % 3 == 0)), "building": (i - 10) * (i - 10) + (j - 12) * (j - 12) < k % 9, "cover": F.when(k % 31 != 0, F.when((i * 7 + j * 3 + k) % 97 == 0, 90).otherwise(52)), "height": F.when(j > 30, (j - 30) * (k % 4) * 1.5).otherwise(0.0)}
+    )
+
+
 @query()
 def usable_land(t: Tables) -> DataFrame:
     """Usable land of every supplier's synthetic grid; the raster steps have no SQL, tests hold them to plain loops."""
-    size = 40
-    k, i, j = F.col("site"), F.col("row"), F.col("column")
-    span = lambda: F.explode(F.sequence(F.lit(0), F.lit(size - 1)))
-    cells = t.supplier.select(F.col("s_suppkey").alias("site")).withColumn("row", span()).withColumn("column", span())
-    cells = cells.withColumns(
-        {"site_": (i >= 2) & (i < 38) & (j >= 2 + k % 5) & (j < 36) & ~((i == 20) & (k % 3 == 0)), "building": (i - 10) * (i - 10) + (j - 12) * (j - 12) < k % 9, "cover": F.when(k % 31 != 0, F.when((i * 7 + j * 3 + k) % 97 == 0, 90).otherwise(52)), "height": F.when(j > 30, (j - 30) * (k % 4) * 1.5).otherwise(0.0)}
-    ).withColumnRenamed("site_", "within")
-    return measure_usable(cells.withColumnRenamed("site", "s_suppkey").withColumnRenamed("within", "site"), "s_suppkey", size, 10.0)
+    return measure_usable(ground(t), "s_suppkey", SIDE, 10.0)
+
+
+@query()
+def usable_land_tiles(t: Tables) -> DataFrame:
+    """Usable land of one site made of all suppliers' grids side by side, cut into tiles; tests hold it to the same grid measured whole."""
+    top = t.supplier.agg(F.coalesce(F.max("s_suppkey"), F.lit(0)).alias("n")).first().n
+    wide = int(top**0.5) + 1
+    k = F.col("s_suppkey")
+    cells = ground(t).withColumns({"row": F.floor(k / wide) * SIDE + F.col("row"), "column": k % wide * SIDE + F.col("column"), "cover": F.coalesce("cover", F.lit(81))})
+    return measure_tiles(cells.withColumn("country", F.lit(1)), "country", wide * SIDE, 10.0)
 
 
 @query("""WITH z AS (SELECT l_suppkey AS site, CAST(l_linenumber AS INTEGER) AS rank, l_partkey % 48 AS x, l_orderkey % 48 AS y, 1 + floor(l_quantity / 4) AS w FROM lineitem),
