@@ -9,7 +9,8 @@ scores then locate the offending sentences.
 Fitting reads a sample of about FIT_ROWS labelled rows chosen by a hash of
 their ids. Spark counts in how many documents of either label each of BUCKETS
 features stands; the FEATURES most typical of toxic ones are trained, on bags
-that hold nothing else. Everything is scored. The label, the language, the
+that hold nothing else, kept as a table: each task sums the gradient of its
+bags, and the driver sees one sum a task. Everything is scored. The label, the language, the
 source and the id are no inputs. With no labelled rows of one class no feature
 has a weight and every sentence has the same small score.
 
@@ -24,11 +25,12 @@ from __future__ import annotations
 
 import re
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -38,7 +40,8 @@ from .common import Scratch, batched, documents, fold, labelled_texts, labels, s
 FIT_ROWS = 20_000
 BUCKETS, FEATURES = 1 << 18, 1024
 LEAST_DOCUMENTS, LEAST_Z = 4, 4.5
-STEPS, RATE, RIDGE, PRIOR = 300, 0.1, 1e-4, -6.0
+RIDGE, PRIOR = 1e-4, -6.0
+STEPS, MEMORY, HALVINGS, LONGEST, GRADIENT = 60, 10, 12, 4.0, 1e-5
 THRESHOLD, OFFENDING = 0.3, 0.5
 PARTS, CACHE = 8, 100_000
 
@@ -96,36 +99,95 @@ class Scorer:
         return float(-np.expm1(none.sum())), [s for s, x in zip(spans, none) if x <= np.log1p(-OFFENDING)]
 
 
-def train(bags: list[tuple[float, int, list[list[int]]]]) -> tuple[np.ndarray, float]:
-    """Feature weights and bias by gradient steps on the noisy-or likelihood.
+def pull(theta: np.ndarray, label: np.ndarray, plain: np.ndarray, sentences_of: np.ndarray, features_of: np.ndarray, places: np.ndarray) -> tuple[float, np.ndarray]:
+    """The noisy-or loss of bags and its gradient, summed over them.
 
-    A bag is (label, sentences without features, features of each other sentence).
+    A bag has a label, a number of sentences without features and
+    ``sentences_of`` others, each of those ``features_of`` places in theta,
+    whose last entry is the bias.
     """
-    label = np.array([b[0] for b in bags])
-    plain = np.array([b[1] for b in bags], float)
-    of = np.repeat(np.arange(len(bags)), [len(b[2]) for b in bags])
-    held = [s for b in bags for s in b[2]]
-    row = np.repeat(np.arange(len(held)), [len(s) for s in held])
-    column = np.array([f for s in held for f in s], int)
-    theta = np.zeros(FEATURES + 1)
-    theta[-1] = PRIOR
-    mean, square = np.zeros_like(theta), np.zeros_like(theta)
-    for step in range(1, STEPS + 1):
-        z = theta[-1] + np.bincount(row, theta[column], len(held))
-        p, p0 = 1 / (1 + np.exp(-z)), 1 / (1 + np.exp(-theta[-1]))
-        clean = np.bincount(of, np.log1p(-np.minimum(p, 1 - 1e-12)), len(bags)) + plain * np.log1p(-p0)
-        toxic = -np.expm1(clean)
-        # Negative log-likelihood by a sentence's logit: p for a clean bag, -p * (1 - toxic) / toxic for a toxic one.
-        pull = np.where(label == 1, -(1 - toxic) / np.maximum(toxic, 1e-12), 1.0) / len(bags)
-        by = pull[of] * p
-        gradient = np.append(np.bincount(column, by[row], FEATURES), by.sum() + (pull * plain).sum() * p0)
-        gradient[:-1] += RIDGE * theta[:-1]
-        mean = 0.9 * mean + 0.1 * gradient
-        square = 0.999 * square + 0.001 * gradient**2
-        theta -= RATE * (mean / (1 - 0.9**step)) / (np.sqrt(square / (1 - 0.999**step)) + 1e-9)
+    of = np.repeat(np.arange(len(label)), sentences_of)
+    row = np.repeat(np.arange(len(of)), features_of)
+    p0 = 1 / (1 + np.exp(-theta[-1]))
+    p = 1 / (1 + np.exp(-theta[-1] - np.bincount(row, theta[places], len(of))))
+    clean = np.bincount(of, np.log1p(-np.minimum(p, 1 - 1e-12)), len(label)) + plain * np.log1p(-min(p0, 1 - 1e-12))
+    toxic = np.maximum(-np.expm1(clean), 1e-12)
+    # Negative log-likelihood by a sentence's logit: p for a clean bag, -p * (1 - toxic) / toxic for a toxic one.
+    slope = np.where(label == 1, -np.exp(clean) / toxic, 1.0)
+    by = slope[of] * p
+    gradient = np.append(np.bincount(places, by[row], len(theta) - 1), by.sum() + (slope * plain).sum() * p0)
+    return -float(np.where(label == 1, np.log(toxic), clean).sum()), gradient
+
+
+def descend(evaluate: Callable[[np.ndarray], tuple[float, np.ndarray]], start: np.ndarray) -> np.ndarray:
+    """Where a smooth loss is least, by limited-memory quasi-Newton steps; evaluate gives the loss and its gradient.
+
+    A step is halved until the loss falls enough. It ends where the gradient's
+    largest entry is under GRADIENT, where no step helps, or after STEPS.
+    """
+    at, (loss, gradient) = start, evaluate(start)
+    memory: list[tuple[np.ndarray, np.ndarray]] = []
+    for _ in range(STEPS):
+        if np.abs(gradient).max() < GRADIENT:
+            break
+        way, back = -gradient, []
+        for moved, turned in reversed(memory):
+            back.append(moved @ way / (moved @ turned))
+            way = way - back[-1] * turned
+        way = way * (memory[-1][0] @ memory[-1][1] / (memory[-1][1] @ memory[-1][1]) if memory else 1 / max(np.abs(gradient).max(), 1.0))
+        for (moved, turned), x in zip(memory, reversed(back)):
+            way = way + (x - turned @ way / (moved @ turned)) * moved
+        size, fall = min(1.0, LONGEST / max(np.abs(way).max(), 1e-12)), gradient @ way
+        for _ in range(HALVINGS):
+            new_loss, new_gradient = evaluate(at + size * way)
+            if new_loss <= loss + 1e-4 * size * fall:
+                break
+            size /= 2
+        else:
+            break
+        moved, turned = size * way, new_gradient - gradient
+        if moved @ turned > 1e-12:
+            memory = [*memory[1 - MEMORY :], (moved, turned)]
+        at, loss, gradient = at + moved, new_loss, new_gradient
+    return at
+
+
+def trained(sums: Callable[[np.ndarray], tuple[float, np.ndarray]], bags: float, width: int) -> tuple[np.ndarray, float]:
+    """Feature weights and bias where the mean loss of bags with its ridge is least; sums gives the loss and gradient over all bags."""
+
+    def evaluate(theta: np.ndarray) -> tuple[float, np.ndarray]:
+        loss, gradient = sums(theta)
+        ridge = np.append(RIDGE * theta[:-1], 0.0)
+        return loss / bags + ridge @ theta / 2, gradient / bags + ridge
+
+    theta = descend(evaluate, np.append(np.zeros(width), PRIOR))
     return theta[:-1], float(theta[-1])
 
 
+def train(bags: list[tuple[float, int, list[list[int]]]]) -> tuple[np.ndarray, float]:
+    """Feature weights and bias of bags held in memory: (label, sentences without features, features of each other sentence)."""
+    held = [s for b in bags for s in b[2]]
+    arrays = np.array([b[0] for b in bags]), np.array([b[1] for b in bags], float), np.array([len(b[2]) for b in bags], int), np.array([len(s) for s in held], int), np.array([f for s in held for f in s], int)
+    return trained(lambda theta: pull(theta, *arrays), len(bags), FEATURES)
+
+
+def summed(bags: DataFrame, theta: np.ndarray) -> tuple[float, np.ndarray]:
+    """The loss of a table of bags (label, plain, held) and its gradient: each task sums its own, and one row a task comes back."""
+
+    def part(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        loss, gradient = 0.0, np.zeros_like(theta)
+        for b in batches:
+            held = b.column("held")
+            inner = held.flatten()
+            lengths = held.value_lengths().to_numpy(zero_copy_only=False), inner.value_lengths().to_numpy(zero_copy_only=False)
+            x, g = pull(theta, b.column("label").to_numpy(zero_copy_only=False), b.column("plain").to_numpy(zero_copy_only=False).astype(float), *lengths, inner.flatten().to_numpy(zero_copy_only=False))
+            loss, gradient = loss + x, gradient + g
+        yield pa.RecordBatch.from_arrays([pa.array([TaskContext.get().partitionId()]), pa.array([loss]), pa.array([gradient.tobytes()], pa.binary())], names=["part", "loss", "gradient"])
+
+    got = sorted(bags.mapInArrow(part, "part long, loss double, gradient binary").collect())  # PARTS rows at most
+    return sum(r.loss for r in got), sum((np.frombuffer(r.gradient) for r in got), np.zeros_like(theta))
+
+
 def fit(docs: DataFrame, known: DataFrame, label: str = "toxic", held_out=None) -> Weights:
     """Weights fitted on a sample of the labelled rows that aren't held out."""
     small_batches(docs.sparkSession)
@@ -174,9 +236,9 @@ def fit(docs: DataFrame, known: DataFrame, label: str = "toxic", held_out=None)
                 held.append([x for x in kept if x])
             yield pa.RecordBatch.from_arrays([b.column("label"), pa.array(plain, pa.int64()), pa.array(held, pa.list_(pa.list_(pa.int64())))], names=["label", "plain", "held"])
 
-    # Bags of about FIT_ROWS documents hold only the places of chosen features.
-    got = rows.mapInArrow(bags, "label double, plain long, held array<array<long>>").collect()
-    theta, bias = train([(r.label, r.plain, r.held) for r in got])
+    table = scratch.keep(rows.mapInArrow(bags, "label double, plain long, held array<array<long>>"))
+    theta, bias = trained(lambda at: summed(table, at), clean + toxic, len(chosen))
+    scratch.drop(table)
     scratch.drop(rows)
     return Weights({f: float(theta[i]) for f, i in place.items() if abs(theta[i]) > 1e-6}, bias)
 

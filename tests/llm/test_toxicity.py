@@ -5,6 +5,8 @@ import random
 import re
 import zlib
 
+import numpy as np
+
 from geosieve.llm import toxicity
 from geosieve.llm.common import documents, fold, labels
 
@@ -93,3 +95,29 @@ def test_training_follows_the_gradient():
             moved = theta.copy()
             moved[f] += step
             assert loss(moved, bias) > least - 5e-3
+
+
+def test_gradient_and_sums_over_tasks(spark):
+    """The gradient is the loss's slope, and a table's sums are those of its bags held in memory."""
+    rng = np.random.default_rng(3)
+    bags = [(float(i % 3 == 0), int(rng.integers(4)), [rng.integers(0, 9, rng.integers(1, 4)).tolist() for _ in range(rng.integers(0, 4))]) for i in range(60)]
+    held = [s for b in bags for s in b[2]]
+    arrays = [np.array(x) for x in ([b[0] for b in bags], [float(b[1]) for b in bags], [len(b[2]) for b in bags], [len(s) for s in held], [f for s in held for f in s])]
+    theta = rng.normal(0, 1, 10)
+    loss, gradient = toxicity.pull(theta, *arrays)
+    for k in range(10):
+        step = np.eye(10)[k] * 1e-5
+        slope = (toxicity.pull(theta + step, *arrays)[0] - toxicity.pull(theta - step, *arrays)[0]) / 2e-5
+        assert abs(slope - gradient[k]) < 1e-5 * max(1, abs(slope))
+    table = spark.createDataFrame(bags, "label double, plain long, held array<array<long>>").repartition(3)
+    got = toxicity.summed(table, theta)
+    assert abs(got[0] - loss) < 1e-9 and np.allclose(got[1], gradient, atol=1e-9)
+    assert toxicity.summed(table.limit(0), theta)[0] == 0
+
+
+def test_descent_reaches_the_least():
+    """A stretched bowl's bottom is found, and a loss that no step lowers ends it."""
+    scale, middle = np.array([1.0, 30.0, 900.0]), np.array([2.0, -1.0, 0.5])
+    got = toxicity.descend(lambda x: (float(scale @ (x - middle) ** 2), 2 * scale * (x - middle)), np.zeros(3))
+    assert np.abs(got - middle).max() < 1e-4
+    assert np.array_equal(toxicity.descend(lambda x: (float(np.abs(x).sum()), np.ones(2)), np.zeros(2)), np.zeros(2))
