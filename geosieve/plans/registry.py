@@ -34,7 +34,7 @@ def query(sql: str | None = None):
 
 def load() -> None:
     """Import the modules that register queries."""
-    from geosieve.plans import areas, complete, evidence, maps, memos, overlays, places, producers, relations, rules, spatial, surroundings, texts  # noqa: F401
+    from geosieve.plans import areas, clues, complete, evidence, maps, memos, overlays, places, producers, relations, rules, spatial, surroundings, texts  # noqa: F401
 
 
 load()
