@@ -17,6 +17,7 @@ from geosieve.functions import geo
 from geosieve.functions.text import address_parts
 from geosieve.operators.places import TIERS, checked, crossings
 from geosieve.operators.spatial import polygon_distances, range_join
+from geosieve.sources.scratch import Scratch
 
 #: Types that can give a place, in the order they are tried, with tier and radius in metres (areas have their own).
 PLACED = {
@@ -57,9 +58,13 @@ def _looked_for(name: Column) -> Column:
 
 def _grams(text: Column, least: Column | int) -> Column:
     """The distinct runs of ``least`` to GRAM letters of a text."""
-    runs = [F.transform(F.sequence(F.lit(1), F.length(text) - (n - 1)), lambda i, n=n: F.substring(text, i, F.lit(n))) for n in range(1, GRAM + 1)]
     none = F.array().cast("array<string>")
-    return F.array_distinct(F.concat(*[F.when((F.length(text) >= n) & (F.lit(n) >= least), r).otherwise(none) for n, r in enumerate(runs, 1)]))
+
+    def runs(n: int) -> Column:
+        found = F.transform(F.sequence(F.lit(1), F.length(text) - (n - 1)), lambda i: F.substring(text, i, F.lit(n)))
+        return F.when((F.length(text) >= n) & (F.lit(n) >= least), found).otherwise(none)
+
+    return F.array_distinct(F.concat(*map(runs, range(1, GRAM + 1))))
 
 
 def names_holding(values: DataFrame, layer: DataFrame) -> DataFrame:
@@ -164,6 +169,9 @@ def resolve(clues: DataFrame, g: Gazetteer, site: str = "site") -> DataFrame:
     stated = kept.groupBy(site).agg(first("county").alias("_c"), first("zip").alias("_z"))
     rows = kept.where(F.col("clue_type").isin(types)).join(stated, site)
     rows = rows.withColumns({"stated_county": F.col("_c.value"), "stated_zip": F.col("_z.value"), "_kept": F.coalesce(F.col("clue") == F.when(F.col("clue_type") == "county", F.col("_c.clue")).when(F.col("clue_type") == "zip", F.col("_z.clue")), F.lit(True))}).where("_kept")
+    # Each of the three tables is read several times; written, none of its plan is repeated.
+    scratch = Scratch(clues.sparkSession)
+    rows = scratch.keep(rows.drop("_c", "_z", "_kept"))
     of = lambda *kinds: rows.where(F.col("clue_type").isin(*kinds))
     area = lambda kind, layer: of(kind).join(layer.select(F.lower("area").alias("_v"), "lat", "lng", "radius_m"), F.lower("value") == F.col("_v")).select("clue", "lat", "lng", F.lit(f"{kind} centroid").alias("basis"), F.lit(None).cast("string").alias("why"), F.col("radius_m").alias("_radius"))
     found = [_parcels(of("apn"), g), _coordinates(of("coordinate", "coordinate_approx")), _addresses(of("street_address"), g), _substations(of("substation_name"), g), _crossings(of("intersection"), g), _landmarks(of("landmark"), g)]
@@ -174,13 +182,14 @@ def resolve(clues: DataFrame, g: Gazetteer, site: str = "site") -> DataFrame:
     tier, radius, order = table({k: v[0] for k, v in PLACED.items()}), table({k: float(v[1] or 0) for k, v in PLACED.items()}), table({k: i for i, k in enumerate(types)})
     kind = F.col("clue_type")
     tried = rows.join(placed, "clue").withColumns({"tier": F.element_at(tier, kind), "radius_m": F.coalesce("_radius", F.element_at(radius, kind)), "_order": F.element_at(order, kind)})
+    tried = scratch.keep(tried)
     points = tried.where("why is null")
     exact = points.where(F.col("tier").isin("L1", "L2", "L3"))
     counties = g.counties.select(F.lower("area").alias("_v"), "edges")
     anchors = exact.where("tier = 'L3'").select("clue", "lat", "lng", F.lower("stated_county").alias("_v")).join(counties, "_v")
     away = polygon_distances(anchors, ["clue"]).select("clue", (F.col("d_mm") / 1000).alias("county_m"))
     seen = points.join(inside(exact, "clue", g.counties, "county"), "clue", "left").join(inside(exact, "clue", g.zips, "zip"), "clue", "left").join(away, "clue", "left")
-    told = checked(seen)
+    told = scratch.keep(checked(seen))
     rank = F.array_position(F.array(*map(F.lit, TIERS)), F.col("tier"))
     fields = ("tier", "clue_type", "lat", "lng", "radius_m", "basis", "check")
     best = told.where("ok").groupBy(site).agg(F.min(F.struct(rank.alias("_rank"), "_order", "clue", *fields)).alias("b"))
