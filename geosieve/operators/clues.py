@@ -83,7 +83,7 @@ def names_holding(values: DataFrame, layer: DataFrame) -> DataFrame:
 
 
 def inside(points: DataFrame, key: str, areas: DataFrame, name: str) -> DataFrame:
-    """(key, name): the first area by name that holds each point (lat, lng); points in none have no row."""
+    """(key, name): the first area by name that holds each point (lat, lng); points in none have no row. On an edge, to half a millimetre, is inside."""
     box = F.col("south"), F.col("west"), F.col("north"), F.col("east")
     pairs = range_join(points.select(key, "lat", "lng"), areas.select("area", "edges", "south", "west", "north", "east"), 1.0, box, AREA_CELL_M)
     return polygon_distances(pairs, [key, "area"]).where("d_mm = 0").groupBy(key).agg(F.min("area").alias(name))

@@ -30,7 +30,8 @@ def layers(t: Tables) -> Gazetteer:
     """Local layers: a parcel, an address, a substation, a landmark and two roads at every customer's place."""
     k = F.col("site")
     text = lambda a, c, b="": F.concat(F.lit(a), c.cast("string"), F.lit(b))
-    at = sites(t).withColumn("lat", F.col("lat") + F.lit(0.0004))
+    # Off the lattice of a thousandth of a degree, so that none lies on a border.
+    at = sites(t).withColumns({"lat": F.col("lat") + F.lit(0.0004), "lng": F.col("lng") + F.lit(0.0004)})
     own = at.withColumn("county", F.concat(F.lit("County "), F.floor((F.col("lat") - 25) / COUNTY[0]).cast("string"), F.lit("_"), F.floor((F.col("lng") + 124) / COUNTY[1]).cast("string")))
     line = lambda name, dy, dx: own.select(name.alias("name"), *[(F.col(c) + F.lit(s * d)).alias(f"{e}_{c}") for e, s in (("a", -1), ("b", 1)) for c, d in (("lat", dy), ("lng", dx))])
     return Gazetteer(
@@ -55,7 +56,7 @@ def clues(t: Tables) -> DataFrame:
     who = F.when(k % 3 == 0, k % 1000 + 1).otherwise(s)
     put = lambda f, *xs: F.format_string(f, *xs)
     kinds = [
-        ("apn", put("A%d", who % 400)), ("coordinate", F.concat((F.col("lat") + F.lit(0.001)).cast("decimal(9,4)").cast("string"), F.lit(", "), F.col("lng").cast("decimal(9,4)").cast("string"))),
+        ("apn", put("A%d", who % 400)), ("coordinate", F.concat((F.col("lat") + F.lit(0.0013)).cast("decimal(9,4)").cast("string"), F.lit(", "), (F.col("lng") + F.lit(0.0004)).cast("decimal(9,4)").cast("string"))),
         ("street_address", put("%d ash%d Rd, Elsewhere", who % 90 + 1, who % 30)), ("substation_name", put("mill %d e", who % 700)), ("intersection", put("Row %d & Lane %d, Town", who % 20, who % 20)),
         ("landmark", put("hall %d.", who % 500)), ("owner_name", F.lit("Smith")), ("coordinate_approx", F.lit("near the river")),
     ]
@@ -69,7 +70,7 @@ _CELL = lambda a, lat, lng, size: f"'{a}' || CAST(floor(({lat} - 25) / {size[0]}
 _KIND = "CASE k % 11 WHEN 0 THEN 'apn' WHEN 1 THEN 'coordinate' WHEN 2 THEN 'street_address' WHEN 3 THEN 'substation_name' WHEN 4 THEN 'intersection' WHEN 5 THEN 'landmark' WHEN 6 THEN 'owner_name' WHEN 7 THEN 'coordinate_approx' END"
 
 
-@query(f"""WITH {SITES}, own AS (SELECT site AS place, lat + 4e-4 AS lat, lng, {_CELL("county ", "lat + 4e-4", "lng", COUNTY)} AS county, {_CELL("Z", "lat + 4e-4", "lng", ZIP)} AS zip FROM sites),
+@query(f"""WITH {SITES}, own AS (SELECT site AS place, lat + 4e-4 AS lat, lng + 4e-4 AS lng, {_CELL("county ", "lat + 4e-4", "lng + 4e-4", COUNTY)} AS county, {_CELL("Z", "lat + 4e-4", "lng + 4e-4", ZIP)} AS zip FROM sites),
     said AS (SELECT *, CASE WHEN site % 5 <> 0 THEN {_CELL("county ", "lat", "lng", COUNTY)} END AS county, CASE WHEN site % 4 <> 0 THEN {_CELL("Z", "lat", "lng", ZIP)} END AS zip FROM sites),
     q AS (SELECT o_orderkey AS k, s.*, {_KIND.replace("k %", "o_orderkey %")} AS kind, CASE WHEN o_orderkey % 3 = 0 THEN o_orderkey % 1000 + 1 ELSE site END AS who FROM orders JOIN said s ON s.site = o_custkey),
     apn AS (SELECT k, count(p.place) AS n, min(row(p.lat, p.lng)) AS spot FROM q LEFT JOIN own p ON p.place % 400 = who % 400 AND p.county = q.county WHERE kind = 'apn' GROUP BY k, q.county),
@@ -82,7 +83,7 @@ _KIND = "CASE k % 11 WHEN 0 THEN 'apn' WHEN 1 THEN 'coordinate' WHEN 2 THEN 'str
         JOIN own c ON c.place % 20 = who % 20 AND c.lng BETWEEN west AND west + 0.5e0 AND c.lat BETWEEN south - 0.1e0 AND south + 0.6e0 WHERE kind = 'intersection' AND abs(r.lat - c.lat) <= 0.1e0 AND abs(r.lng - c.lng) <= 0.1e0),
     mid AS (SELECT k, avg(y) AS y, avg(x) AS x FROM met GROUP BY k),
     cross_ AS (SELECT k, any_value(mid.y) AS y, any_value(mid.x) AS x, max(sqrt(pow((met.y - mid.y) * 110540e0, 2) + pow((met.x - mid.x) * 111320e0 * cos(radians(zy)), 2))) AS spread FROM met JOIN mid USING (k) GROUP BY k),
-    pts AS (SELECT k, 1 AS tier, 0 AS ord, CASE WHEN n = 1 THEN spot[1] END AS y, spot[2] AS x FROM apn UNION ALL SELECT k, 2, 1, CAST(CAST(lat + 0.001e0 AS DECIMAL(9,4)) AS DOUBLE), CAST(CAST(lng AS DECIMAL(9,4)) AS DOUBLE) FROM q WHERE kind = 'coordinate'
+    pts AS (SELECT k, 1 AS tier, 0 AS ord, CASE WHEN n = 1 THEN spot[1] END AS y, spot[2] AS x FROM apn UNION ALL SELECT k, 2, 1, CAST(CAST(lat + 0.0013e0 AS DECIMAL(9,4)) AS DOUBLE), CAST(CAST(lng + 4e-4 AS DECIMAL(9,4)) AS DOUBLE) FROM q WHERE kind = 'coordinate'
         UNION ALL SELECT k, 2, 3, spot[2], spot[3] FROM addr UNION ALL SELECT k, 3, 4, CASE WHEN n_in = 0 AND n = 1 THEN any_[2] WHEN n_in = 1 OR spots = 1 THEN own_[2] END, CASE WHEN n_in > 0 THEN own_[3] ELSE any_[3] END FROM subs
         UNION ALL SELECT k, 3, 5, CASE WHEN spread <= 500 THEN y END, x FROM cross_ UNION ALL SELECT k, 3, 6, spot[2], spot[3] FROM mark),
     held AS (SELECT q.site, q.k, q.county, tier, ord, y, x, {_CELL("county ", "y", "x", COUNTY)} AS got, 25 + CAST(split_part(substr(q.county, 8), '_', 1) AS INT) * 2e0 AS cs, -124 + CAST(split_part(substr(q.county, 8), '_', 2) AS INT) * 3e0 AS cw FROM q JOIN pts USING (k) WHERE y IS NOT NULL),
