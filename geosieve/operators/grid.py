@@ -64,7 +64,8 @@ def box_join(left: DataFrame, right: DataFrame, left_box: Box, right_box: Box, c
     meet nothing.
     """
     left, right = _levelled(left, "l", left_box, cell), _levelled(right, "r", right_box, cell)
-    both = _placed(left, "l", right, "r", cell).join(_placed(right, "r", left, "l", cell), [*on, "_level", "_row", "_column"])
+    # Sizes are estimated as before the explode, so without the hint the copies could be broadcast, through the driver.
+    both = _placed(left, "l", right, "r", cell).join(_placed(right, "r", left, "l", cell).hint("merge"), [*on, "_level", "_row", "_column"])
     touch = (F.col("_l_s") <= F.col("_r_n")) & (F.col("_r_s") <= F.col("_l_n")) & (F.col("_l_w") <= F.col("_r_e")) & (F.col("_r_w") <= F.col("_l_e"))
     corner = (_cell(F.greatest("_l_s", "_r_s"), cell[0]) == F.col("_row")) & (_cell(F.greatest("_l_w", "_r_w"), cell[1]) == F.col("_column"))
     both = both.where((F.greatest("_l_level", "_r_level") == F.col("_level")) & touch & corner)

@@ -7,10 +7,9 @@ from pyspark.sql import functions as F
 
 from geosieve.functions.status import to_wide
 from geosieve.operators.overlay import zone_shares
-from geosieve.operators.producers import Near, Ring, Spec, footprint_basis, parcel_stages, records, screen, serving
+from geosieve.operators.producers import Near, Ring, Spec, footprint_basis, parcel_stages, screen_features, serving
 from geosieve.operators.raster import measure_usable
 from geosieve.operators.tiles import measure_tiles
-from geosieve.operators.spatial import points_within
 from geosieve.plans.registry import Tables, query
 from geosieve.plans.spatial import PARTS, SITES, far, parts, sites
 
@@ -91,8 +90,7 @@ def sql_of(spec: Spec) -> str:
 
 def _register(spec: Spec) -> None:
     def run(t: Tables) -> DataFrame:
-        pairs = points_within(sites(t), features(t), spec.radius_m)
-        return records(sites(t), "site", pairs, "feature", spec).select("site", "field", "status", "value")
+        return screen_features(sites(t), "site", features(t), "feature", [spec]).select("site", "field", "status", "value")
 
     run.__name__ = f"producer_{spec.name}"
     query(sql_of(spec))(run)
@@ -103,9 +101,8 @@ for _spec in SPECS:
 
 
 def screened(t: Tables) -> DataFrame:
-    """The records of all Specs from one range join and one grouped pass."""
-    pairs = points_within(sites(t), features(t), max(s.radius_m for s in SPECS))
-    return screen(sites(t), "site", pairs, "feature", list(SPECS))
+    """The records of all Specs, those of about one radius from one range join."""
+    return screen_features(sites(t), "site", features(t), "feature", list(SPECS))
 
 
 ALL_SQL = " UNION ALL ".join(f"SELECT site, field, status, value FROM ({sql_of(s)})" for s in SPECS)

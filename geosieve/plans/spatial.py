@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from geosieve.functions import geo
 from geosieve.operators import spatial
 from geosieve.plans.registry import Tables, query
+from geosieve.sources.scratch import Scratch
 
 R = 50_000
 
@@ -27,6 +28,11 @@ def sites(t: Tables) -> DataFrame:
     return t.customer.select(F.col("c_custkey").alias("site"), lat.alias("lat"), lng.alias("lng"))
 
 
+def spots(t: Tables) -> DataFrame:
+    """The places of sites, each once."""
+    return sites(t).select("lat", "lng").distinct()
+
+
 def parts(t: Tables) -> DataFrame:
     lat, lng = place("p_partkey", 6007, 50021)
     return t.part.select(F.col("p_partkey").alias("feature"), F.col("p_size").cast("long").alias("size"), lat.alias("f_lat"), lng.alias("f_lng"))
@@ -52,17 +58,13 @@ NEAR = f"{far('s', 'f')} AS d_mm FROM sites s JOIN parts f ON f.f_lat BETWEEN s.
 PAIRS = f"pairs AS (SELECT * FROM (SELECT s.site, f.feature, f.size, {NEAR}) WHERE d_mm <= {R * 1000})"
 
 
-def pairs(t: Tables, radius: float = R) -> DataFrame:
-    return spatial.points_within(sites(t), parts(t), radius)
-
-
 @query(f"""WITH {SITES}, {PARTS}, {PAIRS},
     best AS (SELECT site, min(row(d_mm, feature)) AS b FROM pairs GROUP BY site)
     SELECT sites.site, b[2] AS nearest_feature, b[1] // 1000 AS nearest_m, CASE WHEN b IS NULL THEN 'absent' ELSE 'ok' END AS status
     FROM sites LEFT JOIN best USING (site)""")
 def nearest_point_within_radius(t: Tables) -> DataFrame:
     """Each site's nearest feature within the radius, or absent."""
-    out = spatial.per_site(sites(t), "site", pairs(t), spatial.nearest("feature").alias("b"))
+    out = spatial.measured(sites(t), parts(t), "site", "feature", {"b": spatial.Nearest(R)})
     return out.select(
         "site",
         F.col("b.feature").alias("nearest_feature"),
@@ -75,9 +77,8 @@ def nearest_point_within_radius(t: Tables) -> DataFrame:
     best AS (SELECT site, min(row(d_mm, feature)) FILTER (size >= 20) AS a, min(row(d_mm, feature)) FILTER (size >= 40) AS b FROM pairs GROUP BY site)
     SELECT sites.site, a[2] AS hub20, a[1] // 1000 AS hub20_m, b[2] AS hub40, b[1] // 1000 AS hub40_m FROM sites LEFT JOIN best USING (site)""")
 def nearest_conditional(t: Tables) -> DataFrame:
-    """The nearest features of at least two sizes, from one pass over the pairs."""
-    found = [spatial.nearest("feature", where=F.col("size") >= n).alias(f"b{n}") for n in (20, 40)]
-    out = spatial.per_site(sites(t), "site", pairs(t), *found)
+    """The nearest features of at least two sizes, from one range join."""
+    out = spatial.measured(sites(t), parts(t), "site", "feature", {f"b{n}": spatial.Nearest(R, where=f"size >= {n}") for n in (20, 40)})
     return out.select("site", *[c for n in (20, 40) for c in (F.col(f"b{n}.feature").alias(f"hub{n}"), F.floor(F.col(f"b{n}.d_mm") / 1000).alias(f"hub{n}_m"))])
 
 
@@ -88,14 +89,13 @@ def nearest_conditional(t: Tables) -> DataFrame:
     FROM sites LEFT JOIN pairs USING (site) GROUP BY sites.site""")
 def ring_counts_and_sums(t: Tables) -> DataFrame:
     """Counts and sums in rings, by category too; zero where nothing is near, no maximum."""
-    ring = lambda km, where=F.lit(True): F.count_if((F.col("d_mm") <= km * 1_000_000) & where)
-    out = spatial.per_site(
-        sites(t), "site", pairs(t),
-        ring(10).alias("within_10km"), ring(25).alias("within_25km"), F.count("*").alias("within_50km"),
-        F.sum(F.when(F.col("d_mm") <= 25_000_000, F.col("size"))).alias("size_25km"), F.max("size").alias("max_size_50km"),
-        ring(25, F.col("size") % 2 == 0).alias("even_25km"), ring(25, F.col("size") % 2 == 1).alias("odd_25km"),
+    ring = lambda km, *more: spatial.Total(km * 1_000, *more)
+    out = spatial.measured(
+        sites(t), parts(t), "site", "feature",
+        {"within_10km": ring(10), "within_25km": ring(25), "within_50km": ring(50), "size_25km": ring(25, None, "sum", "size"), "max_size_50km": ring(50, None, "max", "size"),
+         "even_25km": ring(25, "size % 2 = 0"), "odd_25km": ring(25, "size % 2 = 1")},
     )
-    return out.drop("lat", "lng").fillna(0, ["within_10km", "within_25km", "within_50km", "size_25km", "even_25km", "odd_25km"])
+    return out.fillna(0, ["within_10km", "within_25km", "within_50km", "size_25km", "even_25km", "odd_25km"])
 
 
 LINES = "lines AS (SELECT *, f_lat + (feature % 7 - 3) * 5e-2 AS g_lat, f_lng + (feature % 11 - 5) * 5e-2 AS g_lng FROM parts)"
@@ -121,9 +121,14 @@ def nearest_segment(t: Tables) -> DataFrame:
     box = (F.least("f_lat", "g_lat"), F.least("f_lng", "g_lng"), F.greatest("f_lat", "g_lat"), F.greatest("f_lng", "g_lng"))
     a = geo.offset(F.col("lat"), F.col("lng"), F.col("f_lat"), F.col("f_lng"))
     b = geo.offset(F.col("lat"), F.col("lng"), F.col("g_lat"), F.col("g_lng"))
-    found = spatial.range_join(sites(t), lines(t), LINE_R, box, cell_m=30_000).withColumn("d_mm", geo.millimetres(geo.segment_distance(*a, *b)))
-    best = [spatial.nearest("feature").alias("a"), spatial.nearest("feature", where=F.col("size") >= 25).alias("b"), F.count("*").alias("lines_near")]
-    out = spatial.per_site(sites(t), "site", found.where(F.col("d_mm") <= LINE_R * 1000), *best)
+    found = lambda own, *own_m: spatial.range_join(own, lines(t), LINE_R, box, 30_000, *own_m).withColumn("d_mm", geo.millimetres(geo.segment_distance(*a, *b))).where(F.col("d_mm") <= LINE_R * 1000)
+    big = F.col("size") >= 25
+    # Sites at one place are measured once: first the least distances, which group without a sort, then the lines at those.
+    least = found(spots(t)).groupBy("lat", "lng").agg(F.min("d_mm").alias("least"), F.min(F.when(big, F.col("d_mm"))).alias("least_big"), F.count("*").alias("lines_near"))
+    least = Scratch(t.spark).keep(least)
+    there = found(least, spatial.reach("least", "least_big")).where((F.col("d_mm") == F.col("least")) | big & (F.col("d_mm") == F.col("least_big")))
+    best = there.groupBy("lat", "lng").agg(spatial.nearest("feature").alias("a"), spatial.nearest("feature", where=big).alias("b"))
+    out = sites(t).join(least.join(best, ["lat", "lng"]), ["lat", "lng"], "left")
     tenth = lambda c: F.floor(F.col(f"{c}.d_mm") / 100) / F.lit(10.0)
     return out.select("site", F.col("a.feature").alias("line"), tenth("a").alias("line_m"), F.col("b.feature").alias("big_line"), tenth("b").alias("big_line_m"), "lines_near")
 
@@ -154,18 +159,22 @@ def polygons(t: Tables) -> DataFrame:
     return parts(t).select("feature", "size", geo.polygon_edges(ring(OUTLINE), F.array(ring(HOLE))).alias("edges"), (F.col("f_lat") - r).alias("south"), (F.col("f_lng") - r).alias("west"), (F.col("f_lat") + r).alias("north"), (F.col("f_lng") + r).alias("east"))
 
 
-def polygon_pairs(t: Tables, radius: float) -> DataFrame:
+def polygon_pairs(own: DataFrame, t: Tables, radius: float) -> DataFrame:
+    """Places (lat, lng) and the polygons in whose widened box they lie, with edges."""
     box = tuple(F.col(c) for c in ("south", "west", "north", "east"))
-    near = spatial.range_join(sites(t), polygons(t), radius, box, cell_m=POLYGON_CELL)
-    return spatial.polygon_distances(near, ["site", "feature", "size"])
+    return spatial.range_join(own, polygons(t), radius, box, cell_m=POLYGON_CELL)
 
 
 @query(f"""{POLYGON_SQL}, best AS (SELECT site, min(row(d_mm, feature)) AS a, count(*) FILTER (d_mm = 0) AS holding FROM far WHERE d_mm <= {RING_R * 1000} GROUP BY site)
     SELECT sites.site, a[2] AS polygon, a[1] // 1000 AS polygon_m, coalesce(holding, 0) AS holding FROM sites LEFT JOIN best USING (site)""")
 def polygon_distance(t: Tables) -> DataFrame:
     """The nearest polygon, 0 inside it and outside its holes."""
-    near = polygon_pairs(t, RING_R).where(F.col("d_mm") <= RING_R * 1000)
-    out = spatial.per_site(sites(t), "site", near, spatial.nearest("feature").alias("a"), F.count_if(F.col("d_mm") == 0).alias("holding"))
+    far_ = lambda own, radius: spatial.polygon_distances(polygon_pairs(own, t, radius), ["lat", "lng", "feature"])
+    best = spatial.nearest("feature").alias("a")
+    # What is in a polygon needs no search: only places in none are measured against all polygons in reach.
+    held = Scratch(t.spark).keep(far_(spots(t), 1.0).where("d_mm = 0").groupBy("lat", "lng").agg(best, F.count("*").alias("holding")))
+    rest = far_(spots(t).join(held, ["lat", "lng"], "left_anti"), RING_R).where(F.col("d_mm") <= RING_R * 1000).groupBy("lat", "lng").agg(best, F.lit(0).cast("long").alias("holding"))
+    out = sites(t).join(held.unionByName(rest), ["lat", "lng"], "left")
     return out.select("site", F.col("a.feature").alias("polygon"), F.floor(F.col("a.d_mm") / 1000).alias("polygon_m"), F.coalesce("holding", F.lit(0)).alias("holding"))
 
 
@@ -173,9 +182,12 @@ def polygon_distance(t: Tables) -> DataFrame:
     SELECT sites.site, polygon, largest, polygons, CASE WHEN polygon IS NULL THEN 'absent' ELSE 'ok' END AS status FROM sites LEFT JOIN hits USING (site)""")
 def point_in_polygon(t: Tables) -> DataFrame:
     """The first polygon that holds each site, and all of them."""
-    near = polygon_pairs(t, 1.0).where(F.col("d_mm") == 0)
+    # Inside is the parity of the edges east of a place; one within half a millimetre outside is not inside.
+    crossed = polygon_pairs(spots(t), t, 1.0).select("lat", "lng", "feature", "size", F.explode("edges").alias("e"))
+    inside = crossed.groupBy("lat", "lng", "feature", "size").agg(F.sum(geo.edge_crosses(F.col("e"), F.col("lat"), F.col("lng"))).alias("c")).where("c % 2 = 1")
     listed = F.array_join(F.transform(F.array_sort(F.collect_set("feature")), lambda x: x.cast("string")), ";")
-    out = spatial.per_site(sites(t), "site", near, F.min("feature").alias("polygon"), F.max("size").alias("largest"), listed.alias("polygons"))
+    hits = inside.groupBy("lat", "lng").agg(F.min("feature").alias("polygon"), F.max("size").alias("largest"), listed.alias("polygons"))
+    out = sites(t).join(hits, ["lat", "lng"], "left")
     return out.select("site", "polygon", "largest", "polygons", F.when(F.col("polygon").isNull(), "absent").otherwise("ok").alias("status"))
 
 
@@ -184,7 +196,7 @@ def point_in_polygon(t: Tables) -> DataFrame:
     SELECT site, b[2] AS feature, -b[1] AS size, b[3] // 1000 AS feature_m, n AS in_band FROM best""")
 def tie_band_argmax(t: Tables) -> DataFrame:
     """Of the features within 5 km of the nearest one's distance, the largest."""
-    out = spatial.best_in_band(pairs(t), "site", "feature", "size", 5_000_000)
+    out = spatial.best_in_band(sites(t), parts(t), "site", "feature", "size", R, 5_000_000)
     return out.select("site", F.col("best.feature"), (-F.col("best.minus")).alias("size"), F.floor(F.col("best.d_mm") / 1000).alias("feature_m"), "in_band")
 
 
@@ -247,11 +259,14 @@ def usable_cells(t: Tables) -> DataFrame:
     half = 0.7072 * cell
     reach = 12_000 + farther
     x, y = geo.offset(F.col("lat"), F.col("lng"), F.col("f_lat"), F.col("f_lng"))
-    near = spatial.range_join(sites(t), parts(t), reach).select("site", x.alias("x"), y.alias("y"))
+    # Places of sites and of features, each once; what is too far from every cell is left out before there are cells.
+    near = spatial.range_join(spots(t), parts(t).select("f_lat", "f_lng").distinct(), reach).select("lat", "lng", x.alias("x"), y.alias("y"))
+    near = near.where((F.abs("x") < 7 * cell + farther + cell) & (F.abs("y") < 7 * cell + farther + cell))
     # Cells are rows, so that the arithmetic is compiled and their minimum is taken before anything is shuffled.
-    cells = near.select("site", "x", "y", F.explode(F.sequence(F.lit(0), F.lit(224))).alias("c"))
+    cells = near.select("lat", "lng", "x", "y", F.explode(F.sequence(F.lit(0), F.lit(224))).alias("c"))
     dx, dy = (F.col("c") % 15 - 7) * F.lit(cell) - F.col("x"), (F.floor(F.col("c") / 15) - 7) * F.lit(cell) - F.col("y")
-    least = cells.groupBy("site", "c").agg(geo.millimetres(F.min(F.sqrt(dx * dx + dy * dy))).alias("d"))
+    away = cells.select("lat", "lng", "c", F.sqrt(dx * dx + dy * dy).alias("d")).where(F.col("d") < farther + cell)
+    least = away.groupBy("lat", "lng", "c").agg(geo.millimetres(F.min("d")).alias("d"))
     blocked = lambda m: F.count_if(F.col("d") < int((m + half) * 1000))
-    held = sites(t).select("site").join(least.groupBy("site").agg(blocked(clear).alias("blocked"), blocked(farther).alias("close")), "site", "left").fillna(0, ["blocked", "close"])
+    held = sites(t).join(least.groupBy("lat", "lng").agg(blocked(clear).alias("blocked"), blocked(farther).alias("close")), ["lat", "lng"], "left").fillna(0, ["blocked", "close"])
     return held.select("site", (225 - F.col("blocked")).alias("usable"), "blocked", (225 - F.col("close")).alias("far"))
