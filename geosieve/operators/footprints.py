@@ -6,36 +6,30 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from geosieve.functions import geo
-from geosieve.operators.grid import box_join, circle_box, degrees
+from geosieve.operators.grid import box_join, degrees
 
 
 def points_near_footprints(footprints: DataFrame, points: DataFrame, key: str, point: str, radius_m: float, cell_m: float = 1_000.0) -> DataFrame:
     """(key, point, d_mm) of points f_lat, f_lng at most the radius from a footprint's edge, 0 on its ground; in the frame of the site.
 
     footprints: key, lat, lng of the pin and edges (geo.polygon_edges), inside by the even-odd rule over all of
-    them, so a hole is outside. Pairs of edges and points come from a grid join of their boxes, and their minima
-    are taken before anything is shuffled. Footprints without edges, and points without a place, are near nothing.
+    them, so a hole is outside. Footprints meet points in one grid join of their boxes; then
+    edges are rows, and their minimum and parity are taken before anything is shuffled. Footprints without edges, and points without a place, are near nothing.
     """
-    edges = footprints.select(key, F.col("lat").alias("_lat"), F.explode("edges").alias("_e")).select(key, "_lat", *[F.col(f"_e.{p}.{c}").alias(f"_{p}_{c}") for p in "ab" for c in ("lat", "lng")])
-    low, high = ({c: f(F.col(f"_a_{c}"), F.col(f"_b_{c}")) for c in ("lat", "lng")} for f in (F.least, F.greatest))
-    box = circle_box(low["lat"], low["lng"], F.lit(radius_m), F.lit(radius_m))
-    far = circle_box(high["lat"], high["lng"], F.lit(radius_m), F.lit(radius_m))
-    here = tuple(F.col(c) for c in ("f_lat", "f_lng", "f_lat", "f_lng"))
-    # The site's frame may be narrower than the edge's: its cosine counts where it is farther from the equator.
-    wide = F.lit(radius_m) / (geo.M_PER_DEG_LNG * F.cos(F.radians(F.least(F.lit(89.0), F.abs(F.col("_lat"))))))
-    reach = (box[0], F.least(box[1], low["lng"] - wide), far[2], F.greatest(far[3], high["lng"] + wide))
-    named = points.select(point, "f_lat", "f_lng")
-    x = lambda p: (F.col(f"_{p}_lng") - F.col("f_lng")) * geo.M_PER_DEG_LNG * F.cos(F.radians("_lat"))
-    y = lambda p: (F.col(f"_{p}_lat") - F.col("f_lat")) * geo.M_PER_DEG_LAT
-    near = box_join(edges, named, reach, here, degrees(cell_m)).select(key, point, geo.millimetres(geo.segment_distance(x("a"), y("a"), x("b"), y("b"))).alias("d_mm"))
-    near = near.where(F.col("d_mm") <= int(radius_m * 1000))
-
     def extent(f, c: str) -> Column:
         return f(F.transform("edges", lambda e: e["a"][c]))  # rings are closed: each vertex begins an edge
 
-    # Points in a footprint's box: on its ground if an odd number of its edges lie east of them.
-    boxes = footprints.select(key, "edges", extent(F.array_min, "lat").alias("_s"), extent(F.array_min, "lng").alias("_w"), extent(F.array_max, "lat").alias("_n"), extent(F.array_max, "lng").alias("_x"))
-    met = box_join(boxes, named, tuple(F.col(c) for c in ("_s", "_w", "_n", "_x")), here, degrees(cell_m))
-    crossed = met.select(key, point, "f_lat", "f_lng", F.explode("edges").alias("_e")).groupBy(key, point).agg(F.sum(geo.edge_crosses(F.col("_e"), F.col("f_lat"), F.col("f_lng"))).alias("_c"))
-    inside = crossed.where("_c % 2 = 1").select(key, point, F.lit(0).cast("long").alias("d_mm"))
-    return near.unionByName(inside).groupBy(key, point).agg(F.min("d_mm").alias("d_mm"))
+    high = radius_m / geo.M_PER_DEG_LAT
+    # The frame is the pin's, wherever the edge lies, so its cosine alone sets the width.
+    wide = F.lit(radius_m) / (geo.M_PER_DEG_LNG * F.cos(F.radians(F.least(F.lit(89.0), F.abs(F.col("_lat"))))))
+    boxes = footprints.select(key, F.col("lat").alias("_lat"), "edges", extent(F.array_min, "lat").alias("_s"), extent(F.array_min, "lng").alias("_w"), extent(F.array_max, "lat").alias("_n"), extent(F.array_max, "lng").alias("_x"))
+    reach = (F.col("_s") - high, F.col("_w") - wide, F.col("_n") + high, F.col("_x") + wide)
+    here = tuple(F.col(c) for c in ("f_lat", "f_lng", "f_lat", "f_lng"))
+    met = box_join(boxes, points.select(point, "f_lat", "f_lng"), reach, here, degrees(cell_m))
+    rows = met.select(key, point, "_lat", "f_lat", "f_lng", F.explode("edges").alias("_e"))
+    at = lambda p: ((F.col(f"_e.{p}.lng") - F.col("f_lng")) * geo.M_PER_DEG_LNG * F.cos(F.radians("_lat")), (F.col(f"_e.{p}.lat") - F.col("f_lat")) * geo.M_PER_DEG_LAT)
+    rows = rows.select(key, point, geo.segment_distance(*at("a"), *at("b")).alias("_d"), geo.edge_crosses(F.col("_e"), F.col("f_lat"), F.col("f_lng")).alias("_c"))
+    # On the ground of a footprint if an odd number of its edges lie east.
+    out = rows.groupBy(key, point).agg(F.min("_d").alias("_d"), F.sum("_c").alias("_c"))
+    out = out.select(key, point, F.when(F.col("_c") % 2 == 1, 0).otherwise(geo.millimetres(F.col("_d"))).alias("d_mm"))
+    return out.where(F.col("d_mm") <= int(radius_m * 1000))

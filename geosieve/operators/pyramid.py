@@ -83,19 +83,21 @@ def nearest_complete(
     while len(pyramid) < levels:
         pyramid.insert(0, _above(pyramid[0]))
 
-    own = W.partitionBy(key)
+    # Sites at one place descend once.
+    spot = ["lat", "lng"]
+    own = W.partitionBy(*spot)
     low, high = _reach()
-    held = sites.select(key, "lat", "lng").where("lat between -90 and 90 and lng between -180 and 180").repartition(key)
+    held = sites.select(*spot).where("lat between -90 and 90 and lng between -180 and 180").distinct().repartition(*spot)
     top = pyramid[0].agg(F.collect_list(F.struct("_row", "_column", "_s", "_w", "_n", "_e")).alias("_top"))  # 72 cells at most
-    held = held.crossJoin(F.broadcast(top)).select(key, "lat", "lng", F.inline("_top"))  # a join with one row
+    held = held.crossJoin(F.broadcast(top)).select(*spot, F.inline("_top"))  # a join with one row
     for level in range(levels):
         if level:
             below = pyramid[level].withColumns({f"_up{c}": F.floor(F.col(c) / SPLIT).cast("long") for c in ("_row", "_column")})
-            above = held.select(key, "lat", "lng", F.col("_row").alias("_up_row"), F.col("_column").alias("_up_column"))
-            held = above.join(F.broadcast(below) if level < BROADCAST_LEVELS else below, ["_up_row", "_up_column"])
+            above = held.select(*spot, F.col("_row").alias("_up_row"), F.col("_column").alias("_up_column"))
+            held = above.join(F.broadcast(below) if level < BROADCAST_LEVELS else below.hint("merge"), ["_up_row", "_up_column"])  # the lower ones are merged, as hinted: estimates miss what is multiplied
         held = held.withColumns({"_low": low, "_high": high}).withColumn("_bound", F.min("_high").over(own) + TIE_M).where("_low <= _bound")
-    cells = held.select(key, "lat", "lng", "_row", "_column")
-    measured = cells.join(placed.drop("_s", "_w", "_n", "_e"), ["_row", "_column"]).withColumn("d_mm", geo.millimetres(distance))
+    cells = held.select(*spot, "_row", "_column")
+    measured = cells.join(placed.drop("_s", "_w", "_n", "_e").hint("merge"), ["_row", "_column"]).withColumn("d_mm", geo.millimetres(distance))
     best = F.min(F.struct("d_mm", ordinal, *carried)).alias("best")
-    found = measured.groupBy(key, "_row", "_column").agg(best, F.count("*").alias("n")).groupBy(key).agg(F.min("best").alias("best"), F.count("*").alias("cells"), F.sum("n").alias("measured"))
-    return sites.select(key).join(found, key, "left").fillna(0, ["cells", "measured"])
+    found = measured.groupBy(*spot, "_row", "_column").agg(best, F.count("*").alias("n")).groupBy(*spot).agg(F.min("best").alias("best"), F.count("*").alias("cells"), F.sum("n").alias("measured"))
+    return sites.select(key, *spot).join(found, spot, "left").drop(*spot).fillna(0, ["cells", "measured"])
