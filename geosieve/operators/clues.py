@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from geosieve.functions import geo
 from geosieve.functions.text import address_parts
+from geosieve.operators.grid import box_join
 from geosieve.operators.places import TIERS, checked, crossings
 from geosieve.operators.spatial import polygon_distances, range_join
 from geosieve.sources.scratch import Scratch
@@ -28,6 +29,8 @@ PLACED = {
 UNPLACED = {"substation_planned": "location unknown", "owner_name": "search the parcel records by hand", "corridor": "context only", "area_name": "context only"}
 GRAM = 3
 AREA_CELL_M = 50_000.0
+#: Degrees of the least cells that ZIP areas and roads meet in; any gives the same pairs.
+ROAD_CELL = (0.25, 0.25)
 _COORDINATE = r"^\s*([+-]?\d+\.?\d*)\s*,\s*([+-]?\d+\.?\d*)\s*$"
 _CROSSING = r"^\s*(.+?)\s*(?:&|\band\b|/|@)\s*(.+?)\s*(?:,|$)"
 
@@ -79,7 +82,8 @@ def names_holding(values: DataFrame, layer: DataFrame) -> DataFrame:
     asked = values.select("value").where("value is not null").distinct().withColumn("_asked", _looked_for(F.col("value")))
     runs = asked.withColumn("gram", F.explode(_grams(F.col("_asked"), F.least(F.length("_asked"), F.lit(GRAM)))))
     rarest = runs.join(counts, "gram", "left").groupBy("value", "_asked").agg(F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "gram"))["gram"].alias("gram"))
-    return rarest.join(index, "gram").where(F.contains(upper, F.col("_asked"))).drop("gram", "_asked")
+    # An index has many rows a name, which its estimated size misses: merged, it isn't broadcast.
+    return rarest.join(index.hint("merge"), "gram").where(F.contains(upper, F.col("_asked"))).drop("gram", "_asked")
 
 
 def inside(points: DataFrame, key: str, areas: DataFrame, name: str) -> DataFrame:
@@ -106,7 +110,7 @@ def _coordinates(clues: DataFrame) -> DataFrame:
 def _addresses(clues: DataFrame, g: Gazetteer) -> DataFrame:
     cut = lambda df, c: df.withColumn("_p", address_parts(F.col(c))).select("*", F.col("_p.number").alias("_number"), F.explode("_p.words").alias("_word")).drop("_p")
     asked = cut(clues.select("value").distinct(), "value")
-    pairs = asked.join(cut(g.addresses, "address"), ["_number", "_word"]).groupBy("value", "place", "address", "lat", "lng").agg(F.count("*").alias("n"))
+    pairs = asked.join(cut(g.addresses, "address").hint("merge"), ["_number", "_word"]).groupBy("value", "place", "address", "lat", "lng").agg(F.count("*").alias("n"))
     best = pairs.groupBy("value").agg(F.min(F.struct((-F.col("n")).alias("minus"), "place", "address", "lat", "lng")).alias("at"))
     rows = clues.join(best, "value", "left")
     why = F.when(F.col("at").isNull(), "no match")
@@ -136,10 +140,12 @@ def _crossings(clues: DataFrame, g: Gazetteer) -> DataFrame:
     box = g.zips.select(F.col("area").alias("stated_zip"), F.col("lat").alias("z_lat"), F.col("lng").alias("z_lng"), "south", "west", "north", "east")
     named = clues.join(box, "stated_zip", "left").withColumns({"one": F.regexp_extract("value", _CROSSING, 1), "two": F.regexp_extract("value", _CROSSING, 2)})
     roads = named.where("one <> '' and z_lat is not null").select("clue", "z_lat", "z_lng", "south", "west", "north", "east", F.posexplode(F.array("one", "two")).alias("road", "_name"))
-    roads = roads.withColumns({"road": F.col("road") + 1, "_name": _looked_for(F.col("_name"))}).join(g.roads.withColumn("_name", F.upper("name")), "_name")
-    meets = (F.greatest("a_lat", "b_lat") >= F.col("south")) & (F.least("a_lat", "b_lat") <= F.col("north")) & (F.greatest("a_lng", "b_lng") >= F.col("west")) & (F.least("a_lng", "b_lng") <= F.col("east"))
+    roads = roads.withColumns({"road": F.col("road") + 1, "_name": _looked_for(F.col("_name"))})
+    # A name is that of many roads all over the map, so they meet by place too.
+    box, reach = tuple(F.col(c) for c in ("south", "west", "north", "east")), tuple(f(f"a_{c}", f"b_{c}") for f in (F.least, F.greatest) for c in ("lat", "lng"))
+    roads = box_join(roads, g.roads.withColumn("_name", F.upper("name")), box, reach, ROAD_CELL, ("_name",))
     ends = {f"{e}{c}": v for e in "ab" for c, v in zip("xy", geo.offset(F.col("z_lat"), F.col("z_lng"), F.col(f"{e}_lat"), F.col(f"{e}_lng")))}
-    lines = roads.where(meets).select("clue", "road", *[v.alias(k) for k, v in ends.items()]).distinct()
+    lines = roads.select("clue", "road", *[v.alias(k) for k, v in ends.items()]).distinct()
     there = lines.groupBy("clue").agg(F.bool_or(F.col("road") == 1).alias("has_one"), F.bool_or(F.col("road") == 2).alias("has_two"))
     rows = named.join(there, "clue", "left").join(crossings(lines, "clue"), "clue", "left")
     unknown = lambda name: F.concat(F.lit("no road named "), name, F.lit(" in the ZIP area"))

@@ -85,3 +85,11 @@ def test_names_against_every_pair(spark):
     got = {(r.value, r.place) for r in clues.names_holding(spark.createDataFrame([(v,) for v in values], "value string"), layer).collect()}
     asked = lambda v: v.upper().replace("'", "")
     assert got == {(v, i) for v in values if v and asked(v) for i, n in enumerate(names) if n is not None and asked(v) in n.upper()} and len(got) > 100
+
+
+def test_names_and_their_index_are_merged(spark):
+    layer = spark.createDataFrame([(1, "Mill 1 East"), (2, "Old Hall")], "place int, name string")
+    found = names_holding(spark.createDataFrame([("mill 1",)], "value string"), layer)
+    assert [r.place for r in found.collect()] == [1]
+    joins = [x for x in found._jdf.queryExecution().sparkPlan().toString().split("\n") if "Join" in x]
+    assert "SortMergeJoin" in joins[0]
