@@ -89,7 +89,7 @@ def test_names_against_every_pair(spark):
 
 def test_names_and_their_index_are_merged(spark):
     layer = spark.createDataFrame([(1, "Mill 1 East"), (2, "Old Hall")], "place int, name string")
-    found = names_holding(spark.createDataFrame([("mill 1",)], "value string"), layer)
+    found = clues.names_holding(spark.createDataFrame([("mill 1",)], "value string"), layer)
     assert [r.place for r in found.collect()] == [1]
     joins = [x for x in found._jdf.queryExecution().sparkPlan().toString().split("\n") if "Join" in x]
     assert "SortMergeJoin" in joins[0]
