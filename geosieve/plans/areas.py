@@ -38,5 +38,7 @@ def parcel_acres(t: Tables) -> DataFrame:
     ring = lambda corners: F.array(*[F.struct((F.col("f_lng") + r * F.lit(x)).alias("lng"), (F.col("f_lat") + r * F.lit(y)).alias("lat")) for x, y in corners])
     about = lambda lat, lng: projection.azimuthal(lat, lng, F.col("f_lat"), F.col("f_lng"))
     acres = lambda by: F.round((projection.ring_area(F.col("outer"), by) - projection.ring_area(F.col("hole"), by)) / geo.ACRE_M2, 3)
-    rows = parts(t).select("feature", "f_lat", "f_lng", ring(OUTLINE).alias("outer"), ring(HOLE).alias("hole"))
+    # A row is small and its projections are not: as many tasks as are set, however few files and bytes there are.
+    own = parts(t).repartition(int(t.spark.conf.get("spark.sql.shuffle.partitions")), "feature")
+    rows = own.select("feature", "f_lat", "f_lng", ring(OUTLINE).alias("outer"), ring(HOLE).alias("hole"))
     return rows.select("feature", acres(about).alias("acres"), acres(projection.albers).alias("acres_conic"))

@@ -36,3 +36,10 @@ def test_areas_are_kept(spark):
     want = a * a / 2 * math.radians(1) * (q(south + 1) - q(south))
     assert [got[0].conic, got[0].azimuthal] == pytest.approx([want, want], rel=1e-8)
     assert (got[1].conic, got[1].azimuthal) == (0.0, 0.0)
+
+
+def test_parcels_are_measured_by_as_many_tasks_as_are_set(spark):
+    from geosieve.plans import registry
+
+    made = registry.QUERIES["parcel_acres"](spark, "/root/testdata/sf0.001")
+    assert made.rdd.getNumPartitions() == int(spark.conf.get("spark.sql.shuffle.partitions"))
