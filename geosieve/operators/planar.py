@@ -8,18 +8,22 @@ unions, intersections and differences are sums over the same trapezoids: no poly
 is built, no grid rounds the result, and concave shapes, holes and polygons of many
 rings are nothing special.
 
-Edges, crossings and trapezoids are rows. The work of a band is what lies in it, so a
-polygon of very many vertices is spread over tasks; a running count's window is one
-strip of one band.
+Only edges are shuffled, a row for each band they reach; a task makes crossings, strips
+and trapezoids of one band after the other, in bounded blocks. The work of a band is
+what lies in it, so a polygon of very many vertices is spread over tasks.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from functools import reduce
+from operator import and_
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window as W
 
 from geosieve.functions.geo import ACRE_M2
 
@@ -31,30 +35,112 @@ def ring_edges(shapes: DataFrame, rings: str = "rings") -> DataFrame:
     return edges.select(*[c for c in shapes.columns if c != rings], F.col("_a.x").alias("x0"), F.col("_a.y").alias("y0"), F.col("_b.x").alias("x1"), F.col("_b.y").alias("y1"))
 
 
-def strips(edges: DataFrame, keys: list[str], band: float) -> DataFrame:
-    """The pieces of edges in each strip: keys, shape, rank, band, low, high, x_low, x_high and slope.
+#: Rows of edges, pairs of them or edges of strips that a task holds at once, unless one band has more edges.
+AT_ONCE = 500_000
+
+
+def banded(edges: DataFrame, keys: list[str], band: float) -> DataFrame:
+    """The edges in each band: keys, band, shape, rank, the lower end ax, ay, the height by of the upper one, and slope.
 
     Horizontal edges bound no trapezoid from the side and go; null coordinates
-    go too.
+    and keys go too.
     """
     up = F.col("y0") < F.col("y1")
     end = lambda a, b: F.when(up, F.col(a)).otherwise(F.col(b))
-    lines = edges.where("y0 <> y1").select(*keys, "shape", "rank", end("x0", "x1").alias("ax"), end("y0", "y1").alias("ay"), end("y1", "y0").alias("by"), ((F.col("x1") - F.col("x0")) / (F.col("y1") - F.col("y0"))).alias("slope"))
-    cell = lambda y: F.floor(y / band).cast("long")
-    held = lines.withColumn("band", F.explode(F.sequence(cell(F.col("ay")), cell(F.col("by")))))
-    held = held.withColumns({"from": F.greatest(F.col("ay"), F.col("band") * F.lit(band)), "to": F.least(F.col("by"), (F.col("band") + 1) * F.lit(band))}).where(F.col("from") < F.col("to"))
-    at = lambda y: F.col("ax") + F.col("slope") * (y - F.col("ay"))
-    # Crossings: pieces that share a cell of the band; the one that leans less is the first.
-    xs = at(F.col("from")), at(F.col("to"))
-    cells = held.select(*keys, "band", "ax", "ay", "slope", "from", "to", F.explode(F.sequence(cell(F.least(*xs)), cell(F.greatest(*xs)))).alias("column"))
-    names = ("ax", "ay", "slope", "from", "to")
-    a, b = (cells.withColumnsRenamed({c: f"{s}_{c}" for c in names}) for s in "pq")
-    y = F.expr("(q_ax - p_ax + p_slope * p_ay - q_slope * q_ay) / (p_slope - q_slope)")
-    crossed = a.join(b, [*keys, "band", "column"]).where("p_slope < q_slope").withColumn("y", y).where("y > greatest(p_from, q_from) and y < least(p_to, q_to)")
-    ys = reduce(DataFrame.union, [held.select(*keys, "band", F.col(c).alias("y")) for c in ("from", "to")]).union(crossed.select(*keys, "band", "y")).distinct()
-    cuts = ys.withColumn("high", F.lead("y").over(W.partitionBy(*keys, "band").orderBy("y"))).where("high is not null").withColumnRenamed("y", "low")
-    inside = held.join(cuts, [*keys, "band"]).where("from <= low and to >= high")
-    return inside.select(*keys, "shape", "rank", "band", "low", "high", at(F.col("low")).alias("x_low"), at(F.col("high")).alias("x_high"), "slope")
+    held = edges.where("y0 <> y1").where(reduce(and_, [F.col(k).isNotNull() for k in keys]))
+    lines = held.select(*keys, F.col("shape"), F.col("rank").cast("int").alias("rank"), end("x0", "x1").alias("ax"), end("y0", "y1").alias("ay"), end("y1", "y0").alias("by"), ((F.col("x1") - F.col("x0")) / (F.col("y1") - F.col("y0"))).alias("slope"))
+    cell = lambda y: F.floor(F.col(y) / band).cast("long")
+    return lines.withColumn("band", F.explode(F.sequence(cell("ay"), cell("by")))).where(F.greatest("ay", F.col("band") * F.lit(band)) < F.least("by", (F.col("band") + 1) * F.lit(band)))
+
+
+def _blocks(sizes: np.ndarray) -> Iterator[tuple[int, int]]:
+    """Runs of items whose sizes add up to about AT_ONCE, at least one item each."""
+    ends, a = np.cumsum(sizes), 0
+    while a < len(sizes):
+        b = max(a + 1, int(np.searchsorted(ends, (ends[a - 1] if a else 0) + AT_ONCE, "right")))
+        yield a, b
+        a = b
+
+
+def _counted(counts: np.ndarray) -> np.ndarray:
+    """0 to n - 1 for each count n, one after the other."""
+    return np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
+
+
+def _runs(*columns: np.ndarray) -> np.ndarray:
+    """Where a run of equal values begins, for each row the row that begins its run."""
+    new = np.zeros(len(columns[0]), bool)
+    new[:1] = True
+    for c in columns:
+        new[1:] |= c[1:] != c[:-1]
+    return np.maximum.accumulate(np.where(new, np.arange(len(new)), 0))
+
+
+def _crossings(group: np.ndarray, ax: np.ndarray, ay: np.ndarray, slope: np.ndarray, low: np.ndarray, high: np.ndarray, band: float) -> tuple[np.ndarray, np.ndarray]:
+    """Group and y of each crossing of pieces of a group, found among those that share a cell of the band."""
+    xs = ax + slope * (low - ay), ax + slope * (high - ay)
+    first, last = (np.floor(f(*xs) / band).astype(np.int64) for f in (np.minimum, np.maximum))
+    n = last - first + 1
+    piece, column = np.repeat(np.arange(len(ax)), n), np.repeat(first, n) + _counted(n)
+    order = np.lexsort((column, group[piece]))
+    piece = piece[order]
+    start = _runs(group[piece], column[order])
+    # Each piece meets those after it in its cell.
+    after = np.searchsorted(start, start, "right") - 1 - np.arange(len(start))
+    found = []
+    for a, b in _blocks(after):
+        i = np.repeat(np.arange(a, b), after[a:b])
+        p, q = piece[i], piece[i + 1 + _counted(after[a:b])]
+        p, q = np.where(slope[p] < slope[q], p, q), np.where(slope[p] < slope[q], q, p)
+        with np.errstate(divide="ignore", invalid="ignore"):
+            y = (ax[q] - ax[p] + slope[p] * ay[p] - slope[q] * ay[q]) / (slope[p] - slope[q])
+        kept = (slope[p] < slope[q]) & (y > np.maximum(low[p], low[q])) & (y < np.minimum(high[p], high[q]))
+        found.append((group[p[kept]], y[kept]))
+    return tuple(np.concatenate(x) for x in zip((group[:0], ay[:0]), *found))
+
+
+def _group_areas(group: np.ndarray, shape: np.ndarray, rank: np.ndarray, ax: np.ndarray, ay: np.ndarray, slope: np.ndarray, low: np.ndarray, high: np.ndarray, ranks: int, band: float) -> np.ndarray:
+    """Areas by group, 0 to n - 1, and first rank, the last column for none; rank -1 is the footprint's."""
+    out = np.zeros((group.max(initial=-1) + 1) * (ranks + 1))
+    # Strips lie between neighbouring y's at which edges of a group begin, end or cross.
+    at, y = _crossings(group, ax, ay, slope, low, high, band)
+    every = np.concatenate([low, high, y])
+    of = np.concatenate([group, group, at])
+    order = np.lexsort((every, of))
+    start = _runs(of[order], every[order])
+    firsts = np.unique(start)
+    number = np.empty(len(every), np.int64)
+    number[order] = np.searchsorted(firsts, start)
+    ys, owner = every[order][firsts], of[order][firsts]
+    begin, end = number[: len(low)], number[len(low) : 2 * len(low)]
+    pieces = np.cumsum(np.bincount(begin, minlength=len(ys)) - np.bincount(end, minlength=len(ys)))
+    by_begin, longest = np.argsort(begin, kind="stable"), int((end - begin).max(initial=0))
+    begins = begin[by_begin]
+    for a, b in _blocks(pieces):
+        near = by_begin[np.searchsorted(begins, a - longest) : np.searchsorted(begins, b)]
+        near = near[end[near] > a]
+        n = np.minimum(end[near], b) - np.maximum(begin[near], a)
+        i, strip = np.repeat(near, n), np.repeat(np.maximum(begin[near], a), n) + _counted(n)
+        x_low, x_high = (ax[i] + slope[i] * (v - ay[i]) for v in (ys[strip], ys[np.minimum(strip + 1, len(ys) - 1)]))
+        middle = x_low + x_high
+        own = np.lexsort((slope[i], middle, shape[i], strip))
+        step = np.empty(len(i), np.int64)
+        step[own] = 1 - 2 * ((np.arange(len(i)) - _runs(strip[own], shape[i][own])) % 2)
+        order = np.lexsort((slope[i], shape[i], middle, strip))
+        i, strip, x_low, x_high, step = i[order], strip[order], x_low[order], x_high[order], step[order]
+        start = _runs(strip)
+
+        def deep(where: np.ndarray) -> np.ndarray:
+            run = np.cumsum(np.where(where, step, 0))
+            return run - np.where(start > 0, run[start - 1], 0) > 0
+
+        first = np.full(len(i), ranks)
+        for r in reversed(range(ranks)):
+            first[deep(rank[i] == r)] = r
+        area = (x_low[1:] - x_low[:-1] + x_high[1:] - x_high[:-1]) / 2 * (ys[np.minimum(strip + 1, len(ys) - 1)] - ys[strip])[:-1]
+        kept = deep(rank[i] < 0)[:-1] & (strip[1:] == strip[:-1]) & (area > 0)
+        out += np.bincount(owner[strip[:-1][kept]] * (ranks + 1) + first[:-1][kept], area[kept], len(out))
+    return out.reshape(-1, ranks + 1)
 
 
 def overlay_areas(edges: DataFrame, keys: list[str], ranks: int, band: float = 64.0) -> DataFrame:
@@ -67,18 +153,50 @@ def overlay_areas(edges: DataFrame, keys: list[str], ranks: int, band: float = 6
     without a footprint, or with one of no area, give no row; ground outside the footprint
     isn't counted; a rank of no area has no row.
     """
-    rows = strips(edges, keys, band)
-    strip = [*keys, "band", "low"]
-    middle = F.col("x_low") + F.col("x_high")
-    order = W.partitionBy(*strip).orderBy("middle", "shape", "slope")
-    own = W.partitionBy(*strip, "shape").orderBy("middle", "slope")
-    rows = rows.withColumn("middle", middle).withColumn("step", F.when(F.row_number().over(own) % 2 == 1, 1).otherwise(-1))
-    depth = lambda where: F.sum(F.when(where, F.col("step")).otherwise(0)).over(order) > 0
-    covers = [depth(F.coalesce(F.col("rank") == r, F.lit(False))) for r in range(ranks)]
-    width = (F.lead("x_low").over(order) - F.col("x_low") + F.lead("x_high").over(order) - F.col("x_high")) / 2
-    first = F.coalesce(*[F.when(c, r) for r, c in enumerate(covers)], F.lit(None).cast("int"))
-    found = rows.select(*keys, depth(F.col("rank").isNull()).alias("held"), first.alias("rank"), (width * (F.col("high") - F.col("low"))).alias("area"))
-    return found.where("held and area > 0").groupBy(*keys, "rank").agg(F.sum("area").alias("area"))
+    rows = banded(edges, keys, band)
+    kinds = dict(rows.dtypes)
+    schema = ", ".join([*[f"`{k}` {kinds[k]}" for k in keys], "rank int", "area double"])
+
+    def measured(table: pa.Table, group: np.ndarray) -> pa.RecordBatch:
+        """The areas of whole groups, numbered in the order of rows."""
+        c = {n: table.column(n).to_numpy() for n in ("ax", "ay", "by", "slope", "band")}
+        # Shapes matter by which are the same and by their order.
+        shape = np.unique(table.column("shape").to_numpy(), return_inverse=True)[1]
+        rank = table.column("rank").fill_null(-1).to_numpy()
+        low, high = np.maximum(c["ay"], c["band"] * band), np.minimum(c["by"], (c["band"] + 1) * band)
+        # A band without a footprint has nothing to give.
+        kept = np.bincount(group, rank < 0)[group] > 0
+        areas = _group_areas(group[kept], shape[kept], rank[kept], *(x[kept] for x in (c["ax"], c["ay"], c["slope"], low, high)), ranks, band)
+        at, found = np.nonzero(areas > 0)
+        who = table.select(keys).take(np.searchsorted(group, at))
+        return pa.table([*[who.column(k) for k in keys], pa.array(found, pa.int32(), mask=found == ranks), pa.array(areas[at, found])], [*keys, "rank", "area"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+
+        def measure(last: bool) -> Iterator[pa.RecordBatch]:
+            table = pa.Table.from_batches(held)
+            codes = [pc.fill_null(pc.dictionary_encode(table.column(k)).combine_chunks().indices, -1).to_numpy(zero_copy_only=False) for k in (*keys, "band")]
+            start = _runs(*codes)
+            whole = len(start) if last else int(start[-1])
+            held[:] = table.slice(whole).to_batches()
+            if whole:
+                yield from measured(table.slice(0, whole), np.unique(start[:whole], return_inverse=True)[1]).to_batches()
+
+        rows_held, least = 0, AT_ONCE // 10
+        for b in batches:
+            held.append(b)
+            rows_held += b.num_rows
+            if rows_held >= least:
+                yield from measure(False)
+                rows_held = sum(x.num_rows for x in held)
+                least = max(AT_ONCE // 10, 2 * rows_held)
+        if rows_held:
+            yield from measure(True)
+
+    tasks = int(edges.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    found = rows.repartition(tasks, *keys, "band").sortWithinPartitions(*keys, "band").mapInArrow(run, schema)
+    return found.groupBy(*keys, "rank").agg(F.sum("area").alias("area"))
 
 
 def group_areas(edges: DataFrame, keys: list[str], group: str, band: float = 64.0) -> DataFrame:

@@ -3,6 +3,7 @@
 import math
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -152,3 +153,27 @@ def test_candidates_of_wide_circles(spark):
     parcels = spark.createDataFrame([(p, la, ln, m, 20.0, "Owner", ["b"], f"P{p}") for p, la, ln, m in rows], "parcel int, f_lat double, f_lng double, reach_m double, parcel_acres double, owner string, tokens array<string>, apn string")
     got = sorted((r.site, r.parcel) for r in places.candidates(areas, parcels, "site").collect())
     assert got == [(1, 1), (1, 2), (1, 4), (1, 5), (2, 4)]
+
+
+def test_overlays_shuffle_edges_only(spark):
+    """Crossings and strips are made where the edges of a band are: nothing is joined or windowed, so what is shuffled grows with edges alone."""
+    rows = [(1, 0, None, 0.0, 0.0, 5.0, 9.0), (1, 0, None, 5.0, 9.0, 9.0, 0.0), (1, 0, None, 9.0, 0.0, 0.0, 0.0)]
+    edges = spark.createDataFrame(rows, "site int, shape long, rank int, x0 double, y0 double, x1 double, y1 double")
+    plan = planar.overlay_areas(edges, ["site"], 2)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in plan and "Window" not in plan
+
+
+def test_overlay_blocks_add_up(monkeypatch):
+    """Areas don't depend on how many strips and pairs are held at once."""
+    rng = np.random.default_rng(4)
+    n = 60
+    ay = rng.uniform(0, 50, n)
+    by = ay + rng.uniform(1, 14, n)
+    group, shape = np.sort(rng.integers(0, 3, n)), rng.integers(0, 7, n)
+    rank = np.where(shape < 2, -1, shape % 3)
+    of = (group, shape, rank, rng.uniform(0, 60, n), ay, rng.uniform(-2, 2, n), ay, by)
+    want = planar._group_areas(*of, 3, 64.0)
+    assert (want > 0).any()
+    for held in (1, 7, 50):
+        monkeypatch.setattr(planar, "AT_ONCE", held)
+        assert planar._group_areas(*of, 3, 64.0) == pytest.approx(want)
