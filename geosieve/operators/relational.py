@@ -2,6 +2,12 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
@@ -133,13 +139,47 @@ def precedence_shares(covers: DataFrame, keys: list[str], low: str, high: str, r
     """Length by rank on a line where the least rank of overlapping covers counts.
 
     The ends of all covers cut the line into pieces; each piece belongs to the
-    least rank that covers it, so lengths add up to the covered whole.
+    least rank that covers it, so lengths add up to the covered whole. A key's
+    covers are one array, so nothing but covers is shuffled and no piece is a
+    row; pieces under covers are held a million at a time.
     """
-    ends = covers.select(*keys, F.explode(F.array(low, high)).alias("_x")).distinct()
-    pieces = ends.withColumn("_y", F.lead("_x").over(W.partitionBy(*keys).orderBy("_x"))).where("_y is not null")
-    held = pieces.join(covers, keys).where((F.col(low) <= F.col("_x")) & (F.col(high) >= F.col("_y")))
-    owned = held.groupBy(*keys, "_x", "_y").agg(F.min(rank).alias(rank))
-    return owned.groupBy(*keys, rank).agg(F.sum(F.col("_y") - F.col("_x")).alias("length"))
+    kinds = dict(covers.select(F.col(rank).alias("rank"), F.sum(F.col(high) - F.col(low)).over(W.partitionBy(F.lit(0))).alias("length")).dtypes)
+    known = covers.where(reduce(and_, [F.col(c).isNotNull() for c in (*keys, low, high)]))
+    held = known.groupBy(*keys).agg(F.collect_list(F.struct(F.col(low).alias("lo"), F.col(high).alias("hi"), F.col(rank).alias("rank"))).alias("_c"))
+    shares = F.arrow_udf(_owned, f"array<struct<rank: {kinds['rank']}, length: {kinds['length']}>>")
+    found = held.select(*keys, F.explode(shares("_c")).alias("_r"))
+    return found.select(*keys, F.col("_r.rank").alias(rank), F.col("_r.length").cast(kinds["length"]).alias("length"))
+
+
+def _owned(rows: pa.Array) -> pa.Array:
+    """For each list of covers (lo, hi, rank) the ranks that own some of its line, with lengths; a null rank yields to all others."""
+    counts, (lo, hi, rank) = rows.value_lengths().to_numpy(zero_copy_only=False), (rows.flatten().field(c) for c in ("lo", "hi", "rank"))
+    row = np.repeat(np.arange(len(rows)), counts)
+    ranks = pc.unique(rank).drop_null().sort() if rank.null_count < len(rank) else rank[:0]
+    code = pc.index_in(rank, ranks).fill_null(len(ranks)).to_numpy()
+    ends, of = np.concatenate([lo.to_numpy(), hi.to_numpy()]), np.concatenate([row, row])
+    order = np.lexsort((ends, of))
+    new = np.append(True, (of[order][1:] != of[order][:-1]) | (ends[order][1:] != ends[order][:-1]))[: len(order)]
+    number = np.empty(len(order), np.int64)
+    number[order] = np.cumsum(new) - 1
+    x, owner_row = ends[order][new], of[order][new]
+    begin, end = number[: len(row)], number[len(row) :]
+    owner = np.full(len(x), -1)
+    # The least rank is written last.
+    last = np.argsort(-code, kind="stable")
+    size = np.maximum(end - begin, 0)[last]
+    block = np.cumsum(size) // 1_000_000
+    for c in np.split(last, np.flatnonzero(np.diff(block)) + 1):
+        n = np.maximum(end[c] - begin[c], 0)
+        owner[np.repeat(begin[c] - np.cumsum(n) + n, n) + np.arange(n.sum())] = np.repeat(code[c], n)
+    piece = np.flatnonzero(owner >= 0)
+    piece = piece[np.lexsort((owner[piece], owner_row[piece]))]
+    first = np.flatnonzero(np.append(True, (np.diff(owner_row[piece]) != 0) | (np.diff(owner[piece]) != 0))[: len(piece)])
+    length = np.add.reduceat(x[piece + 1] - x[piece], first) if len(first) else x[:0]
+    at = piece[first]
+    offsets = np.append(0, np.cumsum(np.bincount(owner_row[at], minlength=len(rows)))).astype(np.int32)
+    named = ranks.take(pa.array(owner[at], mask=owner[at] == len(ranks)))
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.StructArray.from_arrays([named, pa.array(length)], ["rank", "length"]))
 
 
 def audience_gate(asked: DataFrame, providers: DataFrame, name: str, audience: str, audiences: tuple[str, ...]) -> DataFrame:
