@@ -51,17 +51,42 @@ def clipped_area(subject: pa.Array, convex: pa.Array) -> pa.Array:
     return pa.array(out, pa.float64())
 
 
-def covered(rings: list, x: np.ndarray, y: np.ndarray) -> np.ndarray:
-    """Whether grid points (x by y) are inside rings by the even-odd rule over all of them."""
-    odd = np.zeros((len(y), len(x)), bool)
-    for ring in rings:
-        p = np.array([(v["x"], v["y"]) for v in ring], float).reshape(-1, 2)
-        for (ax, ay), (bx, by) in zip(p, np.roll(p, -1, axis=0)):
-            rows = np.flatnonzero((ay > y) != (by > y))
-            if len(rows):
-                at = (bx - ax) * (y[rows] - ay) / (by - ay) + ax
-                odd[rows] ^= x[None, :] < at[:, None]
-    return odd
+def ring_ends(rings: pa.Array) -> tuple[np.ndarray, ...]:
+    """Which row each edge of its rings (lists of struct(x, y)) is of, and its ends ax, ay, bx, by; the closing edges are included."""
+    inner = rings.flatten()
+    count, size = (a.value_lengths().fill_null(0).to_numpy(zero_copy_only=False) for a in (rings, inner))
+    x, y = (inner.flatten().field(c).to_numpy(zero_copy_only=False) for c in "xy")
+    row = np.repeat(np.repeat(np.arange(len(rings)), count), size)
+    after = np.arange(1, len(x) + 1)
+    last = np.cumsum(size)[size > 0]
+    after[last - 1] = last - size[size > 0]
+    return row, x, y, x[after], y[after]
+
+
+def united(shape: np.ndarray, layer: np.ndarray, layers: int, ends: list[np.ndarray], x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Whether grid points (layers by y by x) are inside any shape of a layer, each by the even-odd rule over all its rings.
+
+    shape is that of each edge, layer that of each shape. A shape's edges cut a
+    row into intervals, taken from the right, and the intervals of a layer are summed.
+    """
+    ax, ay, bx, by = ends
+    low, high = (np.searchsorted(y, f(ay, by)) for f in (np.minimum, np.maximum))
+    n = np.where(np.isnan(ay) | np.isnan(by), 0, high - low)
+    e = np.repeat(np.arange(len(ax)), n)
+    row = np.repeat(low, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+    at = (bx[e] - ax[e]) * (y[row] - ay[e]) / (by[e] - ay[e]) + ax[e]
+    k = np.where(np.isnan(at), 0, np.searchsorted(x, at))
+    line = shape[e] * len(y) + row
+    order = np.lexsort((-k, line))
+    k, line, e, row = k[order], line[order], e[order], row[order]
+    first = np.maximum.accumulate(np.where(np.append(True, line[1:] != line[:-1])[: len(line)], np.arange(len(line)), 0))
+    even = (np.arange(len(line)) - first) % 2 == 0
+    begin = np.where(np.append(line[1:] == line[:-1], False)[: len(line)], np.append(k[1:], 0)[: len(line)], 0)
+    wide = len(x) + 1
+    base = (layer[shape[e]] * len(y) + row) * wide
+    size = layers * len(y) * wide
+    steps = np.bincount((base + begin)[even], minlength=size) - np.bincount((base + k)[even], minlength=size)
+    return np.cumsum(steps.reshape(layers, len(y), wide), axis=2)[:, :, :-1] > 0
 
 
 def zone_shares(shapes: DataFrame, key: str, cells: int = 128) -> DataFrame:
@@ -76,27 +101,30 @@ def zone_shares(shapes: DataFrame, key: str, cells: int = 128) -> DataFrame:
     """
 
     def one(table: pa.Table) -> pa.Table:
-        rows = table.to_pylist()
-        own = [r["rings"] for r in rows if r["rank"] is None and r["rings"]]
-        vertices = np.array([(v["x"], v["y"]) for rings in own for ring in rings for v in ring], float).reshape(-1, 2)
+        rank, (shape, *ends) = table.column("rank").fill_null(-1).to_numpy(), ring_ends(table.column("rings").combine_chunks())
+        own = rank[shape] < 0
         out: list[tuple[int | None, float, float]] = []
-        if len(vertices):
-            (x0, y0), (x1, y1) = vertices.min(axis=0), vertices.max(axis=0)
+        if own.any():
+            (x0, y0), (x1, y1) = ((min(ends[i][own].min(), ends[i + 2][own].min()) for i in (0, 1)), (max(ends[i][own].max(), ends[i + 2][own].max()) for i in (0, 1)))
             middle = (np.arange(cells) + 0.5) / cells
             x, y = x0 + (x1 - x0) * middle, y0 + (y1 - y0) * middle
-            rest = np.logical_or.reduce([covered(rings, x, y) for rings in own])
+            ranks = np.unique(rank)
+            layers = dict(zip(ranks.tolist(), united(shape, np.searchsorted(ranks, rank), len(ranks), ends, x, y)))
+            rest = layers.pop(-1)
             cell, total = (x1 - x0) * (y1 - y0) / cells**2, rest.sum()
-            for rank in sorted({r["rank"] for r in rows} - {None}):
-                held = np.logical_or.reduce([covered(r["rings"] or [], x, y) for r in rows if r["rank"] == rank]) & rest
+            for r, layer in layers.items():
+                held = layer & rest
                 if held.any():
-                    out.append((rank, float(held.sum() * cell), float(100 * held.sum() / total)))
-                rest &= ~held
+                    out.append((r, float(held.sum() * cell), float(100 * held.sum() / total)))
+                rest = rest & ~layer
             if rest.any():
                 out.append((None, float(rest.sum() * cell), float(100 * rest.sum() / total)))
         who = pa.array([table.column(key)[0].as_py()] * len(out), table.schema.field(key).type)
         return pa.table({key: who, "rank": pa.array([r for r, _, _ in out], pa.int32()), "area": pa.array([a for _, a, _ in out], pa.float64()), "pct": pa.array([p for _, _, p in out], pa.float64())})
 
-    return shapes.groupBy(key).applyInArrow(one, f"{key} {dict(shapes.dtypes)[key]}, rank int, area double, pct double")
+    # A number of tasks: the shuffled rings are small for the work on them, and would be merged to few tasks.
+    dealt = shapes.repartition(int(shapes.sparkSession.conf.get("spark.sql.shuffle.partitions")), key)
+    return dealt.groupBy(key).applyInArrow(one, f"{key} {dict(shapes.dtypes)[key]}, rank int, area double, pct double")
 
 
 def answered_within(x0: Column, y0: Column, x1: Column, y1: Column, reach: Column) -> Column:
