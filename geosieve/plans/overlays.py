@@ -14,15 +14,28 @@ RANKS, FOOTPRINT_M = 5, 500.0
 LABELS = ("AE floodway", "AE", "X 0.2%", "X levee", "X")
 
 
-def outlines(t: Tables) -> DataFrame:
-    """A footprint about each supplier and the zones of the parts dealt to it, with a hole each, in metres."""
+def _zone_rows(t: Tables, part: DataFrame) -> DataFrame:
+    """A zone of each part, at the supplier it is dealt to."""
     count = t.supplier.agg(F.count("*").alias("n"))
     p = F.col("p_partkey").cast("long")
-    zones = t.part.crossJoin(F.broadcast(count)).select((p % F.col("n") + 1).alias("site"), p.alias("shape"), (p % RANKS).cast("int").alias("rank"), (p * 7919 % 1201 - 600.0).alias("cx"), (p * 104729 % 1103 - 550.0).alias("cy"), (40.0 + 2.0 * F.col("p_size")).alias("r"))
-    own = t.supplier.select(F.col("s_suppkey").cast("long").alias("site"), F.lit(0).cast("long").alias("shape"), F.lit(None).cast("int").alias("rank"), F.lit(0.0).alias("cx"), F.lit(0.0).alias("cy"), F.lit(FOOTPRINT_M).alias("r"))
+    return part.crossJoin(F.broadcast(count)).select((p % F.col("n") + 1).alias("site"), p.alias("shape"), (p % RANKS).cast("int").alias("rank"), (p * 7919 % 1201 - 600.0).alias("cx"), (p * 104729 % 1103 - 550.0).alias("cy"), (40.0 + 2.0 * F.col("p_size")).alias("r"))
+
+
+def _ringed(rows: DataFrame) -> DataFrame:
     ring = lambda corners: F.array(*[F.struct((F.col("cx") + F.col("r") * a).alias("x"), (F.col("cy") + F.col("r") * b).alias("y")) for a, b in corners])
-    rows = own.unionByName(zones).withColumn("rings", F.array(ring(OUTLINE), ring(HOLE)))
-    return rows.drop("cx", "cy", "r")
+    return rows.withColumn("rings", F.array(ring(OUTLINE), ring(HOLE))).drop("cx", "cy", "r")
+
+
+def outlines(t: Tables) -> DataFrame:
+    """A footprint about each supplier and the zones of the parts dealt to it, with a hole each, in metres."""
+    own = t.supplier.select(F.col("s_suppkey").cast("long").alias("site"), F.lit(0).cast("long").alias("shape"), F.lit(None).cast("int").alias("rank"), F.lit(0.0).alias("cx"), F.lit(0.0).alias("cy"), F.lit(FOOTPRINT_M).alias("r"))
+    return _ringed(own.unionByName(_zone_rows(t, t.part)))
+
+
+def zones(t: Tables) -> DataFrame:
+    """The zones alone, dealt to as many tasks as are set: a file of few row groups is read by few, whatever work is on the rings."""
+    part = t.part.select("p_partkey", "p_size").repartition(int(t.spark.conf.get("spark.sql.shuffle.partitions")), "p_partkey")
+    return _ringed(_zone_rows(t, part))
 
 
 def shapes(t: Tables) -> DataFrame:
@@ -84,6 +97,8 @@ def footprint_breakdown(t: Tables) -> DataFrame:
 
 
 TOUCH_M, GAP_M = 3.0, 20.0
+#: Zones are up to 280 m wide: with cells of twice that size all are at one level and few are in several cells.
+ZONE_CELL_M = 600.0
 
 
 def _apart(px: str, py: str, ax: str, ay: str, bx: str, b_y: str) -> str:
@@ -106,8 +121,7 @@ _APART_SQL = f"""{_SHAPES}, e AS ({_EDGES}), z AS (SELECT * FROM e WHERE rank IS
 @query(f"WITH {_APART_SQL} SELECT site, a, b, round(apart_m, 3) AS apart_m FROM apart WHERE apart_m <= {TOUCH_M}")
 def parcel_adjacency(t: Tables) -> DataFrame:
     """The zones of a site that lie within 3 m of each other, edge to edge, each pair once."""
-    zones = outlines(t).where("rank is not null")
-    return parcels.pairs_within(zones, "shape", TOUCH_M, ("site",)).withColumn("apart_m", F.round("apart_m", 3))
+    return parcels.pairs_within(zones(t), "shape", TOUCH_M, ("site",), ZONE_CELL_M).withColumn("apart_m", F.round("apart_m", 3))
 
 
 @query(f"""WITH RECURSIVE {_APART_SQL}, links AS (SELECT site, a, b FROM apart WHERE apart_m <= {GAP_M + parcels.DRAWN_M}),
