@@ -120,9 +120,9 @@ def _inside_long(shapes: DataFrame, key: str, on: tuple[str, ...], cell_m: float
     return inside.select(*on, F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), F.lit(0.0).alias("apart_m"))
 
 
-def grouped(shapes: DataFrame, key: str, gap_m: float, on: tuple[str, ...] = ()) -> DataFrame:
+def grouped(shapes: DataFrame, key: str, gap_m: float, on: tuple[str, ...] = (), cell_m: float = 50.0) -> DataFrame:
     """(key, on, component): polygons joined by steps of at most the gap and what outlines are off, under the smallest key. Keys must be unique over all of ``on``."""
-    pairs = pairs_within(shapes, key, gap_m + DRAWN_M, on)
+    pairs = pairs_within(shapes, key, gap_m + DRAWN_M, on, cell_m)
     return labelled(Scratch(shapes.sparkSession), shapes.select(key, *on).distinct(), pairs.select("a", "b"), key)
 
 

@@ -131,7 +131,7 @@ def parcel_adjacency(t: Tables) -> DataFrame:
     SELECT site, shape, min(other) AS component FROM nodes JOIN reach USING (shape) GROUP BY ALL""")
 def parcel_groups(t: Tables) -> DataFrame:
     """The zones of a site grouped by steps of at most 20 m between their edges."""
-    return parcels.grouped(outlines(t).where("rank is not null"), "shape", GAP_M, ("site",)).select("site", "shape", "component")
+    return parcels.grouped(zones(t), "shape", GAP_M, ("site",), ZONE_CELL_M).select("site", "shape", "component")
 
 
 LINE_M = 15_000

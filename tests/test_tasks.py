@@ -2,7 +2,8 @@
 
 from pyspark.sql import functions as F
 
-from geosieve.operators import overlay, raster
+from geosieve.operators import overlay, parcels, raster
+from geosieve.plans import registry
 
 
 def test_groups_of_grids_are_dealt_to_as_many_tasks_as_are_set(spark):
@@ -14,3 +15,12 @@ def test_groups_of_grids_are_dealt_to_as_many_tasks_as_are_set(spark):
     cells = cells.withColumnRenamed("site", "k").withColumnRenamed("site_", "site")
     for df in (overlay.zone_shares(shapes, "site", 8), raster.measure_usable(cells, "k", 1, 10.0)):
         assert df.rdd.getNumPartitions() == tasks
+
+
+def test_zones_of_parcels_are_dealt_to_as_many_tasks_as_are_set(spark, monkeypatch):
+    """A file of one row group is read by one task, which would make all rows of the join."""
+    seen, pairs = [], parcels.pairs_within
+    monkeypatch.setattr(parcels, "pairs_within", lambda shapes, *more: seen.append(shapes.rdd.getNumPartitions()) or pairs(shapes, *more))
+    for name in ("parcel_adjacency", "parcel_groups"):
+        registry.QUERIES[name](spark, "/root/testdata/sf0.001")
+    assert seen == [int(spark.conf.get("spark.sql.shuffle.partitions"))] * 2
