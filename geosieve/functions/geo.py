@@ -17,9 +17,13 @@ ACRE_M2 = 4046.8564224
 MILE_M, FOOT_M = 1609.344, 0.3048
 
 
-def offset(lat: Column, lng: Column, to_lat: Column, to_lng: Column) -> tuple[Column, Column]:
-    """Metres east and north from a point to another."""
-    return (to_lng - lng) * M_PER_DEG_LNG * F.cos(F.radians(lat)), (to_lat - lat) * M_PER_DEG_LAT
+def cosine(lat: Column) -> Column:
+    return F.cos(F.radians(lat))
+
+
+def offset(lat: Column, lng: Column, to_lat: Column, to_lng: Column, cos: Column | None = None) -> tuple[Column, Column]:
+    """Metres east and north from a point to another; cos is the cosine of its latitude where it is at hand, so that pairs don't each take it."""
+    return (to_lng - lng) * M_PER_DEG_LNG * (cosine(lat) if cos is None else cos), (to_lat - lat) * M_PER_DEG_LAT
 
 
 def distance(lat: Column, lng: Column, to_lat: Column, to_lng: Column) -> Column:

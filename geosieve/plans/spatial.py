@@ -119,18 +119,21 @@ def lines(t: Tables) -> DataFrame:
 def nearest_segment(t: Tables) -> DataFrame:
     """The nearest line and the nearest big line by point-to-segment distance."""
     box = (F.least("f_lat", "g_lat"), F.least("f_lng", "g_lng"), F.greatest("f_lat", "g_lat"), F.greatest("f_lng", "g_lng"))
-    a = geo.offset(F.col("lat"), F.col("lng"), F.col("f_lat"), F.col("f_lng"))
-    b = geo.offset(F.col("lat"), F.col("lng"), F.col("g_lat"), F.col("g_lng"))
-    found = lambda own, *own_m: spatial.range_join(own, lines(t), LINE_R, box, 30_000, *own_m).withColumn("d_mm", geo.millimetres(geo.segment_distance(*a, *b))).where(F.col("d_mm") <= LINE_R * 1000)
-    big = F.col("size") >= 25
+    a, b = (geo.offset(F.col("lat"), F.col("lng"), F.col(f"{e}_lat"), F.col(f"{e}_lng"), F.col("cos")) for e in "fg")
+    # Lines are dealt to as many tasks as are set: a file of few row groups is read by few, which would make all copies.
+    dealt = lines(t).repartition(int(t.spark.conf.get("spark.sql.shuffle.partitions")), "feature")
+    found = lambda own, *own_m: spatial.range_join(own, dealt, LINE_R, box, 30_000, *own_m).withColumn("d_mm", geo.millimetres(geo.segment_distance(*a, *b)))
+    big, near = F.col("size") >= 25, F.col("d_mm") <= LINE_R * 1000
     # Sites at one place are measured once: first the least distances, which group without a sort, then the lines at those.
-    least = found(spots(t)).groupBy("lat", "lng").agg(F.min("d_mm").alias("least"), F.min(F.when(big, F.col("d_mm"))).alias("least_big"), F.count("*").alias("lines_near"))
-    least = Scratch(t.spark).keep(least)
-    there = found(least, spatial.reach("least", "least_big")).where((F.col("d_mm") == F.col("least")) | big & (F.col("d_mm") == F.col("least_big")))
-    best = there.groupBy("lat", "lng").agg(spatial.nearest("feature").alias("a"), spatial.nearest("feature", where=big).alias("b"))
-    out = sites(t).join(least.join(best, ["lat", "lng"]), ["lat", "lng"], "left")
-    tenth = lambda c: F.floor(F.col(f"{c}.d_mm") / 100) / F.lit(10.0)
-    return out.select("site", F.col("a.feature").alias("line"), tenth("a").alias("line_m"), F.col("b.feature").alias("big_line"), tenth("b").alias("big_line_m"), "lines_near")
+    # The distance is tested in the aggregates: as a filter it would be a condition of the join, which takes it apart and computes its terms many times a pair.
+    own = spots(t).withColumn("cos", geo.cosine(F.col("lat")))
+    least = found(own).groupBy("lat", "lng", "cos").agg(F.min(F.when(near, F.col("d_mm"))).alias("least"), F.min(F.when(near & big, F.col("d_mm"))).alias("least_big"), F.count_if(near).alias("lines_near"))
+    least = Scratch(t.spark).keep(least.where("lines_near > 0"))
+    first = lambda c, where: F.min(F.when(where & (F.col("d_mm") == F.col(c)), F.col("feature")))
+    best = found(least, spatial.reach("least", "least_big")).groupBy("lat", "lng", "least", "least_big", "lines_near").agg(first("least", F.lit(True)).alias("line"), first("least_big", big).alias("big_line"))
+    out = sites(t).join(best, ["lat", "lng"], "left")
+    tenth = lambda c: F.floor(F.col(c) / 100) / F.lit(10.0)
+    return out.select("site", "line", tenth("least").alias("line_m"), "big_line", tenth("least_big").alias("big_line_m"), "lines_near")
 
 
 #: The corners of a synthetic outline, in radii from its point, and those of its hole.
