@@ -50,9 +50,8 @@ def _placed(df: DataFrame, side: str, other: DataFrame, other_side: str, cell: t
     return rows
 
 
-def _cell(at: str | Column, size: float) -> Column:
-    at = F.col(at) if isinstance(at, str) else at
-    return F.floor(at / (F.lit(size) * F.pow(F.lit(2.0), F.col("_level")))).cast("long")
+def _cell(at: str, size: float) -> Column:
+    return F.floor(F.col(at) / (F.lit(size) * F.pow(F.lit(2.0), F.col("_level")))).cast("long")
 
 
 def box_join(left: DataFrame, right: DataFrame, left_box: Box, right_box: Box, cell: tuple[float, float], on: tuple[str, ...] = ()) -> DataFrame:
@@ -65,11 +64,13 @@ def box_join(left: DataFrame, right: DataFrame, left_box: Box, right_box: Box, c
     """
     left, right = _levelled(left, "l", left_box, cell), _levelled(right, "r", right_box, cell)
     # Sizes are estimated as before the explode, so without the hint the copies could be broadcast, through the driver.
-    both = _placed(left, "l", right, "r", cell).join(_placed(right, "r", left, "l", cell).hint("merge"), [*on, "_level", "_row", "_column"])
+    tall, wide = (F.lit(size) * F.pow(F.lit(2.0), F.col("_level")) for size in cell)
+    copies = _placed(right, "r", left, "l", cell).withColumns({"_tall": tall, "_wide": wide})  # powers are of rows, not of pairs
+    both = _placed(left, "l", right, "r", cell).join(copies.hint("merge"), [*on, "_level", "_row", "_column"])
     touch = (F.col("_l_s") <= F.col("_r_n")) & (F.col("_r_s") <= F.col("_l_n")) & (F.col("_l_w") <= F.col("_r_e")) & (F.col("_r_w") <= F.col("_l_e"))
-    corner = (_cell(F.greatest("_l_s", "_r_s"), cell[0]) == F.col("_row")) & (_cell(F.greatest("_l_w", "_r_w"), cell[1]) == F.col("_column"))
+    corner = (F.floor(F.greatest("_l_s", "_r_s") / F.col("_tall")) == F.col("_row")) & (F.floor(F.greatest("_l_w", "_r_w") / F.col("_wide")) == F.col("_column"))
     both = both.where((F.greatest("_l_level", "_r_level") == F.col("_level")) & touch & corner)
-    return both.drop("_level", "_row", "_column", *[f"_{s}_{c}" for s in "lr" for c in ("s", "w", "n", "e", "level")])
+    return both.drop("_level", "_row", "_column", "_tall", "_wide", *[f"_{s}_{c}" for s in "lr" for c in ("s", "w", "n", "e", "level")])
 
 
 def degrees(metres: float) -> tuple[float, float]:

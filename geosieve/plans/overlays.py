@@ -168,7 +168,8 @@ _KNOWN = lambda c: f"CASE WHEN trim({c}) = '' OR upper(trim({c})) LIKE 'UNKNOWN%
 def transmission_lines(t: Tables) -> DataFrame:
     """The nearest line of many parts, and the nearest one of at least 100 kV, with what is known of each: all sixteen fields."""
     vertex = lambda v: F.struct((F.col("f_lng") + F.lit(v[0])).alias("lng"), (F.col("f_lat") + F.lit(v[1])).alias("lat"))
-    made = parts(t).withColumns({n: F.expr(e) for n, e in ATTRIBUTES.items()})
+    # Lines are dealt to as many tasks as are set: a file of few row groups is read by few.
+    made = parts(t).repartition(int(t.spark.conf.get("spark.sql.shuffle.partitions")), "feature").withColumns({n: F.expr(e) for n, e in ATTRIBUTES.items()})
     volts = rules.kilovolts(F.col("voltage"), F.col("volt_class"))
     made = made.select("feature", "volt_class", "owner", "kind", "state", "inferred", volts["kv"].alias("kv"), volts["basis"].alias("basis"), x.circuit_name(F.col("sub_1"), F.col("sub_2")).alias("named"), F.array(*[F.array(*map(vertex, p)) for p in PARTS_OF]).alias("parts"))
     carried = ["kv", "basis", "named", "volt_class", "owner", "kind", "state", "inferred"]

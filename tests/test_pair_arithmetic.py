@@ -4,7 +4,7 @@ import re
 
 from pyspark.sql import functions as F
 
-from geosieve.operators import spatial
+from geosieve.operators import lines, spatial
 from geosieve.plans import registry
 
 SF = "/root/testdata/sf0.001"
@@ -33,3 +33,24 @@ def test_a_sites_own_reach_holds_east_and_west_too(spark):
 def test_distances_of_lines_are_no_condition_of_their_join(spark):
     found = join_conditions(registry.QUERIES["nearest_segment"](spark, SF))
     assert found and not any("SQRT" in x or "COS" in x for x in found)
+
+
+def test_segments_that_lie_alike_and_sites_at_one_place_are_measured_once(spark, monkeypatch):
+    seen, join = [], lines.box_join
+    monkeypatch.setattr(lines, "box_join", lambda left, right, *more: seen.append((left.count(), right.count())) or join(left, right, *more))
+    part = [(-90.0, 40.01), (-89.9, 40.01), (-89.8, 40.05)]
+    made = [(9 - i, i >= 3, f"n{i}", [part]) for i in range(9)] + [(20, True, "late", [part[:2]])]
+    df = spark.createDataFrame(made, "line int, big boolean, name string, parts array<array<struct<lng double, lat double>>>")
+    at = [(i, 40.0, -89.95) for i in range(8)] + [(8, None, None), (9, 50.0, -89.95)]
+    sites = spark.createDataFrame(at, "site int, lat double, lng double")
+    out = lines.nearest_lines(sites, lines.segments(df), "site", "line", 8000.0, {"any": None, "big": F.col("big"), "none": F.col("line") > 99}, ["name"])
+    found = join_conditions(out)
+    assert found and not any("SQRT" in x or "COS" in x for x in found)
+    got = {r.site: r for r in out.collect()}
+    assert len(got) == 10 and all(r["none"] is None for r in got.values()) and all(got[i]["any"] is got[i]["big"] is None for i in (8, 9))
+    for i in range(8):
+        r = got[i]["any"]
+        assert (r.d_mm, r.line, r.part, r.segment, r.name) == (1_105_400, 1, 0, 0, "n8") and r == got[i]["big"]
+        assert abs(r.foot_lat - 40.01) < 1e-9 and abs(r.foot_lng + 89.95) < 1e-9
+    # The first pass meets all places, the second one those with a line.
+    assert seen == [(3, 2), (1, 2)]
