@@ -62,9 +62,14 @@ def _edges(ring: Column, f) -> Column:
     return F.transform(ring, lambda a, i: f(a, F.get(ring, (i + 1) % n)))
 
 
+def ring_edges(ring: Column) -> Column:
+    """array of struct(a, b) of the edges of a ring."""
+    return _edges(ring, lambda a, b: F.struct(a.alias("a"), b.alias("b")))
+
+
 def polygon_edges(outer: Column, holes: Column) -> Column:
     """array of struct(a, b) of the edges of all rings of a polygon."""
-    return F.flatten(F.transform(F.concat(F.array(outer), holes), lambda ring: _edges(ring, lambda a, b: F.struct(a.alias("a"), b.alias("b")))))
+    return F.flatten(F.transform(F.concat(F.array(outer), holes), ring_edges))
 
 
 def edge_crosses(edge: Column, lat: Column, lng: Column) -> Column:

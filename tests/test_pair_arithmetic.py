@@ -4,8 +4,8 @@ import re
 
 from pyspark.sql import functions as F
 
-from geosieve.operators import lines, spatial
-from geosieve.plans import registry
+from geosieve.operators import circles, lines, spatial
+from geosieve.plans import complete, registry
 
 SF = "/root/testdata/sf0.001"
 
@@ -54,3 +54,45 @@ def test_segments_that_lie_alike_and_sites_at_one_place_are_measured_once(spark,
         assert abs(r.foot_lat - 40.01) < 1e-9 and abs(r.foot_lng + 89.95) < 1e-9
     # The first pass meets all places, the second one those with a line.
     assert seen == [(3, 2), (1, 2)]
+
+
+def test_each_circle_takes_one_root_of_an_edge(spark):
+    """As one expression the root was taken wherever a point of the circle is named, in code too long to be compiled."""
+    ring = "array<struct<lng:double,lat:double>>"
+    table = spark.createDataFrame([(1, [(-90.0, 40.0), (-89.99, 40.0), (-90.0, 40.01)], None)], f"shape long, outer {ring}, holes array<{ring}>")
+    sites = spark.createDataFrame([(1, 40.0, -90.0, 700.0)], "site long, lat double, lng double, r double")
+    name = "spark.sql.debug.maxToStringFields"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "1000")
+    try:
+        plan = circles.shares_within(sites, table, "site", "shape", {"near": F.col("r"), "far": F.col("r") * 2}, F.lit(1400.0), 500.0)._jdf.queryExecution().optimizedPlan().toString()
+    finally:
+        spark.conf.set(name, before)
+    assert plan.count("SQRT(") == 2 and 0 < plan.count("ATAN2(") <= 5
+
+
+def test_polygons_that_hold_a_site_come_with_their_shares(spark):
+    ring = "array<struct<lng:double,lat:double>>"
+    square = lambda x, y, r: [(x - r, y - r), (x + r, y - r), (x + r, y + r), (x - r, y + r)]
+    outer = square(-90.0, 40.0, 0.01)
+    rows = [(1, 7, outer, None), (2, 8, outer[::-1], [square(-90.0, 40.0, 0.001)]), (3, 9, outer, [square(-90.0, 40.0, 0.001)[::-1], square(-90.005, 40.005, 0.001)])]
+    table = spark.createDataFrame(rows, f"shape long, hu long, outer {ring}, holes array<{ring}>")
+    sites = spark.createDataFrame([(1, 40.0, -90.0), (2, 40.005, -90.005), (3, 40.02, -90.0)], "site long, lat double, lng double")
+    got = {(r.site, r["shape"]): r for r in circles.shares_within(sites, table, "site", "shape", {"all": F.lit(9_000.0), "none": F.lit(0.0)}, F.lit(9_000.0), 500.0, ("hu",), "held").collect()}
+    assert len(got) == 9 and {k for k, r in got.items() if r.held} == {(1, 1), (2, 1), (2, 2)}
+    assert all(r.hu == k[1] + 6 and abs(r["all"] - 1) < 1e-9 and r.none == 0 for k, r in got.items())
+
+
+def test_blocks_that_lie_alike_count_as_one_and_are_dealt(spark, monkeypatch):
+    seen, shares, measured = [], complete.shares_within, complete.spatial.measured
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    monkeypatch.setattr(complete, "shares_within", lambda own, shapes, *more: seen.append((own.rdd.getNumPartitions(), shapes.count())) or shares(own, shapes, *more))
+    monkeypatch.setattr(complete.spatial, "measured", lambda own, blocks, *more: seen.append(blocks.rdd.getNumPartitions()) or measured(own, blocks, *more))
+    # Nine of a size and one of another at the place of customer 13's site, whose own is shifted by (-6, +5) thousandths.
+    rows = [(20 - i, 7 if i < 9 else 8, 25.0 + 13 * 6007 % 24000 / 1000, -124.0 + 13 * 50021 % 57000 / 1000) for i in range(10)]
+    monkeypatch.setattr(complete, "parts", lambda t: spark.createDataFrame(rows, "feature long, size long, f_lat double, f_lng double").coalesce(1))
+    got = {r.site: r for r in complete.housing_blocks(registry.Tables(spark, SF)).collect()}
+    assert seen == [(tasks, 2), tasks]
+    with_any = {k for k, r in got.items() if r.hu_near_pass > 0}
+    assert with_any == {13} and got[13].blocks_within_1mi == 10 and got[13].hu_within_1mi == 71 and got[13].pop_within_1mi == 213
+    assert 0 < got[13].hu_near_review <= got[13].hu_near_pass <= 71
