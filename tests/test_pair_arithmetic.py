@@ -96,3 +96,9 @@ def test_blocks_that_lie_alike_count_as_one_and_are_dealt(spark, monkeypatch):
     with_any = {k for k, r in got.items() if r.hu_near_pass > 0}
     assert with_any == {13} and got[13].blocks_within_1mi == 10 and got[13].hu_within_1mi == 71 and got[13].pop_within_1mi == 213
     assert 0 < got[13].hu_near_review <= got[13].hu_near_pass <= 71
+
+
+def test_sites_in_no_block_are_no_rows_of_the_join_with_blocks(spark):
+    """As nulls of an outer join's key they would all be in one task."""
+    joins = re.findall(r"Join LeftOuter.*", registry.QUERIES["housing_blocks"](spark, SF)._jdf.queryExecution().optimizedPlan().toString())
+    assert joins and not any("(at#" in x for x in joins)
