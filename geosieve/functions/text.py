@@ -274,8 +274,17 @@ def location_words(cells: Column) -> Column:
     """
     plain = lambda c: F.trim(F.regexp_replace(F.lower(c["text"]), r"[^\p{L}\p{N}_]+", " "))
     keyed = F.transform(F.array_sort(cells), lambda c: F.struct(c["label"].alias("label"), c["text"].alias("text"), plain(c).alias("plain")))
-    fresh = F.filter(keyed, lambda c, i: ~F.exists(F.slice(keyed, F.lit(1), i), lambda before: F.contains(before["plain"], c["plain"])))
-    return F.transform(fresh, lambda c: F.struct(c["label"], c["text"]))
+    nothing = F.struct(F.lit("").alias("said"), F.array().cast("array<struct<label:string,text:string>>").alias("kept"))
+
+    def told(got: Column, c: Column) -> Column:
+        """What is said, the words of the kept texts, a line each, is searched once for a cell: what a dropped text holds, the one that holds it holds too."""
+        said, kept, first = got["said"], got["kept"], F.size(got["kept"]) == 0
+        # After a missing text nothing is kept: what it holds isn't known.
+        known = said.isNotNull() & c["plain"].isNotNull()
+        more = F.when(first | known, F.concat(kept, F.array(F.struct(c["label"].alias("label"), c["text"].alias("text"))))).otherwise(kept)
+        return F.when(~first & F.contains(said, c["plain"]), got).otherwise(F.struct(F.concat(said, F.lit("\n"), c["plain"]).alias("said"), more.alias("kept")))
+
+    return F.aggregate(keyed, nothing, told, lambda got: got["kept"])
 
 
 def narrative_sections(text: Column) -> Column:
