@@ -6,7 +6,10 @@ ordinal, and returns long value records. One pass groups the pairs of a site.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from functools import reduce
+from operator import or_
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from geosieve.functions import status
@@ -100,13 +103,18 @@ def wetlands(sites: DataFrame, key: str, polygons: DataFrame, mapping: DataFrame
     return status.to_long(wide, key, fields)
 
 
-def _tied(pairs: DataFrame, key: str, ok: Column, columns: list[str], out: str) -> DataFrame:
-    """Of a key's pairs within a metre of its nearest that are ok, the one of the highest voltage, then the first."""
-    good = pairs.where(F.coalesce(ok, F.lit(False)))
-    least = good.groupBy(key).agg(F.min("d_mm").alias("_least"))
-    near = good.join(least, key).where(F.col("d_mm") <= F.col("_least") + 1000)
-    best = F.min(F.struct((-F.coalesce("kv", F.lit(0.0))).alias("_minus"), "ordinal", "d_mm", *columns))
-    return near.groupBy(key).agg(best.alias(out))
+def _tied(pairs: DataFrame, key: str, ok: dict[str, Column], columns: list[str], any_of: str | None = None) -> DataFrame:
+    """For each name in ok, of a key's pairs within a metre of its nearest that are ok, the one of the highest voltage, then the first; and whether any_of holds for any of its pairs.
+
+    Pairs are read and dealt by their key once, whatever they are asked for.
+    """
+    far = {n: F.col(f"_{n}") for n in ok}  # the distance where a pair is ok, else null
+    held = [F.bool_or(any_of).alias(any_of)] if any_of else []
+    wanted = reduce(or_, [d.isNotNull() for d in far.values()] + ([F.coalesce(any_of, F.lit(False))] if any_of else []))
+    rows = pairs.withColumns({f"_{n}": F.when(c, F.col("d_mm")) for n, c in ok.items()}).where(F.col(key).isNotNull() & wanted)
+    rows = rows.withColumns({f"_least_{n}": F.min(d).over(Window.partitionBy(key)) for n, d in far.items()})
+    best = lambda d: F.struct((-F.coalesce("kv", F.lit(0.0))).alias("_minus"), "ordinal", d.alias("d_mm"), *columns)
+    return rows.groupBy(key).agg(*[F.min(F.when(d <= F.col(f"_least_{n}") + 1000, best(d))).alias(n) for n, d in far.items()], *held)
 
 
 def power_site(sites: DataFrame, key: str, lines: DataFrame, substations: DataFrame, line_kv: float = 69.0, sub_kv: float = 69.0, head_kv: float = 115.0, failed: Column | None = None) -> DataFrame:
@@ -120,10 +128,9 @@ def power_site(sites: DataFrame, key: str, lines: DataFrame, substations: DataFr
     from geosieve.functions.text import substation_label
 
     ok = lambda least: substation_qualifies(F.col("kv"), F.col("state"), F.col("kind"), least)
-    wide = _failed(sites, failed).join(lines.groupBy(key).agg(F.bool_or("crosses").alias("crosses")), key, "left")
-    wide = wide.join(_tied(lines, key, line_qualifies(F.col("kv"), F.col("band_kv"), line_kv), ["kv"], "line"), key, "left")
-    for name, least in (("sub", sub_kv), ("head", head_kv)):
-        wide = wide.join(_tied(substations, key, ok(least), ["kv", "name"], name), key, "left")
+    near = _tied(lines, key, {"line": line_qualifies(F.col("kv"), F.col("band_kv"), line_kv)}, ["kv"], "crosses")
+    wide = _failed(sites, failed).join(near, key, "left")
+    wide = wide.join(_tied(substations, key, {"sub": ok(sub_kv), "head": ok(head_kv)}, ["kv", "name"]), key, "left")
     bad = F.col("_failed")
     one = lambda value, present, what="": status.record(value, status.found(value, present, bad), source="power_site", note=F.when(~present & ~bad, F.lit(what)))
     yes = F.lit(True)
