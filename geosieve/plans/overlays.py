@@ -88,12 +88,12 @@ def footprint_breakdown(t: Tables) -> DataFrame:
     """Each footprint's acres, its unmapped acres, and in words what each kind of zone covers of it, overlaps counted for both."""
     edges = shapes(t)
     label = F.element_at(F.array(*map(F.lit, LABELS)), F.col("rank") + 1)
-    whole = planar.overlay_areas(edges.withColumn("rank", F.when(F.col("rank").isNotNull(), 0)), ["site"], 1)
+    whole = planar.overlay_areas(edges, ["site"], None)
     acres = lambda where: F.round(F.coalesce(F.sum(F.when(where, F.col("area"))), F.lit(0.0)) / planar.ACRE_M2, 3)
     total = whole.groupBy("site").agg(acres(F.lit(True)).alias("acres"), acres(F.col("rank").isNull()).alias("unmapped_acres"), F.sum("area").alias("total"))
-    groups = planar.group_areas(edges.withColumn("zone", F.when(F.col("rank").isNotNull(), label)).drop("rank"), ["site"], "zone")
-    said = planar.breakdown(groups.join(total.select("site", "total"), "site"), ["site"], "zone", F.col("total"))
-    return total.join(said, "site", "left").select("site", "acres", "unmapped_acres", "breakdown")
+    groups = planar.group_areas(edges, ["site"], "rank").withColumn("zone", label)
+    each = total.join(groups, "site", "left")
+    return planar.breakdown(each, ["site", "acres", "unmapped_acres"], "zone", F.col("total"), every=True).select("site", "acres", "unmapped_acres", "breakdown")
 
 
 TOUCH_M, GAP_M = 3.0, 20.0

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from geosieve.operators import lines, places, planar
 from geosieve.operators.grid import box_join, degrees
+from geosieve.plans import registry
 
 
 def test_box_join_finds_each_pair_once(spark):
@@ -177,3 +178,69 @@ def test_overlay_blocks_add_up(monkeypatch):
     for held in (1, 7, 50):
         monkeypatch.setattr(planar, "AT_ONCE", held)
         assert planar._group_areas(*of, 3, 64.0) == pytest.approx(want)
+
+
+EDGES = "site int, shape long, rank int, x0 double, y0 double, x1 double, y1 double"
+
+
+def ring(*corners):
+    return [(*a, *b) for a, b in zip(corners, corners[1:] + corners[:1])]
+
+
+def box(x, y, r):
+    return ring((x - r, y - r), (x + r, y - r), (x + r, y + r), (x - r, y + r))
+
+
+def grounds(spark):
+    """Sites with zones of several ranks: a footprint of many edges under many ranks, none, no zones, one that comes twice, no key."""
+    rng = random.Random(7)
+    round_ = ring(*[(300 * math.cos(i / 150 * math.pi), 300 * math.sin(i / 150 * math.pi)) for i in range(300)])
+    shapes = [(1, 0, None, round_), *[(1, i + 1, i % 250, box(rng.uniform(-250, 250), rng.uniform(-250, 250), 30.0)) for i in range(500)]]
+    shapes += [(2, 0, None, box(0.0, 0.0, 100.0)), (2, 1, -2, box(50.0, 0.0, 80.0)), (2, 2, 7, box(0.0, 50.0, 80.0)), (2, 3, 7, box(0.0, 0.0, 20.0)), (2, 4, 8, box(900.0, 0.0, 20.0))]
+    shapes += [(3, 0, None, box(0.0, 0.0, 10.0)), (4, 1, 0, box(0.0, 0.0, 10.0)), (5, 0, None, box(0.0, 0.0, 50.0)), (5, 1, 3, box(0.0, 0.0, 20.0)), (None, 0, None, box(0.0, 0.0, 10.0)), (None, 1, 0, box(0.0, 0.0, 5.0))]
+    rows = [(site, shape, rank, *e) for site, shape, rank, edges in shapes for e in edges]
+    rows += [r for r in rows if r[:2] == (5, 1)] + [(2, 9, 7, 1.0, None, 2.0, 3.0)]
+    return spark.createDataFrame(rows, EDGES)
+
+
+def test_groups_equal_overlays_of_each_group(spark):
+    """A band's footprint meets all of its groups, in blocks where there are many."""
+    edges = grounds(spark)
+    for band in (64.0, 1e4):
+        got = {(r.site, r.rank): r.area for r in planar.group_areas(edges, ["site"], "rank", band).collect()}
+        alone = edges.where("rank is null").join(edges.where("rank is not null").select("site", F.col("rank").alias("group")).distinct(), "site")
+        alone = alone.unionByName(edges.where("rank is not null").withColumns({"group": F.col("rank"), "rank": F.lit(0)}))
+        want = {(r.site, r.group): r.area for r in planar.overlay_areas(alone, ["site", "group"], 1, band).where("rank = 0").collect()}
+        assert got.keys() == want.keys() and {k for k, _ in got} == {1, 2} and len(got) == 252
+        assert all(got[k] == pytest.approx(want[k]) for k in want)
+
+
+def test_ranks_may_count_as_one(spark):
+    edges = grounds(spark)
+    got = {(r.site, r.rank): r.area for r in planar.overlay_areas(edges, ["site"], None).collect()}
+    want = {(r.site, r.rank): r.area for r in planar.overlay_areas(edges.withColumn("rank", F.when(F.col("rank").isNotNull(), 0)), ["site"], 1).collect()}
+    assert got == pytest.approx(want) and got[2, 0] == pytest.approx(29_500) and got[3, None] == pytest.approx(400)
+
+
+def test_overlays_and_groups_share_one_shuffle_of_edges(spark):
+    """Footprints aren't joined to groups, and both measure the same dealt rows."""
+    edges = grounds(spark)
+    groups = planar.group_areas(edges, ["site"], "rank")
+    plan = groups._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in plan and "Window" not in plan
+    both = planar.overlay_areas(edges, ["site"], None).withColumn("of", F.lit("all")).unionByName(groups.withColumn("of", F.lit("rank")))
+    both.collect()
+    ran = both._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert ran.count("ReusedExchange") == 1
+
+
+def test_breakdown_measures_a_footprint_twice(spark):
+    """Once whole and once by group: totals and words are of the same rows."""
+    plan = registry.QUERIES["footprint_breakdown"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("MapInArrow") == 2
+
+
+def test_breakdown_of_every_key(spark):
+    areas = spark.createDataFrame([(1, "X", 39294.98), (1, "V", 1.0), (2, "V", 1.0), (3, None, None)], "site int, zone string, area double")
+    said = lambda **more: {r.site: r.breakdown for r in planar.breakdown(areas, ["site"], "zone", F.lit(40_024.4), **more).collect()}
+    assert said() == {1: "X 9.710 ac (98.2%)"} and said(every=True) == {1: "X 9.710 ac (98.2%)", 2: None, 3: None}
